@@ -1,0 +1,155 @@
+"""Structured Streaming form of the recurring job.
+
+* ``dedupe_stream`` (STR-3): headlines already seen that day are dropped
+  across micro-batches with ``dropDuplicatesWithinWatermark`` on
+  (day, symbol, headline).  Rows of one day lie less than 24 h apart, so a
+  one-day delay covers every repeat; the watermark bounds the state.
+* ``drop_late`` (STR-4): the recency / same-day rules as stateless filters.
+* ``daily_scores`` (STR-2): tumbling one-day windows of the label sum per
+  symbol, emitted in ``update`` mode (the open day is republished).
+* ``run_pipeline`` (STR-1): one query whose ``foreachBatch`` runs a batch
+  function (ingest -> merge -> score -> snapshot, see ``make_cycle``) on a
+  processing-time trigger (60 s by default) or ``availableNow``.
+
+Sinks keyed by ``batch_id`` make a replayed batch overwrite its own output,
+so a restart from the checkpoint after a lost executor stays exactly-once.
+Parquet timestamps load as ``TIMESTAMP_NTZ``, which watermarks refuse, so
+event time is cast to ``timestamp`` (session zone UTC) first.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.merge import KEY
+from ..operators.recency import is_recent, is_same_day
+
+EVENT_TIME = "event_time"
+
+
+def with_event_time(df: DataFrame, col: str = "seen_at") -> DataFrame:
+    return df.withColumn(EVENT_TIME, F.col(col).cast("timestamp"))
+
+
+def dedupe_stream(stream: DataFrame, delay: str = "1 day", keys=KEY) -> DataFrame:
+    return stream.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def drop_late(stream: DataFrame, age_col: str | None = "age_text", mode: str = "strict30",
+              date_col: str | None = None, day=None) -> DataFrame:
+    out = stream
+    if age_col:
+        out = out.where(is_recent(age_col, mode))
+    if date_col and day is not None:
+        out = out.where(is_same_day(date_col, day))
+    return out
+
+
+def daily_scores(labelled: DataFrame, delay: str = "1 day", label_col: str = "label") -> DataFrame:
+    return (labelled.withWatermark(EVENT_TIME, delay)
+            .groupBy(F.window(EVENT_TIME, "1 day").alias("w"), "symbol")
+            .agg(F.sum(label_col).cast("long").alias("score"))
+            .select(F.to_date(F.col("w.start")).alias("day"), "symbol", "score"))
+
+
+def batch_sink(path: str):
+    """foreachBatch writer: each batch replaces its own ``batch_id`` folder."""
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        (batch_df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(path))
+    return write
+
+
+def latest_per_key(spark: SparkSession, path: str, keys, value_cols) -> DataFrame:
+    """Final value per key of an update-mode sink: the row of the last batch."""
+    df = spark.read.parquet(path)
+    latest = F.max_by(F.struct(*value_cols), "batch_id").alias("_v")
+    return df.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
+
+
+def run_pipeline(stream: DataFrame, process_batch, checkpoint: str,
+                 every: str | None = "60 seconds", available_now: bool = False):
+    """STR-1: start the recurring job; returns the ``StreamingQuery``."""
+    w = stream.writeStream.foreachBatch(process_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every)
+    return w.start()
+
+
+def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
+               label_mode: str = "exact", write_back: str = "all"):
+    """Batch function of the recurring job.
+
+    Items of the batch (``day, symbol, feed, pos, headline``) are merged into
+    the store, the touched days are scored, labels written back, and one
+    ranked snapshot per touched day appended.  ``as_of`` is the batch's latest
+    event time, so a replayed batch produces the same rows.
+    """
+    from ..operators.scoring import day_symbols, net_score, rank_scores
+    from ..operators.sentiment import label_headlines
+    from ..sources import store
+
+    def cycle(batch_df: DataFrame, batch_id: int) -> None:
+        as_of = batch_df.agg(F.max(EVENT_TIME)).first()[0]
+        if as_of is None:
+            return
+        items = batch_df.drop(EVENT_TIME)
+        store.upsert_days(spark, store_path, items, as_of)
+        days = items.select("day").distinct()
+        stored = store.read_store(spark, store_path).join(days, "day", "left_semi")
+        labelled = label_headlines(stored, scorer, label_mode).checkpoint(eager=True)
+        store.write_labels(spark, store_path, labelled, write_back)
+        ranked = rank_scores(net_score(labelled, day_symbols(labelled)))
+        store.append_snapshot(ranked, snapshot_path, as_of)
+
+    return cycle
+
+
+# --------------------------------------------------------------------------- fixture replays
+
+
+def _land_by_day(spark: SparkSession, df: DataFrame, path: str) -> str:
+    """Land a frame as a file stream source, one folder per day written in day
+    order, so files arrive in event-time order as they would live.  The
+    day list is one row per day."""
+    import os
+    days = [r[0] for r in df.select("day").distinct().orderBy("day").collect()]
+    for d in days:
+        df.where(F.col("day") == F.lit(d)).write.parquet(os.path.join(path, f"day-{d.isoformat()}"))
+    return path
+
+
+def _headline_stream(spark: SparkSession, sf_dir: str):
+    from ..session import run_dir
+    from ..sources.fixtures import headlines_view
+    h = headlines_view(spark, sf_dir).select("doc_id", "feed", "symbol", "headline", "seen_at", "day",
+                                             "age_text")
+    src = _land_by_day(spark, h, run_dir(spark, "stream-src"))
+    stream = (spark.readStream.schema(h.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    return with_event_time(stream)
+
+
+def replay_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import run_dir
+    out = dedupe_stream(_headline_stream(spark, sf_dir)).select("day", "symbol", "headline")
+    sink, ck = run_dir(spark, "stream-dedupe-out"), run_dir(spark, "stream-dedupe-ck")
+    q = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+def replay_daily_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.sentiment import RecordedScorer, label_headlines
+    from ..session import run_dir
+    from ..sources.fixtures import recorded_answers
+    stream = _headline_stream(spark, sf_dir)
+    labelled = label_headlines(stream, RecordedScorer(recorded_answers(spark, sf_dir), on="doc_id"))
+    scores = daily_scores(labelled)
+    sink, ck = run_dir(spark, "stream-scores-out"), run_dir(spark, "stream-scores-ck")
+    q = (scores.writeStream.foreachBatch(batch_sink(sink)).option("checkpointLocation", ck)
+         .outputMode("update").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return latest_per_key(spark, sink, ["day", "symbol"], ["score"])
