@@ -14,27 +14,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import RECORD
+KEYS = ("day", "symbol")
 
-RECORD_NAMES = [f.name for f in RECORD.fields]
+
+def _record_cols(df: DataFrame) -> list[str]:
+    """``pos`` first (the list order), then every other non-key column."""
+    return ["pos"] + [c for c in df.columns if c not in (*KEYS, "pos", "part")]
 
 
 def nest_day(records: DataFrame, part_size: int = 1000, day_symbols: DataFrame | None = None) -> DataFrame:
     """NST-3: ``(day, symbol, part, records)`` with records sorted by ``pos``.
 
-    With ``day_symbols`` every listed symbol appears; one without headlines
-    gets an empty list (part 0).
+    A record is a struct of every non-key column (``pos``, ``headline``,
+    ``created``, ``processed``, ``labelled``, ...).  With ``day_symbols``
+    every listed symbol appears; one without headlines gets an empty list
+    (part 0).
     """
-    rec = F.struct(*[F.col(c).cast(RECORD[c].dataType).alias(c) for c in RECORD_NAMES])
+    cols = _record_cols(records)
+    rec = F.struct(*[F.col(c) for c in cols])
     nested = (records.withColumn("part", F.floor(F.col("pos") / F.lit(part_size)).cast("long"))
-              .groupBy("day", "symbol", "part")
+              .groupBy(*KEYS, "part")
               .agg(F.array_sort(F.collect_list(rec)).alias("records")))
     if day_symbols is None:
         return nested
-    empty = (day_symbols.select("day", "symbol").join(nested.select("day", "symbol").distinct(),
-                                                      ["day", "symbol"], "left_anti")
-             .select("day", "symbol", F.lit(0).cast("long").alias("part"),
-                     F.array().cast(T.ArrayType(RECORD)).alias("records")))
+    rec_type = T.ArrayType(records.select(rec.alias("r")).schema["r"].dataType)
+    empty = (day_symbols.select(*KEYS).join(nested.select(*KEYS).distinct(), list(KEYS), "left_anti")
+             .select(*KEYS, F.lit(0).cast("long").alias("part"), F.array().cast(rec_type).alias("records")))
     return nested.unionByName(empty)
 
 
@@ -52,5 +57,6 @@ def day_documents(nested: DataFrame) -> DataFrame:
 def unnest_day(nested: DataFrame) -> DataFrame:
     """NST-4: back to one row per record; a symbol with an empty list keeps
     one row with null record fields (outer explode)."""
-    return (nested.select("day", "symbol", F.explode_outer("records").alias("r"))
-            .select("day", "symbol", *[F.col(f"r.{c}").alias(c) for c in RECORD_NAMES]))
+    fields = nested.schema["records"].dataType.elementType.fieldNames()
+    return (nested.select(*KEYS, F.explode_outer("records").alias("r"))
+            .select(*KEYS, *[F.col(f"r.{c}").alias(c) for c in fields]))

@@ -5,8 +5,10 @@ View H (synthetic headlines): ``documents`` joined to ``events`` on
 of 20 ids, ``symbol`` is the document source, ``headline`` the stripped
 first line, ``seen_at`` the event time.  ``age_text`` renders the whole
 minutes to the latest ``seen_at`` of the same day the way feed A prints
-ages.  The per-day latest time is a grouped aggregate joined back (one row
-per day), not a window, so a busy day never lands in a single task.
+ages.  The per-day latest time is a grouped aggregate (partial max per map
+task) broadcast back to the rows: it holds one row per calendar day of the
+data, a bound set by the time span and not by the volume.  A window over
+``day``, or a shuffle join on ``day``, would put a whole day into one task.
 """
 
 from __future__ import annotations
@@ -50,7 +52,7 @@ def headlines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = h.groupBy("day").agg(F.max("seen_at").alias("_latest"))
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     age = F.floor((micros("_latest") - micros("seen_at")) / F.lit(60_000_000)).cast("long")
-    return (h.join(latest, "day")
+    return (h.join(F.broadcast(latest), "day")
             .select("doc_id", "feed", "symbol", "headline", "seen_at", "day",
                     day_key_text("seen_at").alias("day_text"),
                     age.alias("age_min"))

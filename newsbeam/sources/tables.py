@@ -48,7 +48,7 @@ def read_prompts(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame
     ``parquet``: a table with a ``prompt`` column.
     """
     if fmt == "text":
-        return spark.read.option("wholetext", "true").text(path).select(F.col("value").alias("prompt"))
+        return spark.read.text(path, wholetext=True).select(F.col("value").alias("prompt"))
     if fmt == "parquet":
         return spark.read.parquet(path).select(F.col("prompt").cast(T.StringType()))
     raise ValueError(f"unknown prompt format {fmt!r}")
