@@ -21,6 +21,7 @@ from ..sources.fixtures import (FIXTURE_AS_OF, FIXTURE_DAY, headline_records,
 from ..sources.tables import read_day, read_pages, read_table
 
 DIM_REGIONS = ("AFRICA", "AMERICA", "ASIA")
+FIRST_DAY = "2024-01-01"
 NEST_PART_SIZE = 100
 
 
@@ -110,9 +111,17 @@ def _recent(mode):
     return q
 
 
-def same_day_q(spark, sf_dir):
+def _same_day(mode):
+    def q(spark, sf_dir):
+        h = headlines_view(spark, sf_dir)
+        return h.where(op.is_same_day("day_text", FIXTURE_DAY, mode)).select("doc_id", "symbol", "day_text")
+    q.__name__ = f"same_day_{mode}"
+    return q
+
+
+def recent_within60_q(spark, sf_dir):
     h = headlines_view(spark, sf_dir)
-    return h.where(op.is_same_day("day_text", FIXTURE_DAY, "date")).select("doc_id", "symbol", "day_text")
+    return h.where(op.is_recent("age_text", "within", minutes=60)).select("doc_id", "symbol", _day(), "age_text")
 
 
 def quarantine_ages_q(spark, sf_dir):
@@ -143,6 +152,14 @@ def merge_day_q(spark, sf_dir):
         "doc_id", _day(), "symbol", "feed", "headline", "processed", "labelled")
 
 
+def merge_day_keep_all_q(spark, sf_dir):
+    """E8 parity: days without stored rows take the batch with its repeats."""
+    a, b = _feeds(spark, sf_dir)
+    stored = a.where(F.col("day") == F.lit(FIRST_DAY))
+    return op.merge_day(stored, b, FIXTURE_AS_OF, first_write="keep_all").select(
+        "doc_id", _day(), "symbol", "feed", "headline")
+
+
 def combine_feeds_q(spark, sf_dir):
     a, b = _feeds(spark, sf_dir)
     return op.combine_feeds(a, b).select("doc_id", _day(), "symbol", "feed", "headline")
@@ -175,6 +192,13 @@ def unnest_day_q(spark, sf_dir):
     return back.select(_day(), "symbol", "pos", "headline")
 
 
+def day_documents_q(spark, sf_dir):
+    docs = op.day_documents(op.nest_day(_records(spark, sf_dir), NEST_PART_SIZE))
+    n_records = F.aggregate(F.map_values("symbol_headlines"), F.lit(0), lambda acc, x: acc + F.size(x))
+    return docs.select(_day(), "part", F.size("symbol_headlines").cast("long").alias("n_symbols"),
+                       n_records.cast("long").alias("n_records"))
+
+
 def align_records_q(spark, sf_dir):
     a, b = _feeds(spark, sf_dir)
     old = a.drop("labelled")
@@ -264,6 +288,27 @@ def snapshot_q(spark, sf_dir):
     return snap.select(snapshot_time_text("created").alias("created"), _day(), "rank", "symbol", "score")
 
 
+def snapshot_map_q(spark, sf_dir):
+    path = run_dir(spark, "snapshots")
+    store.append_snapshot(_ranked(spark, sf_dir), path, FIXTURE_AS_OF)
+    m = op.snapshot_map(store.read_snapshots(spark, path))
+    return m.select(snapshot_time_text("created").alias("created"), _day(),
+                    F.size("sentiments").cast("long").alias("n_symbols"),
+                    F.to_json("sentiments").alias("sentiments"))
+
+
+def write_labels_roundtrip_q(spark, sf_dir):
+    """SNK-3: store the records, score them, write labels back, read the store."""
+    path = run_dir(spark, "labels-store")
+    store.write_day(_records(spark, sf_dir), path)
+    stored = store.read_store(spark, path)
+    answers = recorded_answers(spark, sf_dir).withColumnRenamed("doc_id", "pos")
+    labels = op.label_headlines(stored, op.RecordedScorer(answers, on="pos")).checkpoint(eager=True)
+    store.write_labels(spark, path, labels)
+    return store.read_store(spark, path).select(
+        _day(), "symbol", "feed", "pos", "headline", "processed", "labelled")
+
+
 # --------------------------------------------------------------------------- streaming
 
 
@@ -272,6 +317,17 @@ def stream_dedupe_q(spark, sf_dir):
     return pipeline.replay_dedupe(spark, sf_dir).select(_day(), "symbol", "headline")
 
 
+def stream_drop_late_q(spark, sf_dir):
+    from ..streaming import pipeline
+    return pipeline.replay_drop_late(spark, sf_dir).select("doc_id", "symbol", _day(), "age_text")
+
+
+def pipeline_cycle_q(spark, sf_dir):
+    from ..streaming import pipeline
+    snap = pipeline.replay_cycle(spark, sf_dir)
+    return snap.select(snapshot_time_text("created").alias("created"), _day(), "rank", "symbol", "score")
+
+
 def stream_daily_scores_q(spark, sf_dir):
     from ..streaming import pipeline
     return pipeline.replay_daily_scores(spark, sf_dir).select(_day(), "symbol", "score")
@@ -288,16 +344,20 @@ QUERIES = {
     "extract_css": extract_css_q,
     "recent_strict30": _recent("strict30"),
     "recent_lenient": _recent("lenient"),
-    "same_day": same_day_q,
+    "recent_within60": recent_within60_q,
+    "same_day": _same_day("date"),
+    "same_day_text": _same_day("text"),
     "quarantine_ages": quarantine_ages_q,
     "nonempty_symbols": nonempty_symbols_q,
     "novel_headlines": novel_headlines_q,
     "merge_day": merge_day_q,
+    "merge_day_keep_all": merge_day_keep_all_q,
     "combine_feeds": combine_feeds_q,
     "write_day_roundtrip": write_day_roundtrip_q,
     "merge_symbol_maps": merge_symbol_maps_q,
     "nest_day": nest_day_q,
     "unnest_day": unnest_day_q,
+    "day_documents": day_documents_q,
     "align_records": align_records_q,
     "render_prompt": render_prompt_q,
     "parse_answer": parse_answer_q,
@@ -313,6 +373,10 @@ QUERIES = {
     "net_score_unprocessed": net_score_unprocessed_q,
     "rank_scores": rank_scores_q,
     "snapshot": snapshot_q,
+    "snapshot_map": snapshot_map_q,
+    "write_labels_roundtrip": write_labels_roundtrip_q,
     "stream_dedupe": stream_dedupe_q,
+    "stream_drop_late": stream_drop_late_q,
     "stream_daily_scores": stream_daily_scores_q,
+    "pipeline_cycle": pipeline_cycle_q,
 }

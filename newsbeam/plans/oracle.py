@@ -11,7 +11,7 @@ from ..functions.answers import ANSWER_MARKER, INPUT_PREFIX, INSTRUCTION, SYSTEM
 from ..functions.text import ENTITIES, WS_CLASS
 from ..operators.lookup import FEED_A_BASE, FEED_B_BASE
 from ..operators.sentiment import lexicon_pattern
-from .keys import DIM_REGIONS, NEST_PART_SIZE
+from .keys import DIM_REGIONS, FIRST_DAY, NEST_PART_SIZE
 
 AS_OF_TEXT = "2024-01-02 12:00:00"
 DAY = "DATE '2024-01-02'"
@@ -42,6 +42,14 @@ def strict30(e: str) -> str:
             f"{first_word_int(e)} <= 30), false)")
 
 
+def within_minutes(e: str, n: int) -> str:
+    fw = first_word_int(e)
+    age = (f"CASE WHEN {e} = 'a few seconds ago' THEN 0 WHEN {e} = 'a minute ago' THEN 1 "
+           f"WHEN {e} = 'an hour ago' THEN 60 WHEN ends_with({e}, ' minutes ago') THEN {fw} "
+           f"WHEN ends_with({e}, ' hours ago') THEN {fw} * 60 END")
+    return f"coalesce(({age}) <= {n}, false)"
+
+
 def lenient(e: str) -> str:
     return f"coalesce({e} = 'an hour ago' OR contains({e}, 'minutes'), false)"
 
@@ -176,7 +184,10 @@ SELECT page_id, 'nav_link' AS selector,
 SELECT doc_id, symbol, CAST(day AS VARCHAR) AS day, age_text FROM H WHERE {strict30("age_text")}"""),
     "recent_lenient": with_h(f"""
 SELECT doc_id, symbol, CAST(day AS VARCHAR) AS day, age_text FROM H WHERE {lenient("age_text")}"""),
+    "recent_within60": with_h(f"""
+SELECT doc_id, symbol, CAST(day AS VARCHAR) AS day, age_text FROM H WHERE {within_minutes("age_text", 60)}"""),
     "same_day": with_h("SELECT doc_id, symbol, day_text FROM H WHERE day_text = 'Jan 02, 2024'"),
+    "same_day_text": with_h("SELECT doc_id, symbol, day_text FROM H WHERE day_text = 'Jan 02, 2024'"),
     "quarantine_ages": with_h(f"""
 , M AS (SELECT doc_id, age_text FROM H WHERE contains(age_text, 'minutes')),
 V AS (SELECT doc_id, 'orig' AS variant, age_text FROM M
@@ -195,6 +206,15 @@ SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, feed, headline, false AS pro
 UNION ALL
 SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, feed, headline, false AS processed,
        CAST(NULL AS INTEGER) AS labelled FROM NOVEL"""),
+    "merge_day_keep_all": with_h(f"""
+, A1 AS (SELECT * FROM A WHERE day = DATE '{FIRST_DAY}')
+SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, feed, headline FROM A1
+UNION ALL
+SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, feed, headline FROM B WHERE day <> DATE '{FIRST_DAY}'
+UNION ALL
+SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, feed, headline FROM BF
+WHERE day = DATE '{FIRST_DAY}' AND NOT EXISTS (
+  SELECT 1 FROM A1 WHERE A1.day = BF.day AND A1.symbol = BF.symbol AND A1.headline = BF.headline)"""),
     "combine_feeds": with_h("""
 SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, feed, headline FROM (
   SELECT H.*, row_number() OVER (PARTITION BY day, symbol, headline ORDER BY doc_id, feed) AS rn FROM H) t
@@ -221,6 +241,10 @@ SELECT CAST(day AS VARCHAR) AS day, symbol, CAST(doc_id // {NEST_PART_SIZE} AS B
        arg_min(headline, doc_id) AS first_headline, arg_max(headline, doc_id) AS last_headline
 FROM H GROUP BY day, symbol, doc_id // {NEST_PART_SIZE}"""),
     "unnest_day": with_h("SELECT CAST(day AS VARCHAR) AS day, symbol, doc_id AS pos, headline FROM H"),
+    "day_documents": with_h(f"""
+SELECT CAST(day AS VARCHAR) AS day, CAST(doc_id // {NEST_PART_SIZE} AS BIGINT) AS part,
+       CAST(count(DISTINCT symbol) AS BIGINT) AS n_symbols, CAST(count(*) AS BIGINT) AS n_records
+FROM H GROUP BY day, doc_id // {NEST_PART_SIZE}"""),
     "align_records": with_h("""
 SELECT doc_id AS pos, feed, headline, false AS processed, CAST(NULL AS INTEGER) AS labelled FROM H"""),
 
@@ -254,6 +278,22 @@ LEFT JOIN (SELECT day, symbol, CAST(sum(label) AS BIGINT) AS score FROM LAB WHER
     "rank_scores": with_h("SELECT CAST(day AS VARCHAR) AS day, rank, symbol, score FROM RANKED"),
     "snapshot": with_h(f"""
 SELECT {q(AS_OF_TEXT)} AS created, CAST(day AS VARCHAR) AS day, rank, symbol, score FROM RANKED"""),
+    "snapshot_map": with_h(f"""
+SELECT {q(AS_OF_TEXT)} AS created, CAST(day AS VARCHAR) AS day, CAST(count(*) AS BIGINT) AS n_symbols,
+       '{{' || string_agg('"' || symbol || '":' || CAST(score AS VARCHAR), ',' ORDER BY rank) || '}}' AS sentiments
+FROM RANKED GROUP BY day"""),
+    "write_labels_roundtrip": with_h("""
+SELECT CAST(day AS VARCHAR) AS day, symbol, feed, doc_id AS pos, headline, true AS processed, label AS labelled
+FROM LAB"""),
     "stream_dedupe": with_h("SELECT DISTINCT CAST(day AS VARCHAR) AS day, symbol, headline FROM H"),
+    "stream_drop_late": with_h(f"""
+SELECT doc_id, symbol, CAST(day AS VARCHAR) AS day, age_text FROM H WHERE {strict30("age_text")}"""),
+    "pipeline_cycle": with_h("""
+, F AS (SELECT * FROM (SELECT LAB.*, row_number() OVER (PARTITION BY day, symbol, headline ORDER BY doc_id) AS rn
+                       FROM LAB) t WHERE rn = 1),
+FS AS (SELECT day, symbol, CAST(sum(label) AS BIGINT) AS score FROM F GROUP BY day, symbol)
+SELECT (SELECT strftime(max(seen_at), '%Y-%m-%d %H:%M:%S') FROM H) AS created, CAST(day AS VARCHAR) AS day,
+       CAST(row_number() OVER (PARTITION BY day ORDER BY score DESC, symbol) AS INTEGER) AS rank, symbol, score
+FROM FS"""),
     "stream_daily_scores": with_h("SELECT CAST(day AS VARCHAR) AS day, symbol, score FROM SCORES"),
 }
