@@ -199,3 +199,37 @@ def extract_css(pages: DataFrame, selectors: dict[str, str], id_col: str = "page
                                 "text": pd.Series(texts, dtype=object)})
 
     return pages.select(id_col, html_col).mapInPandas(run, schema)
+
+
+def _single_compound(sel: str):
+    steps = parse_selector(sel)
+    if len(steps) == 1 and steps[0][0] is not None:
+        return steps[0]
+    return None
+
+
+def extract_headlines(pages: DataFrame, headline_css: str, date_css: str, symbol=None,
+                      feed: str | None = None, id_col: str = "page_id") -> DataFrame:
+    """EXT-4: items of every page from two CSS selectors, paired by position.
+
+    Two single compounds (``tag.class``) run natively in the JVM; anything
+    else (descendant steps) runs through ``extract_css`` and the two match
+    lists are paired by grouping on (page, position), a group of at most two
+    rows.  Extra dates are ignored, a missing date is null (E5), pages
+    without headlines produce no rows.
+    """
+    sym = host_of("url") if symbol is None else (F.col(symbol) if isinstance(symbol, str) else symbol)
+    h1, d1 = _single_compound(headline_css), _single_compound(date_css)
+    if h1 and d1:
+        return extract_items(pages, element_texts("html", h1[0], tuple(sorted(h1[1]))),
+                             element_texts("html", d1[0], tuple(sorted(d1[1]))), sym, feed)
+    keyed = pages.select(id_col, sym.alias("symbol"), "html")
+    found = extract_css(keyed, {"h": headline_css, "d": date_css}, id_col=id_col)
+    paired = (found.groupBy(id_col, "pos")
+              .agg(F.max(F.when(F.col("selector") == "h", F.col("text"))).alias("headline"),
+                   F.max(F.when(F.col("selector") == "d", F.col("text"))).alias("date_text"),
+                   F.max((F.col("selector") == "h").cast("int")).alias("_has_h"))
+              .where(F.col("_has_h") == 1))
+    return (paired.join(keyed.select(id_col, "symbol"), id_col)
+            .select(id_col, "symbol", F.lit(feed).cast("string").alias("feed"), "pos", "date_text",
+                    "headline"))

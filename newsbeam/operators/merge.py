@@ -35,6 +35,12 @@ def first_occurrence(df: DataFrame, keys=KEY, order=("pos",)) -> DataFrame:
                       *[F.col(f"_first.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 
+def distinct_headlines(df: DataFrame, keys=KEY) -> DataFrame:
+    """AGG-3 where any copy will do: one row per key (``dropDuplicates``,
+    planned as an aggregate with a partial step)."""
+    return df.dropDuplicates(list(keys))
+
+
 def novel(batch: DataFrame, stored: DataFrame, keys=KEY) -> DataFrame:
     """JN-2: batch rows whose key is not in ``stored`` (null keys never match)."""
     return batch.join(stored.select(*keys).distinct(), list(keys), "left_anti")

@@ -18,6 +18,11 @@ def day_symbols(df: DataFrame) -> DataFrame:
     return df.select("day", "symbol").distinct()
 
 
+def unprocessed(headlines: DataFrame) -> DataFrame:
+    """FLT-6: headlines not scored yet."""
+    return headlines.where(~F.col("processed"))
+
+
 def net_score(labelled: DataFrame, universe: DataFrame | None = None,
               only_unprocessed: bool = False, label_col: str = "label") -> DataFrame:
     """AGG-1 / AGG-2 / FLT-6: sum of labels per (day, symbol).
@@ -25,7 +30,7 @@ def net_score(labelled: DataFrame, universe: DataFrame | None = None,
     With ``universe`` every (day, symbol) of it is kept, 0 when it has no
     headlines.  ``only_unprocessed`` scores rows not yet processed only.
     """
-    src = labelled.where(~F.col("processed")) if only_unprocessed else labelled
+    src = unprocessed(labelled) if only_unprocessed else labelled
     agg = src.groupBy("day", "symbol").agg(F.sum(label_col).cast("long").alias("score"))
     if universe is None:
         return agg

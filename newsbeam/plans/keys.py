@@ -62,7 +62,7 @@ def _nation_dim(spark, sf_dir, regions=None):
 
 
 def read_day_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = read_day(headlines_view(spark, sf_dir), FIXTURE_DAY)
+    h = read_day(headlines_view(spark, sf_dir, ages=True), FIXTURE_DAY)
     return h.select("doc_id", "feed", "symbol", "headline", _day(), "day_text", "age_text")
 
 
@@ -100,12 +100,18 @@ def extract_css_q(spark, sf_dir):
     return op.extract_css(pages, {"ad": "div.ad", "nav_link": "nav li a"})
 
 
+def extract_headlines_css_q(spark, sf_dir):
+    pages = read_pages(spark, sf_dir)
+    return op.extract_headlines(pages, "nav li a", "div.ad", feed="A").select(
+        "page_id", "symbol", "feed", "pos", "date_text", "headline")
+
+
 # --------------------------------------------------------------------------- filters
 
 
 def _recent(mode):
     def q(spark, sf_dir):
-        h = headlines_view(spark, sf_dir)
+        h = headlines_view(spark, sf_dir, ages=True)
         return h.where(op.is_recent("age_text", mode)).select("doc_id", "symbol", _day(), "age_text")
     q.__name__ = f"recent_{mode}"
     return q
@@ -120,12 +126,12 @@ def _same_day(mode):
 
 
 def recent_within60_q(spark, sf_dir):
-    h = headlines_view(spark, sf_dir)
+    h = headlines_view(spark, sf_dir, ages=True)
     return h.where(op.is_recent("age_text", "within", minutes=60)).select("doc_id", "symbol", _day(), "age_text")
 
 
 def quarantine_ages_q(spark, sf_dir):
-    h = headlines_view(spark, sf_dir).where(F.col("age_text").contains("minutes"))
+    h = headlines_view(spark, sf_dir, ages=True).where(F.col("age_text").contains("minutes"))
     orig = h.select("doc_id", F.lit("orig").alias("variant"), "age_text")
     few = h.select("doc_id", F.lit("few").alias("variant"),
                    F.regexp_replace("age_text", r"^\S+", "few").alias("age_text"))
@@ -133,7 +139,7 @@ def quarantine_ages_q(spark, sf_dir):
 
 
 def nonempty_symbols_q(spark, sf_dir):
-    h = headlines_view(spark, sf_dir)
+    h = headlines_view(spark, sf_dir, ages=True)
     recent = h.where(op.is_recent("age_text", "strict30"))
     return op.nonempty_symbols(recent, h.select("symbol").distinct())
 
@@ -342,6 +348,7 @@ QUERIES = {
     "extract_titles": extract_titles_q,
     "extract_zip": extract_zip_q,
     "extract_css": extract_css_q,
+    "extract_headlines_css": extract_headlines_css_q,
     "recent_strict30": _recent("strict30"),
     "recent_lenient": _recent("lenient"),
     "recent_within60": recent_within60_q,

@@ -122,6 +122,18 @@ AD = r'(?s)<div\s[^>]*class="ad"[^>]*>(.*?)</div\s*>'
 NAV = r"(?s)<nav(?:\s[^>]*)?>(.*?)</nav\s*>"
 A_TAG = r"(?s)<a(?:\s[^>]*)?>(.*?)</a\s*>"
 
+CSS_CTES = f"""
+ad AS ({_exploded(_extract_all(AD))}),
+ads AS (SELECT page_id, CAST(i - 1 AS BIGINT) AS pos, {element_text("el")} AS text FROM ad),
+nav AS (SELECT page_id, {_extract_all(NAV)} AS navs FROM pages),
+navi AS (SELECT page_id, j, navs[j] AS nav_html FROM nav,
+         LATERAL (SELECT unnest(range(1, len(nav.navs) + 1)) AS j) r),
+link AS (SELECT page_id, j, i, els[i] AS el FROM
+           (SELECT page_id, j, {_extract_all(A_TAG, "nav_html")} AS els FROM navi) x,
+           LATERAL (SELECT unnest(range(1, len(x.els) + 1)) AS i) r),
+links AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY j, i) - 1 AS BIGINT) AS pos,
+                 {element_text("el")} AS text FROM link)"""
+
 PROMPT_SQL = (f"{q(INSTRUCTION)} || chr(10) || {q(INPUT_PREFIX)} || headline || '.' || chr(10) || "
               f"{q(ANSWER_MARKER)}")
 
@@ -168,17 +180,15 @@ SELECT page_id, symbol, 'A' AS feed, CAST(i - 1 AS BIGINT) AS pos, ds[i] AS date
 FROM z, LATERAL (SELECT unnest(range(1, len(z.hs) + 1)) AS i) r""",
 
     "extract_css": f"""
-WITH ad AS ({_exploded(_extract_all(AD))}),
-nav AS (SELECT page_id, {_extract_all(NAV)} AS navs FROM pages),
-navi AS (SELECT page_id, j, navs[j] AS nav_html FROM nav, LATERAL (SELECT unnest(range(1, len(nav.navs) + 1)) AS j) r),
-links AS (SELECT page_id, j, i, els[i] AS el FROM
-            (SELECT page_id, j, {_extract_all(A_TAG, "nav_html")} AS els FROM navi) x,
-            LATERAL (SELECT unnest(range(1, len(x.els) + 1)) AS i) r)
-SELECT page_id, 'ad' AS selector, CAST(i - 1 AS BIGINT) AS pos, {element_text("el")} AS text FROM ad
+WITH {CSS_CTES}
+SELECT page_id, 'ad' AS selector, pos, text FROM ads
 UNION ALL
-SELECT page_id, 'nav_link' AS selector,
-       CAST(row_number() OVER (PARTITION BY page_id ORDER BY j, i) - 1 AS BIGINT) AS pos,
-       {element_text("el")} AS text FROM links""",
+SELECT page_id, 'nav_link' AS selector, pos, text FROM links""",
+    "extract_headlines_css": f"""
+WITH {CSS_CTES}
+SELECT l.page_id, p.symbol, 'A' AS feed, l.pos, ads.text AS date_text, l.text AS headline
+FROM links l LEFT JOIN ads ON l.page_id = ads.page_id AND l.pos = ads.pos
+JOIN (SELECT page_id, {HOST} AS symbol FROM pages) p ON l.page_id = p.page_id""",
 
     "recent_strict30": with_h(f"""
 SELECT doc_id, symbol, CAST(day AS VARCHAR) AS day, age_text FROM H WHERE {strict30("age_text")}"""),

@@ -38,7 +38,9 @@ def age_text(minutes) -> F.Column:
             .otherwise(F.concat(F.floor(m / 60).cast("string"), F.lit(" hours ago"))))
 
 
-def headlines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def headlines_view(spark: SparkSession, sf_dir: str, ages: bool = False) -> DataFrame:
+    """View H.  ``ages=True`` adds ``age_min`` / ``age_text``, which cost one
+    more pass (the per-day latest time); keys that do not print ages skip it."""
     docs = read_table(spark, sf_dir, "documents").select(
         "doc_id",
         F.col("source").alias("symbol"),
@@ -48,14 +50,16 @@ def headlines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("doc_id"), F.col("ts").alias("seen_at"))
     h = (docs.join(events, "doc_id")
          .withColumn("feed", F.when(F.expr("doc_id div 20") % 2 == 0, F.lit("A")).otherwise(F.lit("B")))
-         .withColumn("day", F.to_date("seen_at")))
+         .withColumn("day", F.to_date("seen_at"))
+         .withColumn("day_text", day_key_text("seen_at")))
+    cols = ["doc_id", "feed", "symbol", "headline", "seen_at", "day", "day_text"]
+    if not ages:
+        return h.select(*cols)
     latest = h.groupBy("day").agg(F.max("seen_at").alias("_latest"))
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     age = F.floor((micros("_latest") - micros("seen_at")) / F.lit(60_000_000)).cast("long")
     return (h.join(F.broadcast(latest), "day")
-            .select("doc_id", "feed", "symbol", "headline", "seen_at", "day",
-                    day_key_text("seen_at").alias("day_text"),
-                    age.alias("age_min"))
+            .select(*cols, age.alias("age_min"))
             .withColumn("age_text", age_text("age_min")))
 
 

@@ -130,8 +130,8 @@ def _headline_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int |
     application and scale factor serves every replay."""
     from ..session import run_dir
     from ..sources.fixtures import headlines_view
-    h = headlines_view(spark, sf_dir).select("doc_id", "feed", "symbol", "headline", "seen_at", "day",
-                                             "age_text")
+    h = headlines_view(spark, sf_dir, ages=True).select("doc_id", "feed", "symbol", "headline", "seen_at",
+                                                        "day", "age_text")
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         _LANDED[key] = _land_by_day(spark, h, run_dir(spark, "stream-src"))

@@ -65,3 +65,16 @@ def test_native_matches_general_on_pages(spark):
 def test_element_pattern(spark, tag, classes, html, expected):
     df = spark.createDataFrame([(html,)], "html string")
     assert df.select(op.element_texts("html", tag, classes).alias("x")).first().x == expected
+
+
+def test_extract_headlines_general_pairs_by_position(spark):
+    pages = spark.createDataFrame([(1, "http://h.example/x", PAGE)], "page_id long, url string, html string")
+    rows = op.extract_headlines(pages, "nav li a", "div.ad", feed="A").orderBy("pos").collect()
+    assert [(r.symbol, r.pos, r.headline, r.date_text) for r in rows] == [
+        ("h.example", 0, "One & two", "Buy now ©"), ("h.example", 1, "Three", None)]
+
+
+def test_extract_headlines_native(spark):
+    pages = spark.createDataFrame([(1, "http://h.example/x", PAGE)], "page_id long, url string, html string")
+    rows = op.extract_headlines(pages, "h5.base-text.t1", "div.ad").orderBy("pos").collect()
+    assert [(r.pos, r.headline, r.date_text) for r in rows] == [(0, "Head 1", "Buy now ©"), (1, "Head 2", None)]
