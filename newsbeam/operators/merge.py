@@ -25,6 +25,15 @@ KEY = ["day", "symbol", "headline"]
 RECORD_COLS = ["day", "symbol", "feed", "pos", "headline", "created", "processed", "labelled"]
 
 
+def day_set(df: DataFrame) -> DataFrame:
+    """The distinct days of a frame, marked for broadcast.  It holds one row
+    per calendar day, a bound set by the time span rather than the volume;
+    joining headline rows to it by broadcast keeps them where they are,
+    while a shuffle join on ``day`` would send a whole day to one task.  On
+    a day-partitioned table the same join prunes partitions (DPP)."""
+    return F.broadcast(df.select("day").distinct())
+
+
 def first_occurrence(df: DataFrame, keys=KEY, order=("pos",)) -> DataFrame:
     """WIN-1 / AGG-3: keep the first row of each key by ``order``."""
     order = [order] if isinstance(order, str) else list(order)
@@ -68,7 +77,7 @@ def merge_day(stored: DataFrame, batch: DataFrame, as_of, first_write: str = "de
     if first_write == "dedupe":
         added = novel(first_occurrence(batch), stored)
     elif first_write == "keep_all":
-        stored_days = stored.select("day").distinct()
+        stored_days = day_set(stored)
         fresh = batch.join(stored_days, "day", "left_anti")
         known = batch.join(stored_days, "day", "left_semi")
         added = fresh.unionByName(novel(first_occurrence(known), stored))

@@ -54,10 +54,9 @@ def write_day(df: DataFrame, path: str) -> None:
 def upsert_days(spark: SparkSession, path: str, batch: DataFrame, as_of,
                 first_write: str = "dedupe") -> None:
     """Merge a batch into the days it touches and rewrite only those days."""
-    from ..operators.merge import merge_day
+    from ..operators.merge import day_set, merge_day
     stored = read_store(spark, path)
-    days = batch.select("day").distinct()
-    touched = stored.join(days, "day", "left_semi")
+    touched = stored.join(day_set(batch), "day", "left_semi")  # partition-pruned, no shuffle
     merged = merge_day(touched, batch, as_of, first_write).select(*HEADLINE_COLS)
     write_day(merged.checkpoint(eager=True), path)
 
@@ -70,9 +69,10 @@ def upsert_day(spark: SparkSession, path: str, batch: DataFrame, day, as_of,
 
 def write_labels(spark: SparkSession, path: str, labels: DataFrame, mode: str = "all") -> None:
     """SNK-3: apply labels to the stored days they touch, rewrite those days."""
+    from ..operators.merge import day_set
     from ..operators.sentiment import apply_labels
     stored = read_store(spark, path)
-    touched = stored.join(labels.select("day").distinct(), "day", "left_semi")
+    touched = stored.join(day_set(labels), "day", "left_semi")
     updated = apply_labels(touched, labels, mode).select(*HEADLINE_COLS)
     write_day(updated.checkpoint(eager=True), path)
 

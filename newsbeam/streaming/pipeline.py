@@ -11,6 +11,14 @@
   function (ingest -> merge -> score -> snapshot, see ``make_cycle``) on a
   processing-time trigger (60 s by default) or ``availableNow``.
 
+Skew: ``dedupe_stream`` is Spark's stateful de-duplication; it has no
+map-side step, so every copy of a hot key is routed to the task that owns
+the key (streamed and compared with one state entry, never collected).
+Where one key can hold a large share of a batch, use the ``make_cycle``
+form: inside ``foreachBatch`` the batch is an ordinary frame, so the first
+copy per key is a partial aggregate and novelty an anti join against the
+day store (partition-pruned), the same skew-safe plan as the batch merge.
+
 Sinks keyed by ``batch_id`` make a replayed batch overwrite its own output,
 so a restart from the checkpoint after a lost executor stays exactly-once.
 Parquet timestamps load as ``TIMESTAMP_NTZ``, which watermarks refuse, so
@@ -19,6 +27,7 @@ event time is cast to ``timestamp`` (session zone UTC) first.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,22 +95,26 @@ def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
     ranked snapshot per touched day appended.  ``as_of`` is the batch's latest
     event time, so a replayed batch produces the same rows.
     """
+    from ..operators.merge import day_set
     from ..operators.scoring import day_symbols, net_score, rank_scores
     from ..operators.sentiment import label_headlines
     from ..sources import store
 
     def cycle(batch_df: DataFrame, batch_id: int) -> None:
-        as_of = batch_df.agg(F.max(EVENT_TIME)).first()[0]
-        if as_of is None:
-            return
-        items = batch_df.drop(EVENT_TIME)
-        store.upsert_days(spark, store_path, items, as_of)
-        days = items.select("day").distinct()
-        stored = store.read_store(spark, store_path).join(days, "day", "left_semi")
-        labelled = label_headlines(stored, scorer, label_mode).checkpoint(eager=True)
-        store.write_labels(spark, store_path, labelled, write_back)
-        ranked = rank_scores(net_score(labelled, day_symbols(labelled)))
-        store.append_snapshot(ranked, snapshot_path, as_of)
+        batch_df = batch_df.persist(StorageLevel.MEMORY_AND_DISK)  # read three times below
+        try:
+            as_of = batch_df.agg(F.max(EVENT_TIME)).first()[0]
+            if as_of is None:
+                return
+            items = batch_df.drop(EVENT_TIME)
+            store.upsert_days(spark, store_path, items, as_of)
+            stored = store.read_store(spark, store_path).join(day_set(items), "day", "left_semi")
+            labelled = label_headlines(stored, scorer, label_mode).checkpoint(eager=True)
+            store.write_labels(spark, store_path, labelled, write_back)
+            ranked = rank_scores(net_score(labelled, day_symbols(labelled)))
+            store.append_snapshot(ranked, snapshot_path, as_of)
+        finally:
+            batch_df.unpersist()
 
     return cycle
 

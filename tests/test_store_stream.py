@@ -102,3 +102,16 @@ def test_stream_equals_batch(spark):
     batch = headlines_view(spark, SF01).select("day", "symbol", "headline").distinct()
     assert streamed.count() == 966
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_touched_days_join_is_broadcast_and_pruned(spark):
+    from newsbeam.operators.merge import day_set
+    recs = headline_records(headlines_view(spark, SF01), AS_OF).drop("doc_id")
+    path = run_dir(spark, "t-dpp")
+    store.write_day(recs, path)
+    batch = recs.where(F.col("day") == dt.date(2024, 1, 2))
+    touched = store.read_store(spark, path).join(day_set(batch), "day", "left_semi")
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression" in plan
+    assert "SortMergeJoin" not in plan
+    assert touched.count() == 339
