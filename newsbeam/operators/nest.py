@@ -4,8 +4,10 @@ The reference keeps one document per day: ``{symbol: [record, ...]}``.  The
 store here is long (one row per headline, partitioned by day); the nested
 form is a view built from it.  Lists are cut into parts of at most
 ``part_size`` positions (``pos div part_size``), so no group ever has to
-hold a whole hot symbol; with ``pos`` unique per (day, symbol) a part holds
-at most ``part_size`` records.
+hold a whole hot symbol.  Parts are also split by run and feed
+(``part_by``): positions restart on every page, so ``pos`` is unique only
+within (day, symbol, created, feed), and there a part holds at most
+``part_size`` records.
 """
 
 from __future__ import annotations
@@ -15,41 +17,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEYS = ("day", "symbol")
+PART_BY = ("created", "feed")
 
 
-def _record_cols(df: DataFrame) -> list[str]:
+def _record_cols(df: DataFrame, part_by) -> list[str]:
     """``pos`` first (the list order), then every other non-key column."""
-    return ["pos"] + [c for c in df.columns if c not in (*KEYS, "pos", "part")]
+    return ["pos"] + [c for c in df.columns if c not in (*KEYS, *part_by, "pos", "part")]
 
 
-def nest_day(records: DataFrame, part_size: int = 1000, day_symbols: DataFrame | None = None) -> DataFrame:
-    """NST-3: ``(day, symbol, part, records)`` with records sorted by ``pos``.
+def nest_day(records: DataFrame, part_size: int = 1000, day_symbols: DataFrame | None = None,
+             part_by=PART_BY) -> DataFrame:
+    """NST-3: ``(day, symbol, *part_by, part, records)``, records sorted by ``pos``.
 
-    A record is a struct of every non-key column (``pos``, ``headline``,
-    ``created``, ``processed``, ``labelled``, ...).  With ``day_symbols``
-    every listed symbol appears; one without headlines gets an empty list
-    (part 0).
+    A record is a struct of every other column (``pos``, ``headline``,
+    ``processed``, ``labelled``, ...).  With ``day_symbols`` every listed
+    symbol appears; one without headlines gets an empty list (part 0, null
+    ``part_by`` values).
     """
-    cols = _record_cols(records)
+    part_by = [c for c in part_by if c in records.columns]
+    cols = _record_cols(records, part_by)
     rec = F.struct(*[F.col(c) for c in cols])
     nested = (records.withColumn("part", F.floor(F.col("pos") / F.lit(part_size)).cast("long"))
-              .groupBy(*KEYS, "part")
+              .groupBy(*KEYS, *part_by, "part")
               .agg(F.array_sort(F.collect_list(rec)).alias("records")))
     if day_symbols is None:
         return nested
     rec_type = T.ArrayType(records.select(rec.alias("r")).schema["r"].dataType)
     empty = (day_symbols.select(*KEYS).join(nested.select(*KEYS).distinct(), list(KEYS), "left_anti")
-             .select(*KEYS, F.lit(0).cast("long").alias("part"), F.array().cast(rec_type).alias("records")))
+             .select(*KEYS, *[F.lit(None).cast(records.schema[c].dataType).alias(c) for c in part_by],
+                     F.lit(0).cast("long").alias("part"), F.array().cast(rec_type).alias("records")))
     return nested.unionByName(empty)
 
 
 def day_documents(nested: DataFrame) -> DataFrame:
-    """The reference's document shape per (day, part): ``symbol -> records``.
+    """The reference's document shape per (day, run, feed, part): ``symbol -> records``.
 
     Each entry is one bounded part; the number of entries is the number of
     symbols of the day, which comes from the seed list.
     """
-    return (nested.groupBy("day", "part")
+    part_by = [c for c in nested.columns if c not in (*KEYS, "part", "records")]
+    return (nested.groupBy("day", *part_by, "part")
             .agg(F.map_from_entries(F.collect_list(F.struct("symbol", "records")))
                  .alias("symbol_headlines")))
 
@@ -58,5 +65,6 @@ def unnest_day(nested: DataFrame) -> DataFrame:
     """NST-4: back to one row per record; a symbol with an empty list keeps
     one row with null record fields (outer explode)."""
     fields = nested.schema["records"].dataType.elementType.fieldNames()
-    return (nested.select(*KEYS, F.explode_outer("records").alias("r"))
-            .select(*KEYS, *[F.col(f"r.{c}").alias(c) for c in fields]))
+    part_by = [c for c in nested.columns if c not in (*KEYS, "part", "records")]
+    return (nested.select(*KEYS, *part_by, F.explode_outer("records").alias("r"))
+            .select(*KEYS, *part_by, *[F.col(f"r.{c}").alias(c) for c in fields]))

@@ -113,32 +113,47 @@ def label_headlines(df: DataFrame, scorer, mode: str = "exact", text_col: str =
     return score_headlines(df, scorer, text_col).withColumn("label", to_label("answer", mode))
 
 
-IDENTITY = ("day", "symbol", "feed", "pos")
+IDENTITY = ("day", "symbol", "feed", "created", "pos", "headline")
 MATCH = ("day", "symbol", "headline")
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+    """Equi join on ``keys`` where null equals null; the right copies are dropped."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def apply_labels(records: DataFrame, labels: DataFrame, mode: str = "all",
                  identity=IDENTITY) -> DataFrame:
     """JN-4 / WIN-2: write labels back into records.
 
-    ``labels`` holds ``identity`` columns, ``headline`` and ``label`` of the
-    scored records.  Every scored record becomes ``processed`` with its label.
+    ``labels`` holds the ``identity`` columns and ``label`` of the scored
+    records.  Every scored record becomes ``processed`` with its label.
 
     ``all`` (default): each scored record gets its own label.
     ``first_match`` (parity): updates go by (day, symbol, headline) to the
-    first stored copy only (lowest ``pos``); with several scored copies the
-    one scored last (highest ``pos``) wins; other copies stay unprocessed.
-    Both are grouped aggregates plus equi joins (no window over a key).
+    first stored copy only (earliest ``created``, then lowest ``pos``); with
+    several scored copies the one scored last wins; other copies stay
+    unprocessed.  Both are grouped aggregates plus equi joins (no window
+    over a key), null-safe on every key.
     """
     keep = [c for c in records.columns if c not in ("processed", "labelled")]
+    order = [c for c in ("created", "pos") if c in records.columns]
     if mode == "all":
-        lab = labels.select(*identity, F.col("label").alias("_label"))
-        j = records.join(lab, list(identity), "left")
+        ident = [c for c in identity if c in records.columns]
+        lab = labels.select(*ident, F.col("label").alias("_label"))
+        j = _null_safe_join(records, lab, ident, "left")
     elif mode == "first_match":
-        last = labels.groupBy(*MATCH).agg(F.max_by("label", "pos").alias("_label"))
-        first = records.groupBy(*MATCH).agg(F.min("pos").alias("pos"))
-        target = first.join(last, list(MATCH), "inner")
-        j = records.join(target, [*MATCH, "pos"], "left")
+        last = labels.groupBy(*MATCH).agg(F.max_by("label", F.struct(*order)).alias("_label"))
+        first = (records.groupBy(*MATCH).agg(F.min(F.struct(*order)).alias("_o"))
+                 .select(*MATCH, *[F.col(f"_o.{c}").alias(c) for c in order]))
+        target = _null_safe_join(first, last, list(MATCH), "inner")
+        j = _null_safe_join(records, target, [*MATCH, *order], "left")
     else:
         raise ValueError(f"unknown write-back mode {mode!r}")
     hit = F.col("_label").isNotNull()

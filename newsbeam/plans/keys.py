@@ -187,7 +187,7 @@ def merge_symbol_maps_q(spark, sf_dir):
 
 def nest_day_q(spark, sf_dir):
     nested = op.nest_day(_records(spark, sf_dir), NEST_PART_SIZE)
-    return nested.select(_day(), "symbol", "part",
+    return nested.select(_day(), "symbol", "feed", "part",
                          F.size("records").cast("long").alias("n_records"),
                          F.element_at("records", 1)["headline"].alias("first_headline"),
                          F.element_at("records", -1)["headline"].alias("last_headline"))
@@ -201,7 +201,7 @@ def unnest_day_q(spark, sf_dir):
 def day_documents_q(spark, sf_dir):
     docs = op.day_documents(op.nest_day(_records(spark, sf_dir), NEST_PART_SIZE))
     n_records = F.aggregate(F.map_values("symbol_headlines"), F.lit(0), lambda acc, x: acc + F.size(x))
-    return docs.select(_day(), "part", F.size("symbol_headlines").cast("long").alias("n_symbols"),
+    return docs.select(_day(), "feed", "part", F.size("symbol_headlines").cast("long").alias("n_symbols"),
                        n_records.cast("long").alias("n_records"))
 
 

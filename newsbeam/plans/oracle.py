@@ -246,15 +246,15 @@ SELECT CAST(day AS VARCHAR) AS day, symbol,
        max(CASE WHEN s + a > 0 THEN headline END) AS max_headline
 FROM U GROUP BY day, symbol"""),
     "nest_day": with_h(f"""
-SELECT CAST(day AS VARCHAR) AS day, symbol, CAST(doc_id // {NEST_PART_SIZE} AS BIGINT) AS part,
+SELECT CAST(day AS VARCHAR) AS day, symbol, feed, CAST(doc_id // {NEST_PART_SIZE} AS BIGINT) AS part,
        CAST(count(*) AS BIGINT) AS n_records,
        arg_min(headline, doc_id) AS first_headline, arg_max(headline, doc_id) AS last_headline
-FROM H GROUP BY day, symbol, doc_id // {NEST_PART_SIZE}"""),
+FROM H GROUP BY day, symbol, feed, doc_id // {NEST_PART_SIZE}"""),
     "unnest_day": with_h("SELECT CAST(day AS VARCHAR) AS day, symbol, doc_id AS pos, headline FROM H"),
     "day_documents": with_h(f"""
-SELECT CAST(day AS VARCHAR) AS day, CAST(doc_id // {NEST_PART_SIZE} AS BIGINT) AS part,
+SELECT CAST(day AS VARCHAR) AS day, feed, CAST(doc_id // {NEST_PART_SIZE} AS BIGINT) AS part,
        CAST(count(DISTINCT symbol) AS BIGINT) AS n_symbols, CAST(count(*) AS BIGINT) AS n_records
-FROM H GROUP BY day, doc_id // {NEST_PART_SIZE}"""),
+FROM H GROUP BY day, feed, doc_id // {NEST_PART_SIZE}"""),
     "align_records": with_h("""
 SELECT doc_id AS pos, feed, headline, false AS processed, CAST(NULL AS INTEGER) AS labelled FROM H"""),
 
@@ -278,7 +278,8 @@ SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, headline, true AS processed,
 SELECT LAB.doc_id, CAST(LAB.day AS VARCHAR) AS day, LAB.symbol, LAB.headline,
        coalesce(LAB.doc_id = K.first_id, false) AS processed,
        CASE WHEN LAB.doc_id = K.first_id THEN K.last_label END AS labelled
-FROM LAB LEFT JOIN K ON LAB.day = K.day AND LAB.symbol = K.symbol AND LAB.headline = K.headline"""),
+FROM LAB LEFT JOIN K ON LAB.day = K.day AND LAB.symbol = K.symbol
+                    AND LAB.headline IS NOT DISTINCT FROM K.headline"""),
     "net_score": with_h("SELECT CAST(day AS VARCHAR) AS day, symbol, score FROM SCORES"),
     "net_score_unprocessed": with_h("""
 SELECT CAST(u.day AS VARCHAR) AS day, u.symbol, coalesce(s.score, CAST(0 AS BIGINT)) AS score
