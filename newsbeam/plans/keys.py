@@ -29,6 +29,12 @@ def _day(c: str = "day"):
     return F.col(c).cast("string").alias(c)
 
 
+def _text(c: str):
+    """A nullable number rendered as text for the check (pandas turns a
+    nullable int into float on one engine and Int32 on the other)."""
+    return F.col(c).cast("string").alias(c)
+
+
 def _records(spark, sf_dir):
     return headline_records(headlines_view(spark, sf_dir), FIXTURE_AS_OF)
 
@@ -155,7 +161,7 @@ def novel_headlines_q(spark, sf_dir):
 def merge_day_q(spark, sf_dir):
     a, b = _feeds(spark, sf_dir)
     return op.merge_day(a, b, FIXTURE_AS_OF).select(
-        "doc_id", _day(), "symbol", "feed", "headline", "processed", "labelled")
+        "doc_id", _day(), "symbol", "feed", "headline", "processed", _text("labelled"))
 
 
 def merge_day_keep_all_q(spark, sf_dir):
@@ -208,7 +214,7 @@ def day_documents_q(spark, sf_dir):
 def align_records_q(spark, sf_dir):
     a, b = _feeds(spark, sf_dir)
     old = a.drop("labelled")
-    return op.align_records(old, b).select("pos", "feed", "headline", "processed", "labelled")
+    return op.align_records(old, b).select("pos", "feed", "headline", "processed", _text("labelled"))
 
 
 # --------------------------------------------------------------------------- sentiment
@@ -262,7 +268,7 @@ def _apply(mode):
         records = _records(spark, sf_dir)
         labels = _labelled(spark, sf_dir, records)
         out = op.apply_labels(records, labels, mode)
-        return out.select("doc_id", _day(), "symbol", "headline", "processed", "labelled")
+        return out.select("doc_id", _day(), "symbol", "headline", "processed", _text("labelled"))
     q.__name__ = f"apply_labels_{mode}"
     return q
 
@@ -312,7 +318,7 @@ def write_labels_roundtrip_q(spark, sf_dir):
     labels = op.label_headlines(stored, op.RecordedScorer(answers, on="pos")).checkpoint(eager=True)
     store.write_labels(spark, path, labels)
     return store.read_store(spark, path).select(
-        _day(), "symbol", "feed", "pos", "headline", "processed", "labelled")
+        _day(), "symbol", "feed", "pos", "headline", "processed", _text("labelled"))
 
 
 # --------------------------------------------------------------------------- streaming

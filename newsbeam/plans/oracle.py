@@ -212,10 +212,10 @@ FROM V"""),
     "novel_headlines": with_h("SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, headline FROM NOVEL"),
     "merge_day": with_h("""
 SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, feed, headline, false AS processed,
-       CAST(NULL AS INTEGER) AS labelled FROM A
+       CAST(NULL AS VARCHAR) AS labelled FROM A
 UNION ALL
 SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, feed, headline, false AS processed,
-       CAST(NULL AS INTEGER) AS labelled FROM NOVEL"""),
+       CAST(NULL AS VARCHAR) AS labelled FROM NOVEL"""),
     "merge_day_keep_all": with_h(f"""
 , A1 AS (SELECT * FROM A WHERE day = DATE '{FIRST_DAY}')
 SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, feed, headline FROM A1
@@ -256,7 +256,7 @@ SELECT CAST(day AS VARCHAR) AS day, feed, CAST(doc_id // {NEST_PART_SIZE} AS BIG
        CAST(count(DISTINCT symbol) AS BIGINT) AS n_symbols, CAST(count(*) AS BIGINT) AS n_records
 FROM H GROUP BY day, feed, doc_id // {NEST_PART_SIZE}"""),
     "align_records": with_h("""
-SELECT doc_id AS pos, feed, headline, false AS processed, CAST(NULL AS INTEGER) AS labelled FROM H"""),
+SELECT doc_id AS pos, feed, headline, false AS processed, CAST(NULL AS VARCHAR) AS labelled FROM H"""),
 
     "render_prompt": with_h(f"SELECT doc_id, {PROMPT_SQL} AS prompt FROM H"),
     "parse_answer": with_h(f"""
@@ -271,13 +271,14 @@ SELECT conv_id, turn, CAST(2 AS INTEGER) AS n_messages,
        concat_ws(chr(10), {q('system: ' + SYSTEM_CONTENT)}, 'user: ' || text) AS chat
 FROM conversations""",
     "apply_labels_all": with_h("""
-SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, headline, true AS processed, label AS labelled FROM LAB"""),
+SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, headline, true AS processed,
+       CAST(label AS VARCHAR) AS labelled FROM LAB"""),
     "apply_labels_first": with_h("""
 , K AS (SELECT day, symbol, headline, min(doc_id) AS first_id, arg_max(label, doc_id) AS last_label
         FROM LAB GROUP BY day, symbol, headline)
 SELECT LAB.doc_id, CAST(LAB.day AS VARCHAR) AS day, LAB.symbol, LAB.headline,
        coalesce(LAB.doc_id = K.first_id, false) AS processed,
-       CASE WHEN LAB.doc_id = K.first_id THEN K.last_label END AS labelled
+       CAST(CASE WHEN LAB.doc_id = K.first_id THEN K.last_label END AS VARCHAR) AS labelled
 FROM LAB LEFT JOIN K ON LAB.day = K.day AND LAB.symbol = K.symbol
                     AND LAB.headline IS NOT DISTINCT FROM K.headline"""),
     "net_score": with_h("SELECT CAST(day AS VARCHAR) AS day, symbol, score FROM SCORES"),
@@ -294,7 +295,8 @@ SELECT {q(AS_OF_TEXT)} AS created, CAST(day AS VARCHAR) AS day, CAST(count(*) AS
        '{{' || string_agg('"' || symbol || '":' || CAST(score AS VARCHAR), ',' ORDER BY rank) || '}}' AS sentiments
 FROM RANKED GROUP BY day"""),
     "write_labels_roundtrip": with_h("""
-SELECT CAST(day AS VARCHAR) AS day, symbol, feed, doc_id AS pos, headline, true AS processed, label AS labelled
+SELECT CAST(day AS VARCHAR) AS day, symbol, feed, doc_id AS pos, headline, true AS processed,
+       CAST(label AS VARCHAR) AS labelled
 FROM LAB"""),
     "stream_dedupe": with_h("SELECT DISTINCT CAST(day AS VARCHAR) AS day, symbol, headline FROM H"),
     "stream_drop_late": with_h(f"""
