@@ -145,9 +145,9 @@ def quarantine_ages_q(spark, sf_dir):
 
 
 def nonempty_symbols_q(spark, sf_dir):
-    h = headlines_view(spark, sf_dir, ages=True)
-    recent = h.where(op.is_recent("age_text", "strict30"))
-    return op.nonempty_symbols(recent, h.select("symbol").distinct())
+    recent = headlines_view(spark, sf_dir, ages=True).where(op.is_recent("age_text", "strict30"))
+    universe = headlines_view(spark, sf_dir).select("symbol").distinct()
+    return op.nonempty_symbols(recent, universe)
 
 
 # --------------------------------------------------------------------------- merge

@@ -97,3 +97,11 @@ def test_native_keys_have_no_python(spark):
     for name in ("score_lexicon", "extract_zip", "recent_strict30", "rank_scores"):
         s = _plan(keys.QUERIES[name](spark, SF01))
         assert "Python" not in s and "ArrowEval" not in s, name
+
+
+def test_no_plan_hazards_in_any_key(spark):
+    """No cartesian / nested-loop joins and no single-partition exchange in any key."""
+    import __spark_entry__ as E
+    from tools.plan_audit import audit
+    for name, fn in E.queries().items():
+        assert audit(fn(spark, SF01))["hazards"] == [], name
