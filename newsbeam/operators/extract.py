@@ -170,35 +170,31 @@ def select_texts(html: str | None, selectors: list[tuple[str, list]]) -> list[tu
 
 
 def extract_css(pages: DataFrame, selectors: dict[str, str], id_col: str = "page_id",
-                html_col: str = "html") -> DataFrame:
-    """EXT-1 general: ``(id, selector, pos, text)`` for every element matching a selector.
-
-    ``pos`` counts matches of one selector inside one page from 0.
+                html_col: str = "html", keep=()) -> DataFrame:
+    """EXT-1 general: ``(id, *keep, selector, pos, text)`` for every element
+    matching a selector; ``pos`` counts matches of one selector inside one
+    page from 0.  ``keep`` columns pass through unchanged.
     """
     parsed = [(name, parse_selector(sel)) for name, sel in selectors.items()]
-    id_type = pages.schema[id_col].dataType
-    schema = T.StructType([T.StructField(id_col, id_type), T.StructField("selector", T.StringType()),
+    keep = list(keep)
+    src = pages.select(id_col, *keep, html_col)
+    schema = T.StructType([src.schema[id_col], *[src.schema[c] for c in keep],
+                           T.StructField("selector", T.StringType()),
                            T.StructField("pos", T.LongType()), T.StructField("text", T.StringType())])
 
     def run(batches):
         for pdf in batches:
-            ids, names, poss, texts = [], [], [], []
-            for pid, html in zip(pdf[id_col], pdf[html_col]):
+            rows = []
+            for rec in pdf.itertuples(index=False):
                 seen: dict[str, int] = {}
-                for name, text in select_texts(html, parsed):
+                for name, text in select_texts(getattr(rec, html_col), parsed):
                     n = seen.get(name, 0)
                     seen[name] = n + 1
-                    ids.append(pid)
-                    names.append(name)
-                    poss.append(n)
-                    texts.append(text)
-            yield pd.DataFrame({id_col: pd.Series(ids, dtype="int64") if isinstance(id_type, T.LongType)
-                                else pd.Series(ids, dtype=object),
-                                "selector": pd.Series(names, dtype=object),
-                                "pos": pd.Series(poss, dtype="int64"),
-                                "text": pd.Series(texts, dtype=object)})
+                    rows.append((getattr(rec, id_col), *[getattr(rec, c) for c in keep], name, n, text))
+            out = pd.DataFrame(rows, columns=[id_col, *keep, "selector", "pos", "text"])
+            yield out.astype({"pos": "int64"})
 
-    return pages.select(id_col, html_col).mapInPandas(run, schema)
+    return src.mapInPandas(run, schema)
 
 
 def _single_compound(sel: str):
@@ -224,12 +220,11 @@ def extract_headlines(pages: DataFrame, headline_css: str, date_css: str, symbol
         return extract_items(pages, element_texts("html", h1[0], tuple(sorted(h1[1]))),
                              element_texts("html", d1[0], tuple(sorted(d1[1]))), sym, feed)
     keyed = pages.select(id_col, sym.alias("symbol"), "html")
-    found = extract_css(keyed, {"h": headline_css, "d": date_css}, id_col=id_col)
-    paired = (found.groupBy(id_col, "pos")
+    found = extract_css(keyed, {"h": headline_css, "d": date_css}, id_col=id_col, keep=("symbol",))
+    paired = (found.groupBy(id_col, "symbol", "pos")
               .agg(F.max(F.when(F.col("selector") == "h", F.col("text"))).alias("headline"),
                    F.max(F.when(F.col("selector") == "d", F.col("text"))).alias("date_text"),
                    F.max((F.col("selector") == "h").cast("int")).alias("_has_h"))
               .where(F.col("_has_h") == 1))
-    return (paired.join(keyed.select(id_col, "symbol"), id_col)
-            .select(id_col, "symbol", F.lit(feed).cast("string").alias("feed"), "pos", "date_text",
-                    "headline"))
+    return paired.select(id_col, "symbol", F.lit(feed).cast("string").alias("feed"), "pos", "date_text",
+                         "headline")

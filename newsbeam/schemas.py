@@ -56,6 +56,15 @@ PAGES = T.StructType([
     T.StructField("html", T.StringType()),
 ])
 
+# pages as they land for the recurring job, one per (symbol, feed) and run
+LANDED_PAGES = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("feed", T.StringType()),
+    T.StructField("url", T.StringType()),
+    T.StructField("html", T.StringType()),
+    T.StructField("landed_at", T.TimestampType()),
+])
+
 MESSAGE = T.StructType([
     T.StructField("role", T.StringType()),
     T.StructField("content", T.StringType()),

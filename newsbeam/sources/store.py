@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_lit
-from ..schemas import HEADLINES, SCORES_SNAPSHOT
+from ..schemas import DAY_SYMBOLS, HEADLINES, SCORES_SNAPSHOT
 from .tables import read_day
 
 HEADLINE_COLS = [f.name for f in HEADLINES.fields]
@@ -77,6 +77,31 @@ def write_labels(spark: SparkSession, path: str, labels: DataFrame, mode: str =
     write_day(updated.checkpoint(eager=True), path)
 
 
+def read_day_symbols(spark: SparkSession, path: str) -> DataFrame:
+    """The symbols of each day, with or without headlines (E9, E17)."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], DAY_SYMBOLS)
+    return spark.read.schema(DAY_SYMBOLS).parquet(path)
+
+
+def upsert_day_symbols(spark: SparkSession, path: str, seen: DataFrame, order: DataFrame | None = None) -> None:
+    """Add the (day, symbol) pairs of a batch to the days it touches.
+
+    ``order`` (``symbol, ord``) gives the key order used to break score ties.
+    """
+    from ..operators.merge import day_set
+    old = read_day_symbols(spark, path).join(day_set(seen), "day", "left_semi")
+    new = seen.select("day", "symbol").distinct()
+    if order is not None:
+        new = new.join(order.select("symbol", "ord"), "symbol", "left")
+    else:
+        new = new.withColumn("ord", F.lit(None).cast("int"))
+    merged = (old.unionByName(new.select("day", "symbol", "ord"))
+              .groupBy("day", "symbol").agg(F.min("ord").alias("ord")))
+    (merged.select("day", "symbol", "ord").checkpoint(eager=True)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path))
+
+
 def append_snapshot(ranked: DataFrame, path: str, as_of) -> None:
     """SNK-4: add one score snapshot ``(created, day, rank, symbol, score)``."""
     run_key = F.date_format(as_of_lit(as_of), "yyyyMMdd'T'HHmmss")
