@@ -51,11 +51,13 @@ _SHIPPED: set = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``newsbeam`` importable in Python workers (what ``--py-files``
-    does): zip the package once per application and ``addPyFile`` it.
-    Python tasks (``mapInPandas``, UDTF) import helpers from it."""
+    """Make ``newsbeam`` importable in Python workers in local mode: zip the
+    package once per application and ``addPyFile`` it (what ``--py-files``
+    does).  Python tasks (``mapInPandas``, UDTF) import helpers from it.  On
+    a cluster the package is deployed with the job (``--py-files
+    newsbeam.zip`` or an installed wheel), so nothing is written here."""
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    if sc.applicationId in _SHIPPED or not sc.master.startswith("local"):
         return
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
