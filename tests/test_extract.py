@@ -78,3 +78,13 @@ def test_extract_headlines_native(spark):
     pages = spark.createDataFrame([(1, "http://h.example/x", PAGE)], "page_id long, url string, html string")
     rows = op.extract_headlines(pages, "h5.base-text.t1", "div.ad").orderBy("pos").collect()
     assert [(r.pos, r.headline, r.date_text) for r in rows] == [(0, "Head 1", "Buy now ©"), (1, "Head 2", None)]
+
+
+def test_pandas_scorer_matches_native_on_records(spark):
+    from newsbeam.sources.fixtures import headline_records, headlines_view
+    from tests.conftest import SF01
+    recs = headline_records(headlines_view(spark, SF01))
+    a = op.label_headlines(recs, op.PandasScorer(op.lexicon_model()))
+    b = op.label_headlines(recs, op.LexiconScorer())
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
