@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import operators as op
+from .session import materialize
 from .sources import store
 
 # The seed list in key order, and each ticker's slug on the
@@ -118,7 +119,7 @@ def score(spark: SparkSession, store_path: str, snapshot_path: str, as_of: dt.da
     day = day or as_of.date()
     stored = store.read_day(store.read_store(spark, store_path), day)
     todo = op.unprocessed(stored) if only_unprocessed else stored
-    labelled = op.label_headlines(todo, scorer or op.LexiconScorer(), label_mode).checkpoint(eager=True)
+    labelled = materialize(op.label_headlines(todo, scorer or op.LexiconScorer(), label_mode), "score-labels")
     store.write_labels(spark, store_path, labelled, write_back)
     universe = store.read_day(store.read_day_symbols(spark, symbols_path(store_path)), day)
     ranked = op.rank_scores(op.net_score(labelled, universe), order_col="ord")

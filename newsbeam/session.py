@@ -93,3 +93,17 @@ def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for one run."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "runs", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as a parquet table into a fresh folder
+    under the shared checkpoint folder and reading it back.
+
+    One computation of the plan (``checkpoint()`` runs it once to count and
+    again to write), columnar files, and the result no longer depends on the
+    inputs, so they may be overwritten next.
+    """
+    spark = df.sparkSession
+    path = run_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -97,6 +97,7 @@ def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
     """
     from ..operators.merge import day_set
     from ..operators.scoring import day_symbols, net_score, rank_scores
+    from ..session import materialize
     from ..operators.sentiment import label_headlines
     from ..sources import store
 
@@ -109,7 +110,7 @@ def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
             items = batch_df.drop(EVENT_TIME)
             store.upsert_days(spark, store_path, items, as_of)
             stored = store.read_store(spark, store_path).join(day_set(items), "day", "left_semi")
-            labelled = label_headlines(stored, scorer, label_mode).checkpoint(eager=True)
+            labelled = materialize(label_headlines(stored, scorer, label_mode), "cycle-labels")
             store.write_labels(spark, store_path, labelled, write_back)
             ranked = rank_scores(net_score(labelled, day_symbols(labelled)))
             store.append_snapshot(ranked, snapshot_path, as_of)
@@ -125,10 +126,13 @@ def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
 def _land_by_day(spark: SparkSession, df: DataFrame, path: str) -> str:
     """Land a frame as a file stream source, one folder per day written in day
     order, so files arrive in event-time order as they would live.  The
-    frame is materialised once (checkpoint) and each day is a filtered copy;
+    frame is materialised once (a table in the checkpoint folder) and each
+    day is a filtered copy;
     the day list is one row per day."""
     import os
-    df = df.checkpoint(eager=True)
+
+    from ..session import materialize
+    df = materialize(df, "stream-land")
     days = [r[0] for r in df.select("day").distinct().orderBy("day").collect()]
     for d in days:
         df.where(F.col("day") == F.lit(d)).write.parquet(os.path.join(path, f"day-{d.isoformat()}"))
