@@ -98,6 +98,21 @@ class PandasScorer:
         return df.mapInPandas(run, schema)
 
 
+def generate_answers(prompts: DataFrame, factory, prompt_col: str = "prompt") -> DataFrame:
+    """UDF-2 + UDF-3 on prompts that are already rendered (a prompt file):
+    adds the model's ``generated`` text and the parsed ``answer``."""
+    schema = T.StructType(prompts.schema.fields + [T.StructField("generated", T.StringType()),
+                                                   T.StructField("answer", T.StringType())])
+
+    def run(batches):
+        generate = factory()
+        for pdf in batches:
+            gen = generate(pdf[prompt_col])
+            yield pdf.assign(generated=gen, answer=gen.map(parse_answer_py))
+
+    return prompts.mapInPandas(run, schema)
+
+
 def score_headlines(df: DataFrame, scorer, text_col: str = "headline") -> DataFrame:
     """UDF-2: add the scorer's ``answer``."""
     return scorer.score(df, text_col)

@@ -80,6 +80,19 @@ def test_read_prompts(spark, tmp_path):
     assert got == sorted(texts)
 
 
+def test_prompt_file_through_a_model(spark, tmp_path):
+    """SRC-5 -> UDF-2 -> UDF-3: a prompt file run through a model factory."""
+    from newsbeam.functions.answers import render_prompt_py
+    texts = [render_prompt_py("Growth plan for boards")] * 6 + [
+        render_prompt_py("Input: Price prediction, coming soon?"),
+        "Instruction: x \nInput: Mainnet live.      \nAnswer: "]
+    for i, t in enumerate(texts):
+        (tmp_path / f"p{i}.txt").write_text(t)
+    out = op.generate_answers(read_prompts(spark, str(tmp_path)), op.lexicon_model()).collect()
+    assert len(out) == 8
+    assert all(r.generated == r.prompt + "neutral" and r.answer == "neutral" for r in out)
+
+
 def test_cycle_runs_over_a_stream(spark):
     """STR-1: one streaming query whose batches merge, score and snapshot."""
     h = headlines_view(spark, SF01).select("day", "symbol", "feed", F.col("doc_id").alias("pos"),
