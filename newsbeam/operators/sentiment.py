@@ -80,13 +80,18 @@ class PandasScorer:
     The answer is the text after the ``Answer: `` marker (null without it).
     """
 
-    def __init__(self, factory, max_length: int = 512):
+    def __init__(self, factory, max_length: int = 512, partitions: int | None = None):
         self.factory = factory
         self.max_length = max_length
+        # model time dominates: spread rows evenly over ``partitions`` tasks
+        # (round robin), so a partition full of one hot symbol is not one task
+        self.partitions = partitions
 
     def score(self, df: DataFrame, text_col: str = "headline") -> DataFrame:
         schema = T.StructType(df.schema.fields + [T.StructField("answer", T.StringType())])
         factory = self.factory
+        if self.partitions:
+            df = df.repartition(self.partitions)
 
         def run(batches):
             generate = factory()

@@ -87,7 +87,7 @@ def run_pipeline(stream: DataFrame, process_batch, checkpoint: str,
 
 
 def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
-               label_mode: str = "exact", write_back: str = "all"):
+               label_mode: str = "exact", write_back: str = "all", only_unprocessed: bool = False):
     """Batch function of the recurring job.
 
     Items of the batch (``day, symbol, feed, pos, headline``) are merged into
@@ -110,6 +110,8 @@ def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
             items = batch_df.drop(EVENT_TIME)
             store.upsert_days(spark, store_path, items, as_of)
             stored = store.read_store(spark, store_path).join(day_set(items), "day", "left_semi")
+            if only_unprocessed:  # score only what earlier batches did not
+                stored = stored.where(~F.col("processed"))
             labelled = materialize(label_headlines(stored, scorer, label_mode), "cycle-labels")
             store.write_labels(spark, store_path, labelled, write_back)
             ranked = rank_scores(net_score(labelled, day_symbols(labelled)))

@@ -88,3 +88,12 @@ def test_pandas_scorer_matches_native_on_records(spark):
     b = op.label_headlines(recs, op.LexiconScorer())
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_pandas_scorer_with_even_spread(spark):
+    from newsbeam.sources.fixtures import headline_records, headlines_view
+    from tests.conftest import SF01
+    recs = headline_records(headlines_view(spark, SF01))
+    a = op.label_headlines(recs, op.PandasScorer(op.lexicon_model(), partitions=5))
+    b = op.label_headlines(recs, op.LexiconScorer())
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
