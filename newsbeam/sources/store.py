@@ -42,10 +42,14 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_day(df: DataFrame, path: str) -> None:
-    """SNK-1 / SNK-2 / FLT-5: replace the written days, leave the others."""
-    # no repartition by day: a busy day stays spread over all writer tasks
-    # (each writes its own files into the day folder)
+    """SNK-1 / SNK-2 / FLT-5: replace the written days, leave the others.
+
+    ``REBALANCE(day)`` lets adaptive execution size the writer tasks: small
+    days are coalesced into few files, and a day holding a large share of
+    the rows is split over several tasks (never one task per day).
+    """
     (df.select(*HEADLINE_COLS)
+     .hint("rebalance", "day")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("day")
