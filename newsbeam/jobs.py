@@ -131,7 +131,7 @@ def run(spark: SparkSession, landing: str, store_path: str, snapshot_path: str,
         every: str = "60 seconds", available_now: bool = False, scorer=None):
     """The endless cycle: each new landing of pages is ingested then scored."""
     from .schemas import LANDED_PAGES
-    from .streaming.pipeline import run_pipeline
+    from .streaming.cycle import run_cycle
     stream = spark.readStream.schema(LANDED_PAGES).parquet(landing)
 
     def cycle(batch: DataFrame, batch_id: int) -> None:
@@ -141,7 +141,7 @@ def run(spark: SparkSession, landing: str, store_path: str, snapshot_path: str,
         ingest(spark, batch, store_path, as_of)
         score(spark, store_path, snapshot_path, as_of, scorer)
 
-    return run_pipeline(stream, cycle, checkpoint, every, available_now)
+    return run_cycle(stream, cycle, checkpoint, every, available_now)
 
 
 def _as_of(text: str | None) -> dt.datetime:

@@ -325,24 +325,24 @@ def write_labels_roundtrip_q(spark, sf_dir):
 
 
 def stream_dedupe_q(spark, sf_dir):
-    from ..streaming import pipeline
-    return pipeline.replay_dedupe(spark, sf_dir).select(_day(), "symbol", "headline")
+    from ..streaming import cycle as streams
+    return streams.replay_dedupe(spark, sf_dir).select(_day(), "symbol", "headline")
 
 
 def stream_drop_late_q(spark, sf_dir):
-    from ..streaming import pipeline
-    return pipeline.replay_drop_late(spark, sf_dir).select("doc_id", "symbol", _day(), "age_text")
+    from ..streaming import cycle as streams
+    return streams.replay_drop_late(spark, sf_dir).select("doc_id", "symbol", _day(), "age_text")
 
 
-def pipeline_cycle_q(spark, sf_dir):
-    from ..streaming import pipeline
-    snap = pipeline.replay_cycle(spark, sf_dir)
+def stream_cycle_q(spark, sf_dir):
+    from ..streaming import cycle as streams
+    snap = streams.replay_cycle(spark, sf_dir)
     return snap.select(snapshot_time_text("created").alias("created"), _day(), "rank", "symbol", "score")
 
 
 def stream_daily_scores_q(spark, sf_dir):
-    from ..streaming import pipeline
-    return pipeline.replay_daily_scores(spark, sf_dir).select(_day(), "symbol", "score")
+    from ..streaming import cycle as streams
+    return streams.replay_daily_scores(spark, sf_dir).select(_day(), "symbol", "score")
 
 
 QUERIES = {
@@ -391,5 +391,5 @@ QUERIES = {
     "stream_dedupe": stream_dedupe_q,
     "stream_drop_late": stream_drop_late_q,
     "stream_daily_scores": stream_daily_scores_q,
-    "pipeline_cycle": pipeline_cycle_q,
+    "stream_cycle": stream_cycle_q,
 }

@@ -301,7 +301,7 @@ FROM LAB"""),
     "stream_dedupe": with_h("SELECT DISTINCT CAST(day AS VARCHAR) AS day, symbol, headline FROM H"),
     "stream_drop_late": with_h(f"""
 SELECT doc_id, symbol, CAST(day AS VARCHAR) AS day, age_text FROM H WHERE {strict30("age_text")}"""),
-    "pipeline_cycle": with_h("""
+    "stream_cycle": with_h("""
 , F AS (SELECT * FROM (SELECT LAB.*, row_number() OVER (PARTITION BY day, symbol, headline ORDER BY doc_id) AS rn
                        FROM LAB) t WHERE rn = 1),
 FS AS (SELECT day, symbol, CAST(sum(label) AS BIGINT) AS score FROM F GROUP BY day, symbol)

@@ -1,4 +1,4 @@
 """Structured Streaming operators and the recurring job."""
 
-from .pipeline import (batch_sink, daily_scores, dedupe_stream, drop_late,  # noqa: F401
-                       latest_per_key, make_cycle, run_pipeline, with_event_time)
+from .cycle import (batch_sink, daily_scores, dedupe_stream, drop_late,  # noqa: F401
+                       latest_per_key, make_cycle, run_cycle, with_event_time)

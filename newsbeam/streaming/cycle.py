@@ -7,7 +7,7 @@
 * ``drop_late`` (STR-4): the recency / same-day rules as stateless filters.
 * ``daily_scores`` (STR-2): tumbling one-day windows of the label sum per
   symbol, emitted in ``update`` mode (the open day is republished).
-* ``run_pipeline`` (STR-1): one query whose ``foreachBatch`` runs a batch
+* ``run_cycle`` (STR-1): one query whose ``foreachBatch`` runs a batch
   function (ingest -> merge -> score -> snapshot, see ``make_cycle``) on a
   processing-time trigger (60 s by default) or ``availableNow``.
 
@@ -78,7 +78,7 @@ def latest_per_key(spark: SparkSession, path: str, keys, value_cols) -> DataFram
     return df.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
 
 
-def run_pipeline(stream: DataFrame, process_batch, checkpoint: str,
+def run_cycle(stream: DataFrame, process_batch, checkpoint: str,
                  every: str | None = "60 seconds", available_now: bool = False):
     """STR-1: start the recurring job; returns the ``StreamingQuery``."""
     w = stream.writeStream.foreachBatch(process_batch).option("checkpointLocation", checkpoint)
@@ -206,6 +206,6 @@ def replay_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = recorded_answers(spark, sf_dir).withColumnRenamed("doc_id", "pos")
     store_path, snap_path = run_dir(spark, "cycle-store"), run_dir(spark, "cycle-snap")
     cycle = make_cycle(spark, store_path, snap_path, RecordedScorer(answers, on="pos"))
-    q = run_pipeline(stream, cycle, run_dir(spark, "cycle-ck"), available_now=True)
+    q = run_cycle(stream, cycle, run_dir(spark, "cycle-ck"), available_now=True)
     q.awaitTermination()
     return store.read_snapshots(spark, snap_path)

@@ -9,7 +9,7 @@ from newsbeam.session import run_dir
 from newsbeam.sources import store
 from newsbeam.sources.fixtures import headline_records, headlines_view
 from newsbeam.sources.tables import read_prompts
-from newsbeam.streaming import pipeline
+from newsbeam.streaming import cycle as streams
 
 from .conftest import SF01
 
@@ -99,10 +99,10 @@ def test_cycle_runs_over_a_stream(spark):
                                            "headline", "seen_at")
     src = run_dir(spark, "t-cycle-src")
     h.write.parquet(src)
-    stream = pipeline.with_event_time(spark.readStream.schema(h.schema).parquet(src)).drop("seen_at")
+    stream = streams.with_event_time(spark.readStream.schema(h.schema).parquet(src)).drop("seen_at")
     store_path, snap_path = run_dir(spark, "t-cycle-store"), run_dir(spark, "t-cycle-snap")
-    cycle = pipeline.make_cycle(spark, store_path, snap_path, op.LexiconScorer())
-    q = pipeline.run_pipeline(stream, cycle, run_dir(spark, "t-cycle-ck"), available_now=True)
+    cycle = streams.make_cycle(spark, store_path, snap_path, op.LexiconScorer())
+    q = streams.run_cycle(stream, cycle, run_dir(spark, "t-cycle-ck"), available_now=True)
     q.awaitTermination()
     stored = store.read_store(spark, store_path)
     assert stored.count() == 966  # one batch: both feeds merged, repeats removed
@@ -111,7 +111,7 @@ def test_cycle_runs_over_a_stream(spark):
 
 
 def test_stream_equals_batch(spark):
-    streamed = pipeline.replay_dedupe(spark, SF01)
+    streamed = streams.replay_dedupe(spark, SF01)
     batch = headlines_view(spark, SF01).select("day", "symbol", "headline").distinct()
     assert streamed.count() == 966
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
