@@ -300,6 +300,26 @@ def snapshot_q(spark, sf_dir):
     return snap.select(snapshot_time_text("created").alias("created"), _day(), "rank", "symbol", "score")
 
 
+def sql_rank_scores_q(spark, sf_dir):
+    """The flagship written in SQL over the registered views and functions."""
+    from ..sql import register_functions, register_views
+    register_functions(spark)
+    register_views(spark, sf_dir=sf_dir)
+    return spark.sql("""
+        WITH ans AS (
+          SELECT doc_id, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive'
+                              ELSE 'neutral' END AS answer
+          FROM labels),
+        scores AS (
+          SELECT h.day, h.symbol, CAST(sum(nb_label(ans.answer)) AS BIGINT) AS score
+          FROM h LEFT JOIN ans ON h.doc_id = ans.doc_id
+          GROUP BY h.day, h.symbol)
+        SELECT CAST(day AS STRING) AS day,
+               CAST(row_number() OVER (PARTITION BY day ORDER BY score DESC, symbol) AS INT) AS rank,
+               symbol, score
+        FROM scores""")
+
+
 def snapshot_map_q(spark, sf_dir):
     path = run_dir(spark, "snapshots")
     store.append_snapshot(_ranked(spark, sf_dir), path, FIXTURE_AS_OF)
@@ -385,6 +405,7 @@ QUERIES = {
     "net_score": net_score_q,
     "net_score_unprocessed": net_score_unprocessed_q,
     "rank_scores": rank_scores_q,
+    "sql_rank_scores": sql_rank_scores_q,
     "snapshot": snapshot_q,
     "snapshot_map": snapshot_map_q,
     "write_labels_roundtrip": write_labels_roundtrip_q,

@@ -288,6 +288,7 @@ FROM (SELECT DISTINCT day, symbol FROM H) u
 LEFT JOIN (SELECT day, symbol, CAST(sum(label) AS BIGINT) AS score FROM LAB WHERE feed = 'B'
            GROUP BY day, symbol) s ON u.day = s.day AND u.symbol = s.symbol"""),
     "rank_scores": with_h("SELECT CAST(day AS VARCHAR) AS day, rank, symbol, score FROM RANKED"),
+    "sql_rank_scores": with_h("SELECT CAST(day AS VARCHAR) AS day, rank, symbol, score FROM RANKED"),
     "snapshot": with_h(f"""
 SELECT {q(AS_OF_TEXT)} AS created, CAST(day AS VARCHAR) AS day, rank, symbol, score FROM RANKED"""),
     "snapshot_map": with_h(f"""

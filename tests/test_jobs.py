@@ -54,3 +54,17 @@ def test_ingest_then_score(spark):
     assert store.read_store(spark, path).where(~F.col("processed")).count() == 0
     snap = store.read_snapshots(spark, snaps).collect()
     assert len(snap) == 3 and {r.created for r in snap} == {AS_OF}
+
+
+def test_run_cycle_over_landed_pages(spark):
+    """The endless cycle, one available-now trigger over a landing folder."""
+    landing = run_dir(spark, "j-landing")
+    pages = _pages(spark).withColumn("landed_at", F.lit(AS_OF).cast("timestamp"))
+    pages.write.parquet(landing)
+    path, snaps = run_dir(spark, "j-run-store"), run_dir(spark, "j-run-snap")
+    q = jobs.run(spark, landing, path, snaps, run_dir(spark, "j-run-ck"), available_now=True)
+    q.awaitTermination()
+    assert store.read_store(spark, path).count() == 3
+    assert store.read_store(spark, path).where(~F.col("processed")).count() == 0
+    assert sorted((r.symbol, r.score) for r in store.read_snapshots(spark, snaps).collect()) == [
+        ("BTC", -1), ("DOGE", 0), ("ETH", 0)]
