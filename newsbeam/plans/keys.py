@@ -304,7 +304,7 @@ def sql_rank_scores_q(spark, sf_dir):
     """The flagship written in SQL over the registered views and functions."""
     from ..sql import register_functions, register_views
     register_functions(spark)
-    register_views(spark, sf_dir=sf_dir)
+    register_views(spark, sf_dir=sf_dir, tables=("labels",))
     return spark.sql("""
         WITH ans AS (
           SELECT doc_id, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive'

@@ -105,9 +105,10 @@ def _select_css_udtf():
 
 
 def register_views(spark: SparkSession, store_path: str | None = None,
-                   snapshots_path: str | None = None, sf_dir: str | None = None) -> list[str]:
+                   snapshots_path: str | None = None, sf_dir: str | None = None,
+                   tables=None) -> list[str]:
     """Temp views: ``headlines`` (the store), ``scores_snapshot``, and with
-    ``sf_dir`` the fixture view ``h`` and the driver tables."""
+    ``sf_dir`` the fixture view ``h`` and the driver tables (all, or ``tables``)."""
     from .sources import store
     from .sources.fixtures import headlines_view
     from .sources.tables import TABLES, read_table
@@ -120,7 +121,7 @@ def register_views(spark: SparkSession, store_path: str | None = None,
         names.append("scores_snapshot")
     if sf_dir:
         import os
-        for t in TABLES:
+        for t in (tables if tables is not None else TABLES):
             if os.path.exists(os.path.join(sf_dir, f"{t}.parquet")):
                 read_table(spark, sf_dir, t).createOrReplaceTempView(t)
                 names.append(t)
