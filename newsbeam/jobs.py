@@ -167,7 +167,7 @@ def main(argv=None) -> None:
         r.add_argument(x, required=True)
     r.add_argument("--every", default="60 seconds")
     args = p.parse_args(argv)
-    spark = get_spark()
+    spark = get_spark(state_store="rocksdb" if args.cmd == "run" else "default")
     if args.cmd == "ingest":
         ingest(spark, spark.read.parquet(args.pages), args.store, _as_of(args.as_of),
                quarantine_path=args.quarantine)
