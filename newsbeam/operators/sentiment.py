@@ -186,3 +186,20 @@ def to_messages_frame(df: DataFrame, text_col: str = "text", system: str | None
     """UDF-7: chat messages (system + user) per row."""
     from ..functions.answers import SYSTEM_CONTENT, to_messages
     return df.withColumn("messages", to_messages(text_col, system or SYSTEM_CONTENT))
+
+
+def conversation_messages(conv: DataFrame, part_size: int = 64, id_col: str = "conv_id",
+                          turn_col: str = "turn") -> DataFrame:
+    """UDF-7 over a conversation table: the turns of a conversation as chat
+    messages in turn order, ``(id, part, messages)``.  A part holds at most
+    ``part_size`` turns (``turn div part_size``), so a long conversation is
+    never collected into one row."""
+    part = F.floor(F.col(turn_col) / F.lit(part_size)).cast("long")
+    ordered = F.array_sort(F.collect_list(F.struct(turn_col, "role", F.col("text").alias("content"))))
+    return (conv.withColumn("part", part)
+            .groupBy(id_col, "part")
+            .agg(ordered.alias("_m"))
+            .select(id_col, "part",
+                    F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+                    .alias("messages")))
+

@@ -263,6 +263,16 @@ def to_messages_q(spark, sf_dir):
     return m.select("conv_id", "turn", F.size("messages").alias("n_messages"), chat.alias("chat"))
 
 
+CONV_PART_TURNS = 4
+
+
+def conversation_messages_q(spark, sf_dir):
+    conv = read_table(spark, sf_dir, "conversations")
+    m = op.conversation_messages(conv, CONV_PART_TURNS)
+    chat = F.concat_ws("\n", F.transform("messages", lambda x: F.concat(x["role"], F.lit(": "), x["content"])))
+    return m.select("conv_id", "part", F.size("messages").cast("long").alias("n_messages"), chat.alias("chat"))
+
+
 def _apply(mode):
     def q(spark, sf_dir):
         records = _records(spark, sf_dir)
@@ -400,6 +410,7 @@ QUERIES = {
     "score_map_in_pandas": score_map_in_pandas_q,
     "raw_answers": raw_answers_q,
     "to_messages": to_messages_q,
+    "conversation_messages": conversation_messages_q,
     "apply_labels_all": _apply("all"),
     "apply_labels_first": _apply("first_match"),
     "net_score": net_score_q,

@@ -11,7 +11,7 @@ from ..functions.answers import ANSWER_MARKER, INPUT_PREFIX, INSTRUCTION, SYSTEM
 from ..functions.text import ENTITIES, WS_CLASS
 from ..operators.lookup import FEED_A_BASE, FEED_B_BASE
 from ..operators.sentiment import lexicon_pattern
-from .keys import DIM_REGIONS, FIRST_DAY, NEST_PART_SIZE
+from .keys import CONV_PART_TURNS, DIM_REGIONS, FIRST_DAY, NEST_PART_SIZE
 
 AS_OF_TEXT = "2024-01-02 12:00:00"
 DAY = "DATE '2024-01-02'"
@@ -270,6 +270,10 @@ SELECT doc_id, string_split({PROMPT_SQL} || answer, {q(ANSWER_MARKER)})[2] AS an
 SELECT conv_id, turn, CAST(2 AS INTEGER) AS n_messages,
        concat_ws(chr(10), {q('system: ' + SYSTEM_CONTENT)}, 'user: ' || text) AS chat
 FROM conversations""",
+    "conversation_messages": f"""
+SELECT conv_id, CAST(turn // {CONV_PART_TURNS} AS BIGINT) AS part, CAST(count(*) AS BIGINT) AS n_messages,
+       string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS chat
+FROM conversations GROUP BY conv_id, turn // {CONV_PART_TURNS}""",
     "apply_labels_all": with_h("""
 SELECT doc_id, CAST(day AS VARCHAR) AS day, symbol, headline, true AS processed,
        CAST(label AS VARCHAR) AS labelled FROM LAB"""),
