@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,18 +28,19 @@ from .tables import read_day
 HEADLINE_COLS = [f.name for f in HEADLINES.fields]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A parquet table with a fixed schema; an empty frame while it does not exist yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """The headline store with its fixed schema (empty when absent)."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], HEADLINES)
-    return spark.read.schema(HEADLINES).parquet(path)
+    return _read_or_empty(spark, path, HEADLINES)
 
 
 def write_day(df: DataFrame, path: str) -> None:
@@ -84,9 +86,7 @@ def write_labels(spark: SparkSession, path: str, labels: DataFrame, mode: str =
 
 def read_day_symbols(spark: SparkSession, path: str) -> DataFrame:
     """The symbols of each day, with or without headlines (E9, E17)."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], DAY_SYMBOLS)
-    return spark.read.schema(DAY_SYMBOLS).parquet(path)
+    return _read_or_empty(spark, path, DAY_SYMBOLS)
 
 
 def upsert_day_symbols(spark: SparkSession, path: str, seen: DataFrame, order: DataFrame | None = None) -> None:
