@@ -1,8 +1,8 @@
 """The recurring job as Spark jobs: ingest, score, and the endless cycle.
 
-    spark-submit newsbeam/jobs.py ingest --pages P --store S [--as-of T]
-    spark-submit newsbeam/jobs.py score  --store S --snapshots N [--as-of T] [--only-unprocessed]
-    spark-submit newsbeam/jobs.py run    --landing L --store S --snapshots N --checkpoint C
+    spark-submit job.py ingest --pages P --store S [--as-of T]
+    spark-submit job.py score  --store S --snapshots N [--as-of T] [--only-unprocessed]
+    spark-submit job.py run    --landing L --store S --snapshots N --checkpoint C
 
 Pages arrive landed as ``(symbol, feed, url, html)`` (fetching is outside
 the engine).  ``ingest`` extracts both feeds' items, keeps feed A's recent
