@@ -31,13 +31,19 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # --------------------------------------------------------------------------- native
 
 
+def _class_look(c: str) -> str:
+    """Lookahead: the start tag's class attribute (double, single or no
+    quotes) holds the class ``c`` as a whole word."""
+    c = re.escape(c)
+    return (rf"""(?=[^>]*\s(?i:class)\s*=\s*(?:"(?:[^"]*\s)?{c}(?:\s[^"]*)?"|'(?:[^']*\s)?{c}(?:\s[^']*)?'"""
+            rf"""|{c}(?=[\s>/])))""")
+
+
 def element_pattern(tag: str, classes: tuple[str, ...] = ()) -> str:
     """Regex whose group 1 is the inner markup of ``<tag class="...">``."""
     t = re.escape(tag)
-    if not classes:
-        return rf"(?s)<{t}(?:\s[^>]*)?>(.*?)</{t}\s*>"
-    looks = "".join(rf'(?=[^>]*\sclass="(?:[^"]*\s)?{re.escape(c)}(?:\s[^"]*)?")' for c in classes)
-    return rf"(?s)<{t}{looks}(?:\s[^>]*)?>(.*?)</{t}\s*>"
+    looks = "".join(_class_look(c) for c in classes)
+    return rf"(?s)<(?i:{t}){looks}(?:\s[^>]*)?>(.*?)</(?i:{t})\s*>"
 
 
 def element_html(html, tag: str, classes: tuple[str, ...] = ()) -> F.Column:
@@ -47,9 +53,15 @@ def element_html(html, tag: str, classes: tuple[str, ...] = ()) -> F.Column:
 
 
 def attr_values(html, attr: str) -> F.Column:
-    """Every value of ``attr="..."`` in document order."""
+    """Every value of ``attr`` (double, single or no quotes) in document order."""
     col = F.col(html) if isinstance(html, str) else html
-    return F.regexp_extract_all(col, F.lit(rf'(?s)\s{re.escape(attr)}="([^"]*)"'), F.lit(1))
+    a = re.escape(attr)
+    pat = rf"""(?s)\s(?i:{a})\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.transform(
+        F.regexp_extract_all(col, F.lit(rf"""(?s)\s(?i:{a})\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(0)),
+        lambda m: F.coalesce(F.nullif(F.regexp_extract(m, pat, 1), F.lit("")),
+                             F.nullif(F.regexp_extract(m, pat, 2), F.lit("")),
+                             F.regexp_extract(m, pat, 3)))
 
 
 def element_texts(html, tag: str, classes: tuple[str, ...] = ()) -> F.Column:

@@ -97,3 +97,16 @@ def test_pandas_scorer_with_even_spread(spark):
     a = op.label_headlines(recs, op.PandasScorer(op.lexicon_model(), partitions=5))
     b = op.label_headlines(recs, op.LexiconScorer())
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+MIXED = """<DIV class='ad x'>one</DIV><div class=ad>two</div><div CLASS="AD">no</div>
+<div class="adx">no</div><ul><li><A HREF='/a'>A</A></li><li><a href=/b>B</a></li><li><a href="">C</a></li></ul>"""
+
+
+def test_native_quotes_and_case_match_general(spark):
+    df = spark.createDataFrame([(1, MIXED)], "page_id long, html string")
+    native = df.select(op.element_texts("html", "div", ("ad",)).alias("x"),
+                       op.attr_values("html", "href").alias("h")).first()
+    general = [t for _, t in select_texts(MIXED, sel(("ad", "div.ad")))]
+    assert native.x == general == ["one", "two"]
+    assert native.h == ["/a", "/b", ""]
