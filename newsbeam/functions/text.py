@@ -6,10 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters Python's str.strip() / str.split() treat as
-# white space (str.isspace), written as one regex class that both Java
-# regex and RE2 accept.
+# white space (str.isspace), as a regex class that both Java regex and RE2
+# accept, and as the plain character set.
 WS_CLASS = (r"[\t\n\x0b\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
             r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+            + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
 
 # HTML entities decoded in element text; "&amp;" must be last
 # so that "&amp;quot;" becomes "&quot;" and not a quote.
@@ -33,8 +36,9 @@ def _col(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: remove leading and trailing white space."""
-    return F.regexp_replace(_col(c), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    """Python ``str.strip()``: remove leading and trailing white space
+    (``btrim`` with the character set: plain string code, no regex)."""
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def first_line(c) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 
 from .functions.answers import ANSWER_MARKER, PROMPT_HEAD, PROMPT_TAIL
 from .functions.dates import DAY_KEY_FORMAT
-from .functions.text import ENTITIES, TAG_RE, WS_CLASS
+from .functions.text import ENTITIES, TAG_RE, WS_CHARS, WS_CLASS
 from .operators.sentiment import lexicon_pattern
 
 
@@ -37,7 +37,7 @@ def _lit(s: str) -> str:
 
 
 def _strip(e: str) -> str:
-    return f"regexp_replace({e}, {_q(f'^{WS_CLASS}+|{WS_CLASS}+$')}, '')"
+    return f"btrim({e}, {_lit(WS_CHARS)})"
 
 
 def _decode(e: str) -> str:

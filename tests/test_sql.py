@@ -59,3 +59,12 @@ def test_select_css_udtf(spark):
     df = op.extract_css(spark.table("pages"), {"ad": "div.ad"}).select("page_id", "pos", "text")
     assert sql.count() == 250
     assert sql.exceptAll(df).count() == 0 and df.exceptAll(sql).count() == 0
+
+
+def test_sql_strip_matches_python(spark):
+    register_functions(spark)
+    texts = ["\t  a b\n", "　x ", "\x1cc\x1f\x85", "   ", "\r\nq\x0b\x0c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    df.createOrReplaceTempView("ws_cases")
+    got = [r.s for r in spark.sql("SELECT i, nb_strip(t) AS s FROM ws_cases ORDER BY i").collect()]
+    assert got == [t.strip() for t in texts]
