@@ -359,6 +359,11 @@ def stream_dedupe_q(spark, sf_dir):
     return streams.replay_dedupe(spark, sf_dir).select(_day(), "symbol", "headline")
 
 
+def stream_dedupe_store_q(spark, sf_dir):
+    from ..streaming import cycle as streams
+    return streams.replay_dedupe_by_store(spark, sf_dir).select(_day(), "symbol", "headline")
+
+
 def stream_drop_late_q(spark, sf_dir):
     from ..streaming import cycle as streams
     return streams.replay_drop_late(spark, sf_dir).select("doc_id", "symbol", _day(), "age_text")
@@ -421,6 +426,7 @@ QUERIES = {
     "snapshot_map": snapshot_map_q,
     "write_labels_roundtrip": write_labels_roundtrip_q,
     "stream_dedupe": stream_dedupe_q,
+    "stream_dedupe_store": stream_dedupe_store_q,
     "stream_drop_late": stream_drop_late_q,
     "stream_daily_scores": stream_daily_scores_q,
     "stream_cycle": stream_cycle_q,

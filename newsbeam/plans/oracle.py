@@ -304,6 +304,7 @@ SELECT CAST(day AS VARCHAR) AS day, symbol, feed, doc_id AS pos, headline, true
        CAST(label AS VARCHAR) AS labelled
 FROM LAB"""),
     "stream_dedupe": with_h("SELECT DISTINCT CAST(day AS VARCHAR) AS day, symbol, headline FROM H"),
+    "stream_dedupe_store": with_h("SELECT DISTINCT CAST(day AS VARCHAR) AS day, symbol, headline FROM H"),
     "stream_drop_late": with_h(f"""
 SELECT doc_id, symbol, CAST(day AS VARCHAR) AS day, age_text FROM H WHERE {strict30("age_text")}"""),
     "stream_cycle": with_h("""

@@ -55,6 +55,52 @@ def drop_late(stream: DataFrame, age_col: str | None = "age_text", mode: str = "
     return out
 
 
+def dedupe_batch_writer(spark: SparkSession, seen_path: str, out_path: str, schema, keys=KEY):
+    """The ``foreachBatch`` function of ``dedupe_by_store``."""
+    from pyspark.sql import types as T
+
+    from ..operators.merge import day_set, first_occurrence, novel
+    from ..session import materialize
+    from ..sources.store import _read_or_empty
+
+    key_schema = T.StructType([schema[k] for k in keys if k != "day"]
+                              + [T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())])
+    dyn = {"partitionOverwriteMode": "dynamic"}
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        firsts = first_occurrence(batch_df, keys, order=(EVENT_TIME,))
+        seen = (_read_or_empty(spark, seen_path, key_schema)
+                .join(day_set(batch_df), "day", "left_semi")
+                .where(F.col("batch_id") != F.lit(batch_id)))
+        fresh = materialize(novel(firsts, seen, keys), "dedupe-batch")  # seen is rewritten below
+        (fresh.select(*keys).withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").options(**dyn).partitionBy("day", "batch_id").parquet(seen_path))
+        (fresh.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").options(**dyn).partitionBy("batch_id").parquet(out_path))
+
+    return write
+
+
+def dedupe_by_store(stream: DataFrame, seen_path: str, out_path: str, checkpoint: str,
+                    keys=KEY, available_now: bool = False, every: str = "60 seconds"):
+    """STR-3, skew-safe form: headlines already seen that day are dropped
+    across micro-batches, with the seen keys kept in a table instead of
+    operator state.
+
+    Per batch (a plain frame inside ``foreachBatch``): the first copy per key
+    is a partial aggregate, so a key holding a third of the batch reaches
+    the shuffle as one row per task; novelty is an anti join against the
+    seen keys of the batch's days (partition-pruned by a broadcast day set).
+    New keys are written under ``day=/batch_id=`` and the rows under
+    ``batch_id=``, both by dynamic overwrite: a replayed batch ignores and
+    replaces its own earlier attempt, so the output stays exactly-once.  The
+    seen table belongs to the query of ``checkpoint`` (batch ids are its own);
+    days past the watermark can be dropped from it by folder.
+    """
+    write = dedupe_batch_writer(stream.sparkSession, seen_path, out_path, stream.schema, keys)
+    return run_cycle(stream, write, checkpoint, every, available_now)
+
+
 def daily_scores(labelled: DataFrame, delay: str = "1 day", label_col: str = "label") -> DataFrame:
     return (labelled.withWatermark(EVENT_TIME, delay)
             .groupBy(F.window(EVENT_TIME, "1 day").alias("w"), "symbol")
@@ -184,6 +230,14 @@ def replay_daily_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(spark, sink, ["day", "symbol"], ["score"])
 
 
+def replay_dedupe_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import run_dir
+    stream = _headline_stream(spark, sf_dir).select("day", "symbol", "headline", "doc_id", EVENT_TIME)
+    seen, out, ck = run_dir(spark, "seen-keys"), run_dir(spark, "dedupe-store-out"), run_dir(spark, "dedupe-store-ck")
+    dedupe_by_store(stream, seen, out, ck, available_now=True).awaitTermination()
+    return spark.read.parquet(out)
+
+
 def replay_drop_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import run_dir
     out = drop_late(_headline_stream(spark, sf_dir), "age_text", "strict30")

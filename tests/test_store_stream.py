@@ -128,3 +128,24 @@ def test_touched_days_join_is_broadcast_and_pruned(spark):
     assert "dynamicpruningexpression" in plan
     assert "SortMergeJoin" not in plan
     assert touched.count() == 339
+
+
+def test_dedupe_by_store_is_exactly_once(spark):
+    h = headlines_view(spark, SF01).select("day", "symbol", "headline", "doc_id",
+                                           F.col("seen_at").cast("timestamp").alias("event_time"))
+    first, second = h.where("doc_id < 500"), h.where("doc_id >= 300")
+    seen, out = run_dir(spark, "t-seen"), run_dir(spark, "t-out")
+    write = streams.dedupe_batch_writer(spark, seen, out, h.schema)
+    write(first, 0)
+    write(first, 0)  # a replay of batch 0 replaces its own output
+    write(second, 1)
+    got = spark.read.parquet(out)
+    keys = h.select("day", "symbol", "headline").distinct()
+    assert got.count() == keys.count() == 966
+    assert got.select("day", "symbol", "headline").exceptAll(keys).count() == 0
+
+
+def test_stream_dedupe_by_store_equals_batch(spark):
+    streamed = streams.replay_dedupe_by_store(spark, SF01).select("day", "symbol", "headline")
+    batch = headlines_view(spark, SF01).select("day", "symbol", "headline").distinct()
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
