@@ -14,10 +14,11 @@
 Skew: ``dedupe_stream`` is Spark's stateful de-duplication; it has no
 map-side step, so every copy of a hot key is routed to the task that owns
 the key (streamed and compared with one state entry, never collected).
-Where one key can hold a large share of a batch, use the ``make_cycle``
-form: inside ``foreachBatch`` the batch is an ordinary frame, so the first
-copy per key is a partial aggregate and novelty an anti join against the
-day store (partition-pruned), the same skew-safe plan as the batch merge.
+Where one key can hold a large share of a batch, use ``dedupe_by_store``
+(or the ``make_cycle`` form): inside ``foreachBatch`` the batch is an
+ordinary frame, so the first copy per key is a partial aggregate and
+novelty an anti join against the seen keys / day store of the batch's days
+(partition-pruned), the same skew-safe plan as the batch merge.
 
 Sinks keyed by ``batch_id`` make a replayed batch overwrite its own output,
 so a restart from the checkpoint after a lost executor stays exactly-once.
@@ -143,8 +144,8 @@ def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
     """
     from ..operators.merge import day_set
     from ..operators.scoring import day_symbols, net_score, rank_scores
-    from ..session import materialize
     from ..operators.sentiment import label_headlines
+    from ..session import materialize
     from ..sources import store
 
     def cycle(batch_df: DataFrame, batch_id: int) -> None:
