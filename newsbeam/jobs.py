@@ -1,5 +1,6 @@
 """The recurring job as Spark jobs: ingest, score, and the endless cycle.
 
+    spark-submit job.py seeds  --out U [--base-a A --base-b B]
     spark-submit job.py ingest --pages P --store S [--as-of T]
     spark-submit job.py score  --store S --snapshots N [--as-of T] [--only-unprocessed]
     spark-submit job.py run    --landing L --store S --snapshots N --checkpoint C
@@ -56,6 +57,18 @@ FEED_A_OLD = Feed("A", "div.sc-4478c964-2.dzSRu h3.sc-aba8b85a-0.jPQZtg",
                   "span.sc-4984dd93-0.sc-4478c964-12.hQygdF", "lenient")
 
 
+def seeds(spark: SparkSession, symbols=SYMBOLS, slugs=SLUGS, base_a: str | None = None,
+          base_b: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The URLs to fetch for a run, ``(ord, symbol, feed, url)``, and the
+    tickers missing from the slug dimension (quarantine, JN-1)."""
+    from .sources.tables import symbol_dim_df, symbols_df
+    syms = symbols_df(spark, list(symbols))
+    dim = symbol_dim_df(spark, dict(slugs))
+    a = op.seed_urls(syms, dim, "slug", base_a).select("ord", "symbol", F.lit("A").alias("feed"), "url")
+    b = op.seed_urls(syms, style="search", base=base_b).select("ord", "symbol", F.lit("B").alias("feed"), "url")
+    return a.unionByName(b), op.unknown_symbols(syms, dim)
+
+
 def feed_items(pages: DataFrame, feed: Feed, day: dt.date) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kept items, quarantine rows, all extracted items) of one feed's pages.
 
@@ -162,13 +175,21 @@ def main(argv=None) -> None:
     s.add_argument("--snapshots", required=True)
     s.add_argument("--as-of")
     s.add_argument("--only-unprocessed", action="store_true")
+    e = sub.add_parser("seeds")
+    e.add_argument("--out", required=True)
+    e.add_argument("--base-a")
+    e.add_argument("--base-b")
     r = sub.add_parser("run")
     for x in ("--landing", "--store", "--snapshots", "--checkpoint"):
         r.add_argument(x, required=True)
     r.add_argument("--every", default="60 seconds")
     args = p.parse_args(argv)
     spark = get_spark(state_store="rocksdb" if args.cmd == "run" else "default")
-    if args.cmd == "ingest":
+    if args.cmd == "seeds":
+        urls, unknown = seeds(spark, base_a=args.base_a, base_b=args.base_b)
+        urls.write.mode("overwrite").parquet(args.out)
+        unknown.show(truncate=False)
+    elif args.cmd == "ingest":
         ingest(spark, spark.read.parquet(args.pages), args.store, _as_of(args.as_of),
                quarantine_path=args.quarantine)
     elif args.cmd == "score":

@@ -68,3 +68,13 @@ def test_run_cycle_over_landed_pages(spark):
     assert store.read_store(spark, path).where(~F.col("processed")).count() == 0
     assert sorted((r.symbol, r.score) for r in store.read_snapshots(spark, snaps).collect()) == [
         ("BTC", -1), ("DOGE", 0), ("ETH", 0)]
+
+
+def test_seeds(spark):
+    urls, unknown = jobs.seeds(spark, symbols=["BTC", "ETH", "NEW"], base_a="https://a/c/", base_b="https://b/s")
+    got = sorted((r.symbol, r.feed, r.url) for r in urls.collect())
+    assert got == [("BTC", "A", "https://a/c/bitcoin"), ("BTC", "B", "https://b/s?s=BTC&sort=1"),
+                   ("ETH", "A", "https://a/c/ethereum"), ("ETH", "B", "https://b/s?s=ETH&sort=1"),
+                   ("NEW", "B", "https://b/s?s=NEW&sort=1")]
+    assert [(r.symbol, r.reason) for r in unknown.collect()] == [("NEW", "unknown_symbol")]
+    assert urls.where("feed = 'A'").count() == 2 and len(jobs.SYMBOLS) == 15

@@ -105,3 +105,24 @@ def test_no_plan_hazards_in_any_key(spark):
     from tools.plan_audit import audit
     for name, fn in E.queries().items():
         assert audit(fn(spark, SF01))["hazards"] == [], name
+
+
+def test_nest_splits_parts_by_run_and_feed(spark):
+    rows = [(dt.date(2024, 1, 1), "S", "A", 0, "x"), (dt.date(2024, 1, 1), "S", "B", 0, "y"),
+            (dt.date(2024, 1, 1), "S", "A", 1, "z")]
+    recs = op.to_record(spark.createDataFrame(rows, "day date, symbol string, feed string, pos long, headline string"),
+                        AS_OF)
+    nested = op.nest_day(recs, part_size=10).orderBy("feed").collect()
+    assert [(r.feed, [x.headline for x in r.records]) for r in nested] == [("A", ["x", "z"]), ("B", ["y"])]
+    docs = op.day_documents(op.nest_day(recs, part_size=10)).orderBy("feed").collect()
+    assert [sorted(d.symbol_headlines) for d in docs] == [["S"], ["S"]]
+    assert _same(op.unnest_day(op.nest_day(recs, part_size=1)).select(*recs.columns), recs)
+
+
+def test_merge_symbol_maps_keeps_batch_symbols_without_news(spark):
+    d = dt.date(2024, 1, 1)
+    schema = "day date, symbol string, feed string, pos long, headline string"
+    stored = op.to_record(spark.createDataFrame([(d, "S", "A", 0, "x")], schema), AS_OF)
+    batch = spark.createDataFrame([(d, "S", "B", 0, "x"), (d, "T", "B", 1, "t"), (d, "T", "B", 2, "t")], schema)
+    got = {r.symbol: (r.n_stored, r.n_added, r.n_total) for r in op.merge_symbol_maps(stored, batch).collect()}
+    assert got == {"S": (1, 0, 1), "T": (0, 1, 1)}
