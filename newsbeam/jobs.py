@@ -170,11 +170,14 @@ def main(argv=None) -> None:
     a.add_argument("--store", required=True)
     a.add_argument("--quarantine")
     a.add_argument("--as-of")
+    a.add_argument("--first-write", choices=("dedupe", "keep_all"), default="dedupe")
     s = sub.add_parser("score")
     s.add_argument("--store", required=True)
     s.add_argument("--snapshots", required=True)
     s.add_argument("--as-of")
     s.add_argument("--only-unprocessed", action="store_true")
+    s.add_argument("--label-mode", choices=("exact", "contains"), default="exact")
+    s.add_argument("--write-back", choices=("all", "first_match"), default="all")
     e = sub.add_parser("seeds")
     e.add_argument("--out", required=True)
     e.add_argument("--base-a")
@@ -191,10 +194,10 @@ def main(argv=None) -> None:
         unknown.show(truncate=False)
     elif args.cmd == "ingest":
         ingest(spark, spark.read.parquet(args.pages), args.store, _as_of(args.as_of),
-               quarantine_path=args.quarantine)
+               quarantine_path=args.quarantine, first_write=args.first_write)
     elif args.cmd == "score":
-        score(spark, args.store, args.snapshots, _as_of(args.as_of),
-              only_unprocessed=args.only_unprocessed).orderBy("day", "rank").show(100, False)
+        score(spark, args.store, args.snapshots, _as_of(args.as_of), only_unprocessed=args.only_unprocessed,
+              label_mode=args.label_mode, write_back=args.write_back).orderBy("day", "rank").show(100, False)
     else:
         run(spark, args.landing, args.store, args.snapshots, args.checkpoint, args.every).awaitTermination()
 
