@@ -35,17 +35,21 @@ def _text(c: str):
     return F.col(c).cast("string").alias(c)
 
 
-def _records(spark, sf_dir):
-    return headline_records(headlines_view(spark, sf_dir), FIXTURE_AS_OF)
+def _records(spark, sf_dir, shared: bool = False):
+    """H as records.  ``shared``: the key reads them in several branches, so
+    they are staged once as a small table (ids, day, first line) instead of
+    every branch scanning the document text again."""
+    r = headline_records(headlines_view(spark, sf_dir), FIXTURE_AS_OF)
+    return materialize(r, "h-records") if shared else r
 
 
 def _feeds(spark, sf_dir):
-    r = _records(spark, sf_dir)
+    r = _records(spark, sf_dir, shared=True)
     return r.where(F.col("feed") == "A"), r.where(F.col("feed") == "B")
 
 
 def _labelled(spark, sf_dir, records=None):
-    records = records if records is not None else _records(spark, sf_dir)
+    records = records if records is not None else _records(spark, sf_dir, shared=True)
     scorer = op.RecordedScorer(recorded_answers(spark, sf_dir), on="doc_id")
     return op.label_headlines(records, scorer, "exact")
 
@@ -275,7 +279,7 @@ def conversation_messages_q(spark, sf_dir):
 
 def _apply(mode):
     def q(spark, sf_dir):
-        records = _records(spark, sf_dir)
+        records = _records(spark, sf_dir, shared=True)
         labels = _labelled(spark, sf_dir, records)
         out = op.apply_labels(records, labels, mode)
         return out.select("doc_id", _day(), "symbol", "headline", "processed", _text("labelled"))
@@ -289,7 +293,7 @@ def net_score_q(spark, sf_dir):
 
 
 def net_score_unprocessed_q(spark, sf_dir):
-    records = _records(spark, sf_dir).withColumn("processed", F.col("feed") == "A")
+    records = _records(spark, sf_dir, shared=True).withColumn("processed", F.col("feed") == "A")
     lab = _labelled(spark, sf_dir, records)
     return op.net_score(lab, op.day_symbols(lab), only_unprocessed=True).select(_day(), "symbol", "score")
 

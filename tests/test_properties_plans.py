@@ -89,10 +89,20 @@ def test_read_day_pushes_time_range_to_scan(spark):
 
 
 def test_scan_prunes_columns(spark):
-    s = _plan(keys.net_score_q(spark, SF01))
+    s = _plan(keys.score_lexicon_q(spark, SF01))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in s
+    s = _plan(keys.QUERIES["same_day"](spark, SF01))
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in s
 
 
+def test_multi_branch_keys_scan_text_once(spark):
+    """Keys that read H in several branches stage it, so document text is scanned once."""
+    from newsbeam.plans.keys import _feeds
+    a, b = _feeds(spark, SF01)
+    s = _plan(op.merge_day(a, b, AS_OF))
+    assert "text:string" not in s
+
+
 def test_native_keys_have_no_python(spark):
     for name in ("score_lexicon", "extract_zip", "recent_strict30", "rank_scores"):
         s = _plan(keys.QUERIES[name](spark, SF01))
