@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import operators as op
-from .session import materialize
+from .session import staged
 from .sources import store
 
 # The seed list in key order, and each ticker's slug on the
@@ -132,12 +132,13 @@ def score(spark: SparkSession, store_path: str, snapshot_path: str, as_of: dt.da
     day = day or as_of.date()
     stored = store.read_day(store.read_store(spark, store_path), day)
     todo = op.unprocessed(stored) if only_unprocessed else stored
-    labelled = materialize(op.label_headlines(todo, scorer or op.LexiconScorer(), label_mode), "score-labels")
-    store.write_labels(spark, store_path, labelled, write_back)
     universe = store.read_day(store.read_day_symbols(spark, symbols_path(store_path)), day)
-    ranked = op.rank_scores(op.net_score(labelled, universe), order_col="ord")
-    store.append_snapshot(ranked, snapshot_path, as_of)
-    return ranked
+    with staged(op.label_headlines(todo, scorer or op.LexiconScorer(), label_mode), "score-labels") as labelled:
+        store.write_labels(spark, store_path, labelled, write_back)
+        ranked = op.rank_scores(op.net_score(labelled, universe), order_col="ord")
+        store.append_snapshot(ranked, snapshot_path, as_of)
+    return store.read_day(store.read_snapshots(spark, snapshot_path), day).where(
+        F.col("created") == F.lit(as_of).cast("timestamp"))
 
 
 def run(spark: SparkSession, landing: str, store_path: str, snapshot_path: str, checkpoint: str,

@@ -14,7 +14,7 @@ from .. import operators as op
 from ..functions.answers import parse_answer, render_prompt, to_label
 from ..functions.dates import snapshot_time_text
 from ..functions.text import host_of
-from ..session import materialize, run_dir
+from ..session import materialize, run_dir, staged
 from ..sources import store
 from ..sources.fixtures import (FIXTURE_AS_OF, FIXTURE_DAY, headline_records,
                                 headlines_view, recorded_answers)
@@ -349,8 +349,8 @@ def write_labels_roundtrip_q(spark, sf_dir):
     store.write_day(_records(spark, sf_dir), path)
     stored = store.read_store(spark, path)
     answers = recorded_answers(spark, sf_dir).withColumnRenamed("doc_id", "pos")
-    labels = materialize(op.label_headlines(stored, op.RecordedScorer(answers, on="pos")), "labels")
-    store.write_labels(spark, path, labels)
+    with staged(op.label_headlines(stored, op.RecordedScorer(answers, on="pos")), "labels") as labels:
+        store.write_labels(spark, path, labels)
     return store.read_store(spark, path).select(
         _day(), "symbol", "feed", "pos", "headline", "processed", _text("labelled"))
 

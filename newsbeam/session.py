@@ -8,6 +8,7 @@ setting is missing and Spark runs in local mode (tests, bench).
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -118,3 +119,24 @@ def materialize(df, name: str = "stage"):
     path = run_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop file system of the session."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextlib.contextmanager
+def staged(df, name: str = "stage"):
+    """``materialize`` for one consumer: the staged table is deleted once the
+    block (the write that reads it) has finished, so a job that runs every
+    minute does not leave a copy behind per run."""
+    spark = df.sparkSession
+    path = run_dir(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_path(spark, path)

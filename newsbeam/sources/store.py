@@ -5,9 +5,9 @@
   job rewrites the same folders (idempotent).  One writer per day: both
   feeds are combined before the write instead of racing on the same day.
 * A merge reads the day it then replaces.  The merged rows are first
-  written as a table under the shared checkpoint folder (``materialize``),
+  written as a table under the shared checkpoint folder (``staged``),
   cutting the lineage, so a task retried after a partial commit never
-  re-reads changed files.
+  re-reads changed files; the staged copy is removed after the write.
 * Snapshots are partitioned by their run key, so replaying a run replaces
   its own snapshot instead of appending a second copy.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_lit
-from ..session import materialize
+from ..session import staged
 from ..schemas import DAY_SYMBOLS, HEADLINES, SCORES_SNAPSHOT
 from .tables import read_day
 
@@ -65,7 +65,8 @@ def upsert_days(spark: SparkSession, path: str, batch: DataFrame, as_of,
     stored = read_store(spark, path)
     touched = stored.join(day_set(batch), "day", "left_semi")  # partition-pruned, no shuffle
     merged = merge_day(touched, batch, as_of, first_write).select(*HEADLINE_COLS)
-    write_day(materialize(merged, "merge"), path)
+    with staged(merged, "merge") as m:
+        write_day(m, path)
 
 
 def upsert_day(spark: SparkSession, path: str, batch: DataFrame, day, as_of,
@@ -81,7 +82,8 @@ def write_labels(spark: SparkSession, path: str, labels: DataFrame, mode: str =
     stored = read_store(spark, path)
     touched = stored.join(day_set(labels), "day", "left_semi")
     updated = apply_labels(touched, labels, mode).select(*HEADLINE_COLS)
-    write_day(materialize(updated, "labels"), path)
+    with staged(updated, "labels") as u:
+        write_day(u, path)
 
 
 def read_day_symbols(spark: SparkSession, path: str) -> DataFrame:
@@ -103,8 +105,8 @@ def upsert_day_symbols(spark: SparkSession, path: str, seen: DataFrame, order: D
         new = new.withColumn("ord", F.lit(None).cast("int"))
     merged = (old.unionByName(new.select("day", "symbol", "ord"))
               .groupBy("day", "symbol").agg(F.min("ord").alias("ord")))
-    (materialize(merged.select("day", "symbol", "ord"), "day-symbols")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path))
+    with staged(merged.select("day", "symbol", "ord"), "day-symbols") as m:
+        m.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
 def append_snapshot(ranked: DataFrame, path: str, as_of) -> None:

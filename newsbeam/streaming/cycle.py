@@ -61,7 +61,7 @@ def dedupe_batch_writer(spark: SparkSession, seen_path: str, out_path: str, sche
     from pyspark.sql import types as T
 
     from ..operators.merge import day_set, first_occurrence, novel
-    from ..session import materialize
+    from ..session import staged
     from ..sources.store import _read_or_empty
 
     key_schema = T.StructType([schema[k] for k in keys if k != "day"]
@@ -73,11 +73,11 @@ def dedupe_batch_writer(spark: SparkSession, seen_path: str, out_path: str, sche
         seen = (_read_or_empty(spark, seen_path, key_schema)
                 .join(day_set(batch_df), "day", "left_semi")
                 .where(F.col("batch_id") != F.lit(batch_id)))
-        fresh = materialize(novel(firsts, seen, keys), "dedupe-batch")  # seen is rewritten below
-        (fresh.select(*keys).withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").options(**dyn).partitionBy("day", "batch_id").parquet(seen_path))
-        (fresh.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").options(**dyn).partitionBy("batch_id").parquet(out_path))
+        with staged(novel(firsts, seen, keys), "dedupe-batch") as fresh:  # seen is rewritten below
+            (fresh.select(*keys).withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").options(**dyn).partitionBy("day", "batch_id").parquet(seen_path))
+            (fresh.withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").options(**dyn).partitionBy("batch_id").parquet(out_path))
 
     return write
 
@@ -145,7 +145,7 @@ def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
     from ..operators.merge import day_set
     from ..operators.scoring import day_symbols, net_score, rank_scores
     from ..operators.sentiment import label_headlines
-    from ..session import materialize
+    from ..session import staged
     from ..sources import store
 
     def cycle(batch_df: DataFrame, batch_id: int) -> None:
@@ -159,10 +159,10 @@ def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
             stored = store.read_store(spark, store_path).join(day_set(items), "day", "left_semi")
             if only_unprocessed:  # score only what earlier batches did not
                 stored = stored.where(~F.col("processed"))
-            labelled = materialize(label_headlines(stored, scorer, label_mode), "cycle-labels")
-            store.write_labels(spark, store_path, labelled, write_back)
-            ranked = rank_scores(net_score(labelled, day_symbols(labelled)))
-            store.append_snapshot(ranked, snapshot_path, as_of)
+            with staged(label_headlines(stored, scorer, label_mode), "cycle-labels") as labelled:
+                store.write_labels(spark, store_path, labelled, write_back)
+                ranked = rank_scores(net_score(labelled, day_symbols(labelled)))
+                store.append_snapshot(ranked, snapshot_path, as_of)
         finally:
             batch_df.unpersist()
 

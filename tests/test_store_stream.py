@@ -149,3 +149,16 @@ def test_stream_dedupe_by_store_equals_batch(spark):
     streamed = streams.replay_dedupe_by_store(spark, SF01).select("day", "symbol", "headline")
     batch = headlines_view(spark, SF01).select("day", "symbol", "headline").distinct()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_staged_copies_are_removed(spark):
+    import os
+    recs = headline_records(headlines_view(spark, SF01), AS_OF)
+    path = run_dir(spark, "t-clean")
+    runs = os.path.dirname(path.replace("file:", ""))
+    before = {d for d in os.listdir(runs) if d.startswith("merge-")} if os.path.isdir(runs) else set()
+    store.write_day(recs.where("feed = 'A'"), path)
+    store.upsert_days(spark, path, recs.where("feed = 'B'"), AS_OF)
+    after = {d for d in os.listdir(runs) if d.startswith("merge-")}
+    assert after == before
+    assert store.read_store(spark, path).count() == 974
