@@ -11,5 +11,5 @@ from .recency import (classify_age, is_recent, is_same_day,  # noqa: F401
 from .scoring import (day_symbols, net_score, rank_scores, snapshot_map,  # noqa: F401
                       snapshot_rows, unprocessed)
 from .sentiment import (LexiconScorer, PandasScorer, RecordedScorer,  # noqa: F401
-                        apply_labels, conversation_messages, generate_answers, label_headlines, lexicon_model, raw_answers,
-                        score_headlines, to_messages_frame)
+                        apply_labels, conversation_messages, generate_answers, label_headlines,
+                        lexicon_model, raw_answers, score_headlines, to_messages_frame)

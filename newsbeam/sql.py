@@ -66,7 +66,8 @@ FUNCTIONS = {
     "nb_age_minutes": ("x STRING", "INT", _age_minutes("x")),
     "nb_recent": ("x STRING, mode STRING", "BOOLEAN",
                   "coalesce(CASE mode "
-                  f"WHEN 'strict30' THEN x = 'an hour ago' OR (contains(x, 'minutes') AND {_first_word_int('x')} <= 30) "
+                  "WHEN 'strict30' THEN x = 'an hour ago' "
+                  f"OR (contains(x, 'minutes') AND {_first_word_int('x')} <= 30) "
                   "WHEN 'lenient' THEN x = 'an hour ago' OR contains(x, 'minutes') "
                   f"WHEN 'within60' THEN {_age_minutes('x')} <= 60 END, false)"),
     "nb_day_key": ("d DATE", "STRING", f"date_format(d, {_lit(DAY_KEY_FORMAT)})"),
