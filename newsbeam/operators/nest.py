@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import day_key_text
+
 KEYS = ("day", "symbol")
 PART_BY = ("created", "feed")
 
@@ -58,7 +60,8 @@ def day_documents(nested: DataFrame) -> DataFrame:
     part_by = [c for c in nested.columns if c not in (*KEYS, "part", "records")]
     return (nested.groupBy("day", *part_by, "part")
             .agg(F.map_from_entries(F.collect_list(F.struct("symbol", "records")))
-                 .alias("symbol_headlines")))
+                 .alias("symbol_headlines"))
+            .withColumn("date", day_key_text("day")))  # the document's key text
 
 
 def unnest_day(nested: DataFrame) -> DataFrame:

@@ -133,3 +133,31 @@ def test_merge_day_matches_the_loop(spark):
         got = sorted((r.day, r.symbol, r.headline, r.pos) for r in merged.collect())
         assert got == py_merge(stored, batch)
     check()
+
+
+def py_first_match(records, labels):
+    """The reference's write-back: each scored copy updates the first stored
+    element with the same (day, symbol, headline)."""
+    out = {pos: (False, None) for _, _, _, pos in records}
+    ordered = sorted(records, key=lambda r: r[3])
+    for d, s, h, pos in sorted(labels, key=lambda r: r[3]):
+        first = next(r for r in ordered if (r[0], r[1], r[2]) == (d, s, h))
+        out[first[3]] = (True, labels[(d, s, h, pos)])
+    return out
+
+
+def test_first_match_write_back_matches_the_loop(spark):
+    day = dt.date(2024, 1, 1)
+    item = st.tuples(st.sampled_from(["S", "T"]), st.sampled_from(["X", "Y", "Z"]), st.sampled_from([-1, 0, 1]))
+
+    @SETTINGS
+    @given(st.lists(item, min_size=1, max_size=20))
+    def check(items):
+        rows = [(day, s, "A", i, h, lab) for i, (s, h, lab) in enumerate(items)]
+        df = spark.createDataFrame(rows, "day date, symbol string, feed string, pos long, headline string, label int")
+        recs = op.to_record(df.drop("label"), dt.datetime(2024, 1, 1))
+        labels = op.to_record(df, dt.datetime(2024, 1, 1))
+        got = {r.pos: (r.processed, r.labelled) for r in op.apply_labels(recs, labels, "first_match").collect()}
+        lab = {(day, s, h, i): label for i, (s, h, label) in enumerate(items)}
+        assert got == py_first_match([(day, s, h, i) for i, (s, h, _) in enumerate(items)], lab)
+    check()
