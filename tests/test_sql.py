@@ -68,3 +68,28 @@ def test_sql_strip_matches_python(spark):
     df.createOrReplaceTempView("ws_cases")
     got = [r.s for r in spark.sql("SELECT i, nb_strip(t) AS s FROM ws_cases ORDER BY i").collect()]
     assert got == [t.strip() for t in texts]
+
+
+def test_store_views_in_sql(spark):
+    import datetime as dt
+
+    from newsbeam.session import run_dir
+    from newsbeam.sources import store
+    from newsbeam.sources.fixtures import headline_records, headlines_view
+    register_functions(spark)
+    recs = headline_records(headlines_view(spark, SF01))
+    path, snaps = run_dir(spark, "sql-store"), run_dir(spark, "sql-snaps")
+    store.write_day(recs, path)
+    ranked = op.rank_scores(op.net_score(op.label_headlines(recs, op.LexiconScorer()), op.day_symbols(recs)))
+    store.append_snapshot(ranked, snaps, dt.datetime(2024, 1, 2, 12))
+    register_views(spark, store_path=path, snapshots_path=snaps)
+    by_sql = spark.sql("""SELECT day, symbol, CAST(sum(nb_label(nb_lexicon_answer(headline))) AS BIGINT) AS score
+                          FROM headlines GROUP BY day, symbol""")
+    by_df = spark.table("scores_snapshot").select("day", "symbol", "score")
+    assert by_sql.exceptAll(by_df).count() == 0 and by_df.exceptAll(by_sql).count() == 0
+
+
+def test_day_documents_carry_key_text(spark):
+    from newsbeam.sources.fixtures import headline_records, headlines_view
+    docs = op.day_documents(op.nest_day(headline_records(headlines_view(spark, SF01)), 1000))
+    assert sorted({r.date for r in docs.select("date").collect()}) == ["Jan 01, 2024", "Jan 02, 2024", "Jan 03, 2024"]
