@@ -46,6 +46,15 @@ class RecordedScorer:
     def score(self, df: DataFrame, text_col: str = "headline") -> DataFrame:
         return df.join(self.answers.select(*self.on, "answer"), self.on, "left")
 
+    def prepared(self, partitions: int) -> "RecordedScorer":
+        """For a stream joined to a large answer table: hash-partition the
+        answers by key and persist them once, so every micro-batch shuffles
+        only its own rows (the static side keeps its partitioning)."""
+        from pyspark import StorageLevel
+        ready = (self.answers.select(*self.on, "answer").repartition(partitions, *self.on)
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        return RecordedScorer(ready, self.on)
+
 
 class LexiconScorer:
     """``negative`` when the text holds a listed word, else ``neutral``."""

@@ -110,3 +110,12 @@ def test_native_quotes_and_case_match_general(spark):
     general = [t for _, t in select_texts(MIXED, sel(("ad", "div.ad")))]
     assert native.x == general == ["one", "two"]
     assert native.h == ["/a", "/b", ""]
+
+
+def test_prepared_recorded_scorer(spark):
+    from newsbeam.sources.fixtures import headline_records, headlines_view, recorded_answers
+    from tests.conftest import SF01
+    recs = headline_records(headlines_view(spark, SF01))
+    plain = op.label_headlines(recs, op.RecordedScorer(recorded_answers(spark, SF01)))
+    ready = op.label_headlines(recs, op.RecordedScorer(recorded_answers(spark, SF01)).prepared(4))
+    assert ready.exceptAll(plain).count() == 0 and plain.exceptAll(ready).count() == 0
