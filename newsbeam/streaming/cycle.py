@@ -191,6 +191,18 @@ def _land_by_day(spark: SparkSession, df: DataFrame, path: str) -> str:
 _LANDED: dict = {}
 
 
+def _replay_session(spark: SparkSession) -> SparkSession:
+    """A session for a fixture replay: same SparkContext, its own SQL conf,
+    with shuffle (and so state-store) partitions sized to the default
+    parallelism instead of the caller's setting, which is meant for large
+    batch shuffles.  Day boundaries follow the caller's time zone."""
+    rs = spark.newSession()
+    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
+        rs.conf.set(k, spark.conf.get(k))
+    rs.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return rs
+
+
 def _headline_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = 4):
     """H as a file stream.  The landed files never change, so one landing per
     application and scale factor serves every replay."""
@@ -209,7 +221,8 @@ def _headline_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int |
 
 def replay_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import run_dir
-    out = dedupe_stream(_headline_stream(spark, sf_dir)).select("day", "symbol", "headline")
+    rs = _replay_session(spark)
+    out = dedupe_stream(_headline_stream(rs, sf_dir)).select("day", "symbol", "headline")
     sink, ck = run_dir(spark, "stream-dedupe-out"), run_dir(spark, "stream-dedupe-ck")
     q = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
          .outputMode("append").trigger(availableNow=True).start())
@@ -221,8 +234,9 @@ def replay_daily_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.sentiment import RecordedScorer, label_headlines
     from ..session import run_dir
     from ..sources.fixtures import recorded_answers
-    stream = _headline_stream(spark, sf_dir)
-    labelled = label_headlines(stream, RecordedScorer(recorded_answers(spark, sf_dir), on="doc_id"))
+    rs = _replay_session(spark)
+    stream = _headline_stream(rs, sf_dir)
+    labelled = label_headlines(stream, RecordedScorer(recorded_answers(rs, sf_dir), on="doc_id"))
     scores = daily_scores(labelled)
     sink, ck = run_dir(spark, "stream-scores-out"), run_dir(spark, "stream-scores-ck")
     q = (scores.writeStream.foreachBatch(batch_sink(sink)).option("checkpointLocation", ck)
@@ -233,7 +247,8 @@ def replay_daily_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replay_dedupe_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import run_dir
-    stream = _headline_stream(spark, sf_dir).select("day", "symbol", "headline", "doc_id", EVENT_TIME)
+    rs = _replay_session(spark)
+    stream = _headline_stream(rs, sf_dir).select("day", "symbol", "headline", "doc_id", EVENT_TIME)
     seen, out, ck = run_dir(spark, "seen-keys"), run_dir(spark, "dedupe-store-out"), run_dir(spark, "dedupe-store-ck")
     dedupe_by_store(stream, seen, out, ck, available_now=True).awaitTermination()
     return spark.read.parquet(out)
@@ -241,7 +256,8 @@ def replay_dedupe_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replay_drop_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import run_dir
-    out = drop_late(_headline_stream(spark, sf_dir), "age_text", "strict30")
+    rs = _replay_session(spark)
+    out = drop_late(_headline_stream(rs, sf_dir), "age_text", "strict30")
     sink, ck = run_dir(spark, "stream-late-out"), run_dir(spark, "stream-late-ck")
     q = (out.drop(EVENT_TIME).writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start())
@@ -256,11 +272,12 @@ def replay_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import run_dir
     from ..sources import store
     from ..sources.fixtures import recorded_answers
-    stream = (_headline_stream(spark, sf_dir, files_per_trigger=None)
+    rs = _replay_session(spark)
+    stream = (_headline_stream(rs, sf_dir, files_per_trigger=None)
               .select("day", "symbol", "feed", F.col("doc_id").alias("pos"), "headline", EVENT_TIME))
-    answers = recorded_answers(spark, sf_dir).withColumnRenamed("doc_id", "pos")
+    answers = recorded_answers(rs, sf_dir).withColumnRenamed("doc_id", "pos")
     store_path, snap_path = run_dir(spark, "cycle-store"), run_dir(spark, "cycle-snap")
-    cycle = make_cycle(spark, store_path, snap_path, RecordedScorer(answers, on="pos"))
+    cycle = make_cycle(rs, store_path, snap_path, RecordedScorer(answers, on="pos"))
     q = run_cycle(stream, cycle, run_dir(spark, "cycle-ck"), available_now=True)
     q.awaitTermination()
     return store.read_snapshots(spark, snap_path)
