@@ -161,3 +161,30 @@ def test_first_match_write_back_matches_the_loop(spark):
         lab = {(day, s, h, i): label for i, (s, h, label) in enumerate(items)}
         assert got == py_first_match([(day, s, h, i) for i, (s, h, _) in enumerate(items)], lab)
     check()
+
+
+def py_merge_keep_all(stored, batch):
+    """First write of a day keeps the batch as it is; later merges dedupe."""
+    stored_days = {d for d, _, _, _ in stored}
+    fresh = [r for r in batch if r[0] not in stored_days]
+    later = py_merge(stored, [r for r in batch if r[0] in stored_days])
+    return sorted(later + fresh)
+
+
+def test_merge_day_keep_all_matches_the_loop(spark):
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    item = st.tuples(st.sampled_from(days), st.sampled_from(["S", "T"]), st.sampled_from(["X", "Y"]))
+
+    @SETTINGS
+    @given(st.lists(item, max_size=8), st.lists(item, max_size=20))
+    def check(stored_keys, batch_keys):
+        stored = [(d, s, h, i) for i, (d, s, h) in enumerate(stored_keys)]
+        batch = [(d, s, h, 100 + i) for i, (d, s, h) in enumerate(batch_keys)]
+        schema = "day date, symbol string, headline string, pos long"
+        sdf = op.to_record(spark.createDataFrame(stored, schema).withColumn("feed", F.lit("A")),
+                           dt.datetime(2024, 1, 2))
+        bdf = spark.createDataFrame(batch, schema).withColumn("feed", F.lit("B"))
+        merged = op.merge_day(sdf, bdf, dt.datetime(2024, 1, 2), first_write="keep_all")
+        got = sorted((r.day, r.symbol, r.headline, r.pos) for r in merged.collect())
+        assert got == py_merge_keep_all(stored, batch)
+    check()
