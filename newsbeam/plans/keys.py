@@ -2,7 +2,11 @@
 
 Each key is ``(spark, sf_dir) -> DataFrame`` over whole tables.  Output
 columns are aliased to the names the DuckDB oracle uses; dates leave as
-``yyyy-MM-dd`` text so both engines render them the same way.
+``yyyy-MM-dd`` text so both engines render them the same way.  Keys that
+read the headline view in several branches stage its small columns once
+under ``spark.checkpoint.dir`` (``materialize``); the returned frame is read
+lazily by the caller, so those staged folders stay until the folder's own
+retention removes them.
 """
 
 from __future__ import annotations
