@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -43,7 +44,7 @@ LENGTH = 4096
 END_ID = 1
 GROUP = 20_000
 NODES = 60_000
-CACHE = 400_000  # distinct words whose ids a task remembers
+CACHE = 400_000  # distinct words whose ids a Python worker remembers
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -56,40 +57,73 @@ def _tokenizer_path(path: str | None) -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: runs of non-space characters; white space never joins two tokens of this vocabulary
+_RUNS = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+#: runs that are surely cut between letters, single digits and other characters
+_PLAIN = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ]+")
+_PARTS = re.compile(r"[a-zà-öø-ÿß]+|[0-9]|[^0-9a-zà-öø-ÿß]+")
+
+
+class WordTokenizer:
+    """Ids of a text as little-endian 32-bit bytes.  The vocabulary works word by
+    word, so ids are asked for per word and remembered (at most ``CACHE`` words
+    and ``CACHE`` runs)."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
+        self.runs: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _ask(self, text: str) -> bytes:
+        ids = self.tok.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _run(self, run: str) -> bytes:
+        if not _PLAIN.fullmatch(run):
+            return self._ask(run)
+        parts, out = self.parts, []
+        for w in _PARTS.findall(run.lower()):
+            got = parts.get(w)
+            if got is None:
+                if len(parts) > CACHE:
+                    parts.clear()
+                got = parts[w] = self._ask(w)
+            out.append(got)
+        return b"".join(out)
+
+    def ids(self, text: str) -> bytes:
+        runs, out = self.runs, []
+        for w in _RUNS.findall(text):
+            got = runs.get(w)
+            if got is None:
+                if len(runs) > CACHE:
+                    runs.clear()
+                got = runs[w] = self._run(w)
+            out.append(got)
+        return b"".join(out)
+
+
+_TOKENIZERS: dict[str, WordTokenizer] = {}  # one per Python worker
+
+
+def _tokenizer(path: str) -> WordTokenizer:
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
+
+
 def tokenize(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, tokenizer: str | None = None) -> DataFrame:
-    """``docs(doc_id, text)`` -> one row per piece: doc_id, piece, start, length,
-    ids_crc32.  White space never joins two tokens of this vocabulary, so ids are
-    asked for per run of non-space characters and remembered."""
+    """``docs(doc_id, text)`` -> one row per piece: doc_id, piece, start, length, ids_crc32."""
 
     def run(batches):
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(_tokenizer_path(tokenizer))
-        known: dict[str, bytes] = {}
-        runs = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-
-        def ids(text: str) -> bytes:
-            words = runs.findall(text)
-            try:
-                return b"".join([known[w] for w in words])
-            except KeyError:
-                new = [w for w in dict.fromkeys(words) if w not in known]
-            for k in range(0, len(new), 4096):
-                part = new[k:k + 4096]
-                for w, e in zip(part, tok.encode_batch(part, add_special_tokens=False), strict=True):
-                    known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-            out = b"".join([known[w] for w in words])
-            if len(known) > CACHE:
-                known.clear()
-            return out
-
-        tail = np.asarray([end_id], dtype="<u4").tobytes()
+        words = _tokenizer(_tokenizer_path(tokenizer))
+        tail = struct.pack("<I", end_id)
         step = 4 * length
         for batch in batches:
             cols: list[list] = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = ids(text.as_py() or "") + tail
+                raw = words.ids(text.as_py() or "") + tail
                 for n, at in enumerate(range(0, len(raw), step)):
                     cut = raw[at:at + step]
                     for c, v in zip(cols, (doc, n, at // 4, len(cut) // 4, zlib.crc32(cut)), strict=True):
