@@ -44,7 +44,7 @@ LENGTH = 4096
 END_ID = 1
 GROUP = 20_000
 NODES = 60_000
-CACHE = 400_000  # distinct words whose ids a Python worker remembers
+RUN_CACHE, PART_CACHE = 600_000, 1_000_000  # distinct runs and words whose ids a Python worker remembers
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -66,8 +66,8 @@ _PARTS = re.compile(r"[a-zà-öø-ÿß]+|[0-9]|[^0-9a-zà-öø-ÿß]+")
 
 class WordTokenizer:
     """Ids of a text as little-endian 32-bit bytes.  The vocabulary works word by
-    word, so ids are asked for per word and remembered (at most ``CACHE`` words
-    and ``CACHE`` runs)."""
+    word, so ids are asked for per word and remembered (at most ``PART_CACHE`` words
+    and ``RUN_CACHE`` runs)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -86,7 +86,7 @@ class WordTokenizer:
         for w in _PARTS.findall(run.lower()):
             got = parts.get(w)
             if got is None:
-                if len(parts) > CACHE:
+                if len(parts) > PART_CACHE:
                     parts.clear()
                 got = parts[w] = self._ask(w)
             out.append(got)
@@ -97,7 +97,7 @@ class WordTokenizer:
         for w in _RUNS.findall(text):
             got = runs.get(w)
             if got is None:
-                if len(runs) > CACHE:
+                if len(runs) > RUN_CACHE:
                     runs.clear()
                 got = runs[w] = self._run(w)
             out.append(got)
