@@ -109,13 +109,18 @@ def ingest(spark: SparkSession, pages: DataFrame, store_path: str, as_of: dt.dat
         kept = k if kept is None else kept.unionByName(k)
         bad = q if bad is None else bad.unionByName(q)
         seen = x if seen is None else seen.unionByName(x)
+    names = [f.name for f in feeds]
+    none = F.lit(None).cast("string")
+    lost = pages.where(F.col("feed").isNull() | ~F.col("feed").isin(names)).select(
+        F.lit(day).alias("day"), F.lit("unknown feed").alias("reason"), "feed", "symbol", none.alias("date_text"), F.col("url").alias("headline"))
+    bad = bad.unionByName(lost)
     items = kept.select("day", "symbol", "feed", "pos", "headline")
     try:
         store.upsert_days(spark, store_path, items, as_of, first_write)
         store.upsert_day_symbols(spark, symbols_path(store_path), seen, symbols_df(spark, list(symbols)))
-        if quarantine_path:
-            (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("day").parquet(quarantine_path))
+        (bad.withColumn("run", F.lit(as_of.strftime("%Y%m%dT%H%M%S.%f"))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("day", "run")
+         .parquet(quarantine_path or store_path.rstrip("/") + "_quarantine"))
     finally:
         for x in extracted_frames:
             x.unpersist()
@@ -149,11 +154,12 @@ def run(spark: SparkSession, landing: str, store_path: str, snapshot_path: str,
     stream = spark.readStream.schema(LANDED_PAGES).parquet(landing)
 
     def cycle(batch: DataFrame, batch_id: int) -> None:
-        as_of = batch.agg(F.max("landed_at")).first()[0]
-        if as_of is None:
-            return
-        ingest(spark, batch, store_path, as_of)
-        score(spark, store_path, snapshot_path, as_of, scorer)
+        # a backlog may hold several days: each page counts for the day it landed on
+        day = F.to_date("landed_at")
+        runs = batch.where("landed_at IS NOT NULL").groupBy(day.alias("day")).agg(F.max("landed_at").alias("as_of")).orderBy("day").collect()
+        for r in runs:
+            ingest(spark, batch.where(day == F.lit(r["day"])), store_path, r["as_of"])
+            score(spark, store_path, snapshot_path, r["as_of"], scorer)
 
     return run_cycle(stream, cycle, checkpoint, every, available_now)
 

@@ -221,9 +221,8 @@ def extract_headlines(pages: DataFrame, headline_css: str, date_css: str, symbol
     """EXT-4: items of every page from two CSS selectors, paired by position.
 
     Two single compounds (``tag.class``) run natively in the JVM; anything
-    else (descendant steps) runs through ``extract_css`` and the two match
-    lists are paired by grouping on (page, position), a group of at most two
-    rows.  Extra dates are ignored, a missing date is null (E5), pages
+    else (descendant steps) is matched page by page in one pass that also pairs
+    the two lists, so two landings of one page never mix and nothing shuffles.  Extra dates are ignored, a missing date is null (E5), pages
     without headlines produce no rows.
     """
     sym = host_of("url") if symbol is None else (F.col(symbol) if isinstance(symbol, str) else symbol)
@@ -232,11 +231,18 @@ def extract_headlines(pages: DataFrame, headline_css: str, date_css: str, symbol
         return extract_items(pages, element_texts("html", h1[0], tuple(sorted(h1[1]))),
                              element_texts("html", d1[0], tuple(sorted(d1[1]))), sym, feed)
     keyed = pages.select(id_col, sym.alias("symbol"), "html")
-    found = extract_css(keyed, {"h": headline_css, "d": date_css}, id_col=id_col, keep=("symbol",))
-    paired = (found.groupBy(id_col, "symbol", "pos")
-              .agg(F.max(F.when(F.col("selector") == "h", F.col("text"))).alias("headline"),
-                   F.max(F.when(F.col("selector") == "d", F.col("text"))).alias("date_text"),
-                   F.max((F.col("selector") == "h").cast("int")).alias("_has_h"))
-              .where(F.col("_has_h") == 1))
-    return paired.select(id_col, "symbol", F.lit(feed).cast("string").alias("feed"), "pos", "date_text",
-                         "headline")
+    parsed = [("h", parse_selector(headline_css)), ("d", parse_selector(date_css))]
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for rec in pdf.itertuples(index=False):
+                texts: dict[str, list] = {"h": [], "d": []}
+                for name, text in select_texts(rec.html, parsed):
+                    texts[name].append(text)
+                rows += [(getattr(rec, id_col), rec.symbol, n, texts["d"][n] if n < len(texts["d"]) else None, h)
+                         for n, h in enumerate(texts["h"])]
+            yield pd.DataFrame(rows, columns=[id_col, "symbol", "pos", "date_text", "headline"]).astype({"pos": "int64"})
+    found = keyed.mapInPandas(run, T.StructType([keyed.schema[id_col], T.StructField("symbol", T.StringType()), T.StructField("pos", T.LongType()),
+                                                 T.StructField("date_text", T.StringType()), T.StructField("headline", T.StringType())]))
+    return found.select(id_col, "symbol", F.lit(feed).cast("string").alias("feed"), "pos", "date_text", "headline")

@@ -51,8 +51,14 @@ def distinct_headlines(df: DataFrame, keys=KEY) -> DataFrame:
 
 
 def novel(batch: DataFrame, stored: DataFrame, keys=KEY) -> DataFrame:
-    """JN-2: batch rows whose key is not in ``stored`` (null keys never match)."""
-    return batch.join(stored.select(*keys).distinct(), list(keys), "left_anti")
+    """JN-2: batch rows whose key is not in ``stored``; null equals null, so a
+    row with a null key is not added again by every run."""
+    known = stored.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    same = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        same = c if same is None else same & c
+    return batch.join(known, same, "left_anti")
 
 
 def to_record(df: DataFrame, as_of) -> DataFrame:

@@ -28,14 +28,15 @@ def net_score(labelled: DataFrame, universe: DataFrame | None = None,
     """AGG-1 / AGG-2 / FLT-6: sum of labels per (day, symbol).
 
     With ``universe`` every (day, symbol) of it is kept, 0 when it has no
-    headlines.  ``only_unprocessed`` scores rows not yet processed only.
+    headlines, next to every scored one.  ``only_unprocessed`` scores rows not yet processed only.
     """
     src = unprocessed(labelled) if only_unprocessed else labelled
     agg = src.groupBy("day", "symbol").agg(F.sum(label_col).cast("long").alias("score"))
     if universe is None:
         return agg
     extra = [c for c in universe.columns if c not in ("day", "symbol")]
-    return (universe.join(agg, ["day", "symbol"], "left")
+    # a scored symbol that the universe lacks stays in the ranking
+    return (universe.join(agg, ["day", "symbol"], "full")
             .select("day", "symbol", *extra, F.coalesce("score", F.lit(0).cast("long")).alias("score")))
 
 

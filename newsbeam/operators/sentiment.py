@@ -175,7 +175,8 @@ def apply_labels(records: DataFrame, labels: DataFrame, mode: str = "all",
     order = [c for c in ("created", "pos") if c in records.columns]
     if mode == "all":
         ident = [c for c in identity if c in records.columns]
-        lab = labels.select(*ident, F.col("label").alias("_label"))
+        # copies share an identity (keep_all): one label each, so the join adds no rows
+        lab = labels.groupBy(*ident).agg(F.max("label").alias("_label"))
         j = _null_safe_join(records, lab, ident, "left")
     elif mode == "first_match":
         last = labels.groupBy(*MATCH).agg(F.max_by("label", F.struct(*order)).alias("_label"))

@@ -20,7 +20,7 @@ from ..functions.dates import snapshot_time_text
 from ..functions.text import host_of
 from ..session import materialize, run_dir, staged
 from ..sources import store
-from ..sources.fixtures import (FIXTURE_AS_OF, FIXTURE_DAY, headline_records,
+from ..sources.fixtures import (FIXTURE_AS_OF, FIXTURE_DAY, document_answers, headline_records,
                                 headlines_view, recorded_answers)
 from ..sources.tables import read_day, read_pages, read_table
 
@@ -53,7 +53,8 @@ def _feeds(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir, records=None):
-    records = records if records is not None else _records(spark, sf_dir, shared=True)
+    # not staged: scores need no text, and staging would read and write it all
+    records = records if records is not None else _records(spark, sf_dir)
     scorer = op.RecordedScorer(recorded_answers(spark, sf_dir), on="doc_id")
     return op.label_headlines(records, scorer, "exact")
 
@@ -242,7 +243,7 @@ def parse_answer_q(spark, sf_dir):
 
 def _label(mode):
     def q(spark, sf_dir):
-        ans = recorded_answers(spark, sf_dir)
+        ans = document_answers(spark, sf_dir)
         dotted = F.concat("answer", F.when(F.col("doc_id") % 5 == 0, F.lit(".")).otherwise(F.lit("")))
         return ans.select("doc_id", dotted.alias("answer")).withColumn("label", to_label("answer", mode))
     q.__name__ = f"label_{mode}"
@@ -330,7 +331,7 @@ def sql_rank_scores_q(spark, sf_dir):
           FROM labels),
         scores AS (
           SELECT h.day, h.symbol, CAST(sum(nb_label(ans.answer)) AS BIGINT) AS score
-          FROM h LEFT JOIN ans ON h.doc_id = ans.doc_id
+          FROM h LEFT JOIN ans ON h.src_id = ans.doc_id
           GROUP BY h.day, h.symbol)
         SELECT CAST(day AS STRING) AS day,
                CAST(row_number() OVER (PARTITION BY day ORDER BY score DESC, symbol) AS INT) AS rank,

@@ -58,13 +58,13 @@ HOST = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1)"
 
 H = f"""
 h0 AS (
-  SELECT d.doc_id,
-         CASE WHEN (d.doc_id // 20) % 2 = 0 THEN 'A' ELSE 'B' END AS feed,
+  SELECT e.event_id AS doc_id, d.doc_id AS src_id,
+         CASE WHEN (e.event_id // 20) % 2 = 0 THEN 'A' ELSE 'B' END AS feed,
          d.source AS symbol,
-         {strip("split_part(d.text, chr(10), 1)")} AS headline,
+         {strip("d.text")} AS headline,
          e.ts AS seen_at,
          CAST(e.ts AS DATE) AS day
-  FROM documents d JOIN events e ON d.doc_id = e.event_id),
+  FROM documents d JOIN events e ON d.doc_id = (e.event_id // 3) % (SELECT max(doc_id) + 1 FROM documents)),
 hl AS (SELECT day, max(seen_at) AS latest FROM h0 GROUP BY day),
 h1 AS (
   SELECT h0.*, strftime(h0.seen_at, '%b %d, %Y') AS day_text,
@@ -83,8 +83,9 @@ BF AS (SELECT * FROM (SELECT B.*, row_number() OVER (PARTITION BY day, symbol, h
                       FROM B) WHERE rn = 1),
 NOVEL AS (SELECT * FROM BF WHERE NOT EXISTS (
             SELECT 1 FROM A WHERE A.day = BF.day AND A.symbol = BF.symbol AND A.headline = BF.headline)),
-ANS AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive'
-                            ELSE 'neutral' END AS answer FROM labels),
+ANS AS (SELECT e.event_id AS doc_id, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive'
+                                         ELSE 'neutral' END AS answer
+        FROM labels l JOIN events e ON l.doc_id = (e.event_id // 3) % (SELECT max(doc_id) + 1 FROM documents)),
 LAB AS (SELECT H.*, ANS.answer,
                CAST(CASE WHEN ANS.answer = 'negative' THEN -1 WHEN ANS.answer = 'positive' THEN 1 ELSE 0 END
                     AS INTEGER) AS label

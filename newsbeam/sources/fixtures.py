@@ -1,9 +1,10 @@
 """Binding of the engine's inputs to the driver tables.
 
-View H (synthetic headlines): ``documents`` joined to ``events`` on
-``doc_id = event_id``, one row per document.  ``feed`` alternates in blocks
-of 20 ids, ``symbol`` is the document source, ``headline`` the stripped
-first line, ``seen_at`` the event time.  ``age_text`` renders the whole
+View H (synthetic headlines): one row per row of ``events``; event ``e`` shows
+the document ``src_id = (e div 3) modulo (largest doc_id + 1)``, so every event
+and every document takes part and headlines repeat within and across feeds.  ``doc_id`` is the row's id (the event's), ``feed``
+alternates in blocks of 20 ids, ``symbol`` is the document source, ``headline``
+the stripped text, all of it, ``seen_at`` the event time.  ``age_text`` renders the whole
 minutes to the latest ``seen_at`` of the same day the way feed A prints
 ages.  The per-day latest time is a grouped aggregate (partial max per map
 task) broadcast back to the rows: it holds one row per calendar day of the
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.answers import NEGATIVE, NEUTRAL, POSITIVE
 from ..functions.dates import as_of_lit, day_key_text
-from ..functions.text import first_line, strip_ws
+from ..functions.text import strip_ws
 from .tables import read_table
 
 # fixed as_of used by fixture-bound queries, so results do not depend on the clock
@@ -38,21 +39,26 @@ def age_text(minutes) -> F.Column:
             .otherwise(F.concat(F.floor(m / 60).cast("string"), F.lit(" hours ago"))))
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, src_id, seen_at)``: every event with the document it shows."""
+    n = read_table(spark, sf_dir, "documents").agg((F.max("doc_id") + 1).alias("n")).scalar()
+    return read_table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("doc_id"), F.pmod(F.expr("event_id div 3"), n).alias("src_id"), F.col("ts").alias("seen_at"))
+
+
 def headlines_view(spark: SparkSession, sf_dir: str, ages: bool = False) -> DataFrame:
     """View H.  ``ages=True`` adds ``age_min`` / ``age_text``, which cost one
     more pass (the per-day latest time); keys that do not print ages skip it."""
     docs = read_table(spark, sf_dir, "documents").select(
-        "doc_id",
+        F.col("doc_id").alias("src_id"),
         F.col("source").alias("symbol"),
-        strip_ws(first_line("text")).alias("headline"),
+        strip_ws("text").alias("headline"),
     )
-    events = read_table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("doc_id"), F.col("ts").alias("seen_at"))
-    h = (docs.join(events, "doc_id")
+    h = (docs.join(_events(spark, sf_dir), "src_id")
          .withColumn("feed", F.when(F.expr("doc_id div 20") % 2 == 0, F.lit("A")).otherwise(F.lit("B")))
          .withColumn("day", F.to_date("seen_at"))
          .withColumn("day_text", day_key_text("seen_at")))
-    cols = ["doc_id", "feed", "symbol", "headline", "seen_at", "day", "day_text"]
+    cols = ["doc_id", "src_id", "feed", "symbol", "headline", "seen_at", "day", "day_text"]
     if not ages:
         return h.select(*cols)
     latest = h.groupBy("day").agg(F.max("seen_at").alias("_latest"))
@@ -77,6 +83,12 @@ def headline_records(h: DataFrame, as_of=FIXTURE_AS_OF) -> DataFrame:
 
 
 def recorded_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known answers per row of H, those of its document."""
+    answers = document_answers(spark, sf_dir).withColumnRenamed("doc_id", "src_id")
+    return _events(spark, sf_dir).select("doc_id", "src_id").join(answers, "src_id").select("doc_id", "answer")
+
+
+def document_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known answers per document from ``labels``: toxic first, then quality."""
     return read_table(spark, sf_dir, "labels").select(
         "doc_id",

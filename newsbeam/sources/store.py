@@ -111,16 +111,17 @@ def upsert_day_symbols(spark: SparkSession, path: str, seen: DataFrame, order: D
 
 def append_snapshot(ranked: DataFrame, path: str, as_of) -> None:
     """SNK-4: add one score snapshot ``(created, day, rank, symbol, score)``."""
-    run_key = F.date_format(as_of_lit(as_of), "yyyyMMdd'T'HHmmss")
+    run_key = F.date_format(as_of_lit(as_of), "yyyyMMdd'T'HHmmss.SSSSSS")
     (ranked.select(as_of_lit(as_of).alias("created"), "day", "rank", "symbol", "score")
      .withColumn("run", run_key)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run").parquet(path))
+     .partitionBy("run", "day").parquet(path))
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """All snapshots; none written yet gives an empty frame (E19)."""
     cols = [f.name for f in SCORES_SNAPSHOT.fields]
-    return spark.read.parquet(path).select(*cols)
+    return _read_or_empty(spark, path, SCORES_SNAPSHOT).select(*cols)
 
 
 def store_path(base: str, name: str) -> str:

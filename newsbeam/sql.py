@@ -126,6 +126,7 @@ def register_views(spark: SparkSession, store_path: str | None = None,
             if os.path.exists(os.path.join(sf_dir, f"{t}.parquet")):
                 read_table(spark, sf_dir, t).createOrReplaceTempView(t)
                 names.append(t)
-        headlines_view(spark, sf_dir, ages=True).createOrReplaceTempView("h")
-        names.append("h")
+        headlines_view(spark, sf_dir).createOrReplaceTempView("h")
+        headlines_view(spark, sf_dir, ages=True).createOrReplaceTempView("h_ages")
+        names += ["h", "h_ages"]
     return names

@@ -157,11 +157,13 @@ def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
             items = batch_df.drop(EVENT_TIME)
             store.upsert_days(spark, store_path, items, as_of)
             stored = store.read_store(spark, store_path).join(day_set(items), "day", "left_semi")
+            known = day_symbols(stored)  # before the filter, and staged: the store is rewritten below
             if only_unprocessed:  # score only what earlier batches did not
                 stored = stored.where(~F.col("processed"))
-            with staged(label_headlines(stored, scorer, label_mode), "cycle-labels") as labelled:
+            with (staged(known, "cycle-symbols") as universe,
+                  staged(label_headlines(stored, scorer, label_mode), "cycle-labels") as labelled):
                 store.write_labels(spark, store_path, labelled, write_back)
-                ranked = rank_scores(net_score(labelled, day_symbols(labelled)))
+                ranked = rank_scores(net_score(labelled, universe))
                 store.append_snapshot(ranked, snapshot_path, as_of)
         finally:
             batch_df.unpersist()

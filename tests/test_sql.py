@@ -26,7 +26,7 @@ def test_sql_functions_match_columns(spark):
              nb_label(CASE WHEN doc_id % 3 = 0 THEN 'negative' ELSE 'positive.' END) AS l1,
              nb_label_contains(CASE WHEN doc_id % 3 = 0 THEN 'negative' ELSE 'positive.' END) AS l2,
              nb_lexicon_answer(headline) AS lx, nb_element_text(concat('<b>', headline, ' &amp;</b>')) AS et
-      FROM h""")
+      FROM h_ages""")
     h = spark.table("h")
     ans = F.when(F.col("doc_id") % 3 == 0, F.lit("negative")).otherwise(F.lit("positive."))
     by_col = h.select(
