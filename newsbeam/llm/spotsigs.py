@@ -73,18 +73,20 @@ def edited_fingerprints(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     """``docs(doc_id, text)`` -> per row doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next."""
     raw = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.md5("text"))
-    whole = raw.groupBy("doc_id", "tie").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    ids = raw.select("doc_id", "tie", F.length("text").alias("n_chars")).distinct()
+    # one key that is never null, so that grouping and both joins share one shuffle of the texts
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("tie"))
+    whole = raw.withColumn("key", key).groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    ids = raw.select("doc_id", "tie", F.length("text").alias("n_chars")).distinct().withColumn("key", key)
     order = [F.col("doc_id").desc_nulls_last(), F.col("tie")]
-    ring = stage(successors(ids, order, ["doc_id", "tie", "n_chars"], ["doc_id", "tie"]), "ring")
-    # the neighbour hands over the piece that its predecessor needs and its own signatures
-    need = ring.select(F.col("doc_id").alias("to_id"), F.col("tie").alias("to_tie"), F.expr("n_chars div 3").alias("need"), "next_doc_id", "next_tie")
-    given = (need.join(whole, F.expr("next_doc_id <=> doc_id AND next_tie = tie"))
-             .select("to_id", "to_tie", F.expr("left(text, need)").alias("piece"), signatures(F.col("text"), chain).alias("next_sigs")))
-    own = whole.join(given, F.expr("doc_id <=> to_id AND tie = to_tie")).select("doc_id", "text", "copies", "piece", "next_sigs")
+    ring = stage(successors(ids, order, ["doc_id", "key", "n_chars"], ["key"]), "ring")
+    # the neighbour hands over the piece that its predecessor needs and its own signatures;
+    # both sides read the same columns of ``whole`` (hence copies > 0), so its shuffle is made once
+    need = ring.select("doc_id", F.col("key").alias("to_key"), F.expr("n_chars div 3").alias("need"), "next_key")
+    given = (need.join(whole, F.expr("next_key = key")).where("copies > 0")
+             .select("doc_id", "to_key", F.expr("left(text, cast(need as int))").alias("piece"), signatures(F.col("text"), chain).alias("next_sigs")))
+    own = whole.join(given, F.expr("key = to_key")).select("doc_id", "text", "copies", "piece", "next_sigs")
     own = own.withColumn("n_chars", F.length("text").cast("long")).withColumn("sigs", signatures(F.col("text"), chain))
     # of several equal rows all but one are followed by their own copy
-    m = F.expr("cast(n_chars div 3 as int)")
     turns = F.array(F.struct(F.col("piece").alias("piece"), F.col("next_sigs").alias("next_sigs"), F.lit(1).cast("long").alias("rows")),
                     F.struct(F.expr("left(text, cast(n_chars div 3 as int))").alias("piece"), F.col("sigs").alias("next_sigs"), (F.col("copies") - 1).alias("rows")))
     own = own.select("doc_id", "text", "n_chars", "sigs", F.explode(F.filter(turns, lambda t: t["rows"] > 0)).alias("t"))
