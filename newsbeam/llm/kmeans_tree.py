@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by a hierarchical k-means tree (operator 10).
 
 The tree is fitted on a bounded sample (``FIT_ROWS`` rows, the smallest hashes of
-vec_id): k-means splits a node into ``BRANCH`` children until a node holds
+vec_id): k-means splits a node into up to ``BRANCH`` children until a node holds
 ``LEAF_ROWS`` sample rows.  Every row is then indexed under the leaf it descends
 to.  A query walks the tree best bin first: a priority queue holds the open nodes
 by the inner product of query and centroid, the best one is opened next, and
@@ -44,6 +44,7 @@ CALIBRATION = 200
 RECALL = 0.98
 BLOCK = 4096
 K = 20
+TIES = 100_000  # candidates whose exact scores are held at once
 
 
 def _means(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -70,7 +71,8 @@ class Tree:
             node, rows = todo.pop()
             if len(rows) <= leaf_rows or not np.ptp(x[rows], axis=0).any():
                 continue
-            c = _means(x[rows], min(branch, len(rows)), rng)
+            # as few children as leave leaves of leaf_rows, so leaves are not slivers
+            c = _means(x[rows], min(branch, max(2, -(-len(rows) // leaf_rows))), rng)
             near = np.argmin((c * c).sum(1)[None, :] - 2 * x[rows] @ c.T, axis=1)
             used = np.unique(near)
             if len(used) < 2:
@@ -117,26 +119,37 @@ class Tree:
 
 
 def _matrix(col) -> np.ndarray:
-    return np.asarray(col.tolist(), dtype=np.float64) if len(col) else np.zeros((0, 0))
+    return np.vstack(col.to_numpy()).astype(np.float64, copy=False) if len(col) else np.zeros((0, 0))
 
 
 def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
     """Exact top ``k`` of ``x`` per query: largest inner product, ties to the smaller id, never the own id."""
-    out: list[tuple] = []
+    parts: list[tuple] = []
     if len(ids):
         rough = q @ x.T
-        for i, qid in enumerate(q_ids.tolist()):
-            row = np.where(ids == qid, -np.inf, rough[i])
-            if len(row) > k:
-                edge = np.partition(row, len(row) - k)[len(row) - k]
-                some = np.flatnonzero(row >= edge - 1e-9 * max(1.0, abs(edge))) if np.isfinite(edge) else np.arange(len(row))
-            else:
-                some = np.arange(len(row))
-            some = some[ids[some] != qid]
-            score = (x[some] * q[i]).sum(axis=1)
-            top = np.lexsort((ids[some], -score))[:k]
-            out += [(qid, int(ids[some[t]]), float(score[t])) for t in top]
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+        rough[q_ids[:, None] == ids[None, :]] = -np.inf
+        if len(ids) > k:
+            edge = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k]
+            some = rough >= np.where(np.isfinite(edge), edge - 1e-9 * np.maximum(1.0, np.abs(edge)), -np.inf)[:, None]
+        else:
+            some = np.ones(rough.shape, bool)
+        some &= np.isfinite(rough)
+        # equal vectors can make many ties: rows are taken in runs of bounded size
+        ahead = np.cumsum(some.sum(1))
+        lo = 0
+        while lo < len(q):
+            hi = max(lo + 1, int(np.searchsorted(ahead, (ahead[lo - 1] if lo else 0) + TIES, "right")))
+            r, c = np.nonzero(some[lo:hi])
+            r += lo
+            score = (x[c] * q[r]).sum(axis=1)
+            order = np.lexsort((ids[c], -score, r))
+            r, c, score = r[order], c[order], score[order]
+            place = np.arange(len(r)) - np.searchsorted(r, r)
+            keep = place < k
+            parts.append((q_ids[r[keep]], ids[c[keep]], score[keep]))
+            lo = hi
+    cols = [np.concatenate([p[j] for p in parts]) if parts else [] for j in range(3)]
+    return pd.DataFrame(dict(zip(["query_id", "vec_id", "score"], cols, strict=True))).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
 
 def usable(vectors: DataFrame) -> DataFrame:
