@@ -4,12 +4,12 @@ from .extract import (attr_values, element_html, element_texts, extract_css,  #
                       extract_headlines, extract_items, unpaired_items, zip_items)
 from .lookup import lookup_slug, seed_urls, unknown_symbols  # noqa: F401
 from .merge import (align_records, combine_feeds, distinct_headlines,  # noqa: F401
-                    first_occurrence, merge_day, merge_symbol_maps, novel, to_record)
+                    first_occurrence, merge_day, merge_symbol_maps, merge_symbol_rows, novel, to_record)
 from .nest import day_documents, nest_day, unnest_day  # noqa: F401
 from .recency import (classify_age, is_recent, is_same_day,  # noqa: F401
                       nonempty_symbols, split_recent)
 from .scoring import (day_symbols, net_score, rank_scores, snapshot_map,  # noqa: F401
                       snapshot_rows, unprocessed)
 from .sentiment import (LexiconScorer, PandasScorer, RecordedScorer,  # noqa: F401
-                        apply_labels, conversation_messages, generate_answers, label_headlines,
+                        apply_labels, conversation_messages, conversation_turns, generate_answers, label_headlines,
                         lexicon_model, raw_answers, score_headlines, to_messages_frame)

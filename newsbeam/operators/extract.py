@@ -209,27 +209,17 @@ def extract_css(pages: DataFrame, selectors: dict[str, str], id_col: str = "page
     return src.mapInPandas(run, schema)
 
 
-def _single_compound(sel: str):
-    steps = parse_selector(sel)
-    if len(steps) == 1 and steps[0][0] is not None:
-        return steps[0]
-    return None
-
-
 def extract_headlines(pages: DataFrame, headline_css: str, date_css: str, symbol=None,
                       feed: str | None = None, id_col: str = "page_id") -> DataFrame:
     """EXT-4: items of every page from two CSS selectors, paired by position.
 
-    Two single compounds (``tag.class``) run natively in the JVM; anything
-    else (descendant steps) is matched page by page in one pass that also pairs
-    the two lists, so two landings of one page never mix and nothing shuffles.  Extra dates are ignored, a missing date is null (E5), pages
-    without headlines produce no rows.
+    Every selector is matched page by page in one pass that also pairs the two
+    lists, so two landings of one page never mix and nothing shuffles, and the
+    answer does not depend on the selector's shape (``extract_items`` is the
+    native form for markup known to be plain).  Extra dates are ignored, a
+    missing date is null (E5), pages without headlines produce no rows.
     """
     sym = host_of("url") if symbol is None else (F.col(symbol) if isinstance(symbol, str) else symbol)
-    h1, d1 = _single_compound(headline_css), _single_compound(date_css)
-    if h1 and d1:
-        return extract_items(pages, element_texts("html", h1[0], tuple(sorted(h1[1]))),
-                             element_texts("html", d1[0], tuple(sorted(d1[1]))), sym, feed)
     keyed = pages.select(id_col, sym.alias("symbol"), "html")
     parsed = [("h", parse_selector(headline_css)), ("d", parse_selector(date_css))]
 

@@ -128,3 +128,22 @@ def merge_symbol_maps(stored: DataFrame, batch: DataFrame) -> DataFrame:
         F.min(merged_text).alias("min_headline"),
         F.max(merged_text).alias("max_headline"),
     )
+
+
+def merge_symbol_rows(stored: DataFrame, batch: DataFrame, universe: DataFrame | None = None) -> DataFrame:
+    """JN-3, the merged map itself in long form ``(day, symbol, headline, origin)``.
+
+    ``origin`` is ``stored`` (every stored copy) or ``added`` (first copies new
+    to their day).  A (day, symbol) of ``universe`` that neither side holds is
+    the map's empty list: one row with null headline and origin.
+    """
+    added = novel(first_occurrence(batch), stored)
+    rows = (stored.select(*KEY, F.lit("stored").alias("origin"))
+            .unionByName(added.select(*KEY, F.lit("added").alias("origin"))))
+    if universe is None:
+        return rows
+    # a symbol of either side has rows, so its presence is read off the inputs, without their text
+    pairs = stored.select("day", "symbol").unionByName(batch.select("day", "symbol")).distinct()
+    empty = universe.select("day", "symbol").distinct().join(pairs, ["day", "symbol"], "left_anti")
+    none = F.lit(None).cast("string")
+    return rows.unionByName(empty.select("day", "symbol", none.alias("headline"), none.alias("origin")))

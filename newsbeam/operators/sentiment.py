@@ -14,15 +14,14 @@ reference's language model and do not reproduce its outputs.
 
 from __future__ import annotations
 
-from typing import Callable
+import re
+from typing import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.answers import (NEGATIVE, NEUTRAL, parse_answer_py,
-                                 render_prompt_py, to_label)
+from ..functions.answers import NEGATIVE, NEUTRAL, parse_answer, render_prompt, to_label
 
 # The stand-in lexicon of negative words (lower case, whole words).
 NEGATIVE_WORDS = ("trash", "scum", "idiot", "clown", "worthless",
@@ -68,13 +67,12 @@ class LexiconScorer:
 
 
 def lexicon_model(words=NEGATIVE_WORDS) -> Callable[[], Callable[[pd.Series], pd.Series]]:
-    """Factory of a stand-in "model": generated text = prompt + answer word."""
-    pattern = lexicon_pattern(words)
-
-    def build():
-        import regex  # Unicode classes like the JVM side
+    """Factory of a stand-in "model": generated text = prompt + answer word.
+    It writes one word whatever the length limit."""
+    alt = "|".join(words)
 
-        rx = regex.compile(pattern)
+    def build(max_length: int | None = None):
+        rx = re.compile(rf"(?<!\w)(?:{alt})(?!\w)")  # Unicode word edges, as on the JVM side
 
         def generate(prompts: pd.Series) -> pd.Series:
             return prompts.map(lambda p: None if p is None else
@@ -83,10 +81,24 @@ def lexicon_model(words=NEGATIVE_WORDS) -> Callable[[], Callable[[pd.Series], pd
     return build
 
 
+def _generated(prompt, factory, max_length: int):
+    """The model's text for a prompt column: only the prompts travel to Python,
+    in Arrow batches.  Marked non-deterministic so that no plan runs the model
+    twice for one row."""
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        generate = factory(max_length)
+        for prompts in batches:
+            yield generate(prompts)
+    return run.asNondeterministic()(prompt)
+
+
 class PandasScorer:
-    """A model run over Arrow batches: ``factory()`` is called once per task
-    and returns ``generate(prompts: Series) -> Series`` of generated text.
-    The answer is the text after the ``Answer: `` marker (null without it).
+    """A model run over Arrow batches: ``factory(max_length)`` is called once per
+    task and returns ``generate(prompts: Series) -> Series`` of generated text;
+    ``max_length`` is the model's generation limit.  Prompts are rendered and
+    answers parsed as native columns around it; the answer is the text after
+    the ``Answer: `` marker (null without it).
     """
 
     def __init__(self, factory, max_length: int = 512, partitions: int | None = None):
@@ -97,34 +109,17 @@ class PandasScorer:
         self.partitions = partitions
 
     def score(self, df: DataFrame, text_col: str = "headline") -> DataFrame:
-        schema = T.StructType(df.schema.fields + [T.StructField("answer", T.StringType())])
-        factory = self.factory
         if self.partitions:
             df = df.repartition(self.partitions)
+        gen = _generated(render_prompt(text_col), self.factory, self.max_length)
+        return df.withColumn("answer", parse_answer(gen))
 
-        def run(batches):
-            generate = factory()
-            for pdf in batches:
-                prompts = pdf[text_col].map(lambda t: None if t is None else render_prompt_py(t))
-                gen = generate(prompts)
-                yield pdf.assign(answer=gen.map(parse_answer_py))
-
-        return df.mapInPandas(run, schema)
 
-
-def generate_answers(prompts: DataFrame, factory, prompt_col: str = "prompt") -> DataFrame:
+def generate_answers(prompts: DataFrame, factory, prompt_col: str = "prompt", max_length: int = 512) -> DataFrame:
     """UDF-2 + UDF-3 on prompts that are already rendered (a prompt file):
     adds the model's ``generated`` text and the parsed ``answer``."""
-    schema = T.StructType(prompts.schema.fields + [T.StructField("generated", T.StringType()),
-                                                   T.StructField("answer", T.StringType())])
-
-    def run(batches):
-        generate = factory()
-        for pdf in batches:
-            gen = generate(pdf[prompt_col])
-            yield pdf.assign(generated=gen, answer=gen.map(parse_answer_py))
-
-    return prompts.mapInPandas(run, schema)
+    out = prompts.withColumn("generated", _generated(F.col(prompt_col), factory, max_length))
+    return out.withColumn("answer", parse_answer("generated"))
 
 
 def score_headlines(df: DataFrame, scorer, text_col: str = "headline") -> DataFrame:
@@ -198,6 +193,13 @@ def to_messages_frame(df: DataFrame, text_col: str = "text", system: str | None
     return df.withColumn("messages", to_messages(text_col, system or SYSTEM_CONTENT))
 
 
+def conversation_turns(conv: DataFrame, id_col: str = "conv_id", turn_col: str = "turn") -> DataFrame:
+    """UDF-7 over a conversation table in long form: one message per row
+    ``(id, turn, role, content)``, ordered by ``turn`` within ``id``; no list, so
+    a conversation may have any number of turns and nothing is shuffled."""
+    return conv.select(id_col, turn_col, "role", F.col("text").alias("content"))
+
+
 def conversation_messages(conv: DataFrame, part_size: int = 64, id_col: str = "conv_id",
                           turn_col: str = "turn") -> DataFrame:
     """UDF-7 over a conversation table: the turns of a conversation as chat

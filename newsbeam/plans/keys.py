@@ -11,21 +11,26 @@ retention removes them.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions.answers import parse_answer, render_prompt, to_label
+from ..functions.collections import append, contains_value, field_of, has_key, map_get_or_empty
 from ..functions.dates import snapshot_time_text
 from ..functions.text import host_of
 from ..session import materialize, run_dir, staged
 from ..sources import store
 from ..sources.fixtures import (FIXTURE_AS_OF, FIXTURE_DAY, document_answers, headline_records,
                                 headlines_view, recorded_answers)
-from ..sources.tables import read_day, read_pages, read_table
+from ..sources.tables import read_day, read_pages, read_prompts, read_table
 
 DIM_REGIONS = ("AFRICA", "AMERICA", "ASIA")
 FIRST_DAY = "2024-01-01"
+EMPTY_DAY = dt.date(1999, 1, 1)  # no headlines
+SCALAR_SYMBOL = "src1"
 NEST_PART_SIZE = 100
 
 
@@ -200,6 +205,43 @@ def merge_symbol_maps_q(spark, sf_dir):
         _day(), "symbol", "n_stored", "n_added", "n_total", "min_headline", "max_headline")
 
 
+def merge_symbol_rows_q(spark, sf_dir):
+    """The merged map in full; event types stand for symbols without headlines."""
+    a, b = _feeds(spark, sf_dir)
+    universe = read_table(spark, sf_dir, "events").select(
+        F.to_date("ts").alias("day"), F.col("event_type").alias("symbol"))
+    return op.merge_symbol_rows(a, b, universe).select(_day(), "symbol", "headline", "origin")
+
+
+def write_empty_batch_q(spark, sf_dir):
+    """FLT-5: a run whose day has no items leaves the store as it is."""
+    a, b = _feeds(spark, sf_dir)
+    path = run_dir(spark, "empty-store")
+    store.write_day(a, path)
+    store.upsert_day(spark, path, b, EMPTY_DAY, FIXTURE_AS_OF)
+    return store.read_store(spark, path).select(_day(), "symbol", "feed", "pos", "headline", "processed")
+
+
+def nest_day_records_q(spark, sf_dir):
+    """Every record of the nested day document, in list order."""
+    nested = op.nest_day(_records(spark, sf_dir), NEST_PART_SIZE)
+    pos = F.transform("records", lambda r: r["pos"].cast("string"))
+    return nested.select(_day(), "symbol", "feed", "part", F.array_join(pos, ",").alias("positions"),
+                         F.array_join(field_of("records", "headline"), "\n").alias("headlines"))
+
+
+def day_document_scalars_q(spark, sf_dir):
+    """SCL-9..13 on the day documents: lookup of one symbol's list, its fields,
+    membership of a value and appending one."""
+    docs = op.day_documents(op.nest_day(_records(spark, sf_dir), NEST_PART_SIZE))
+    pos = field_of(map_get_or_empty("symbol_headlines", SCALAR_SYMBOL), "pos")
+    seventh = F.col("part") * NEST_PART_SIZE + 7
+    return docs.select(_day(), "feed", "part", has_key("symbol_headlines", SCALAR_SYMBOL).alias("has_symbol"),
+                       contains_value(pos, seventh).alias("holds_seventh"),
+                       F.array_join(F.transform(append(pos, F.lit(-1).cast("long")), lambda x: x.cast("string")), ",")
+                       .alias("positions"))
+
+
 def nest_day_q(spark, sf_dir):
     nested = op.nest_day(_records(spark, sf_dir), NEST_PART_SIZE)
     return nested.select(_day(), "symbol", "feed", "part",
@@ -282,6 +324,18 @@ def conversation_messages_q(spark, sf_dir):
     return m.select("conv_id", "part", F.size("messages").cast("long").alias("n_messages"), chat.alias("chat"))
 
 
+def conversation_turns_q(spark, sf_dir):
+    return op.conversation_turns(read_table(spark, sf_dir, "conversations")).select("conv_id", "turn", "role", "content")
+
+
+def read_prompts_q(spark, sf_dir):
+    """SRC-5 -> UDF-2 -> UDF-3: a prompt table written once and run through the model."""
+    path = run_dir(spark, "prompts")
+    read_table(spark, sf_dir, "documents").select(render_prompt("text").alias("prompt")).write.parquet(path)
+    out = op.generate_answers(read_prompts(spark, path, "parquet"), op.lexicon_model())
+    return out.select(F.md5("prompt").alias("prompt_md5"), "answer")
+
+
 def _apply(mode):
     def q(spark, sf_dir):
         records = _records(spark, sf_dir, shared=True)
@@ -384,6 +438,12 @@ def stream_cycle_q(spark, sf_dir):
     return snap.select(snapshot_time_text("created").alias("created"), _day(), "rank", "symbol", "score")
 
 
+def stream_cycle_runs_q(spark, sf_dir):
+    from ..streaming import cycle as streams
+    snap = streams.replay_cycle_runs(spark, sf_dir)
+    return snap.select(snapshot_time_text("created").alias("created"), _day(), "rank", "symbol", "score")
+
+
 def stream_daily_scores_q(spark, sf_dir):
     from ..streaming import cycle as streams
     return streams.replay_daily_scores(spark, sf_dir).select(_day(), "symbol", "score")
@@ -439,4 +499,11 @@ QUERIES = {
     "stream_drop_late": stream_drop_late_q,
     "stream_daily_scores": stream_daily_scores_q,
     "stream_cycle": stream_cycle_q,
+    "stream_cycle_runs": stream_cycle_runs_q,
+    "merge_symbol_rows": merge_symbol_rows_q,
+    "write_empty_batch": write_empty_batch_q,
+    "nest_day_records": nest_day_records_q,
+    "day_document_scalars": day_document_scalars_q,
+    "conversation_turns": conversation_turns_q,
+    "read_prompts": read_prompts_q,
 }

@@ -11,7 +11,7 @@ from ..functions.answers import ANSWER_MARKER, INPUT_PREFIX, INSTRUCTION, SYSTEM
 from ..functions.text import ENTITIES, WS_CLASS
 from ..operators.lookup import FEED_A_BASE, FEED_B_BASE
 from ..operators.sentiment import lexicon_pattern
-from .keys import CONV_PART_TURNS, DIM_REGIONS, FIRST_DAY, NEST_PART_SIZE
+from .keys import CONV_PART_TURNS, DIM_REGIONS, FIRST_DAY, NEST_PART_SIZE, SCALAR_SYMBOL
 
 AS_OF_TEXT = "2024-01-02 12:00:00"
 DAY = "DATE '2024-01-02'"
@@ -316,4 +316,46 @@ SELECT (SELECT strftime(max(seen_at), '%Y-%m-%d %H:%M:%S') FROM H) AS created, C
        CAST(row_number() OVER (PARTITION BY day ORDER BY score DESC, symbol) AS INTEGER) AS rank, symbol, score
 FROM FS"""),
     "stream_daily_scores": with_h("SELECT CAST(day AS VARCHAR) AS day, symbol, score FROM SCORES"),
+    "stream_cycle_runs": with_h("""
+, FA AS (SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY day, symbol, headline ORDER BY doc_id) AS rn
+                             FROM A) t WHERE rn = 1),
+RS AS (SELECT 'A' AS run, day, symbol, CAST(sum(label) AS BIGINT) AS score FROM LAB
+       WHERE doc_id IN (SELECT doc_id FROM FA) GROUP BY day, symbol
+       UNION ALL
+       SELECT 'B' AS run, day, symbol, CAST(sum(label) AS BIGINT) AS score FROM LAB
+       WHERE doc_id IN (SELECT doc_id FROM FA UNION ALL SELECT doc_id FROM NOVEL)
+         AND day IN (SELECT day FROM B) GROUP BY day, symbol),
+C AS (SELECT feed AS run, strftime(max(seen_at), '%Y-%m-%d %H:%M:%S') AS created FROM H GROUP BY feed)
+SELECT C.created, CAST(RS.day AS VARCHAR) AS day,
+       CAST(row_number() OVER (PARTITION BY RS.run, RS.day ORDER BY RS.score DESC, RS.symbol) AS INTEGER) AS rank,
+       RS.symbol, RS.score
+FROM RS JOIN C ON RS.run = C.run"""),
+    "merge_symbol_rows": with_h("""
+SELECT CAST(day AS VARCHAR) AS day, symbol, headline, 'stored' AS origin FROM A
+UNION ALL
+SELECT CAST(day AS VARCHAR) AS day, symbol, headline, 'added' AS origin FROM NOVEL
+UNION ALL
+SELECT CAST(day AS VARCHAR) AS day, symbol, CAST(NULL AS VARCHAR) AS headline, CAST(NULL AS VARCHAR) AS origin
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS day, event_type AS symbol FROM events) u
+WHERE NOT EXISTS (SELECT 1 FROM H WHERE H.day = u.day AND H.symbol = u.symbol)"""),
+    "write_empty_batch": with_h("""
+SELECT CAST(day AS VARCHAR) AS day, symbol, feed, doc_id AS pos, headline, false AS processed FROM A"""),
+    "nest_day_records": with_h(f"""
+SELECT CAST(day AS VARCHAR) AS day, symbol, feed, CAST(doc_id // {NEST_PART_SIZE} AS BIGINT) AS part,
+       string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS positions,
+       coalesce(string_agg(headline, chr(10) ORDER BY doc_id), '') AS headlines
+FROM H GROUP BY day, symbol, feed, doc_id // {NEST_PART_SIZE}"""),
+    "day_document_scalars": with_h(f"""
+SELECT CAST(day AS VARCHAR) AS day, feed, CAST(doc_id // {NEST_PART_SIZE} AS BIGINT) AS part,
+       bool_or(symbol = {q(SCALAR_SYMBOL)}) AS has_symbol,
+       bool_or(symbol = {q(SCALAR_SYMBOL)} AND doc_id % {NEST_PART_SIZE} = 7) AS holds_seventh,
+       coalesce(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) FILTER (symbol = {q(SCALAR_SYMBOL)}) || ',', '')
+       || '-1' AS positions
+FROM H GROUP BY day, feed, doc_id // {NEST_PART_SIZE}"""),
+    "conversation_turns": "SELECT conv_id, turn, role, text AS content FROM conversations",
+    "read_prompts": f"""
+SELECT md5(prompt) AS prompt_md5,
+       CASE WHEN prompt IS NULL THEN NULL WHEN regexp_matches(prompt, {q(lexicon_pattern())}) THEN 'negative'
+            ELSE 'neutral' END AS answer
+FROM (SELECT {PROMPT_SQL} AS prompt FROM (SELECT text AS headline FROM documents) d) p""",
 }

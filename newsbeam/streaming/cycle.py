@@ -283,3 +283,25 @@ def replay_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = run_cycle(stream, cycle, run_dir(spark, "cycle-ck"), available_now=True)
     q.awaitTermination()
     return store.read_snapshots(spark, snap_path)
+
+
+def replay_cycle_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recurring job over two landings: feed A lands and is processed, the
+    query stops, feed B lands, the query restarts from its checkpoint.  The
+    second run merges against the stored rows (headlines repeat across feeds),
+    scores the touched days again and adds its own snapshots."""
+    from ..operators.sentiment import RecordedScorer
+    from ..session import run_dir
+    from ..sources import store
+    from ..sources.fixtures import headlines_view, recorded_answers
+    rs = _replay_session(spark)
+    h = headlines_view(rs, sf_dir).select("day", "symbol", "feed", F.col("doc_id").alias("pos"), "headline", "seen_at")
+    answers = recorded_answers(rs, sf_dir).withColumnRenamed("doc_id", "pos")
+    src, ck = run_dir(spark, "runs-src"), run_dir(spark, "runs-ck")
+    store_path, snap_path = run_dir(spark, "runs-store"), run_dir(spark, "runs-snap")
+    cycle = make_cycle(rs, store_path, snap_path, RecordedScorer(answers, on="pos"))
+    for feed in ("A", "B"):
+        h.where(F.col("feed") == feed).write.mode("append").parquet(src)
+        stream = with_event_time(rs.readStream.schema(h.schema).parquet(src)).drop("seen_at")
+        run_cycle(stream, cycle, ck, available_now=True).awaitTermination()
+    return store.read_snapshots(spark, snap_path)

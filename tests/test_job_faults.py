@@ -44,3 +44,28 @@ def test_snapshots_of_two_days_with_one_run_time_both_stay(spark, tmp_path):
     for d in (DAY, dt.date(2024, 8, 6)):
         store.append_snapshot(spark.createDataFrame([(d, 1, "BTC", 2)], "day date, rank int, symbol string, score long"), path, at)
     assert store.read_snapshots(spark, path).select("day").distinct().count() == 2
+
+
+def test_merged_map_holds_every_headline_and_the_empty_lists(spark):
+    cols = "day date, symbol string, headline string, pos long"
+    stored = spark.createDataFrame([(DAY, "BTC", "a", 0), (DAY, "BTC", "a", 1)], cols)
+    batch = spark.createDataFrame([(DAY, "BTC", "a", 0), (DAY, "BTC", "b", 1), (DAY, "BTC", "b", 2), (DAY, None, "c", 3)], cols)
+    uni = spark.createDataFrame([(DAY, "BTC"), (DAY, "ETH")], "day date, symbol string")
+    got = sorted((str(r.symbol), str(r.headline), str(r.origin)) for r in op.merge_symbol_rows(stored, batch, uni).collect())
+    assert got == [("BTC", "a", "stored"), ("BTC", "a", "stored"), ("BTC", "b", "added"), ("ETH", "None", "None"),
+                   ("None", "c", "added")]
+
+
+def test_extraction_does_not_depend_on_the_selector_shape(spark):
+    html = "<body><!-- <p class='t'>no</p> --><p class='t'>a &rsquo; &mdash; &#8217; &eacute;</p></body>"
+    pages = spark.createDataFrame([(1, "http://x.com/a", html)], "page_id long, url string, html string")
+    for css in ("p.t", "body p.t"):
+        assert [r.headline for r in op.extract_headlines(pages, css, "div.d").collect()] == ["a ’ — ’ é"]
+
+
+def test_length_limit_reaches_the_model(spark):
+    def factory(max_length):
+        return lambda prompts: prompts + f"limit {max_length}"
+    df = spark.createDataFrame([("x", 1), (None, 2)], "headline string, k int")
+    got = {r.k: r.answer for r in op.score_headlines(df, op.PandasScorer(factory, max_length=77)).collect()}
+    assert got == {1: "limit 77", 2: None}
