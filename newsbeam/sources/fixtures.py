@@ -40,8 +40,10 @@ def age_text(minutes) -> F.Column:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, src_id, seen_at)``: every event with the document it shows."""
-    n = read_table(spark, sf_dir, "documents").agg((F.max("doc_id") + 1).alias("n")).scalar()
+    """``(doc_id, src_id, seen_at)``: every event with the document it shows.
+    The largest document id is one number, read by a job of its own (one row per
+    map task) before the plan is built, so that every key's plan holds it as a literal."""
+    n = F.lit((read_table(spark, sf_dir, "documents").agg(F.max("doc_id")).first()[0] or 0) + 1)
     return read_table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), F.pmod(F.expr("event_id div 3"), n).alias("src_id"), F.col("ts").alias("seen_at"))
 

@@ -39,7 +39,7 @@ def test_upsert_is_idempotent(spark):
     store.upsert_days(spark, path, b, AS_OF)
     n1 = store.read_store(spark, path).count()
     store.upsert_days(spark, path, b, AS_OF)
-    assert store.read_store(spark, path).count() == n1 == 500 + 474
+    assert store.read_store(spark, path).count() == n1 == 5000 + 1513
 
 
 def test_write_labels_and_snapshot(spark):
@@ -58,7 +58,7 @@ def test_write_labels_and_snapshot(spark):
     store.append_snapshot(ranked, snap, AS_OF)  # replay of the same run replaces it
     assert store.read_snapshots(spark, snap).count() == ranked.count()
     m = op.snapshot_map(store.read_snapshots(spark, snap)).collect()
-    assert len(m) == 3 and all(len(r.sentiments) == 20 for r in m)
+    assert len(m) == 30 and all(len(r.sentiments) == 20 for r in m)
 
 
 def test_read_day_prunes_partitions(spark):
@@ -105,15 +105,15 @@ def test_cycle_runs_over_a_stream(spark):
     q = streams.run_cycle(stream, cycle, run_dir(spark, "t-cycle-ck"), available_now=True)
     q.awaitTermination()
     stored = store.read_store(spark, store_path)
-    assert stored.count() == 966  # one batch: both feeds merged, repeats removed
+    assert stored.count() == 3356  # one batch: both feeds merged, repeats removed
     assert stored.where(~F.col("processed")).count() == 0
-    assert store.read_snapshots(spark, snap_path).count() == 60
+    assert store.read_snapshots(spark, snap_path).count() == 600
 
 
 def test_stream_equals_batch(spark):
     streamed = streams.replay_dedupe(spark, SF01)
     batch = headlines_view(spark, SF01).select("day", "symbol", "headline").distinct()
-    assert streamed.count() == 966
+    assert streamed.count() == 3356
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
 
@@ -141,7 +141,7 @@ def test_dedupe_by_store_is_exactly_once(spark):
     write(second, 1)
     got = spark.read.parquet(out)
     keys = h.select("day", "symbol", "headline").distinct()
-    assert got.count() == keys.count() == 966
+    assert got.count() == keys.count() == 3356
     assert got.select("day", "symbol", "headline").exceptAll(keys).count() == 0
 
 
@@ -161,4 +161,4 @@ def test_staged_copies_are_removed(spark):
     store.upsert_days(spark, path, recs.where("feed = 'B'"), AS_OF)
     after = {d for d in os.listdir(runs) if d.startswith("merge-")}
     assert after == before
-    assert store.read_store(spark, path).count() == 974
+    assert store.read_store(spark, path).count() == 6513
