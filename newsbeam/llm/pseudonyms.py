@@ -1,12 +1,14 @@
 """Format-preserving Feistel pseudonyms for personal data (operator 6, native).
 
-Found and validated in whole texts: payment card numbers (13 to 19 digits, in
-groups or not, right Luhn check digit), calendar dates (``2020-02-29``,
+Found and validated in whole texts: payment card numbers (13 to 19 digits in one
+run, or in groups of 4-4-4-4, 4-6-5 or 4-6-4; right Luhn check digit), calendar dates (``2020-02-29``,
 ``02/29/2020``; a month above 12 is read as the day) of the years 1900 to 2099,
 US social security numbers (no 000/666/9xx area, no zero group or serial),
 North American phone numbers, IPv4 addresses (octets up to 255), e-mail
-addresses and hexadecimal keys of 32 to 64 digits behind ``token``, ``key``,
-``secret`` or ``password``.  A number that fails its check stays as it is.
+addresses and credentials: runs of 8 or more ASCII letters and digits, with both,
+behind a word that ends in ``token``, ``key``, ``secret``, ``password``,
+``passwd`` or ``pwd`` and ``=`` or ``:``.  A number that fails its check stays as
+it is, and so does a hexadecimal digest without such a word.
 
 Each value is replaced by a keyed permutation of its own format: the value is
 split in two halves and each half in turn is shifted, inside its own alphabet or
@@ -17,7 +19,8 @@ every document and in every notation (``4111 1111 ...`` and ``41111111...``).
 The result is valid again: the card's check digit is computed anew, dates are
 permuted as day numbers 0..73048 (17 x 4297), social security numbers in
 898 x 99 x 9999.  Kept: the card's first digit, a phone's country code, first
-digits and a fictional 555 exchange, an e-mail's domain, all punctuation.
+digits and a fictional 555 exchange, an e-mail's domain, letters beyond ASCII,
+all punctuation; a hexadecimal credential stays one.
 
 A text is cut by one regular expression into pieces that cover it (matches,
 words, the rest), pieces are mapped and joined again, so all other characters
@@ -37,17 +40,18 @@ from .common import table
 ROUNDS = 8
 KEY = "newsbeam-demo-key"  # a deployment passes its own secret
 
-EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 PHONE = r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})"
 IPV4 = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
-HEXKEY = r"(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})"
+CARD = r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})"
+NAMED = r"[A-Za-z0-9]*(?i:token|key|secret|password|passwd|pwd)[\x22']? ?[=:] ?[\x22']?"  # the word before a credential
+SECRET = r"(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{8,}"
 _FREE = r"(?<![\p{L}\p{N}])"  # not inside a word
 _END = r"(?![\p{L}\p{N}])"
-PIECES = (rf"(?s){_FREE}(?:{EMAIL}|(?<=(?i:token|key|secret|password) ?[=:] ?[\x22']?){HEXKEY}{_END}|{PHONE}{_END}|{SSN}{_END}|{DATE}{_END}"
-          rf"|{IPV4}{_END}(?!\.[0-9])|{CARD}{_END})|[A-Za-z0-9]+|[+(]|[^A-Za-z0-9+(]+")
+PIECES = (rf"(?s){_FREE}(?:{EMAIL}|{NAMED}{SECRET}{_END}|{PHONE}{_END}|{SSN}{_END}|{DATE}{_END}"
+          rf"|{IPV4}{_END}(?!\.[0-9])|{CARD}{_END})|[\p{{L}}\p{{N}}]+|[+(]|[^\p{{L}}\p{{N}}+(]+")
 
 
 def _q(text: str) -> str:
@@ -61,15 +65,14 @@ def _let(value: str, name: str, body: str) -> str:
 
 def _shift(half: str, other: str, tag: str, radix: str) -> str:
     """``half`` with every character moved inside its own alphabet by a keyed digest of ``other``."""
-    stream = (f"array_join(transform(sequence(0, length({half}) div 32), b -> sha2(concat({tag}, '|', b, '|', {other}), 256)), '')")
-    k = "cast(conv(substring(st, 2 * j + 1, 2), 16, 10) as int)"
-    if radix == "hex":
-        one = (f"CASE WHEN c >= 'a' AND c <= 'f' OR c >= '0' AND c <= '9' THEN lower(hex((cast(conv(c, 16, 10) as int) + {k}) % 16)) "
-               f"WHEN c >= 'A' AND c <= 'F' THEN hex((cast(conv(c, 16, 10) as int) + {k}) % 16) ELSE c END")
+    stream = f"transform(sequence(0, length({half}) div 32), b -> sha2(concat({tag}, '|', b, '|', dg), 256))"
+    k = "cast(conv(substring(st[j div 32], 2 * (j % 32) + 1, 2), 16, 10) as int)"  # linear in the value's length
+    if radix == "hex":  # lower-case digits
+        one = f"lower(hex((cast(conv(c, 16, 10) as int) + {k}) % 16))"
     else:
         one = " ".join(["CASE"] + [f"WHEN c >= '{a}' AND c <= '{z}' THEN chr({ord(a)} + (ascii(c) - {ord(a)} + {k}) % {ord(z) - ord(a) + 1})"
                                    for a, z in ("09", "az", "AZ")] + ["ELSE c END"])
-    return _let(stream, "st", f"array_join(transform(split({half}, ''), (c, j) -> {one}), '')")
+    return _let(f"sha2({other}, 256)", "dg", _let(stream, "st", f"array_join(transform(split({half}, ''), (c, j) -> {one}), '')"))
 
 
 def _chars(s: str, kind: str, key: str, radix: str = "alnum") -> str:
@@ -142,7 +145,9 @@ def pseudonym_sql(p: str, key: str = KEY) -> str:
     ipv4 = _let("p", "ip0", o)
     local = "substring_index(p, '@', 1)"
     email = f"concat({_chars(local, 'email', key)}, '@', substring_index(p, '@', -1))"
-    hexkey = _chars("p", "hex", key, "hex")
+    hexed = _let(_chars("lower(v)", "hex", key, "hex"), "h", "CASE WHEN v = upper(v) THEN upper(h) ELSE h END")
+    secret = _let("regexp_extract(p, '[A-Za-z0-9]+$', 0)", "v", (
+        f"concat(left(p, length(p) - length(v)), CASE WHEN v RLIKE '^([0-9a-f]+|[0-9A-F]+)$' THEN {hexed} ELSE {_chars('v', 'secret', key)} END)"))
     digits = _let("regexp_replace(p, '[^0-9]', '')", "d", (
         f"CASE WHEN p RLIKE {_q('^' + SSN + '$')} THEN {ssn} "
         f"WHEN p RLIKE {_q('^' + PHONE + '$')} THEN {phone} "
@@ -150,7 +155,7 @@ def pseudonym_sql(p: str, key: str = KEY) -> str:
         f"WHEN p RLIKE {_q('^' + IPV4 + '$')} THEN {ipv4} "
         f"WHEN p RLIKE {_q('^' + CARD + '$')} THEN {card} ELSE p END"))
     expr = (f"CASE WHEN length(p) < 7 THEN p WHEN p RLIKE {_q('^' + EMAIL + '$')} THEN {email} "
-            f"WHEN p RLIKE {_q('^' + HEXKEY + '$')} AND p RLIKE '[a-fA-F]' THEN {hexkey} "
+            f"WHEN p RLIKE {_q('^' + NAMED + SECRET + '$')} THEN {secret} "
             f"WHEN p RLIKE '^[0-9+(][0-9+() ./-]+[0-9]$' THEN {digits} ELSE p END")
     return f"element_at(transform(array({p}), p -> {expr}), 1)" if p != "p" else expr
 

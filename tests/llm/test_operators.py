@@ -204,6 +204,23 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert out[1].n == 8 and out[3].text is None and out[4].text == "" and out[5].text == "\u0001 no digits"
 
 
+def test_pseudonyms_of_credentials_and_neighbours(spark):
+    digest = "0641917ea4e9feb9cda83477b57ac2654884f485"
+    rows = [f'token = "{digest}" and sha1 {digest}', f"password={digest.upper()}, api_key: Zx81Zx81q, key: words only, key=12345678",
+            "pay 12 4111 1111 1111 1111 34 or 3782 822463 10005", "¿ñandú.lee42@ex.org?", "key=4111111111111111", "pwd:" + "a1" * 30_000]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = [r.text for r in pseudonyms.pseudonymise(df).orderBy("doc_id").collect()]
+    new, kept = re.fullmatch(r'token = "([0-9a-f]{40})" and sha1 (.*)', got[0]).groups()
+    assert new != digest == kept
+    upper, word = re.fullmatch(r"password=([0-9A-F]{40}), api_key: ([A-Z][a-z]\d\d[A-Z][a-z]\d\d[a-z]), key: words only, key=12345678", got[1]).groups()
+    assert upper == new.upper() and word != "Zx81Zx81q"  # one credential, two notations
+    four, amex = re.fullmatch(r"pay 12 (4\d{3} \d{4} \d{4} \d{4}) 34 or (3\d{3} \d{6} \d{5})", got[2]).groups()
+    assert four != "4111 1111 1111 1111" and luhn(four.replace(" ", "")) and amex != "3782 822463 10005" and luhn(amex.replace(" ", ""))
+    assert re.fullmatch(r"¿ñ[a-z]{3}ú\.[a-z]{3}\d\d@ex\.org\?", got[3]) and got[3] != rows[3]
+    assert got[4] == "key=" + four.replace(" ", "")  # a card stays linked to itself
+    assert len(got[5]) == len(rows[5]) and got[5] != rows[5]
+
+
 def test_pseudonyms_are_one_to_one(spark):
     days = [(dt.date(1999, 1, 1) + dt.timedelta(k)).isoformat() for k in range(400)]
     ips = [f"10.0.{k // 250}.{k % 250}" for k in range(400)]
