@@ -1,6 +1,6 @@
 """The recurring job as Spark jobs: ingest, score, and the endless cycle.
 
-    spark-submit job.py seeds  --out U [--base-a A --base-b B]
+    spark-submit job.py seeds  --out U --base-a A --base-b B
     spark-submit job.py ingest --pages P --store S [--as-of T]
     spark-submit job.py score  --store S --snapshots N [--as-of T] [--only-unprocessed]
     spark-submit job.py run    --landing L --store S --snapshots N --checkpoint C
@@ -113,19 +113,22 @@ def ingest(spark: SparkSession, pages: DataFrame, store_path: str, as_of: dt.dat
     none = F.lit(None).cast("string")
     lost = pages.where(F.col("feed").isNull() | ~F.col("feed").isin(names)).select(
         F.lit(day).alias("day"), F.lit("unknown feed").alias("reason"), "feed", "symbol", none.alias("date_text"), F.col("url").alias("headline"))
-    bad = bad.unionByName(lost)
+    bad = bad.unionByName(lost).withColumn("run", F.lit(as_of.strftime("%Y%m%dT%H%M%S.%f")))
     items = kept.select("day", "symbol", "feed", "pos", "headline")
     try:
         store.upsert_days(spark, store_path, items, as_of, first_write)
         store.upsert_day_symbols(spark, symbols_path(store_path), seen, symbols_df(spark, list(symbols)))
-        (bad.withColumn("run", F.lit(as_of.strftime("%Y%m%dT%H%M%S.%f"))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("day", "run")
-         .parquet(quarantine_path or store_path.rstrip("/") + "_quarantine"))
+        write_quarantine(bad, quarantine_path or store_path.rstrip("/") + "_quarantine")
     finally:
         for x in extracted_frames:
             x.unpersist()
 
 
+def write_quarantine(rows: DataFrame, path: str) -> None:
+    """Rows that cannot be judged, kept per day and run (a replayed run replaces its own)."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "run").parquet(path)
+
+
 def symbols_path(store_path: str) -> str:
     return store_path.rstrip("/") + "_symbols"
 
@@ -156,8 +159,14 @@ def run(spark: SparkSession, landing: str, store_path: str, snapshot_path: str,
     def cycle(batch: DataFrame, batch_id: int) -> None:
         # a backlog may hold several days: each page counts for the day it landed on
         day = F.to_date("landed_at")
-        runs = batch.where("landed_at IS NOT NULL").groupBy(day.alias("day")).agg(F.max("landed_at").alias("as_of")).orderBy("day").collect()
+        runs = batch.groupBy(day.alias("day")).agg(F.max("landed_at").alias("as_of")).orderBy("day").collect()
         for r in runs:
+            if r["day"] is None:  # no landing time, so no day to count for
+                none = F.lit(None).cast("string")
+                write_quarantine(batch.where("landed_at IS NULL").select(
+                    day.alias("day"), F.lit("no landing time").alias("reason"), "feed", "symbol", none.alias("date_text"),
+                    F.col("url").alias("headline"), F.lit(f"batch-{batch_id}").alias("run")), store_path.rstrip("/") + "_quarantine")
+                continue
             ingest(spark, batch.where(day == F.lit(r["day"])), store_path, r["as_of"])
             score(spark, store_path, snapshot_path, r["as_of"], scorer)
 
@@ -187,8 +196,8 @@ def main(argv=None) -> None:
     s.add_argument("--write-back", choices=("all", "first_match"), default="all")
     e = sub.add_parser("seeds")
     e.add_argument("--out", required=True)
-    e.add_argument("--base-a")
-    e.add_argument("--base-b")
+    e.add_argument("--base-a", required=True)
+    e.add_argument("--base-b", required=True)
     r = sub.add_parser("run")
     for x in ("--landing", "--store", "--snapshots", "--checkpoint"):
         r.add_argument(x, required=True)
@@ -198,7 +207,7 @@ def main(argv=None) -> None:
     if args.cmd == "seeds":
         urls, unknown = seeds(spark, base_a=args.base_a, base_b=args.base_b)
         urls.write.mode("overwrite").parquet(args.out)
-        unknown.show(truncate=False)
+        unknown.write.mode("overwrite").parquet(args.out.rstrip("/") + "_unknown_symbols")
     elif args.cmd == "ingest":
         ingest(spark, spark.read.parquet(args.pages), args.store, _as_of(args.as_of),
                quarantine_path=args.quarantine, first_write=args.first_write)

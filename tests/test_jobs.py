@@ -70,6 +70,27 @@ def test_run_cycle_over_landed_pages(spark):
         ("BTC", -1), ("DOGE", 0), ("ETH", 0)]
 
 
+def test_run_keeps_pages_without_landing_time_in_quarantine(spark):
+    landing = run_dir(spark, "j-null-landing")
+    at = F.when(F.col("symbol") != "ETH", F.lit(AS_OF)).cast("timestamp")
+    pages = _pages(spark).withColumn("landed_at", at)
+    pages.write.parquet(landing)
+    path, snaps = run_dir(spark, "j-null-store"), run_dir(spark, "j-null-snap")
+    jobs.run(spark, landing, path, snaps, run_dir(spark, "j-null-ck"), available_now=True).awaitTermination()
+    lost = spark.read.parquet(path + "_quarantine").where("reason = 'no landing time'")
+    assert lost.count() == pages.where("landed_at IS NULL").count() > 0
+    assert {(r.symbol, r.day, r.run) for r in lost.collect()} == {("ETH", None, "batch-0")}
+    assert store.read_store(spark, path).where("symbol = 'ETH'").count() == 0
+
+
+def test_seeds_cli_stores_unknown_tickers(spark, monkeypatch):
+    out = run_dir(spark, "j-seeds")
+    monkeypatch.delitem(jobs.SLUGS, "BTC")
+    jobs.main(["seeds", "--out", out, "--base-a", "https://a/c/", "--base-b", "https://b/s"])
+    assert spark.read.parquet(out).count() == 2 * len(jobs.SYMBOLS) - 1
+    assert [r.symbol for r in spark.read.parquet(out + "_unknown_symbols").collect()] == ["BTC"]
+
+
 def test_seeds(spark):
     urls, unknown = jobs.seeds(spark, symbols=["BTC", "ETH", "NEW"], base_a="https://a/c/", base_b="https://b/s")
     got = sorted((r.symbol, r.feed, r.url) for r in urls.collect())
