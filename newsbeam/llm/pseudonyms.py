@@ -2,9 +2,11 @@
 
 Found and validated in whole texts: payment card numbers (13 to 19 digits in one
 run, or in groups of 4-4-4-4, 4-6-5 or 4-6-4; right Luhn check digit), calendar dates (``2020-02-29``,
-``02/29/2020``; a month above 12 is read as the day) of the years 1900 to 2099,
+``02/29/2020``, also before the ``T`` of a timestamp; a month above 12 is read as the day) of the years 1900 to 2099,
 US social security numbers (no 000/666/9xx area, no zero group or serial),
-North American phone numbers, IPv4 addresses (octets up to 255), e-mail
+North American phone numbers (with separators, or in one run or as 3-7 if area
+and exchange begin with 2 to 9; any run of ten such digits counts as one, but
+neither a part of a decimal number nor an ISBN behind ``978-``), IPv4 addresses (octets up to 255), e-mail
 addresses and credentials: runs of 8 or more ASCII letters and digits, with both,
 behind a word that ends in ``token``, ``key``, ``secret``, ``password``,
 ``passwd`` or ``pwd`` and ``=`` or ``:``.  A number that fails its check stays as
@@ -41,7 +43,9 @@ ROUNDS = 8
 KEY = "newsbeam-demo-key"  # a deployment passes its own secret
 
 EMAIL = r"[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
-PHONE = r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+PHONE = (r"(?:(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+         r"|(?:\+1[ .-]?|1[ -]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-]?)[2-9][0-9]{6})")
+NUMBER = r"(?:[0-9]+\.[0-9]{10,11}|[0-9]{10,11}\.[0-9]+|97[89]-[0-9]{10})"  # no phone in it
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})"
 IPV4 = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
@@ -50,7 +54,7 @@ NAMED = r"[A-Za-z0-9]*(?i:token|key|secret|password|passwd|pwd)[\x22']? ?[=:] ?[
 SECRET = r"(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{8,}"
 _FREE = r"(?<![\p{L}\p{N}])"  # not inside a word
 _END = r"(?![\p{L}\p{N}])"
-PIECES = (rf"(?s){_FREE}(?:{EMAIL}|{NAMED}{SECRET}{_END}|{PHONE}{_END}|{SSN}{_END}|{DATE}{_END}"
+PIECES = (rf"(?s){_FREE}(?:{EMAIL}|{NAMED}{SECRET}{_END}|{NUMBER}{_END}(?!\.[0-9])|{PHONE}{_END}|{SSN}{_END}|{DATE}(?:{_END}|(?=[Tt][0-9]))"
           rf"|{IPV4}{_END}(?!\.[0-9])|{CARD}{_END})|[\p{{L}}\p{{N}}]+|[+(]|[^\p{{L}}\p{{N}}+(]+")
 
 
@@ -144,7 +148,10 @@ def pseudonym_sql(p: str, key: str = KEY) -> str:
         "concat_ws('.', p.l div 256, p.l % 256, p.r div 256, p.r % 256)") + " ELSE ip0 END"))
     ipv4 = _let("p", "ip0", o)
     local = "substring_index(p, '@', 1)"
-    email = f"concat({_chars(local, 'email', key)}, '@', substring_index(p, '@', -1))"
+    az, up, nine = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    turned = "".join(x[1:] + x[0] for x in (az, up, nine))  # one character is only rotated, under some keys by nothing
+    moved = _let(_chars(local, "email", key), "e", f"CASE WHEN length(e) = 1 AND e = left(p, 1) THEN translate(e, '{az + up + nine}', '{turned}') ELSE e END")
+    email = f"concat({moved}, '@', substring_index(p, '@', -1))"
     hexed = _let(_chars("lower(v)", "hex", key, "hex"), "h", "CASE WHEN v = upper(v) THEN upper(h) ELSE h END")
     secret = _let("regexp_extract(p, '[A-Za-z0-9]+$', 0)", "v", (
         f"concat(left(p, length(p) - length(v)), CASE WHEN v RLIKE '^([0-9a-f]+|[0-9A-F]+)$' THEN {hexed} ELSE {_chars('v', 'secret', key)} END)"))
@@ -154,7 +161,7 @@ def pseudonym_sql(p: str, key: str = KEY) -> str:
         f"WHEN p RLIKE {_q('^' + DATE + '$')} THEN {date} "
         f"WHEN p RLIKE {_q('^' + IPV4 + '$')} THEN {ipv4} "
         f"WHEN p RLIKE {_q('^' + CARD + '$')} THEN {card} ELSE p END"))
-    expr = (f"CASE WHEN length(p) < 7 THEN p WHEN p RLIKE {_q('^' + EMAIL + '$')} THEN {email} "
+    expr = (f"CASE WHEN length(p) < 5 THEN p WHEN p RLIKE {_q('^' + EMAIL + '$')} THEN {email} "
             f"WHEN p RLIKE {_q('^' + NAMED + SECRET + '$')} THEN {secret} "
             f"WHEN p RLIKE '^[0-9+(][0-9+() ./-]+[0-9]$' THEN {digits} ELSE p END")
     return f"element_at(transform(array({p}), p -> {expr}), 1)" if p != "p" else expr

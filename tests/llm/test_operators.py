@@ -221,6 +221,24 @@ def test_pseudonyms_of_credentials_and_neighbours(spark):
     assert len(got[5]) == len(rows[5]) and got[5] != rows[5]
 
 
+def test_pseudonyms_of_short_mails_compact_phones_and_timestamps(spark):
+    rows = ["a@b.co x@y.de, b@c.d", "+12125550187 2125550187 12125550187 (212) 555-0187 212-5550187 +1 (212)5550187",
+            "at 2020-02-29T10:00:00Z or 2020-02-29t1:2, on 2020-02-29 not 2019-02-29T10:00:00Z nor 2020-02-29Tea",
+            "0.2125550187 1.2125550187 2125550187.5 978-2125550187 1125550187 2121550187 22125550187 x2125550187 21255501871"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = [r.text for r in pseudonyms.pseudonymise(df).orderBy("doc_id").collect()]
+    for old, new in zip(rows[0].split(), got[0].split(), strict=True):
+        assert new[0].islower() and new[0] != old[0] and new[1:] == old[1:]
+    p = re.fullmatch(r"\+1(\d{10}) (\d{10}) 1(\d{10}) \((\d{3})\) (\d{3})-(\d{4}) (\d{3})-(\d{7}) \+1 \((\d{3})\)(\d{7})", got[1]).groups()
+    assert {p[0], p[1], p[2], "".join(p[3:6]), "".join(p[6:8]), "".join(p[8:])} == {p[0]} != {"2125550187"}
+    day = re.fullmatch(r"at (\S{10})T10:00:00Z or (\S{10})t1:2, on (\S{10}) not 2019-02-29T10:00:00Z nor 2020-02-29Tea", got[2]).groups()
+    assert len(set(day)) == 1 and day[0] != "2020-02-29" and dt.date.fromisoformat(day[0])
+    assert got[3] == rows[3]
+    moved = spark.createDataFrame([(c,) for c in "a@b.c 1@b.co Z@b.co".split()], "p string")
+    for key in ("k0", "k1", "k2"):  # also a key whose rotation is by nothing leaves no one-character address
+        assert all(r.p != r.q and r.p[1:] == r.q[1:] for r in moved.select("p", F.expr(pseudonyms.pseudonym_sql("`p`", key)).alias("q")).collect())
+
+
 def test_pseudonyms_are_one_to_one(spark):
     days = [(dt.date(1999, 1, 1) + dt.timedelta(k)).isoformat() for k in range(400)]
     ips = [f"10.0.{k // 250}.{k % 250}" for k in range(400)]
