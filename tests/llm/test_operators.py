@@ -70,6 +70,24 @@ def test_preference_masks_and_prefix(spark):
     assert preference.format_pairs(preference.next_reply_pairs(turns.limit(0))).count() == 0
 
 
+def test_preference_long_conversations_are_parts(spark):
+    rng = np.random.default_rng(4)
+    roles, texts = ["assistant", "user", None, "system"], ["", "a", "b", None, "naïve \U0001f600", "x" * 50]
+    rows = [(int(c) if c else None, int(t) if t else None, roles[r], texts[x]) for c, t, r, x in
+            zip(rng.integers(0, 12, 300), rng.integers(0, 4, 300), rng.integers(0, 4, 300), rng.integers(0, 6, 300), strict=True)]
+    rows += [(7, 2 * i + k, roles[1 - k], f"turn {i}") for i in range(1500) for k in (0, 1)] + [(None, 9, "user", f"stray {i % 5}") for i in range(1500)] + [(None, 10, "assistant", "end")]
+    rows += [(50, 1, "user", "only"), (51, 1, "assistant", "same"), (52, 1, "user", "q"), (52, 2, "assistant", "same"), (52, 2, "assistant", "same"), (52, 3, "user", "late")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(8)
+    want = {r.conv_id: r for r in preference.format_pairs(preference.next_reply_pairs(turns)).collect()}
+    got = preference.next_reply_rows(turns, part=2000).collect()
+    assert len(got) == len(want) and all(r == want[r.conv_id] for r in got)
+    parts = preference.prompt_parts(turns, preference.last_replies(turns), part=2000).collect()
+    assert max(len(r.body.encode()) for r in parts) <= 2000 + 100
+    for conv in (7, None):  # neither the hot conversation nor the rows without one are one row of one task
+        assert len({r.place >> 33 for r in parts if r.conv_id == conv}) > 1
+    assert preference.next_reply_rows(turns.limit(0)).count() == 0
+
+
 # ---------------------------------------------------------------- 3 url filter
 
 def test_url_filter_brute_force(spark):
