@@ -8,7 +8,8 @@ by the inner product of query and centroid, the best one is opened next, and
 leaves come out in that order.  How many leaves are searched is calibrated: for
 ``CALIBRATION`` queries the exact neighbours are found by a distributed brute
 force over all rows, and visits are widened until ``RECALL`` of them lie in the
-leaves visited.
+leaves visited.  A query whose leaves hold fewer rows than asked for walks on until
+they hold enough (rows are counted per leaf).
 
 Nearness is the inner product in double precision; scores returned are computed
 row by row on the original vectors, so equal vectors score equal and ties go to
@@ -104,17 +105,20 @@ class Tree:
             todo += [(kid, rows[near == j]) for j, kid in enumerate(kids)]
         return leaf
 
-    def best_bins(self, q: np.ndarray, visits: int) -> list[int]:
-        """The first ``visits`` leaves that a best-bin-first walk reaches."""
+    def best_bins(self, q: np.ndarray, visits: int, rows: dict[int, int] | None = None, need: int = 0) -> list[int]:
+        """The first ``visits`` leaves that a best-bin-first walk reaches, and further
+        ones until they hold ``need`` rows (``rows``: rows by leaf)."""
         product = self.centre @ q
         heap, found = [(-float(product[0]), 0)], []
-        while heap and len(found) < visits:
+        held = 0
+        while heap and (len(found) < visits or held < need):
             _, node = heapq.heappop(heap)
             if self.kids[node]:
                 for kid in self.kids[node]:
                     heapq.heappush(heap, (-float(product[kid]), kid))
             else:
                 found.append(node)
+                held += rows.get(node, 0) if rows else 0
         return found
 
 
@@ -205,10 +209,11 @@ def search(vectors: DataFrame, is_query=None, k: int = K, recall: float = RECALL
     index = stage(rows.mapInPandas(place, "vec_id long, embedding array<double>, leaf long"), "leaves")
     queries = index.where(is_query if is_query is not None else F.lit(True)).select("vec_id", "embedding")
     visits = calibrate(index, queries, tree, k, recall)
+    rows_of = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}  # one number per leaf of the tree
 
     def route(batches):
         for pdf in batches:
-            walks = [tree.best_bins(v, visits) for v in _matrix(pdf["embedding"])]
+            walks = [tree.best_bins(v, visits, rows_of, k + 1) for v in _matrix(pdf["embedding"])]
             yield pd.DataFrame({"query_id": pdf["vec_id"].to_numpy(np.int64), "leaf": walks})
     routed = stage(queries.mapInPandas(route, "query_id long, leaf array<long>").select("query_id", F.explode("leaf").alias("leaf")), "routes")
     # blocks of rows and of queries per leaf

@@ -373,3 +373,11 @@ def test_kmeans_tree_recall_and_edges(spark):
     few = kmeans_tree.search(spark.createDataFrame(rows[:3], "vec_id long, embedding array<double>")).collect()
     assert len(few) == 6
     assert kmeans_tree.search(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_kmeans_tree_walks_on_past_small_leaves(spark):
+    rng = np.random.default_rng(6)
+    x = np.abs(rng.normal(size=(8, 16)))[np.arange(800) % 8] + 0.01 * rng.normal(size=(800, 16))
+    x[:5] = -100 - rng.random((5, 16))  # a few rows far from all clusters
+    out = kmeans_tree.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), recall=0.05).toPandas()
+    assert out.groupby("query_id").size().reindex(range(800), fill_value=0).eq(20).all()
