@@ -7,7 +7,10 @@ template hit the index, and a template shorter than that does so when it stands
 there whole.  Hits of one template on neighbouring diagonals are one candidate,
 and the words around it are aligned to the template (local alignment within a
 band of ``BAND`` words either side of the diagonal: equal words +1, other words
-and gaps -1).  Reported: the share of the template's words matched (coverage),
+and gaps -1).  Aligned regions that follow one another in the template and, at most
+a template's length apart, in the text are chained, so a notice with words inserted
+or left out is one finding, whatever their number; where two regions overlap, the
+shared words count once.  Reported: the share of the template's words matched (coverage),
 and the span in the text, in code points.
 
 Scale: one pass over whole texts, no shuffle; the index is the only thing sent
@@ -98,38 +101,68 @@ class Index:
         self.keys = np.asarray(sorted(places), np.uint64)
 
 
-def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
+def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int, int, int]:
     """Best local alignment near ``diagonal`` (text place - template place):
-    ``(matches, first, end)`` in words of the text."""
+    ``(matches, first, end)`` in words of the text, then first and end in the template."""
     width = 2 * band + 1
     t, x = template.tolist(), text.tolist()
-    above = [(0, 0, -1)] * (width + 1)  # (score, matches, first) per diagonal; the extra one is out of band
-    best = (0, 0, -1, -1)
+    above = [(0, 0, -1, -1)] * (width + 1)  # (score, matches, first, first of the template) per diagonal; the extra one is out of band
+    best = (0, 0, -1, -1, -1, -1)
     for j, word in enumerate(t):
-        row = [(0, 0, -1)] * (width + 1)
+        row = [(0, 0, -1, -1)] * (width + 1)
         for k in range(width):
             i = j + diagonal + k - band
             if i < 0 or i >= len(x):
                 continue
-            s, m, f = above[k]  # the cell up left is the same diagonal one template word before
+            s, m, f, g = above[k]  # the cell up left is the same diagonal one template word before
             if x[i] == word:
-                cell = (s + 1, m + 1, i if s <= 0 else f)
+                cell = (s + 1, m + 1, i if s <= 0 else f, j if s <= 0 else g)
             else:
-                cell = (s - 1, m, f)
-            s, m, f = above[k + 1]  # template word without partner
+                cell = (s - 1, m, f, g)
+            s, m, f, g = above[k + 1]  # template word without partner
             if s - 1 > cell[0]:
-                cell = (s - 1, m, f)
+                cell = (s - 1, m, f, g)
             if k:
-                s, m, f = row[k - 1]  # text word without partner
+                s, m, f, g = row[k - 1]  # text word without partner
                 if s - 1 > cell[0]:
-                    cell = (s - 1, m, f)
+                    cell = (s - 1, m, f, g)
             if cell[0] <= 0:
-                cell = (0, 0, -1)
+                cell = (0, 0, -1, -1)
             row[k] = cell
             if cell[0] > best[0]:
-                best = (cell[0], cell[1], cell[2], i + 1)
+                best = (cell[0], cell[1], cell[2], i + 1, cell[3], j + 1)
         above = row
-    return best[1], best[2], best[3]
+    return best[1:]
+
+
+def chain(parts: list[tuple[int, int, int, int, int]], length: int, band: int = BAND) -> list[tuple[int, int, int]]:
+    """Alignments of one template (as ``align`` gives them) -> ``(matches, first, end)``
+    of their best chains, each alignment in one chain at most."""
+    parts = sorted(set(parts), key=lambda p: (p[1], p[2], p[3]))
+    reach = max((p[2] - p[1] for p in parts), default=0) + length
+    total, back = [p[0] for p in parts], [-1] * len(parts)
+    for n, (m, a, b, ta, tb) in enumerate(parts):
+        for o in range(n - 1, -1, -1):
+            _, oa, ob, ota, otb = parts[o]
+            if a - oa > reach:
+                break
+            # both ends move on; what overlaps in the template does so in the text, else it is another copy
+            if a <= oa or b <= ob or ta <= ota or tb <= otb or a - ob > length or max(0, otb - ta) - max(0, ob - a) > band:
+                continue
+            gain = m - max(0, otb - ta, ob - a)
+            if gain > 0 and total[o] + gain > total[n]:
+                total[n], back[n] = total[o] + gain, o
+    out, used = [], set()
+    for n in sorted(range(len(parts)), key=lambda n: (-total[n], n)):
+        steps, o = [], n
+        while o >= 0 and o not in used:
+            steps.append(o)
+            o = back[o]
+        if steps:
+            used.update(steps)
+            head = steps[-1]  # what comes before it may be in a better chain
+            out.append((total[n] - total[head] + parts[head][0], parts[head][1], parts[n][2]))
+    return sorted(out, key=lambda c: (c[1], c[2]))
 
 
 def _regions(hits: list[tuple[int, int]], length: int, band: int) -> list[int]:
@@ -168,14 +201,16 @@ def scan_texts(index: Index, texts: list[str | None], coverage: float = COVERAGE
             own = h[begin[doc]:begin[doc + 1]]
             for i, hits in sorted(parts.items()):
                 t = index.words[i]
-                seen: set[tuple[int, int]] = set()
+                near_d: list[tuple[int, int, int, int, int]] = []
                 for d in _regions(hits, len(t) + band, band):
                     lo = max(0, d - band)
-                    m, a, b = align(t, own[lo:max(0, d + len(t) + band + 1)], d - lo, band)
-                    if m < coverage * len(t) or (a + lo, b + lo) in seen:
+                    m, a, b, ta, tb = align(t, own[lo:max(0, d + len(t) + band + 1)], d - lo, band)
+                    if m:
+                        near_d.append((m, a + lo, b + lo, ta, tb))
+                for m, a, b in chain(near_d, len(t), band):
+                    if m < coverage * len(t):
                         continue
-                    seen.add((a + lo, b + lo))
-                    w = int(begin[doc]) + lo
+                    w = int(begin[doc])
                     s, e = _chars(run[doc], raw[doc], int(first[w + a]), int(end[w + b - 1]))
                     found.append((start + doc, index.names[i], m / len(t), m, s, e))
     return found

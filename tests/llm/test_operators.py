@@ -278,6 +278,22 @@ def test_license_spans(spark):
     assert (None, "mit-line") in by and not any(k[0] in (2, 3) for k in by)
 
 
+def test_license_with_words_inserted_or_left_out(spark):
+    t = licenses.TEMPLATES["mit-permission"]
+    w = t.split()
+    mid = " ".join(w[:50] + "copyright 2020 by the holders named in the file beside this one and by nobody else whoever they are or were".split() + w[50:])
+    rem = " ".join(x for k in range(0, len(w), 5) for x in ["rem", *w[k:k + 5]])
+    texts = ["head. " + mid + " tail", rem, " ".join(w[:45] + w[57:]), t + " and again " + t, " ".join(w[:len(w) * 2 // 5]) + " x y z " * 400 + " ".join(w[len(w) // 2:])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in licenses.scan(docs).where("license = 'mit-permission'").collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert [len(got.get(i, [])) for i in range(5)] == [1, 1, 1, 2, 0]
+    assert got[0][0].coverage > 0.95 and texts[0][got[0][0].span_begin:got[0][0].span_end] == mid[:-1]
+    assert got[1][0].coverage > 0.85 and got[2][0].coverage > 0.8
+    assert all(r.coverage == 1.0 for r in got[3])
+
+
 def test_winnowing_covers_shared_runs():
     h = np.random.default_rng(1).integers(0, 1 << 60, 200).astype(np.uint64)
     kept = set(licenses.winnow(h).tolist())
