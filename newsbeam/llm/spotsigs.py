@@ -11,7 +11,9 @@ are alike (1.0).
 ``near_pairs`` finds all pairs of fingerprints with likeness of at least a
 threshold: fingerprints are partitioned by set length (two sets that similar lie
 in the same or neighbouring length classes), candidates share one of the rarest
-signatures of each set (prefix filter), lengths prune, and the sets decide.
+signatures of each set (prefix filter), lengths prune, and the sets decide.  No
+query calls it; its candidates grow with the square of the sets that share a rare
+signature, so a passage shared by many short documents is too much for it.
 
 Scale: a fingerprint is SQL expressions over one row.  The neighbour of a
 document (``edited`` texts) is found on ids alone (``successors``); equal rows are
