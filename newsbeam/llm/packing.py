@@ -13,14 +13,17 @@ search takes the tightest filling first; a branch is left when the space it has
 wasted reaches that of the best solution known (waste bound), and the first
 incumbent is best-fit decreasing.  The search ends when the incumbent meets the
 lower bound (total length, or the pieces no two of which fit together) or after
-``NODES`` sequences have been filled anew: that bounds effort, not rows; every
-piece is placed either way.
+``NODES`` sequences have been filled anew.  Per sequence the ``WIDTH`` tightest
+fillings are tried, out of up to 8 x ``WIDTH`` found in 40 x ``WIDTH`` steps.  These
+bound effort, not rows: every piece is placed either way, but on groups with many
+lengths the search is a beam, not a full enumeration.
 
 Scale: tokenizing is one ``mapInArrow`` pass whose output has numbers only.
 Pieces are dealt by a hash of their place in the
-stored table into groups of about ``GROUP`` pieces, each
-packed in one task; a group of that size loses less than one sequence against
-packing all at once (under 0.1 %), so no group grows with the input.
+stored table into groups of about ``GROUP`` pieces, or more if these are so short
+that they fill fewer than ``GROUP_SEQUENCES`` sequences, each packed in one task; a
+group loses about one sequence against packing all at once (0.1 %), and no group
+grows with the input.
 
 Edge cases: a null text is empty, its document is the end token alone; documents
 repeat as they come; an empty table packs to an empty result.
@@ -44,6 +47,8 @@ LENGTH = 4096
 END_ID = 1
 GROUP = 20_000
 NODES = 60_000
+WIDTH = 8  # fillings tried per sequence, the tightest of those found
+GROUP_SEQUENCES = 1_000
 RUN_CACHE, PART_CACHE = 600_000, 1_000_000  # distinct runs and words whose ids a Python worker remembers
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -253,7 +258,7 @@ def pack(sizes, length: int = LENGTH, nodes: int = NODES) -> list[list[int]]:
     def choose():
         top = pool.keys[-1]
         pool.take(top)
-        options = fillings(pool, length - top, 8 if len(pool.keys) < 200 else 3)
+        options = fillings(pool, length - top, WIDTH)
         pool.put(top)
         return [top, options, 0]
 
@@ -307,8 +312,8 @@ def _place(lengths: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 def pack_pieces(pieces: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """Stored ``pieces`` -> the same rows with sequence_id and offset."""
-    n = pieces.count()  # one number: it only sets how many groups there are
-    groups = max(1, -(-n // group))
+    n, tokens = pieces.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()  # they only set how many groups there are
+    groups = max(1, min(-(-n // group), tokens // (GROUP_SEQUENCES * length)))
 
     def run(pdf):
         pdf = pdf.sort_values(["length", "doc_id", "piece", "ids_crc32"], kind="stable", ascending=False).reset_index(drop=True)

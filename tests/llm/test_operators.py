@@ -368,6 +368,13 @@ def test_packing_pieces(spark):
     assert packing.pack_pieces(stage(packing.tokenize(docs.limit(0)), "t")).count() == 0
 
 
+def test_packing_groups_hold_enough_sequences(spark):
+    from newsbeam.llm.common import stage
+    pieces = spark.range(2000).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "30L AS length", "0L AS ids_crc32")
+    out = packing.pack_pieces(stage(pieces, "short"), group=100)  # 100 pieces of 30 tokens fill one sequence only in part
+    assert out.count() == 2000 and out.select("sequence_id").distinct().count() == packing.lower_bound([30] * 2000, 4096)
+
+
 # ---------------------------------------------------------------- 10 nearest neighbours
 
 def test_kmeans_tree_recall_and_edges(spark):
