@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .alignment import op13_alignment
 from .chosen_path import OP5_SQL, op5_chosen_path
 from .kmeans_tree import op10_kmeans_tree
 from .licenses import op7_licenses
@@ -24,8 +25,9 @@ QUERIES = {
     "op8_spotsigs": op8_spotsigs,
     "op9_packing": op9_packing,
     "op10_kmeans_tree": op10_kmeans_tree,
+    "op13_alignment": op13_alignment,
 }
 
-#: operators 1, 6, 7, 9 and 10 are not SQL; tests/llm holds them against brute force
+#: operators 1, 6, 7, 9, 10 and 13 are not SQL; tests/llm holds them against brute force
 ORACLE = {"op2_preference": OP2_SQL, "op3_url_filter": OP3_SQL, "op4_mixing": OP4_SQL, "op5_chosen_path": OP5_SQL,
           "op8_spotsigs": OP8_SQL}
