@@ -10,7 +10,7 @@ starts at the same byte and is taken from one side).  Byte offsets where tokens
 of both sides end cut the sequences into groups.
 
 Encoding: neither tokenizer has a token that crosses from a character other than
-white space to a blank, so a text is cut there into words whose ids are looked up
+white space to a blank or a line feed, so a text is cut there into words whose ids are looked up
 in a cache of bounded size per Python worker; new words are encoded in one call
 per batch.  ``tests/llm`` holds this against encoding whole texts.  A batch takes
 texts up to ``BATCH_BYTES``; a longer text is its own batch.
@@ -36,25 +36,27 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stage, table
 
-BATCH_BYTES = 2 << 20
-CACHE_WORDS = 200_000
+BATCH_BYTES = 1 << 18
+CACHE_WORDS = 250_000
 BROADCAST_PAIRS = 4_000_000
 
 SCHEMA = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
           "pairs array<struct<a: int, b: int, n: int>>")
 
-# a cut lies between a character that is not white space and a blank
-_WORD = re.compile(r" +[^ ]*(?:(?<=\s) +[^ ]*)*|[^ ]+(?:(?<=\s) +[^ ]*)*")
+# a cut lies between a character that is not white space and a blank or a line feed
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
 
 def words_of(text: str) -> list[str]:
-    """The words of space + text; joined they are the text again."""
-    return _WORD.findall(" " + text)
+    """The words of space + text; joined they are the text again, and each begins with a
+    blank or a line feed."""
+    return _CUT.split(" " + text)
 
 
 def _unicode_of_bytes() -> dict[str, int]:
@@ -83,11 +85,17 @@ class Pair:
         self.bytes_b = [self._piece(i) for i in range(self.b.vocab_size())]
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        ids_a, ids_b = [str(i) for i in range(len(self.bytes_a))], [str(i) for i in range(len(self.bytes_b))]
-        self.text_a = {s: np.array([x + s for x in ids_a], object) for s in ",|"}
-        self.text_b = {s: np.array([x + s for x in ids_b], object) for s in ",;"}
+        # each id as text with the sign behind it: within a group, then at its end
+        self.text_a = np.array([f"{i}{sign}" for sign in ",|" for i in range(len(self.bytes_a))], object)
+        self.text_b = np.array([f"{i}{sign}" for sign in ",;" for i in range(len(self.bytes_b))], object)
         self.blank = self.b.piece_to_id("▁")
-        self.cache: dict[str, tuple] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}  # of each word met
+        self.ids = [np.empty(0, np.int32), np.empty(0, np.int32)]  # of all words, A and B
+        self.at = [np.zeros(1, np.int64), np.zeros(1, np.int64)]  # where each word's begin
+        self.good = np.empty(0, bool)
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -95,22 +103,46 @@ class Pair:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, words: list[str]) -> list[tuple]:
-        """Per word its A ids, its B ids and whether both spell it."""
-        new = [w for w in dict.fromkeys(words) if w not in self.cache]
+    def encode(self, words: list[str]) -> np.ndarray:
+        """Each word's number; new words are encoded."""
+        new = [w for w in dict.fromkeys(words) if w not in self.number]
+        if len(self.number) + len(new) > CACHE_WORDS:
+            self._forget()
+            new = list(dict.fromkeys(words))
         if new:
-            if len(self.cache) + len(new) > CACHE_WORDS:
-                self.cache.clear()
-                new = list(dict.fromkeys(words))
-            for w, ea, eb in zip(new, self.a.encode_batch(new, add_special_tokens=False),
-                                 self.b.encode([w[1:] for w in new], num_threads=1)):
-                raw = w.encode()
-                eb = eb or [self.blank]  # a last blank by itself: B adds none to an empty text
-                good = (b"".join([self.bytes_a[i] for i in ea.ids]) == raw
-                        and b"".join([self.bytes_b[i] for i in eb]) == raw)
-                self.cache[w] = (np.array(ea.ids, np.int64), np.array(eb, np.int64), good)
-        get = self.cache.__getitem__
-        return [get(w) for w in words]
+            got_a = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
+            # B adds a blank itself: in place of a word's first, or to be dropped before a line feed; to an empty text it adds none
+            got_b = self.b.encode([w[1:] if w[0] == " " else w for w in new], num_threads=1)
+            got_b = [(ids if w[0] == " " else ids[1:]) or [self.blank] for w, ids in zip(new, got_b)]
+            flat = [np.array([i for x in got for i in x], np.int32) for got in (got_a, got_b)]
+            sizes = [np.array([len(x) for x in got]) for got in (got_a, got_b)]
+            self.good = np.append(self.good, self._spelt(new, got_a, got_b))
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            for side in (0, 1):
+                self.at[side] = np.append(self.at[side], self.at[side][-1] + np.cumsum(sizes[side]))
+                self.ids[side] = np.append(self.ids[side], flat[side])
+        get = self.number.__getitem__
+        return np.array([get(w) for w in words], np.int64)
+
+    def _spelt(self, words, got_a, got_b) -> list[bool]:
+        """Whether both sides' tokens spell each word."""
+        def spell(table, ids):
+            return b"".join([table[i] for i in ids])
+        raw = [w.encode() for w in words]
+        whole = b"".join(raw)
+        # as a rule all do, which one comparison shows if the words' ends agree too
+        if all(spell(table, [i for x in got for i in x]) == whole
+               and [int(n) for n in np.add.reduceat(size[[i for x in got for i in x]], np.cumsum([0, *map(len, got)])[:-1])] == list(map(len, raw))
+               for table, size, got in ((self.bytes_a, self.len_a, got_a), (self.bytes_b, self.len_b, got_b))):
+            return [True] * len(words)
+        return [spell(self.bytes_a, x) == w and spell(self.bytes_b, y) == w for x, y, w in zip(got_a, got_b, raw)]
+
+    def tokens(self, side: int, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words of that number, and how many each has."""
+        lo = self.at[side][words]
+        sizes = self.at[side][words + 1] - lo
+        place = np.arange(int(sizes.sum())) + np.repeat(lo - (np.cumsum(sizes) - sizes), sizes)
+        return self.ids[side][place].astype(np.int64), sizes
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -135,21 +167,18 @@ def align(pair: Pair, texts: list[str | None]) -> list[dict]:
     none = {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "pairs": ((), (), ())}
     out = [dict(none) for _ in texts]
     cut = [words_of(t) if t else [] for t in texts]
-    coded = pair.encode([w for ws in cut for w in ws])
-    at, kept, ids_a, ids_b, size_a, size_b = 0, [], [], [], [], []
-    for k, ws in enumerate(cut):
-        own = coded[at:at + len(ws)]
-        at += len(ws)
-        if own and all([x[2] for x in own]):
-            kept.append(k)
-            ids_a += [x[0] for x in own]
-            ids_b += [x[1] for x in own]
-            size_a.append(sum([len(x[0]) for x in own]))
-            size_b.append(sum([len(x[1]) for x in own]))
-    if not kept:
+    word = pair.encode([w for ws in cut for w in ws])
+    sizes = np.array([len(ws) for ws in cut], np.int64)
+    doc = np.repeat(np.arange(len(texts)), sizes)
+    whole = (sizes > 0) & (np.bincount(doc, weights=~pair.good[word], minlength=len(texts)) == 0)
+    kept = np.flatnonzero(whole)
+    if not len(kept):
         return out
-    ids_a, ids_b = np.concatenate(ids_a), np.concatenate(ids_b)
-    doc_a, doc_b = np.repeat(np.arange(len(kept)), size_a), np.repeat(np.arange(len(kept)), size_b)
+    word, doc = word[whole[doc]], (np.cumsum(whole) - 1)[doc[whole[doc]]]
+    ids_a, many_a = pair.tokens(0, word)
+    ids_b, many_b = pair.tokens(1, word)
+    doc_a, doc_b = np.repeat(doc, many_a), np.repeat(doc, many_b)
+    size_a, size_b = np.bincount(doc_a, minlength=len(kept)), np.bincount(doc_b, minlength=len(kept))
     first_a, first_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
 
     def ends(ids, sizes, first, doc):  # byte offsets in the document behind each token
@@ -169,16 +198,14 @@ def align(pair: Pair, texts: list[str | None]) -> list[dict]:
     # groups as text: a group's A tokens, then its B tokens; each token carries the sign behind it
     text = np.empty(len(ids_a) + len(ids_b), object)
     in_a, in_b = np.bincount(group_a, minlength=many), np.bincount(group_b, minlength=many)
-    text[np.arange(len(ids_a)) + (np.cumsum(in_b) - in_b)[group_a]] = np.where(
-        close_a, pair.text_a["|"][ids_a], pair.text_a[","][ids_a])
-    text[np.arange(len(ids_b)) + np.cumsum(in_a)[group_b]] = np.where(
-        close_b, pair.text_b[";"][ids_b], pair.text_b[","][ids_b])
+    text[np.arange(len(ids_a)) + (np.cumsum(in_b) - in_b)[group_a]] = pair.text_a[ids_a + len(pair.bytes_a) * close_a]
+    text[np.arange(len(ids_b)) + np.cumsum(in_a)[group_b]] = pair.text_b[ids_b + len(pair.bytes_b) * close_b]
     links = np.bincount(doc_a[i], minlength=len(kept))
     groups = np.bincount(doc_a[close_a], minlength=len(kept))
     code = (doc_a[i] << 40) | (ids_a[i] << 20) | ids_b[j]
     code, times = np.unique(code, return_counts=True)
     of = np.searchsorted(code >> 40, np.arange(len(kept) + 1))
-    for x, k in enumerate(kept):
+    for x, k in enumerate(kept.tolist()):
         lo = first_a[x] + first_b[x]
         joined = "".join(text[lo:lo + size_a[x] + size_b[x]].tolist())[:-1]
         own = slice(of[x], of[x + 1])
@@ -219,17 +246,15 @@ def align_documents(docs: DataFrame, path_a: str | None = None, path_b: str | No
             _PAIRS[paths] = Pair(*paths)
         pair = _PAIRS[paths]
         for batch in batches:
-            rows = list(zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()))
-            texts = batch.column("text").to_pylist()
-            lo, size = 0, 0
-            for k, t in enumerate(texts):
-                n = len(t) if t else 0
-                if k > lo and size + n > BATCH_BYTES:
-                    yield _record(rows[lo:k], align(pair, texts[lo:k]))
-                    lo, size = k, 0
-                size += n
-            if texts:
-                yield _record(rows[lo:], align(pair, texts[lo:]))
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            lo, held = 0, 0
+            for k, n in enumerate([*sizes, None]):
+                if k > lo and (n is None or held + n > BATCH_BYTES):
+                    part = batch.slice(lo, k - lo)
+                    rows = list(zip(part.column("row").to_pylist(), part.column("doc_id").to_pylist()))
+                    yield _record(rows, align(pair, part.column("text").to_pylist()))
+                    lo, held = k, 0
+                held += n or 0
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                       F.col("text").cast("string").alias("text"))
     return src.mapInArrow(run, SCHEMA)
