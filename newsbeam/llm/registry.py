@@ -12,6 +12,7 @@ from .preference import OP2_SQL, op2_preference
 from .pseudonyms import op6_pseudonyms
 from .spelling import op12_spelling
 from .spotsigs import OP8_SQL, op8_spotsigs
+from .suffix_dedup import op11_suffix_dedup
 from .toxicity import op1_toxicity
 from .url_filter import OP3_SQL, op3_url_filter
 
@@ -26,10 +27,11 @@ QUERIES = {
     "op8_spotsigs": op8_spotsigs,
     "op9_packing": op9_packing,
     "op10_kmeans_tree": op10_kmeans_tree,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_spelling": op12_spelling,
     "op13_alignment": op13_alignment,
 }
 
-#: operators 1, 6, 7, 9, 10, 12 and 13 are not SQL; tests/llm holds them against brute force
+#: operators 1, 6, 7, 9, 10, 11, 12 and 13 are not SQL; tests/llm holds them against brute force
 ORACLE = {"op2_preference": OP2_SQL, "op3_url_filter": OP3_SQL, "op4_mixing": OP4_SQL, "op5_chosen_path": OP5_SQL,
           "op8_spotsigs": OP8_SQL}
