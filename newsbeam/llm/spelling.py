@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stage, table
+from .common import shuffle_partitions, stage, table
 
 MIN_LENGTH = 7
 MIN_COUNT = 2
@@ -262,8 +262,9 @@ def near_words(vocabulary: DataFrame, index_chars: int = INDEX_CHARS) -> DataFra
         if not len(indexed) or not len(asked):
             return pd.DataFrame({"word": [], "n_near": [], "best": [], "best_n": []})
         return near_in_group(key[0], indexed, asked)
-    found = as_index.unionByName(as_query).groupBy("side", "bin", "i", "j").applyInPandas(
-        run, "word string, n_near long, best string, best_n long")
+    # a number of its own, so that small bins are not put into few tasks: the search is the work, not the bytes
+    dealt = as_index.unionByName(as_query).repartition(max(2 * bins, shuffle_partitions(vocabulary.sparkSession)), "side", "bin", "i", "j")
+    found = dealt.groupBy("side", "bin", "i", "j").applyInPandas(run, "word string, n_near long, best string, best_n long")
     first = F.min(F.struct((-F.col("best_n")).alias("minus"), F.col("best").alias("word"))).alias("first")
     return (found.groupBy("word").agg(F.sum("n_near").alias("n_near"), first)
             .select("word", "n_near", F.col("first.word").alias("best"), (-F.col("first.minus")).alias("best_n")))
