@@ -8,10 +8,13 @@ without a single-task sort.
 
 from __future__ import annotations
 
+import contextlib
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsbeam.session import ensure_checkpoint_dir, materialize, ship_package
+from newsbeam.session import ensure_checkpoint_dir, remove_path, run_dir, ship_package
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -25,10 +28,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as a table under the shared checkpoint folder."""
-    prepare(df.sparkSession)
-    return materialize(df, f"llm-{name}")
+_SCRATCH: list[list[str]] = []
+
+
+def stage(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
+    """``df`` written once as a table under the shared checkpoint folder.  Inside ``scratch`` the
+    table is removed with the others; with ``outer`` it belongs to the enclosing one."""
+    spark = prepare(df.sparkSession)
+    path = run_dir(spark, f"llm-{name}")
+    df.write.parquet(path)
+    owners = _SCRATCH[:-1] if outer else _SCRATCH
+    if owners:
+        owners[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables staged in the block are removed at its end, and so are the shuffle files of plans
+    that nothing refers to any more (Spark drops them once their plan is collected)."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            remove_path(spark, path)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

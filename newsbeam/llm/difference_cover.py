@@ -1,6 +1,6 @@
 """Suffix ranks of many strings by the difference-cover algorithm, distributed.
 
-``suffix_ranks`` takes strings of integer letters as rows ``(sid, j, name, span)``.  The
+``suffix_ranks`` takes strings of integer letters as rows ``(sid, j, name, step, span)``.  The
 suffixes at places that are 1 or 2 modulo 3 are the sample: their letter triples are sorted
 and named, and where names repeat the strings of names are ranked by recursion (each string
 gives two, one per residue; ``j div 3`` is the place in it).  The other suffixes are merged
@@ -8,8 +8,9 @@ in: among themselves and with residue 1 they sort by (letter, rank of the next s
 residue 2 by (two letters, rank of the one behind them), all of which are known; how many
 sampled suffixes come before one is the sum of both counts.
 
-Only order up to a depth is asked for: ``span`` is how many units a letter covers, and the
-recursion ends as soon as every repeated name covers ``depth`` of them.  Suffixes equal that
+Only order up to a depth is asked for: ``span`` is how many units a letter covers and ``step``
+how far the next one is (letters may overlap).  The recursion ends as soon as every repeated
+name covers ``depth`` units.  Suffixes equal that
 far may then come in any order, but stand together.
 
 Every sort is a range partitioning by the whole key and the row's place, so equal keys may
@@ -19,6 +20,8 @@ partitions before hold, which takes one row per partition.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,7 +29,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stage
+from .common import scratch, shuffle_partitions, stage
+
+
+PART_ROWS = 200_000  # rows of a sort's partition at least, while there are more partitions than that
 
 
 def _differs(column: pa.Array, last) -> np.ndarray:
@@ -38,12 +44,16 @@ def _differs(column: pa.Array, last) -> np.ndarray:
     return out
 
 
-def ranked(df: DataFrame, keys: list[str], place: list[str], weight: Column | None = None, name: str = "ranked") -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], place: list[str], weight: Column | None = None, name: str = "ranked",
+           rows: int | None = None) -> DataFrame:
     """``df`` with ``before``, the weight (1 by default) of all rows whose ``keys`` are smaller,
-    and ``again``, true for a row that has an equal one before it.  ``place`` tells rows apart."""
+    and ``again``, true for a row that has an equal one before it.  ``place`` tells rows apart,
+    ``rows`` is about how many there are."""
     order = [*keys, *place]
     src = df.withColumn("__w", F.lit(1).cast("long") if weight is None else weight.cast("long"))
     n = shuffle_partitions(df.sparkSession)
+    if rows is not None:
+        n = max(1, min(n, math.ceil(rows / PART_ROWS)))
     dealt = src.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
     def number(batches):
@@ -67,9 +77,9 @@ def ranked(df: DataFrame, keys: list[str], place: list[str], weight: Column | No
             runs, row = int(run[-1]), row + len(w)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields)
-    rows = stage(dealt.mapInArrow(number, fields + ", __part int, __start long, __first boolean, again boolean, __row long"), name)
+    table = stage(dealt.mapInArrow(number, fields + ", __part int, __start long, __first boolean, again boolean, __row long"), name)
     key = F.struct(*keys)
-    heads = rows.groupBy("__part").agg(
+    heads = table.groupBy("__part").agg(
         F.sum("__w").alias("total"), F.min_by(key, "__row").alias("head"), F.max_by(key, "__row").alias("tail"),
         F.max_by("__start", "__row").alias("tail_start"), F.max_by("__first", "__row").alias("single"))
     # one row per partition from here on
@@ -79,37 +89,44 @@ def ranked(df: DataFrame, keys: list[str], place: list[str], weight: Column | No
              .withColumn("own", F.when(~(F.col("single") & F.col("joins")), F.col("__offset") + F.col("tail_start")))
              .withColumn("carried", F.last("own", ignorenulls=True).over(ring.rowsBetween(Window.unboundedPreceding, -1))))
     heads = heads.select("__part", "__offset", "joins", "carried")
-    joined = rows.join(F.broadcast(heads), "__part")
+    joined = table.join(F.broadcast(heads), "__part")
     goes_on = F.col("__first") & F.col("joins")
     return joined.select(*df.columns, F.when(goes_on, F.col("carried")).otherwise(F.col("__offset") + F.col("__start")).alias("before"),
                          (F.col("again") | goes_on).alias("again"))
 
 
 def suffix_ranks(letters: DataFrame, depth: int) -> DataFrame:
-    """``letters(sid, j, name, span)``, names from 1 on, places from 0 on -> ``(sid, j, rank)``."""
+    """``letters(sid, j, name, step, span)``, names from 1 on, places from 0 on -> ``(sid, j, rank)``, written."""
+    with scratch(letters.sparkSession):
+        return stage(_ranks(letters, depth), "suffix-ranks", outer=True)
+
+
+def _ranks(letters: DataFrame, depth: int) -> DataFrame:
     at = Window.partitionBy("sid").orderBy("j")
     far = F.lit(depth).cast("long")  # behind a string's end nothing differs any more
     base = stage(letters.select(
         "sid", "j", "name", F.lead("name", 1, 0).over(at).alias("name1"), F.lead("name", 2, 0).over(at).alias("name2"),
-        (F.col("span") + F.coalesce(F.lead("span", 1).over(at), far) + F.coalesce(F.lead("span", 2).over(at), far)).alias("span")), "dc-base")
+        (F.col("step") + F.coalesce(F.lead("step", 1).over(at) + F.coalesce(F.lead("span", 2).over(at), far), far)).alias("span"),
+        (F.col("step") + F.coalesce(F.lead("step", 1).over(at), far) + F.coalesce(F.lead("step", 2).over(at), far)).alias("step")), "dc-base")
+    rows = base.count()
     residue = F.col("j") % 3
-    triples = ranked(base.where(residue != 0), ["name", "name1", "name2"], ["sid", "j"], name="dc-triples")
-    named = triples.select("sid", "j", (F.col("before") + 1).alias("rank"), "span", "again")
+    triples = ranked(base.where(residue != 0), ["name", "name1", "name2"], ["sid", "j"], name="dc-triples", rows=rows)
+    named = triples.select("sid", "j", (F.col("before") + 1).alias("rank"), "step", "span", "again")
     if named.where(F.col("again") & (F.col("span") < far)).limit(1).count():
         lower = suffix_ranks(named.select((F.col("sid") * 2 + (residue - 1)).alias("sid"), F.expr("j div 3").alias("j"),
-                                          F.col("rank").alias("name"), "span"), depth)
+                                          F.col("rank").alias("name"), "step", "span"), depth)
         sampled = lower.select(F.expr("sid div 2").alias("sid"), (F.col("j") * 3 + 1 + F.col("sid") % 2).alias("j"), "rank")
     else:
         sampled = named.select("sid", "j", "rank")
     sampled = sampled.withColumn("j", F.col("j").cast("long"))
-    with_ranks = base.drop("span", "name2").join(sampled, ["sid", "j"], "left")
+    with_ranks = base.drop("step", "span", "name2").join(sampled, ["sid", "j"], "left")
     zero = F.lit(0).cast("long")
     known = stage(with_ranks.withColumns({"rank1": F.coalesce(F.lead("rank", 1).over(at), zero),
                                           "rank2": F.coalesce(F.lead("rank", 2).over(at), zero)}), "dc-known")
     with_1 = ranked(known.where(residue != 2).select("sid", "j", "name", "rank1"), ["name", "rank1"], ["sid", "j"],
-                    (residue == 1).cast("long"), "dc-merge")
+                    (residue == 1).cast("long"), "dc-merge", rows)
     with_2 = ranked(known.where(residue != 1).select("sid", "j", "name", "name1", "rank2"), ["name", "name1", "rank2"], ["sid", "j"],
-                    (residue == 2).cast("long"), "dc-merge")
+                    (residue == 2).cast("long"), "dc-merge", rows)
     none = F.lit(None).cast("long")
     rest = (with_1.where(residue == 0).select("sid", "j", "before", "name", "rank1")
             .unionByName(with_2.where(residue == 0).select("sid", "j", "before", none.alias("name"), none.alias("rank1")))
@@ -117,5 +134,5 @@ def suffix_ranks(letters: DataFrame, depth: int) -> DataFrame:
     merged = (rest.select("sid", "j", F.col("before").alias("sampled"), F.lit(0).alias("kind"), "name", "rank1")
               .unionByName(known.where(residue != 0).select("sid", "j", (F.col("rank") - 1).alias("sampled"), F.lit(1).alias("kind"),
                                                             zero.alias("name"), zero.alias("rank1"))))
-    out = ranked(merged, ["sampled", "kind", "name", "rank1"], ["sid", "j"], name="dc-ranks")
+    out = ranked(merged, ["sampled", "kind", "name", "rank1"], ["sid", "j"], name="dc-ranks", rows=rows)
     return out.select("sid", "j", (F.col("before") + 1).alias("rank"))

@@ -18,9 +18,9 @@ count are discarded first, exactly:
 
 What is left is written as segments of text with their open places.  Their suffixes are
 ranked by ``difference_cover``: a segment is parsed into letters at places that the text
-itself sets (a hash of ``MARK`` bytes, or no such place within ``REACH`` bytes before), so
-letters begin alike in equal texts, none is the beginning of another, and the order of their
-names is that of the bytes.  The open suffixes between two letters are merged in by the bytes
+itself sets (a hash of ``MARK`` bytes; a more frequent one, or every place, where none came for
+``REACH`` bytes), so letters begin alike in equal texts, none is the beginning of another, and
+the order of their names is that of the bytes.  The open suffixes between two letters are merged in by the bytes
 up to the next letter and its rank, and adjacent suffixes are compared by a digest of their
 first 100 bytes.
 
@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stage, table
+from .common import scratch, shuffle_partitions, stage, table
 from .difference_cover import ranked, suffix_ranks
 
 LENGTH = 100
@@ -52,7 +52,10 @@ WINDOW = 72  # places of a window that its anchor is chosen from
 SEEN = LENGTH - WINDOW + 1  # bytes from an anchor on that are inside all its windows
 PIECE = 1 << 21  # bytes hashed at once
 FLUSH = 400_000  # anchors looked at together before the shuffle
-MARK, ODDS, REACH = 6, 16, 64
+MARK, ODDS, MORE, REACH = 6, 16, 4, 44
+BLOCK = 92  # bytes that a letter covers at least
+SPAN = 1 << 16  # bytes of a segment
+LOCAL_RANGES = 1 << 20  # bytes of a text that are hashed at once for its ranges
 BROADCAST = 32 << 20
 
 _U = np.uint64
@@ -98,7 +101,7 @@ def _anchors(data: np.ndarray, starts: np.ndarray) -> tuple:
     first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)]))
     count = np.diff(np.append(first, len(window)))
     anchor, first = anchor[first], window[first]
-    seen = np.maximum(_digest(words, anchor, SEEN), _U(1))  # 0 is for rows that are not compared
+    seen = _digest(words, anchor, SEEN)
     run = _digest(words, first, LENGTH) ^ _mix(_digest(words, first + count - 1, LENGTH) + ((anchor - first) * 128 + count).astype(_U))
     return anchor, first, count, seen, run
 
@@ -127,12 +130,13 @@ def _pieces(nums: list[int], texts: list[bytes]):
         yield np.concatenate(data), np.concatenate(starts), place
 
 
-_ANCHOR = "key long, kind int, seen long, run long, num long, first long, count int, shift int"
+_ANCHOR = "key long, run long, num long, place long"
 OPEN, KNOWN, PASSED, REPEAT = range(4)  # one row per 29 bytes; the same where they repeat in the batch; the others of these; repeats
 
 
 def _before_shuffle(num, first, count, shift, seen, run) -> pa.RecordBatch:
-    """One batch of anchors: its own repeats found, one row per 29 bytes to be compared on."""
+    """One batch of anchors: its own repeats found, one row per 29 bytes to be compared on.
+    ``place`` holds the run's first window, its number of windows, the anchor's distance and the kind."""
     by = np.lexsort((first, num, run, seen))
     num, first, count, shift, seen, run = (x[by] for x in (num, first, count, shift, seen, run))
     new = np.concatenate([[True], seen[1:] != seen[:-1]])
@@ -143,9 +147,8 @@ def _before_shuffle(num, first, count, shift, seen, run) -> pa.RecordBatch:
     settled = kind >= PASSED  # these take no part in the comparison: anywhere will do
     key = np.where(settled, _mix(num.astype(_U) * _U(31) + first.astype(_U)), seen)
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), pa.array(kind.astype(np.int32)), pa.array(np.where(settled, _U(0), seen).view(np.int64)),
-         pa.array(np.where(settled, _U(0), run).view(np.int64)), pa.array(num), pa.array(first), pa.array(count.astype(np.int32)),
-         pa.array(shift.astype(np.int32))], names=["key", "kind", "seen", "run", "num", "first", "count", "shift"])
+        [pa.array(key.view(np.int64)), pa.array(np.where(settled, _U(0), run).view(np.int64)), pa.array(num),
+         pa.array(((first * 128 + count) * 128 + shift) * 4 + kind)], names=["key", "run", "num", "place"])
 
 
 def anchors(docs: DataFrame) -> DataFrame:
@@ -168,43 +171,48 @@ def anchors(docs: DataFrame) -> DataFrame:
             yield _before_shuffle(*(np.concatenate(x) for x in zip(*held)))
 
     def compare(batches):
-        held = None  # the last 29 bytes' rows, until the next ones come; at most one row per batch before the shuffle
+        held = None  # rows of the last key, until the next ones come; one row per batch before the shuffle at most
         for batch in batches:
             rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            if not rows.num_rows:
-                continue
-            seen = rows.column("seen").to_numpy()
-            last = int(np.searchsorted(seen, seen[-1])) if seen[-1] else len(seen)  # sorted
-            held = rows.slice(last)
-            yield from _after_shuffle(rows.slice(0, last))
+            if rows.num_rows:
+                key = rows.column("key").to_numpy()
+                last = int(np.searchsorted(key, key[-1]))  # sorted
+                held = rows.slice(last)
+                yield from _after_shuffle(rows.slice(0, last))
         if held is not None:
             yield from _after_shuffle(held)
 
     small = docs.select("num", "text")
     dealt = (small.mapInArrow(scan, _ANCHOR).repartition(shuffle_partitions(docs.sparkSession), "key")
-             .sortWithinPartitions("seen", "run", "num", "first"))
-    return dealt.mapInArrow(compare, "num long, first long, count int, shift int, repeat boolean")
+             .sortWithinPartitions("key", "run", "num", "place"))
+    return dealt.mapInArrow(compare, "num long, first long, count long, shift long, repeat boolean")
 
 
 def _after_shuffle(rows: pa.Table):
     """Whole groups of equal 29 bytes, sorted: the runs that occur elsewhere."""
     if not rows.num_rows:
         return
-    kind, seen, run = (rows.column(c).to_numpy() for c in ("kind", "seen", "run"))
+    key, run, num, place = (rows.column(c).to_numpy() for c in ("key", "run", "num", "place"))
+    kind = place % 4
     settled = kind >= PASSED
-    new = np.concatenate([[True], seen[1:] != seen[:-1]]) | settled
-    own = new | np.concatenate([[True], run[1:] != run[:-1]])
-    group = np.cumsum(new) - 1
-    shared = (np.bincount(group, weights=own)[group] > 1) | (np.bincount(group, weights=kind == KNOWN)[group] > 0)
-    repeat = np.where(settled, kind == REPEAT, ~own)
-    keep = np.flatnonzero(settled | shared | repeat)
-    got = rows.select(["num", "first", "count", "shift"]).take(pa.array(keep)).append_column("repeat", pa.array(repeat[keep]))
-    yield from got.combine_chunks().to_batches()
+    group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
+    compared = np.flatnonzero(~settled)  # a settled row's key is a number of its own, if not by accident
+    g, r = group[compared], run[compared]
+    own = np.ones(len(compared), bool)
+    own[1:] = (g[1:] != g[:-1]) | (r[1:] != r[:-1])
+    n = int(group[-1]) + 1
+    shared = (np.bincount(g, weights=own, minlength=n) > 1) | (np.bincount(g, weights=kind[compared] == KNOWN, minlength=n) > 0)
+    repeat = kind == REPEAT
+    repeat[compared] = ~own
+    keep = np.flatnonzero(settled | shared[group] | repeat)
+    place = place[keep] // 4
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(num[keep]), pa.array(place // 128 // 128), pa.array(place // 128 % 128), pa.array(place % 128), pa.array(repeat[keep])],
+        names=["num", "first", "count", "shift", "repeat"])
 
 
 def _with_ranges(docs: DataFrame, ranges: DataFrame, how: str = "inner") -> DataFrame:
-    """``docs`` joined to ``ranges(num, data)``, a row per document, which is broadcast only if it is small."""
-    ranges = stage(ranges, "ranges")
+    """``docs`` joined to the written ``ranges(num, data)``, a row per document, which is broadcast only if it is small."""
     size = ranges.agg(F.sum(F.length("data") + 64)).first()[0] or 0
     return docs.join(F.broadcast(ranges) if size <= BROADCAST else ranges, "num", how)
 
@@ -220,25 +228,34 @@ def _packed(rows: DataFrame, columns: list[str]) -> DataFrame:
     return grouped.mapInArrow(pack, "num long, data binary")
 
 
+def _near(raw: bytes, ranges: np.ndarray):
+    """A text's ranges in parts whose bytes lie together: where the bytes begin, and the part."""
+    block = ranges[:, 0] // LOCAL_RANGES
+    begin = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(ranges)]):
+        yield int(ranges[a, 0]), ranges[a:b]
+
+
 def eighths(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """``runs(num, first, count, shift)`` -> the ranges of windows ``(num, first, count)`` that may still repeat."""
     def cut(batches):
         for batch in batches:
-            out = []
-            for num, text, data in zip(*(batch.column(c).to_pylist() for c in ("num", "text", "data"))):
-                words = _words(np.frombuffer(text.encode(), np.uint8))
-                first, count, shift = np.frombuffer(data, np.int64).reshape(-1, 3).T
-                anchor = first + shift
-                for k in range(0, WINDOW, 8):  # windows that begin k to k + 7 places before the anchor
-                    lo = np.maximum(first, anchor - k - 7)
-                    many = np.minimum(first + count, anchor - k + 1) - lo
-                    some = many > 0
-                    if some.any():
-                        key = _mix(_digest(words, anchor[some] - k, LENGTH - 7) ^ _U(k))
-                        out.append((key.view(np.int64), np.full(len(key), num, np.int64), lo[some], many[some]))
-            if out:
+            for num, text, data in zip(*(batch.column(c) for c in ("num", "text", "data"))):
+                raw, ranges = text.as_py().encode(), np.frombuffer(data.as_py(), np.int64).reshape(-1, 3)
+                out = []
+                for lo, part in _near(raw, ranges):
+                    words = _words(np.frombuffer(raw[lo:lo + LOCAL_RANGES + 2 * LENGTH], np.uint8))
+                    first, count, shift = part.T
+                    anchor = first + shift
+                    for k in range(0, WINDOW, 8):  # windows that begin k to k + 7 places before the anchor
+                        low = np.maximum(first, anchor - k - 7)
+                        many = np.minimum(first + count, anchor - k + 1) - low
+                        some = many > 0
+                        if some.any():
+                            key = _mix(_digest(words, anchor[some] - k - lo, LENGTH - 7) ^ _U(k))
+                            out.append((key.view(np.int64), np.full(len(key), num.as_py(), np.int64), low[some], many[some]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["key", "num", "first", "count"])
-    text = _with_ranges(docs, _packed(runs, ["first", "count", "shift"]))
+    text = _with_ranges(docs, stage(_packed(runs, ["first", "count", "shift"]), "ranges"))
     parts = stage(text.mapInArrow(cut, "key long, num long, first long, count long"), "eighths")
     often = parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     return parts.join(often, "key").select("num", "first", "count")
@@ -249,55 +266,80 @@ def segments(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     def cut(batches):
         for batch in batches:
             out = []
-            for num, text, data in zip(*(batch.column(c).to_pylist() for c in ("num", "text", "data"))):
-                raw = text.encode()
-                first, count = np.frombuffer(data, np.int64).reshape(-1, 2).T
-                step = np.zeros(len(raw) + 1, np.int64)
-                np.add.at(step, first, 1)
-                np.add.at(step, first + count, -1)
-                flag = np.cumsum(step)[:-1] > 0
-                np.add.at(step, first + count, 1)
-                np.add.at(step, first + count + LENGTH - 1, -1)
-                used = np.cumsum(step)[:-1] > 0
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], used.astype(np.int8), [0]])))
-                for lo, hi in edge.reshape(-1, 2).tolist():
-                    out.append((num, lo, raw[lo:hi], flag[lo:hi].astype(np.uint8).tobytes()))
+            for num, text, data in zip(*(batch.column(c) for c in ("num", "text", "data"))):
+                raw, ranges = text.as_py().encode(), np.frombuffer(data.as_py(), np.int64).reshape(-1, 2)
+                first, last = ranges[:, 0], ranges.sum(1)  # windows of a text do not overlap, as each has one anchor and distance
+                begin = np.flatnonzero(np.concatenate([[True], first[1:] > last[:-1] + LENGTH - 1]))
+                for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(first)]):
+                    for lo in range(int(first[a]), int(last[b - 1]), SPAN):
+                        hi = min(int(last[b - 1]), lo + SPAN)
+                        flag = np.zeros(hi - lo + LENGTH - 1, np.uint8)
+                        for x, y in zip(np.maximum(first[a:b], lo).tolist(), np.minimum(last[a:b], hi).tolist()):
+                            flag[x - lo:max(x, y) - lo] = 1
+                        out.append((num.as_py(), lo, raw[lo:hi + LENGTH - 1], flag.tobytes()))
             if out:
                 num, lo, data, flag = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(num, pa.int64()), pa.array(lo, pa.int64()), pa.array(data, pa.binary()),
                                                   pa.array(flag, pa.binary())], names=["num", "start", "data", "open"])
-    text = _with_ranges(docs, _packed(ranges, ["first", "count"]))
+    text = _with_ranges(docs, stage(_packed(ranges, ["first", "count"]), "ranges"))
     rows = text.mapInArrow(cut, "num long, start long, data binary, open binary")
-    return stage(rows.withColumn("sid", F.monotonically_increasing_id()), "segments")
-
-
-def _marks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where letters begin, and where the bytes that show it end: at a hash of ``MARK`` bytes, or
-    at every place without one in the ``REACH`` places before."""
-    n = len(data)
-    words = _words(data)[:n] & _U((1 << 8 * MARK) - 1)
-    mark = _mix(words) % _U(ODDS) == 0
-    mark[max(0, n - MARK + 1):] = False
-    last = np.maximum.accumulate(np.where(mark, np.arange(n), -1))
-    before = np.concatenate([[-1], last[:-1]])
-    place = np.arange(n)
-    begins = np.flatnonzero((mark | (place - np.maximum(before, -1) > REACH)) & (place + MARK <= n) & (mark | (place >= REACH)))
-    return begins, np.append(np.minimum(begins[1:] + MARK, n), n)[:len(begins)]
+    return stage(rows.withColumn("sid", F.monotonically_increasing_id()), "segments", outer=True)
+
+
+class _Parsed:
+    """Segments one behind the other, and where their letters begin: at a hash of ``MARK`` bytes;
+    at a more frequent hash if no such place was in the ``REACH`` before; at every place if
+    neither was."""
+
+    def __init__(self, texts: list[bytes]):
+        size = np.array([len(t) for t in texts], np.int64)
+        self.end = np.cumsum(size)
+        self.start = self.end - size
+        self.raw = b"".join(texts)
+        self.words = _words(np.frombuffer(self.raw, np.uint8))
+        n = len(self.raw)
+        place = np.arange(n)
+        of = np.repeat(np.arange(len(texts)), size)
+        fits = place + MARK <= self.end[of]
+        hashed = _mix(self.words[:n] & _U((1 << 8 * MARK) - 1))
+        rare, frequent = (hashed % _U(ODDS) == 0) & fits, (hashed % _U(MORE) == 0) & fits
+
+        def since(mark):  # places since the last one, or since the segment's start
+            last = np.maximum.accumulate(np.where(mark, place, -1))
+            return place - np.maximum(np.concatenate([[-1], last[:-1]]), self.start[of] - 1)
+        frequent &= rare | (since(rare) > REACH)
+        neither = (since((hashed % _U(MORE) == 0) & fits) > REACH) & fits
+        self.rare, self.frequent, self.neither = (np.flatnonzero(x) for x in (rare, frequent, neither))
+        self.begin = np.flatnonzero(rare | frequent | neither)
+        self.of = of[self.begin]
+        self.first = np.searchsorted(self.of, np.arange(len(texts)))  # of each segment
+
+    def next_letter(self, places: np.ndarray) -> np.ndarray:
+        """The first letter behind each place that the 100 bytes from there show."""
+        def after(begins, at):
+            return np.append(begins, len(self.raw))[np.searchsorted(begins, at)]
+        return np.minimum(np.minimum(after(self.rare, places), after(self.frequent, places + REACH)), after(self.neither, places + REACH))
 
 
 def letters(segs: DataFrame) -> DataFrame:
-    """``(sid, j, letter, span)`` of every segment."""
+    """``(sid, j, letter, step, span)`` of every segment: a letter's bytes reach to the first
+    letter ``BLOCK`` bytes on, ``step`` is how far the next one is."""
     def cut(batches):
         for batch in batches:
-            out = []
-            for sid, data in zip(batch.column("sid").to_pylist(), batch.column("data").to_pylist()):
-                lo, hi = _marks(np.frombuffer(data, np.uint8))
-                out += [(sid, j, data[a:b], c - a) for j, (a, b, c) in enumerate(zip(lo.tolist(), hi.tolist(), [*lo[1:].tolist(), len(data)]))]
-            if out:
-                sid, j, letter, span = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(j, pa.int64()), pa.array(letter, pa.binary()),
-                                                  pa.array(span, pa.int64())], names=["sid", "j", "letter", "span"])
-    return segs.select("sid", "data").mapInArrow(cut, "sid long, j long, letter binary, span long")
+            if not batch.num_rows:
+                continue
+            p = _Parsed(batch.column("data").to_pylist())
+            end = p.end[p.of]
+            hi = np.append(p.begin, len(p.raw) + MARK)[np.searchsorted(p.begin, p.begin + BLOCK)] + MARK
+            whole = hi > end  # its segment ends first: nothing differs behind it
+            hi = np.minimum(hi, end)
+            step = np.minimum(np.append(p.begin[1:], len(p.raw)), end) - p.begin
+            letter = [p.raw[a:b] for a, b in zip(p.begin.tolist(), hi.tolist())]
+            sid = batch.column("sid").to_numpy()[p.of]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sid), pa.array(np.arange(len(sid)) - p.first[p.of]), pa.array(letter, pa.binary()), pa.array(step),
+                 pa.array(np.where(whole, LENGTH, hi - p.begin))], names=["sid", "j", "letter", "step", "span"])
+    return segs.select("sid", "data").mapInArrow(cut, "sid long, j long, letter binary, step long, span long")
 
 
 def _suffixes(segs: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -305,36 +347,34 @@ def _suffixes(segs: DataFrame, ranks: DataFrame) -> DataFrame:
     of its first 100 bytes, and its place."""
     def cut(batches):
         for batch in batches:
-            out = []
-            for num, start, data, flag, rank in zip(*(batch.column(c).to_pylist() for c in ("num", "start", "data", "open", "ranks"))):
-                raw = np.frombuffer(data, np.uint8)
-                places = np.flatnonzero(np.frombuffer(flag, np.uint8))
-                begins, _ = _marks(raw)
-                words = _words(raw)
-                # the next letter as the window shows it: a mark, or REACH places on
-                marks = begins[_mix(words[begins] & _U((1 << 8 * MARK) - 1)) % _U(ODDS) == 0]
-                nearest = np.append(marks, len(raw) + REACH)[np.searchsorted(marks, places)]
-                nearest = np.minimum(nearest, places + REACH)
-                j = np.searchsorted(begins, nearest)
-                size = nearest - places + MARK
-                head = _mix(size.astype(_U))
-                for k in range(0, REACH + MARK, 8):  # whole words, then what is left of one
-                    left = np.clip(size - k, 0, 8)
-                    part = words[np.minimum(places + k, len(words) - 1)] & np.where(left > 7, ~_U(0), (_U(1) << (left.astype(_U) * _U(8))) - _U(1))
-                    head = np.where(left > 0, _mix(head ^ part), head)
-                out.append((head.view(np.int64), np.array(rank, np.int64)[j], _digest(words, places, LENGTH).view(np.int64),
-                            np.full(len(places), num, np.int64), start + places))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)],
-                                                 names=["head", "rank", "digest", "num", "place"])
+            if not batch.num_rows:
+                continue
+            p = _Parsed(batch.column("data").to_pylist())
+            places = np.flatnonzero(np.frombuffer(b"".join(batch.column("open").to_pylist()), np.uint8))
+            rank = batch.column("ranks").flatten().to_numpy()
+            letter = p.next_letter(places)
+            size = letter - places + MARK
+            head = _mix(size.astype(_U))
+            for k in range(0, 2 * REACH + MARK, 8):  # whole words, then what is left of one
+                left = np.clip(size - k, 0, 8)
+                part = p.words[np.minimum(places + k, len(p.words) - 1)]
+                part = np.where(left > 7, part, part & ((_U(1) << (left.astype(_U) % _U(8) * _U(8))) - _U(1)))
+                head = np.where(left > 0, _mix(head ^ part), head)
+            of = np.searchsorted(p.end, places, side="right")
+            num, start = batch.column("num").to_numpy()[of], batch.column("start").to_numpy()[of]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(head.view(np.int64)), pa.array(rank[np.searchsorted(p.begin, letter)]), pa.array(_digest(p.words, places, LENGTH).view(np.int64)),
+                 pa.array(num), pa.array(start + places - p.start[of])], names=["head", "rank", "digest", "num", "place"])
     lists = ranks.groupBy("sid").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "rank"))), lambda x: x["rank"]).alias("ranks"))
     return segs.join(lists, "sid").mapInArrow(cut, "head long, rank long, digest long, num long, place long")
 
 
 def repeated_suffixes(segs: DataFrame) -> DataFrame:
     """``(num, place)`` of every open suffix whose first 100 bytes also start earlier."""
-    named = ranked(stage(letters(segs), "letters"), ["letter"], ["sid", "j"], name="letter-names")
-    ranks = suffix_ranks(named.select("sid", "j", (F.col("before") + 1).alias("name"), "span"), LENGTH)
+    with scratch(segs.sparkSession):
+        named = ranked(stage(letters(segs), "letters"), ["letter"], ["sid", "j"], name="letter-names")
+        named = stage(named.select("sid", "j", (F.col("before") + 1).alias("name"), "step", "span"), "names", outer=True)
+    ranks = suffix_ranks(named, LENGTH)
 
     def compare(batches):
         held = None  # the last group of equal suffixes; runs equal as a whole went before, so groups are small
@@ -369,8 +409,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``docs(num, text)``, numbers distinct and in document order -> ``(num, data)``: each
     document's maximal spans of removed bytes, as (start, end) pairs of 64-bit numbers."""
     runs = stage(anchors(docs), "anchors")
-    segs = segments(docs, eighths(docs, runs.where("NOT repeat")))
-    single = stage(repeated_suffixes(segs), "repeats")
+    with scratch(docs.sparkSession):
+        segs = segments(docs, eighths(docs, runs.where("NOT repeat")))
+    single = repeated_suffixes(segs)
     spans = (runs.where("repeat").select("num", F.col("first").alias("lo"), (F.col("first") + F.col("count") + LENGTH - 1).alias("hi"))
              .unionByName(single.select("num", F.col("place").alias("lo"), (F.col("place") + LENGTH).alias("hi"))))
 
@@ -417,7 +458,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (size, gone, many)), pa.array(sha, pa.string()), pa.array(left, pa.binary())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
     docs = numbered(docs)
-    return _with_ranges(docs, repeated_spans(docs), "left").mapInArrow(
+    with scratch(docs.sparkSession):
+        spans = stage(repeated_spans(docs), "spans", outer=True)
+    return _with_ranges(docs, spans, "left").mapInArrow(
         apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
