@@ -13,8 +13,9 @@ count are discarded first, exactly:
    equal anchors, so a run whose 29 bytes from the anchor on occur once in the corpus holds
    no repeat.  Runs that are equal as a whole, all their windows included, are repeats of the
    earliest of them and need not be sorted either.
-2. ``eighths``: the windows of a run in groups of eight by their distance to the anchor; a
-   group whose common 93 bytes occur once holds no repeat.
+2. ``eighths``: the same for the windows of a run in groups of eight by their distance to the
+   anchor: those whose common 93 bytes occur once hold no repeat, and groups that are equal as
+   a whole are repeats of the earliest.
 
 What is left is written as segments of text with their open places.  Their suffixes are
 ranked by ``difference_cover``: a segment is parsed into letters at places that the text
@@ -55,7 +56,6 @@ FLUSH = 400_000  # anchors looked at together before the shuffle
 MARK, ODDS, MORE, REACH = 6, 16, 4, 44
 BLOCK = 92  # bytes that a letter covers at least
 SPAN = 1 << 16  # bytes of a segment
-LOCAL_RANGES = 1 << 20  # bytes of a text that are hashed at once for its ranges
 BROADCAST = 32 << 20
 
 _U = np.uint64
@@ -152,8 +152,7 @@ def _before_shuffle(num, first, count, shift, seen, run) -> pa.RecordBatch:
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """``docs(num, text)`` -> the runs of windows that occur elsewhere too: ``(num, first,
-    count, shift, repeat)``, ``repeat`` where the whole run is equal to an earlier one."""
+    """``docs(num, text)`` -> its runs of windows that may repeat, see ``compared``."""
     def scan(batches):
         held, size = [], 0
         for batch in batches:
@@ -170,21 +169,25 @@ def anchors(docs: DataFrame) -> DataFrame:
         if held:
             yield _before_shuffle(*(np.concatenate(x) for x in zip(*held)))
 
+    return compared(docs.select("num", "text").mapInArrow(scan, _ANCHOR))
+
+
+def compared(rows: DataFrame) -> DataFrame:
+    """Rows of ``_before_shuffle`` -> the runs whose key occurs elsewhere too: ``(num, first, count,
+    shift, repeat)``, ``repeat`` where the whole run is equal to an earlier one."""
     def compare(batches):
         held = None  # rows of the last key, until the next ones come; one row per batch before the shuffle at most
         for batch in batches:
-            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            if rows.num_rows:
-                key = rows.column("key").to_numpy()
+            got = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if got.num_rows:
+                key = got.column("key").to_numpy()
                 last = int(np.searchsorted(key, key[-1]))  # sorted
-                held = rows.slice(last)
-                yield from _after_shuffle(rows.slice(0, last))
+                held = got.slice(last)
+                yield from _after_shuffle(got.slice(0, last))
         if held is not None:
             yield from _after_shuffle(held)
 
-    small = docs.select("num", "text")
-    dealt = (small.mapInArrow(scan, _ANCHOR).repartition(shuffle_partitions(docs.sparkSession), "key")
-             .sortWithinPartitions("key", "run", "num", "place"))
+    dealt = rows.repartition(shuffle_partitions(rows.sparkSession), "key").sortWithinPartitions("key", "run", "num", "place")
     return dealt.mapInArrow(compare, "num long, first long, count long, shift long, repeat boolean")
 
 
@@ -221,44 +224,59 @@ def _packed(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Ranges of each document as one value: its rows' numbers in order, 64 bits each."""
     def pack(batches):
         for batch in batches:
-            lists = batch.column("rows").to_pylist()
-            data = [np.array([[r[c] for c in columns] for r in x], np.int64).tobytes() for x in lists]
+            lists = batch.column("rows")
+            flat = np.stack([c.to_numpy() for c in lists.flatten().flatten()], 1).astype(np.int64)
+            at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
+            data = [flat[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
             yield pa.RecordBatch.from_arrays([batch.column("num"), pa.array(data, pa.binary())], names=["num", "data"])
     grouped = rows.groupBy("num").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
     return grouped.mapInArrow(pack, "num long, data binary")
 
 
 def _near(raw: bytes, ranges: np.ndarray):
-    """A text's ranges in parts whose bytes lie together: where the bytes begin, and the part."""
-    block = ranges[:, 0] // LOCAL_RANGES
+    """A text's ranges in parts whose bytes lie together: the part, where its bytes begin, and these."""
+    block = ranges[:, 0] // PIECE
     begin = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
     for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(ranges)]):
-        yield int(ranges[a, 0]), ranges[a:b]
+        lo = int(ranges[a, 0])
+        yield ranges[a:b], lo, raw[lo:int(ranges[b - 1, 0]) + 2 * LENGTH]
 
 
 def eighths(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """``runs(num, first, count, shift)`` -> the ranges of windows ``(num, first, count)`` that may still repeat."""
+    """``runs(num, first, count, shift)`` -> their eighths that may repeat, see ``compared``."""
+    def cut_part(held):
+        nums, ranges, los, raws = zip(*held)
+        many = [len(r) for r in ranges]
+        first, count, shift = np.concatenate(ranges).T
+        num = np.repeat(np.array(nums, np.int64), many)
+        size = np.array([len(r) for r in raws], np.int64)
+        moved = np.repeat(np.cumsum(size) - size - np.array(los, np.int64), many)  # from places in a text to places in the piece
+        words = _words(np.frombuffer(b"".join(raws), np.uint8))
+        first, anchor, out = first + moved, first + moved + shift, []
+        for k in range(0, WINDOW, 8):  # windows that begin k to k + 7 places before the anchor
+            low = np.maximum(first, anchor - k - 7)
+            windows = np.minimum(first + count, anchor - k + 1) - low
+            some = windows > 0
+            low, windows, at = low[some], windows[some], anchor[some] - k
+            key = _mix(_digest(words, at, LENGTH - 7) ^ _U(k))
+            whole = _digest(words, low, LENGTH) ^ _mix(_digest(words, low + windows - 1, LENGTH) + ((at - low) * 16 + windows).astype(_U))
+            out.append((num[some], low - moved[some], windows, np.zeros(len(low), np.int64), key, whole))
+        return _before_shuffle(*(np.concatenate(x) for x in zip(*out)))
+
     def cut(batches):
         for batch in batches:
+            held, size = [], 0
             for num, text, data in zip(*(batch.column(c) for c in ("num", "text", "data"))):
-                raw, ranges = text.as_py().encode(), np.frombuffer(data.as_py(), np.int64).reshape(-1, 3)
-                out = []
-                for lo, part in _near(raw, ranges):
-                    words = _words(np.frombuffer(raw[lo:lo + LOCAL_RANGES + 2 * LENGTH], np.uint8))
-                    first, count, shift = part.T
-                    anchor = first + shift
-                    for k in range(0, WINDOW, 8):  # windows that begin k to k + 7 places before the anchor
-                        low = np.maximum(first, anchor - k - 7)
-                        many = np.minimum(first + count, anchor - k + 1) - low
-                        some = many > 0
-                        if some.any():
-                            key = _mix(_digest(words, anchor[some] - k - lo, LENGTH - 7) ^ _U(k))
-                            out.append((key.view(np.int64), np.full(len(key), num.as_py(), np.int64), low[some], many[some]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["key", "num", "first", "count"])
+                for part, lo, raw in _near(text.as_py().encode(), np.frombuffer(data.as_py(), np.int64).reshape(-1, 3)):
+                    held.append((num.as_py(), part, lo, raw))
+                    size += len(raw)
+                    if size >= PIECE:
+                        yield cut_part(held)
+                        held, size = [], 0
+            if held:
+                yield cut_part(held)
     text = _with_ranges(docs, stage(_packed(runs, ["first", "count", "shift"]), "ranges"))
-    parts = stage(text.mapInArrow(cut, "key long, num long, first long, count long"), "eighths")
-    often = parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return parts.join(often, "key").select("num", "first", "count")
+    return compared(text.mapInArrow(cut, _ANCHOR))
 
 
 def segments(docs: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -283,7 +301,7 @@ def segments(docs: DataFrame, ranges: DataFrame) -> DataFrame:
                                                   pa.array(flag, pa.binary())], names=["num", "start", "data", "open"])
     text = _with_ranges(docs, stage(_packed(ranges, ["first", "count"]), "ranges"))
     rows = text.mapInArrow(cut, "num long, start long, data binary, open binary")
-    return stage(rows.withColumn("sid", F.monotonically_increasing_id()), "segments", outer=True)
+    return stage(rows.withColumn("sid", F.monotonically_increasing_id()), "segments")
 
 
 class _Parsed:
@@ -409,10 +427,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``docs(num, text)``, numbers distinct and in document order -> ``(num, data)``: each
     document's maximal spans of removed bytes, as (start, end) pairs of 64-bit numbers."""
     runs = stage(anchors(docs), "anchors")
-    with scratch(docs.sparkSession):
-        segs = segments(docs, eighths(docs, runs.where("NOT repeat")))
-    single = repeated_suffixes(segs)
-    spans = (runs.where("repeat").select("num", F.col("first").alias("lo"), (F.col("first") + F.col("count") + LENGTH - 1).alias("hi"))
+    parts = stage(eighths(docs, runs.where("NOT repeat")), "eighths")
+    single = repeated_suffixes(segments(docs, parts.where("NOT repeat")))
+    last = (F.col("first") + F.col("count") + LENGTH - 1).alias("hi")
+    spans = (runs.unionByName(parts).where("repeat").select("num", F.col("first").alias("lo"), last)
              .unionByName(single.select("num", F.col("place").alias("lo"), (F.col("place") + LENGTH).alias("hi"))))
 
     def merge(batches):
