@@ -45,10 +45,11 @@ def _differs(column: pa.Array, last) -> np.ndarray:
 
 
 def ranked(df: DataFrame, keys: list[str], place: list[str], weight: Column | None = None, name: str = "ranked",
-           rows: int | None = None) -> DataFrame:
+           rows: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """``df`` with ``before``, the weight (1 by default) of all rows whose ``keys`` are smaller,
     and ``again``, true for a row that has an equal one before it.  ``place`` tells rows apart,
-    ``rows`` is about how many there are."""
+    ``rows`` is about how many there are, ``keep`` the columns that are returned (all by default)."""
+    keep = keep or df.columns
     order = [*keys, *place]
     src = df.withColumn("__w", F.lit(1).cast("long") if weight is None else weight.cast("long"))
     n = shuffle_partitions(df.sparkSession)
@@ -56,6 +57,8 @@ def ranked(df: DataFrame, keys: list[str], place: list[str], weight: Column | No
         n = max(1, min(n, math.ceil(rows / PART_ROWS)))
     dealt = src.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
+    written = {*keep, "__w"}
+
     def number(batches):
         part = TaskContext.get().partitionId()
         last, total, start, runs, row = [None] * len(keys), 0, 0, 0, 0
@@ -70,8 +73,11 @@ def ranked(df: DataFrame, keys: list[str], place: list[str], weight: Column | No
             before = total + np.cumsum(w) - w
             run = runs + np.cumsum(new)
             starts = np.concatenate([[start], before[new]])[run - runs]
+            ends = np.zeros(len(w), bool)  # keys are written where partitions meet only, unless they are asked for
+            ends[[0, -1]] = True
+            out = [c if f in written else pc.if_else(pa.array(ends), c, pa.scalar(None, c.type)) for f, c in zip(batch.schema.names, batch.columns)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(len(w), part, np.int32)), pa.array(starts), pa.array(run == 1), pa.array(~new),
+                [*out, pa.array(np.full(len(w), part, np.int32)), pa.array(starts), pa.array(run == 1), pa.array(~new),
                  pa.array(row + np.arange(len(w)))], names=[*batch.schema.names, "__part", "__start", "__first", "again", "__row"])
             last, total, start = [c[-1].as_py() for c in columns], total + int(w.sum()), int(starts[-1])
             runs, row = int(run[-1]), row + len(w)
@@ -91,7 +97,7 @@ def ranked(df: DataFrame, keys: list[str], place: list[str], weight: Column | No
     heads = heads.select("__part", "__offset", "joins", "carried")
     joined = table.join(F.broadcast(heads), "__part")
     goes_on = F.col("__first") & F.col("joins")
-    return joined.select(*df.columns, F.when(goes_on, F.col("carried")).otherwise(F.col("__offset") + F.col("__start")).alias("before"),
+    return joined.select(*keep, F.when(goes_on, F.col("carried")).otherwise(F.col("__offset") + F.col("__start")).alias("before"),
                          (F.col("again") | goes_on).alias("again"))
 
 
@@ -110,7 +116,8 @@ def _ranks(letters: DataFrame, depth: int) -> DataFrame:
         (F.col("step") + F.coalesce(F.lead("step", 1).over(at), far) + F.coalesce(F.lead("step", 2).over(at), far)).alias("step")), "dc-base")
     rows = base.count()
     residue = F.col("j") % 3
-    triples = ranked(base.where(residue != 0), ["name", "name1", "name2"], ["sid", "j"], name="dc-triples", rows=rows)
+    triples = ranked(base.where(residue != 0), ["name", "name1", "name2"], ["sid", "j"], name="dc-triples", rows=rows,
+                     keep=["sid", "j", "step", "span"])
     named = triples.select("sid", "j", (F.col("before") + 1).alias("rank"), "step", "span", "again")
     if named.where(F.col("again") & (F.col("span") < far)).limit(1).count():
         lower = suffix_ranks(named.select((F.col("sid") * 2 + (residue - 1)).alias("sid"), F.expr("j div 3").alias("j"),
@@ -126,7 +133,7 @@ def _ranks(letters: DataFrame, depth: int) -> DataFrame:
     with_1 = ranked(known.where(residue != 2).select("sid", "j", "name", "rank1"), ["name", "rank1"], ["sid", "j"],
                     (residue == 1).cast("long"), "dc-merge", rows)
     with_2 = ranked(known.where(residue != 1).select("sid", "j", "name", "name1", "rank2"), ["name", "name1", "rank2"], ["sid", "j"],
-                    (residue == 2).cast("long"), "dc-merge", rows)
+                    (residue == 2).cast("long"), "dc-merge", rows, ["sid", "j"])
     none = F.lit(None).cast("long")
     rest = (with_1.where(residue == 0).select("sid", "j", "before", "name", "rank1")
             .unionByName(with_2.where(residue == 0).select("sid", "j", "before", none.alias("name"), none.alias("rank1")))
@@ -134,5 +141,5 @@ def _ranks(letters: DataFrame, depth: int) -> DataFrame:
     merged = (rest.select("sid", "j", F.col("before").alias("sampled"), F.lit(0).alias("kind"), "name", "rank1")
               .unionByName(known.where(residue != 0).select("sid", "j", (F.col("rank") - 1).alias("sampled"), F.lit(1).alias("kind"),
                                                             zero.alias("name"), zero.alias("rank1"))))
-    out = ranked(merged, ["sampled", "kind", "name", "rank1"], ["sid", "j"], name="dc-ranks", rows=rows)
+    out = ranked(merged, ["sampled", "kind", "name", "rank1"], ["sid", "j"], name="dc-ranks", rows=rows, keep=["sid", "j"])
     return out.select("sid", "j", (F.col("before") + 1).alias("rank"))

@@ -390,7 +390,7 @@ def _suffixes(segs: DataFrame, ranks: DataFrame) -> DataFrame:
 def repeated_suffixes(segs: DataFrame) -> DataFrame:
     """``(num, place)`` of every open suffix whose first 100 bytes also start earlier."""
     with scratch(segs.sparkSession):
-        named = ranked(stage(letters(segs), "letters"), ["letter"], ["sid", "j"], name="letter-names")
+        named = ranked(stage(letters(segs), "letters"), ["letter"], ["sid", "j"], name="letter-names", keep=["sid", "j", "step", "span"])
         named = stage(named.select("sid", "j", (F.col("before") + 1).alias("name"), "step", "span"), "names", outer=True)
     ranks = suffix_ranks(named, LENGTH)
 
