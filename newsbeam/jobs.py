@@ -1,9 +1,9 @@
 """The recurring job as Spark jobs: ingest, score, and the endless cycle.
 
     spark-submit job.py seeds  --out U --base-a A --base-b B
-    spark-submit job.py ingest --pages P --store S [--as-of T]
-    spark-submit job.py score  --store S --snapshots N [--as-of T] [--only-unprocessed]
-    spark-submit job.py run    --landing L --store S --snapshots N --checkpoint C
+    spark-submit job.py ingest --pages P --store S [--as-of T] [--feeds a,b] [--rule R] [--quarantine Q]
+    spark-submit job.py score  --store S --snapshots N [--as-of T] [--only-unprocessed] [--memo M]
+    spark-submit job.py run    --landing L --store S --snapshots N --checkpoint C [options of both]
 
 Pages arrive landed as ``(symbol, feed, url, html)`` (fetching is outside
 the engine).  ``ingest`` extracts both feeds' items, keeps feed A's recent
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +44,7 @@ class Feed:
     headline_css: str
     date_css: str
     rule: str  # "strict30" / "lenient" / "within" on relative ages, "same_day" on day text
+    minutes: int = 30  # of "within"
 
 
 # The CSS selectors of the two feeds' symbol pages (production
@@ -86,7 +87,7 @@ def feed_items(pages: DataFrame, feed: Feed, day: dt.date) -> tuple[DataFrame, D
         kept = dated.where(op.is_same_day("date_text", day, "text"))
         bad = dated.where(F.lit(False)).withColumn("reason", F.lit(None).cast("string"))
     else:
-        kept, bad = op.split_recent(dated, "date_text", feed.rule)
+        kept, bad = op.split_recent(dated, "date_text", feed.rule, feed.minutes)
     cols = ["day", "reason", "feed", "symbol", "date_text", "headline"]
     return kept, missing.select(*cols).unionByName(bad.select(*cols)), items
 
@@ -150,8 +151,12 @@ def score(spark: SparkSession, store_path: str, snapshot_path: str, as_of: dt.da
 
 
 def run(spark: SparkSession, landing: str, store_path: str, snapshot_path: str, checkpoint: str,
-        every: str = "60 seconds", available_now: bool = False, scorer=None):
-    """The endless cycle: each new landing of pages is ingested then scored."""
+        every: str = "60 seconds", available_now: bool = False, scorer=None, feeds=None,
+        quarantine_path: str | None = None, first_write: str = "dedupe", symbols=SYMBOLS,
+        only_unprocessed: bool = False, label_mode: str = "exact", write_back: str = "all"):
+    """The endless cycle: each new landing of pages is ingested then scored, with the options of both."""
+    feeds = feeds or (FEED_A, FEED_B)
+    quarantine_path = quarantine_path or store_path.rstrip("/") + "_quarantine"
     from .schemas import LANDED_PAGES
     from .streaming.cycle import run_cycle
     stream = spark.readStream.schema(LANDED_PAGES).parquet(landing)
@@ -165,10 +170,10 @@ def run(spark: SparkSession, landing: str, store_path: str, snapshot_path: str,
                 none = F.lit(None).cast("string")
                 write_quarantine(batch.where("landed_at IS NULL").select(
                     day.alias("day"), F.lit("no landing time").alias("reason"), "feed", "symbol", none.alias("date_text"),
-                    F.col("url").alias("headline"), F.lit(f"batch-{batch_id}").alias("run")), store_path.rstrip("/") + "_quarantine")
+                    F.col("url").alias("headline"), F.lit(f"batch-{batch_id}").alias("run")), quarantine_path)
                 continue
-            ingest(spark, batch.where(day == F.lit(r["day"])), store_path, r["as_of"])
-            score(spark, store_path, snapshot_path, r["as_of"], scorer)
+            ingest(spark, batch.where(day == F.lit(r["day"])), store_path, r["as_of"], feeds, quarantine_path, first_write, symbols)
+            score(spark, store_path, snapshot_path, r["as_of"], scorer, None, only_unprocessed, label_mode, write_back)
 
     return run_cycle(stream, cycle, checkpoint, every, available_now)
 
@@ -177,6 +182,32 @@ def _as_of(text: str | None) -> dt.datetime:
     return dt.datetime.fromisoformat(text) if text else dt.datetime.now().replace(microsecond=0)
 
 
+def feeds_of(names: str, rule_a: str | None = None, minutes: int = 60) -> tuple[Feed, ...]:
+    """The feeds of a run by name (``a``, ``a_old``, ``b``, with commas); ``rule_a`` sets the recency rule of feed A."""
+    known = {"a": FEED_A, "a_old": FEED_A_OLD, "b": FEED_B}
+    chosen = [known[n.strip().lower()] for n in names.split(",")]
+    return tuple(replace(f, rule=rule_a, minutes=minutes) if rule_a and f.name == "A" else f for f in chosen)
+
+
+def _ingest_options(p) -> None:
+    p.add_argument("--quarantine")
+    p.add_argument("--first-write", choices=("dedupe", "keep_all"), default="dedupe")
+    p.add_argument("--feeds", default="a,b", help="a, a_old, b (the older jobs: a_old or b alone)")
+    p.add_argument("--rule", choices=("strict30", "lenient", "within"), help="recency rule of feed A")
+    p.add_argument("--minutes", type=int, default=60, help="of --rule within")
+
+
+def _score_options(p) -> None:
+    p.add_argument("--only-unprocessed", action="store_true")
+    p.add_argument("--label-mode", choices=("exact", "contains"), default="exact")
+    p.add_argument("--write-back", choices=("all", "first_match"), default="all")
+    p.add_argument("--memo", help="table of answers by content: a prompt is given to the model once")
+
+
+def _scorer(args, run: str):
+    return op.MemoScorer(op.lexicon_model(), args.memo, run) if args.memo else op.LexiconScorer()
+
+
 def main(argv=None) -> None:
     from .session import get_spark
     p = argparse.ArgumentParser(prog="newsbeam.jobs")
@@ -184,16 +215,13 @@ def main(argv=None) -> None:
     a = sub.add_parser("ingest")
     a.add_argument("--pages", required=True)
     a.add_argument("--store", required=True)
-    a.add_argument("--quarantine")
     a.add_argument("--as-of")
-    a.add_argument("--first-write", choices=("dedupe", "keep_all"), default="dedupe")
+    _ingest_options(a)
     s = sub.add_parser("score")
     s.add_argument("--store", required=True)
     s.add_argument("--snapshots", required=True)
     s.add_argument("--as-of")
-    s.add_argument("--only-unprocessed", action="store_true")
-    s.add_argument("--label-mode", choices=("exact", "contains"), default="exact")
-    s.add_argument("--write-back", choices=("all", "first_match"), default="all")
+    _score_options(s)
     e = sub.add_parser("seeds")
     e.add_argument("--out", required=True)
     e.add_argument("--base-a", required=True)
@@ -202,6 +230,9 @@ def main(argv=None) -> None:
     for x in ("--landing", "--store", "--snapshots", "--checkpoint"):
         r.add_argument(x, required=True)
     r.add_argument("--every", default="60 seconds")
+    r.add_argument("--available-now", action="store_true", help="process what has landed and stop")
+    _ingest_options(r)
+    _score_options(r)
     args = p.parse_args(argv)
     spark = get_spark(state_store="rocksdb" if args.cmd == "run" else "default")
     if args.cmd == "seeds":
@@ -210,12 +241,15 @@ def main(argv=None) -> None:
         unknown.write.mode("overwrite").parquet(args.out.rstrip("/") + "_unknown_symbols")
     elif args.cmd == "ingest":
         ingest(spark, spark.read.parquet(args.pages), args.store, _as_of(args.as_of),
-               quarantine_path=args.quarantine, first_write=args.first_write)
+               feeds_of(args.feeds, args.rule, args.minutes), args.quarantine, args.first_write)
     elif args.cmd == "score":
-        score(spark, args.store, args.snapshots, _as_of(args.as_of), only_unprocessed=args.only_unprocessed,
+        as_of = _as_of(args.as_of)
+        score(spark, args.store, args.snapshots, as_of, _scorer(args, as_of.strftime("%Y%m%dT%H%M%S")), only_unprocessed=args.only_unprocessed,
               label_mode=args.label_mode, write_back=args.write_back).orderBy("day", "rank").show(100, False)
     else:
-        run(spark, args.landing, args.store, args.snapshots, args.checkpoint, args.every).awaitTermination()
+        run(spark, args.landing, args.store, args.snapshots, args.checkpoint, args.every, args.available_now,
+            _scorer(args, dt.datetime.now().strftime("%Y%m%dT%H%M%S")), feeds_of(args.feeds, args.rule, args.minutes), args.quarantine,
+            args.first_write, SYMBOLS, args.only_unprocessed, args.label_mode, args.write_back).awaitTermination()
 
 
 if __name__ == "__main__":

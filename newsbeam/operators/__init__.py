@@ -1,10 +1,13 @@
 """DataFrame -> DataFrame operators, composable with ``DataFrame.transform``."""
 
+from .deltas import (apply_batch, delta_cycle, label_changes, net_from_deltas, read_deltas,  # noqa: F401
+                     read_label_log, score_deltas)
 from .extract import (attr_values, element_html, element_texts, extract_css,  # noqa: F401
                       extract_headlines, extract_items, unpaired_items, zip_items)
 from .lookup import lookup_slug, seed_urls, unknown_symbols  # noqa: F401
 from .merge import (align_records, combine_feeds, distinct_headlines,  # noqa: F401
-                    first_occurrence, merge_day, merge_symbol_maps, merge_symbol_rows, novel, to_record)
+                    first_occurrence, merge_day, merge_symbol_maps, merge_symbol_rows, novel, novel_firsts, to_record)
+from .memo import MemoScorer, fill_memo, read_memo, recall  # noqa: F401
 from .nest import day_documents, nest_day, unnest_day  # noqa: F401
 from .recency import (classify_age, is_recent, is_same_day,  # noqa: F401
                       nonempty_symbols, split_recent)

@@ -1,17 +1,21 @@
 """Day merge: first occurrence, novelty, feed union, record alignment.
 
 A repeat is the same (day, symbol, headline): case matters, the same text
-under another symbol or day is a different headline.
+under another symbol or day is a different headline; null equals null.
 
 Scale notes
 -----------
+* Rows meet on the 32-byte digest of their key (``functions.keys.digest``), not
+  on the text: sorting, grouping and joining compare digests, null keys are
+  ordinary digests, and only the winner of a group carries its text.
 * ``first_occurrence`` is a grouped ``min(struct(order..., rest...))``, not a
   ``row_number`` window: the aggregate runs a partial (map side) step, so a
   key that holds a third of all rows reaches the shuffle as one row per map
   task instead of being sorted whole inside a single task.
-* ``novel`` de-duplicates the stored keys before the anti join, so a key
-  stored many times is one row on the build side; the aggregate's hash
-  partitioning on the key is reused by the join (no second exchange).
+* ``novel`` de-duplicates the stored digests before the anti join, so a key
+  stored many times is one row on the build side and no stored text is
+  shuffled.  ``novel_firsts`` does both on one partitioning: the batch's text is
+  shuffled once.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_lit
+from ..functions.keys import digest
 
 KEY = ["day", "symbol", "headline"]
 RECORD_COLS = ["day", "symbol", "feed", "pos", "headline", "created", "processed", "labelled"]
@@ -34,31 +39,39 @@ def day_set(df: DataFrame) -> DataFrame:
     return F.broadcast(df.select("day").distinct())
 
 
-def first_occurrence(df: DataFrame, keys=KEY, order=("pos",)) -> DataFrame:
-    """WIN-1 / AGG-3: keep the first row of each key by ``order``."""
+def _firsts(df: DataFrame, keys=KEY, order=("pos",)) -> DataFrame:
+    """The first row of each key by ``order``, with the key's digest ``_k``."""
     order = [order] if isinstance(order, str) else list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
+    rest = [c for c in df.columns if c not in order]
     picked = F.min(F.struct(*order, *rest)).alias("_first")
-    out = df.groupBy(*keys).agg(picked)
-    return out.select(*[F.col(k) for k in keys],
-                      *[F.col(f"_first.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    out = df.withColumn("_k", digest(*keys)).groupBy("_k").agg(picked)
+    return out.select("_k", *[F.col(f"_first.{c}").alias(c) for c in df.columns])
+
+
+def first_occurrence(df: DataFrame, keys=KEY, order=("pos",)) -> DataFrame:
+    """WIN-1 / AGG-3: keep the first row of each key by ``order``."""
+    return _firsts(df, keys, order).drop("_k")
 
 
 def distinct_headlines(df: DataFrame, keys=KEY) -> DataFrame:
-    """AGG-3 where any copy will do: one row per key (``dropDuplicates``,
-    planned as an aggregate with a partial step)."""
-    return df.dropDuplicates(list(keys))
+    """AGG-3 where any copy will do: the keys themselves, each once."""
+    return _firsts(df.select(*keys), keys, ()).drop("_k")
+
+
+def _unknown(keyed: DataFrame, stored: DataFrame, keys) -> DataFrame:
+    known = stored.select(digest(*keys).alias("_k")).distinct()
+    return keyed.join(known, "_k", "left_anti").drop("_k")
 
 
 def novel(batch: DataFrame, stored: DataFrame, keys=KEY) -> DataFrame:
     """JN-2: batch rows whose key is not in ``stored``; null equals null, so a
     row with a null key is not added again by every run."""
-    known = stored.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
-    same = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        same = c if same is None else same & c
-    return batch.join(known, same, "left_anti")
+    return _unknown(batch.withColumn("_k", digest(*keys)), stored, keys)
+
+
+def novel_firsts(batch: DataFrame, stored: DataFrame, keys=KEY, order=("pos",)) -> DataFrame:
+    """WIN-1 then JN-2: the first copies of a batch that are not in ``stored``."""
+    return _unknown(_firsts(batch, keys, order), stored, keys)
 
 
 def to_record(df: DataFrame, as_of) -> DataFrame:
@@ -81,12 +94,12 @@ def merge_day(stored: DataFrame, batch: DataFrame, as_of, first_write: str = "de
     batch as it is, repeats included (the parity mode of the first write).
     """
     if first_write == "dedupe":
-        added = novel(first_occurrence(batch), stored)
+        added = novel_firsts(batch, stored)
     elif first_write == "keep_all":
         stored_days = day_set(stored)
         fresh = batch.join(stored_days, "day", "left_anti")
         known = batch.join(stored_days, "day", "left_semi")
-        added = fresh.unionByName(novel(first_occurrence(known), stored))
+        added = fresh.unionByName(novel_firsts(known, stored))
     else:
         raise ValueError(f"unknown first_write mode {first_write!r}")
     return stored.unionByName(to_record(added, as_of), allowMissingColumns=True)
@@ -112,9 +125,8 @@ def merge_symbol_maps(stored: DataFrame, batch: DataFrame) -> DataFrame:
     and one grouped aggregate, so it needs no full outer join and pre-reduces
     hot keys map side.
     """
-    firsts = first_occurrence(batch)
-    stored_keys = stored.select(*KEY).distinct().withColumn("_stored", F.lit(True))
-    flagged = (firsts.join(stored_keys, KEY, "left")
+    stored_keys = stored.select(digest(*KEY).alias("_k")).distinct().withColumn("_stored", F.lit(True))
+    flagged = (_firsts(batch).join(stored_keys, "_k", "left")
                .select("day", "symbol", "headline",
                        F.lit(0).alias("_s"),
                        F.when(F.col("_stored").isNull(), 1).otherwise(0).alias("_a")))
@@ -137,13 +149,13 @@ def merge_symbol_rows(stored: DataFrame, batch: DataFrame, universe: DataFrame |
     to their day).  A (day, symbol) of ``universe`` that neither side holds is
     the map's empty list: one row with null headline and origin.
     """
-    added = novel(first_occurrence(batch), stored)
+    added = novel_firsts(batch, stored)
     rows = (stored.select(*KEY, F.lit("stored").alias("origin"))
             .unionByName(added.select(*KEY, F.lit("added").alias("origin"))))
     if universe is None:
         return rows
     # a symbol of either side has rows, so its presence is read off the inputs, without their text
     pairs = stored.select("day", "symbol").unionByName(batch.select("day", "symbol")).distinct()
-    empty = universe.select("day", "symbol").distinct().join(pairs, ["day", "symbol"], "left_anti")
+    empty = novel(universe.select("day", "symbol").distinct(), pairs, ["day", "symbol"])
     none = F.lit(None).cast("string")
     return rows.unionByName(empty.select("day", "symbol", none.alias("headline"), none.alias("origin")))

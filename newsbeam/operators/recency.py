@@ -103,7 +103,9 @@ def is_same_day(c, day, mode: str = "date") -> Column:
 
 
 def nonempty_symbols(items: DataFrame, universe: DataFrame, keys=("symbol",)) -> DataFrame:
-    """FLT-4: symbols of ``universe`` that have at least one item (semi join).
+    """FLT-4: symbols of ``universe`` that have at least one item (semi join; null equals null).
     Item keys are de-duplicated first (partial aggregate), so a symbol with
     many items is one row on the build side."""
-    return universe.join(items.select(*keys).distinct(), list(keys), "left_semi")
+    known = items.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return universe.join(known, same, "left_semi")

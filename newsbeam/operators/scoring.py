@@ -35,9 +35,11 @@ def net_score(labelled: DataFrame, universe: DataFrame | None = None,
     if universe is None:
         return agg
     extra = [c for c in universe.columns if c not in ("day", "symbol")]
-    # a scored symbol that the universe lacks stays in the ranking
-    return (universe.join(agg, ["day", "symbol"], "full")
-            .select("day", "symbol", *extra, F.coalesce("score", F.lit(0).cast("long")).alias("score")))
+    zero = F.lit(0).cast("long").alias("score")
+    # one grouped step instead of an outer join: a null symbol is one symbol, and a scored one that the universe lacks stays
+    both = universe.select("day", "symbol", *extra, zero).unionByName(agg, allowMissingColumns=True)
+    return (both.groupBy("day", "symbol").agg(*[F.min(c).alias(c) for c in extra], F.sum("score").cast("long").alias("score"))
+            .select("day", "symbol", *extra, "score"))
 
 
 def rank_scores(scores: DataFrame, order_col: str | None = "ord") -> DataFrame:

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.answers import NEGATIVE, NEUTRAL, parse_answer, render_prompt, to_label
+from ..functions.keys import digest
+from ..functions.text import strip_ws
 
 # The stand-in lexicon of negative words (lower case, whole words).
 NEGATIVE_WORDS = ("trash", "scum", "idiot", "clown", "worthless",
@@ -98,11 +100,13 @@ class PandasScorer:
     task and returns ``generate(prompts: Series) -> Series`` of generated text;
     ``max_length`` is the model's generation limit.  Prompts are rendered and
     answers parsed as native columns around it; the answer is the text after
-    the ``Answer: `` marker (null without it).
+    the ``Answer: `` marker (null without it).  ``chat``: the model answers messages, its text
+    is the answer itself, stripped.
     """
 
-    def __init__(self, factory, max_length: int = 512, partitions: int | None = None):
+    def __init__(self, factory, max_length: int = 512, partitions: int | None = None, chat: bool = False):
         self.factory = factory
+        self.chat = chat
         self.max_length = max_length
         # model time dominates: spread rows evenly over ``partitions`` tasks
         # (round robin), so a partition full of one hot symbol is not one task
@@ -111,6 +115,8 @@ class PandasScorer:
     def score(self, df: DataFrame, text_col: str = "headline") -> DataFrame:
         if self.partitions:
             df = df.repartition(self.partitions)
+        if self.chat:
+            return df.withColumn("answer", strip_ws(_generated(F.col(text_col), self.factory, self.max_length)))
         gen = _generated(render_prompt(text_col), self.factory, self.max_length)
         return df.withColumn("answer", parse_answer(gen))
 
@@ -141,17 +147,6 @@ IDENTITY = ("day", "symbol", "feed", "created", "pos", "headline")
 MATCH = ("day", "symbol", "headline")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
-    """Equi join on ``keys`` where null equals null; the right copies are dropped."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def apply_labels(records: DataFrame, labels: DataFrame, mode: str = "all",
                  identity=IDENTITY) -> DataFrame:
     """JN-4 / WIN-2: write labels back into records.
@@ -163,22 +158,24 @@ def apply_labels(records: DataFrame, labels: DataFrame, mode: str = "all",
     ``first_match`` (parity): updates go by (day, symbol, headline) to the
     first stored copy only (earliest ``created``, then lowest ``pos``); with
     several scored copies the one scored last wins; other copies stay
-    unprocessed.  Both are grouped aggregates plus equi joins (no window
-    over a key), null-safe on every key.
+    unprocessed.  Both are grouped aggregates plus equi joins on digests (no
+    window over a key, null equals null), so a record's text is shuffled once
+    and a label carries none.
     """
     keep = [c for c in records.columns if c not in ("processed", "labelled")]
     order = [c for c in ("created", "pos") if c in records.columns]
     if mode == "all":
         ident = [c for c in identity if c in records.columns]
         # copies share an identity (keep_all): one label each, so the join adds no rows
-        lab = labels.groupBy(*ident).agg(F.max("label").alias("_label"))
-        j = _null_safe_join(records, lab, ident, "left")
+        lab = labels.select(digest(*ident).alias("_k"), "label").groupBy("_k").agg(F.max("label").alias("_label"))
+        j = records.withColumn("_k", digest(*ident)).join(lab, "_k", "left")
     elif mode == "first_match":
-        last = labels.groupBy(*MATCH).agg(F.max_by("label", F.struct(*order)).alias("_label"))
-        first = (records.groupBy(*MATCH).agg(F.min(F.struct(*order)).alias("_o"))
-                 .select(*MATCH, *[F.col(f"_o.{c}").alias(c) for c in order]))
-        target = _null_safe_join(first, last, list(MATCH), "inner")
-        j = _null_safe_join(records, target, [*MATCH, *order], "left")
+        last = (labels.select(digest(*MATCH).alias("_m"), "label", *order)
+                .groupBy("_m").agg(F.max_by("label", F.struct(*order)).alias("_label")))
+        first = (records.select(digest(*MATCH).alias("_m"), *order, digest(*MATCH, *order).alias("_k"))
+                 .groupBy("_m").agg(F.min(F.struct(*order, "_k")).alias("_o")))
+        target = first.join(last, "_m").select(F.col("_o._k").alias("_k"), "_label")
+        j = records.withColumn("_k", digest(*MATCH, *order)).join(target, "_k", "left")
     else:
         raise ValueError(f"unknown write-back mode {mode!r}")
     hit = F.col("_label").isNotNull()

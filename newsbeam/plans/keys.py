@@ -25,13 +25,15 @@ from ..session import materialize, run_dir, staged
 from ..sources import store
 from ..sources.fixtures import (FIXTURE_AS_OF, FIXTURE_DAY, document_answers, headline_records,
                                 headlines_view, recorded_answers)
-from ..sources.tables import read_day, read_pages, read_prompts, read_table
+from ..sources.tables import read_day, read_pages, read_prompts, read_table, symbol_dim_df, symbols_df
 
 DIM_REGIONS = ("AFRICA", "AMERICA", "ASIA")
 FIRST_DAY = "2024-01-01"
 EMPTY_DAY = dt.date(1999, 1, 1)  # no headlines
 SCALAR_SYMBOL = "src1"
 NEST_PART_SIZE = 100
+NULL_SOURCE, EMPTY_SOURCE, DROPPED_SOURCE = "src3", "src4", "src5"
+SEED_SOURCES = [f"src{i}" for i in range(15)]  # a seed list as long as the job's
 
 
 def _day(c: str = "day"):
@@ -152,10 +154,10 @@ def recent_within60_q(spark, sf_dir):
 
 def quarantine_ages_q(spark, sf_dir):
     h = headlines_view(spark, sf_dir, ages=True).where(F.col("age_text").contains("minutes"))
-    orig = h.select("doc_id", F.lit("orig").alias("variant"), "age_text")
-    few = h.select("doc_id", F.lit("few").alias("variant"),
-                   F.regexp_replace("age_text", r"^\S+", "few").alias("age_text"))
-    return op.classify_age(orig.unionByName(few), "age_text", "strict30")
+    variants = F.array(F.struct(F.lit("orig").alias("variant"), "age_text"),
+                       F.struct(F.lit("few").alias("variant"), F.regexp_replace("age_text", r"^\S+", "few").alias("age_text")))
+    both = h.select("doc_id", F.explode(variants).alias("v")).select("doc_id", "v.*")  # one pass over H
+    return op.classify_age(both, "age_text", "strict30")
 
 
 def nonempty_symbols_q(spark, sf_dir):
@@ -169,7 +171,7 @@ def nonempty_symbols_q(spark, sf_dir):
 
 def novel_headlines_q(spark, sf_dir):
     a, b = _feeds(spark, sf_dir)
-    return op.novel(op.first_occurrence(b), a).select("doc_id", _day(), "symbol", "headline")
+    return op.novel_firsts(b, a).select("doc_id", _day(), "symbol", "headline")
 
 
 def merge_day_q(spark, sf_dir):
@@ -449,6 +451,111 @@ def stream_daily_scores_q(spark, sf_dir):
     return streams.replay_daily_scores(spark, sf_dir).select(_day(), "symbol", "score")
 
 
+def stream_dedupe_state_q(spark, sf_dir):
+    """Days landed out of order: first copies and late rows hold every distinct headline."""
+    from ..streaming import cycle as streams
+    first, late = streams.replay_dedupe_state(spark, sf_dir)
+    return op.distinct_headlines(first.unionByName(late)).select(_day(), "symbol", "headline")
+
+
+# --------------------------------------------------------------------------- scores by deltas, answers by content
+
+
+def _symbol_labels(spark, sf_dir, records, scorer):
+    return op.label_headlines(records, scorer).select("day", "symbol", "headline", "label")
+
+
+def score_deltas_q(spark, sf_dir):
+    """Three landings: feed A with recorded answers, feed B with them, then every headline
+    labelled anew by the lexicon.  Scores after each landing are sums of deltas."""
+    a, b = _feeds(spark, sf_dir)
+    scorer = op.RecordedScorer(recorded_answers(spark, sf_dir), on="doc_id")
+    log, deltas = run_dir(spark, "delta-labels"), run_dir(spark, "deltas")
+    for n, landing in enumerate((_symbol_labels(spark, sf_dir, a, scorer), _symbol_labels(spark, sf_dir, b, scorer),
+                                 _symbol_labels(spark, sf_dir, a.unionByName(b), op.LexiconScorer()))):
+        op.apply_batch(spark, landing, log, deltas, n)
+    rows = materialize(op.read_deltas(spark, deltas), "deltas")  # one row per landing and symbol
+    after = [op.net_from_deltas(rows, n).withColumn("landing", F.lit(n)) for n in range(3)]
+    out = after[0].unionByName(after[1]).unionByName(after[2])
+    return out.select("landing", _day(), "symbol", "score", "headlines")
+
+
+def score_memo_q(spark, sf_dir):
+    """H holds every document about ten times: the model is asked once per text, and on the
+    second pass over all of H not at all."""
+    h = headlines_view(spark, sf_dir).select("doc_id", "headline")
+    path = run_dir(spark, "memo")
+    op.fill_memo(h, path, op.lexicon_model(), "first")
+    scored = op.MemoScorer(op.lexicon_model(), path, "second").score(h)
+    asked = {r["run"]: r["count"] for r in op.read_memo(spark, path).groupBy("run").count().collect()}  # one row per run
+    return scored.select("doc_id", "answer", *[F.lit(asked.get(run, 0)).cast("long").alias(name)
+                                               for run, name in (("first", "asked_first"), ("second", "asked_again"))])
+
+
+# --------------------------------------------------------------------------- null and empty symbols, seed lists
+
+
+def _odd_symbols(df):
+    """One source without a symbol, one with an empty symbol."""
+    return df.withColumn("symbol", F.when(F.col("symbol") == NULL_SOURCE, F.lit(None).cast("string"))
+                         .when(F.col("symbol") == EMPTY_SOURCE, F.lit("")).otherwise(F.col("symbol")))
+
+
+def net_score_null_symbols_q(spark, sf_dir):
+    lab = _odd_symbols(_labelled(spark, sf_dir))
+    ranked = op.rank_scores(op.net_score(lab, op.day_symbols(lab)))
+    return ranked.select(_day(), "rank", F.coalesce("symbol", F.lit("(none)")).alias("symbol"), "score")
+
+
+def merge_symbol_maps_null_symbols_q(spark, sf_dir):
+    a, b = _feeds(spark, sf_dir)
+    return op.merge_symbol_maps(_odd_symbols(a), _odd_symbols(b)).select(
+        _day(), F.coalesce("symbol", F.lit("(none)")).alias("symbol"), "n_stored", "n_added", "n_total")
+
+
+def nonempty_null_symbols_q(spark, sf_dir):
+    """Symbols that had strictly recent items against the symbols of all events; sources without any drop out."""
+    h = _odd_symbols(headlines_view(spark, sf_dir, ages=True))
+    recent = h.where(op.is_recent("age_text", "strict30") & (F.coalesce("symbol", F.lit("")) != DROPPED_SOURCE))
+    out = op.nonempty_symbols(recent, h.select("symbol").distinct())
+    return out.select(F.coalesce("symbol", F.lit("(none)")).alias("symbol"))
+
+
+def symbol_headlines_q(spark, sf_dir):
+    """SRC-3 / SRC-4: the seed list with its slugs, and how many headlines each symbol has."""
+    symbols = symbols_df(spark, [*SEED_SOURCES, "unlisted"])
+    dim = symbol_dim_df(spark, {s: f"source-{s[3:]}" for s in SEED_SOURCES})
+    counts = headlines_view(spark, sf_dir).groupBy("symbol").agg(F.count("*").alias("n"))
+    known = op.lookup_slug(symbols, dim).join(counts, "symbol", "left")
+    lost = op.unknown_symbols(symbols, dim).select("ord", "symbol", F.lit("(unknown)").alias("slug"), F.lit(0).cast("long").alias("n"))
+    return (known.select("ord", "symbol", "slug", F.coalesce("n", F.lit(0).cast("long")).alias("n")).unionByName(lost))
+
+
+# --------------------------------------------------------------------------- the job
+
+
+def job_run_q(spark, sf_dir):
+    """``jobs.run`` over two landings of ``pages``: pages of feed A carry an age, those of feed B
+    a date.  Each landing is extracted, filtered, merged into the store, scored and ranked."""
+    from .. import jobs
+    feeds = (jobs.Feed("A", "h1", "span.age", "strict30"), jobs.Feed("B", "h1", "span.date", "same_day"))
+    minutes = F.col("page_id") % 60
+    age = F.concat(F.lit('<span class="age">'), minutes.cast("string"), F.lit(" minutes ago</span>"))
+    date = F.concat(F.lit('<span class="date">'), F.when(F.col("page_id") % 4 == 1, F.lit("Jan 02, 2024")).otherwise(F.lit("Jan 01, 2024")), F.lit("</span>"))
+    own = F.col("page_id") % 2 == 0
+    landed = read_pages(spark, sf_dir).select(
+        F.substring_index(F.substring_index("url", "/", 3), "/", -1).alias("symbol"), F.when(own, F.lit("A")).otherwise(F.lit("B")).alias("feed"), "url",
+        F.concat("html", F.when(own, age).otherwise(date)).alias("html"),
+        F.when(own, F.lit(dt.datetime(2024, 1, 2, 10))).otherwise(F.lit(dt.datetime(2024, 1, 2, 11))).cast("timestamp").alias("landed_at"))
+    base = run_dir(spark, "job")
+    for feed in ("A", "B"):
+        landed.where(F.col("feed") == feed).write.mode("append").parquet(f"{base}/landing")
+        jobs.run(spark, f"{base}/landing", f"{base}/store", f"{base}/snapshots", f"{base}/checkpoint",
+                 available_now=True, feeds=feeds).awaitTermination()
+    snap = store.read_snapshots(spark, f"{base}/snapshots")
+    return snap.select(snapshot_time_text("created").alias("created"), _day(), "rank", "symbol", "score")
+
+
 QUERIES = {
     "read_day": read_day_q,
     "seed_urls_slug": _seed("slug"),
@@ -506,4 +613,12 @@ QUERIES = {
     "day_document_scalars": day_document_scalars_q,
     "conversation_turns": conversation_turns_q,
     "read_prompts": read_prompts_q,
+    "stream_dedupe_state": stream_dedupe_state_q,
+    "score_deltas": score_deltas_q,
+    "score_memo": score_memo_q,
+    "net_score_null_symbols": net_score_null_symbols_q,
+    "merge_symbol_maps_null_symbols": merge_symbol_maps_null_symbols_q,
+    "nonempty_null_symbols": nonempty_null_symbols_q,
+    "symbol_headlines": symbol_headlines_q,
+    "job_run": job_run_q,
 }

@@ -11,7 +11,8 @@ from ..functions.answers import ANSWER_MARKER, INPUT_PREFIX, INSTRUCTION, SYSTEM
 from ..functions.text import ENTITIES, WS_CLASS
 from ..operators.lookup import FEED_A_BASE, FEED_B_BASE
 from ..operators.sentiment import lexicon_pattern
-from .keys import CONV_PART_TURNS, DIM_REGIONS, FIRST_DAY, NEST_PART_SIZE, SCALAR_SYMBOL
+from .keys import (CONV_PART_TURNS, DIM_REGIONS, DROPPED_SOURCE, EMPTY_SOURCE, FIRST_DAY, NEST_PART_SIZE, NULL_SOURCE,
+                   SCALAR_SYMBOL, SEED_SOURCES)
 
 AS_OF_TEXT = "2024-01-02 12:00:00"
 DAY = "DATE '2024-01-02'"
@@ -358,4 +359,63 @@ SELECT md5(prompt) AS prompt_md5,
        CASE WHEN prompt IS NULL THEN NULL WHEN regexp_matches(prompt, {q(lexicon_pattern())}) THEN 'negative'
             ELSE 'neutral' END AS answer
 FROM (SELECT {PROMPT_SQL} AS prompt FROM (SELECT text AS headline FROM documents) d) p""",
+    "stream_dedupe_state": with_h("SELECT DISTINCT CAST(day AS VARCHAR) AS day, symbol, headline FROM H"),
+    "score_deltas": with_h(f"""
+, LEX AS (SELECT H.*, CAST(CASE WHEN regexp_matches(headline, {q(lexicon_pattern())}) THEN -1 ELSE 0 END AS INTEGER) AS lex FROM H),
+LA AS (SELECT day, symbol, headline, max(label) AS label FROM LAB WHERE feed = 'A' GROUP BY day, symbol, headline),
+LB AS (SELECT day, symbol, headline, max(label) AS label FROM LAB WHERE feed = 'B' GROUP BY day, symbol, headline),
+L2 AS (SELECT day, symbol, headline, label FROM LB UNION ALL
+       SELECT day, symbol, headline, label FROM LA
+       WHERE NOT EXISTS (SELECT 1 FROM LB WHERE LB.day = LA.day AND LB.symbol = LA.symbol AND LB.headline = LA.headline)),
+L3 AS (SELECT day, symbol, headline, max(lex) AS label FROM LEX GROUP BY day, symbol, headline),
+ALL3 AS (SELECT 0 AS landing, day, symbol, label FROM LA UNION ALL SELECT 1 AS landing, day, symbol, label FROM L2
+         UNION ALL SELECT 2 AS landing, day, symbol, label FROM L3)
+SELECT CAST(landing AS INTEGER) AS landing, CAST(day AS VARCHAR) AS day, symbol, CAST(sum(label) AS BIGINT) AS score,
+       CAST(count(*) AS BIGINT) AS headlines
+FROM ALL3 GROUP BY landing, day, symbol"""),
+    "score_memo": with_h(f"""
+SELECT doc_id, CASE WHEN headline IS NULL THEN NULL WHEN regexp_matches(headline, {q(lexicon_pattern())}) THEN 'negative'
+                    ELSE 'neutral' END AS answer,
+       (SELECT CAST(count(DISTINCT headline) AS BIGINT) FROM H) AS asked_first, CAST(0 AS BIGINT) AS asked_again
+FROM H"""),
+    "net_score_null_symbols": with_h(f"""
+, ODD AS (SELECT day, CASE WHEN symbol = '{NULL_SOURCE}' THEN NULL WHEN symbol = '{EMPTY_SOURCE}' THEN '' ELSE symbol END AS symbol, label
+          FROM LAB),
+S AS (SELECT day, symbol, CAST(sum(label) AS BIGINT) AS score FROM ODD GROUP BY day, symbol)
+SELECT CAST(day AS VARCHAR) AS day,
+       CAST(row_number() OVER (PARTITION BY day ORDER BY score DESC, symbol ASC NULLS FIRST) AS INTEGER) AS rank,
+       coalesce(symbol, '(none)') AS symbol, score
+FROM S"""),
+    "merge_symbol_maps_null_symbols": with_h(f"""
+, U AS (SELECT day, symbol, 1 AS s, 0 AS a FROM A
+        UNION ALL
+        SELECT day, symbol, 0 AS s, CASE WHEN doc_id IN (SELECT doc_id FROM NOVEL) THEN 1 ELSE 0 END AS a FROM BF)
+SELECT CAST(day AS VARCHAR) AS day,
+       CASE WHEN symbol = '{NULL_SOURCE}' THEN '(none)' WHEN symbol = '{EMPTY_SOURCE}' THEN '' ELSE symbol END AS symbol,
+       CAST(sum(s) AS BIGINT) AS n_stored, CAST(sum(a) AS BIGINT) AS n_added, CAST(sum(s + a) AS BIGINT) AS n_total
+FROM U GROUP BY ALL"""),
+    "nonempty_null_symbols": with_h(f"""
+SELECT DISTINCT CASE WHEN symbol = '{NULL_SOURCE}' THEN '(none)' WHEN symbol = '{EMPTY_SOURCE}' THEN '' ELSE symbol END AS symbol
+FROM H WHERE {strict30('age_text')} AND symbol <> '{DROPPED_SOURCE}'"""),
+    "symbol_headlines": with_h(f"""
+, SEED AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{x}', 'source-{x[3:]}')" for i, x in enumerate(SEED_SOURCES))}) t(ord, symbol, slug))
+SELECT CAST(SEED.ord AS INTEGER) AS ord, SEED.symbol, SEED.slug, CAST(count(H.doc_id) AS BIGINT) AS n
+FROM SEED LEFT JOIN H ON H.symbol = SEED.symbol GROUP BY SEED.ord, SEED.symbol, SEED.slug
+UNION ALL SELECT CAST({len(SEED_SOURCES)} AS INTEGER), 'unlisted', '(unknown)', CAST(0 AS BIGINT)"""),
+    "job_run": f"""
+WITH p AS (SELECT page_id, url, string_split(url, '/')[3] AS symbol, page_id % 2 = 0 AS own,
+                  {_extract_all(H1)} AS els FROM pages),
+it AS (SELECT symbol, own, page_id, {element_text("els[1]")} AS headline FROM p WHERE len(els) > 0),
+kept AS (SELECT * FROM it WHERE (own AND page_id % 60 <= 30) OR (NOT own AND page_id % 4 = 1)),
+st AS (SELECT DISTINCT symbol, headline, own FROM kept),
+seen AS (SELECT DISTINCT symbol, own FROM it),
+runs AS (SELECT 0 AS run UNION ALL SELECT 1 AS run),
+rows AS (SELECT DISTINCT run, symbol, headline FROM st, runs WHERE own OR run = 1),
+univ AS (SELECT DISTINCT run, symbol FROM seen, runs WHERE own OR run = 1),
+sc AS (SELECT u.run, u.symbol,
+              CAST(coalesce(sum(CASE WHEN regexp_matches(r.headline, {q(lexicon_pattern())}) THEN -1 ELSE 0 END), 0) AS BIGINT) AS score
+       FROM univ u LEFT JOIN rows r ON r.run = u.run AND r.symbol = u.symbol GROUP BY u.run, u.symbol)
+SELECT CASE WHEN run = 0 THEN '2024-01-02 10:00:00' ELSE '2024-01-02 11:00:00' END AS created, '2024-01-02' AS day,
+       CAST(row_number() OVER (PARTITION BY run ORDER BY score DESC, symbol) AS INTEGER) AS rank, symbol, score
+FROM sc""",
 }

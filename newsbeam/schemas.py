@@ -70,3 +70,34 @@ MESSAGE = T.StructType([
     T.StructField("content", T.StringType()),
 ])
 MESSAGES = T.ArrayType(MESSAGE)
+
+# answers by content: the digest of a prompt's text, one folder per run
+ANSWER_MEMO = T.StructType([
+    T.StructField("prompt_key", T.BinaryType()),
+    T.StructField("answer", T.StringType()),
+    T.StructField("run", T.StringType()),
+])
+
+# the labels a headline got, batch by batch; key is the digest of (day, symbol, headline)
+LABEL_LOG = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("key", T.BinaryType()),
+    T.StructField("label", T.IntegerType()),
+    T.StructField("day", T.DateType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
+SCORE_DELTAS = T.StructType([
+    T.StructField("day", T.DateType()),
+    T.StructField("symbol", T.StringType()),
+    T.StructField("delta", T.LongType()),
+    T.StructField("headlines", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
+# headlines seen by a stream, as digests
+SEEN_KEYS = T.StructType([
+    T.StructField("key", T.BinaryType()),
+    T.StructField("day", T.DateType()),
+    T.StructField("batch_id", T.LongType()),
+])

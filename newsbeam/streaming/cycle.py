@@ -32,6 +32,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import digest
 from ..operators.merge import KEY
 from ..operators.recency import is_recent, is_same_day
 
@@ -43,7 +44,8 @@ def with_event_time(df: DataFrame, col: str = "seen_at") -> DataFrame:
 
 
 def dedupe_stream(stream: DataFrame, delay: str = "1 day", keys=KEY) -> DataFrame:
-    return stream.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(keys))
+    keyed = stream.withColumn("_k", digest(*keys)).withWatermark(EVENT_TIME, delay)
+    return keyed.dropDuplicatesWithinWatermark(["_k"]).drop("_k")  # the state holds digests, no text
 
 
 def drop_late(stream: DataFrame, age_col: str | None = "age_text", mode: str = "strict30",
@@ -56,27 +58,26 @@ def drop_late(stream: DataFrame, age_col: str | None = "age_text", mode: str = "
     return out
 
 
-def dedupe_batch_writer(spark: SparkSession, seen_path: str, out_path: str, schema, keys=KEY):
+def dedupe_batch_writer(spark: SparkSession, seen_path: str, out_path: str, keys=KEY):
     """The ``foreachBatch`` function of ``dedupe_by_store``."""
-    from pyspark.sql import types as T
-
-    from ..operators.merge import day_set, first_occurrence, novel
+    from ..operators.merge import day_set, first_occurrence
+    from ..schemas import SEEN_KEYS
     from ..session import staged
     from ..sources.store import _read_or_empty
 
-    key_schema = T.StructType([schema[k] for k in keys if k != "day"]
-                              + [T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())])
     dyn = {"partitionOverwriteMode": "dynamic"}
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        firsts = first_occurrence(batch_df, keys, order=(EVENT_TIME,))
-        seen = (_read_or_empty(spark, seen_path, key_schema)
+        firsts = first_occurrence(batch_df, keys, order=(EVENT_TIME,)).withColumn("key", digest(*keys))
+        seen = (_read_or_empty(spark, seen_path, SEEN_KEYS)
                 .join(day_set(batch_df), "day", "left_semi")
-                .where(F.col("batch_id") != F.lit(batch_id)))
-        with staged(novel(firsts, seen, keys), "dedupe-batch") as fresh:  # seen is rewritten below
-            (fresh.select(*keys).withColumn("batch_id", F.lit(batch_id).cast("long"))
+                .where(F.col("batch_id") != F.lit(batch_id))
+                .select("key").distinct())
+        number = F.lit(batch_id).cast("long")
+        with staged(firsts.join(seen, "key", "left_anti"), "dedupe-batch") as fresh:  # seen is rewritten below
+            (fresh.select("key", "day").withColumn("batch_id", number)
              .write.mode("overwrite").options(**dyn).partitionBy("day", "batch_id").parquet(seen_path))
-            (fresh.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            (fresh.drop("key").withColumn("batch_id", number)
              .write.mode("overwrite").options(**dyn).partitionBy("batch_id").parquet(out_path))
 
     return write
@@ -98,7 +99,7 @@ def dedupe_by_store(stream: DataFrame, seen_path: str, out_path: str, checkpoint
     seen table belongs to the query of ``checkpoint`` (batch ids are its own);
     days past the watermark can be dropped from it by folder.
     """
-    write = dedupe_batch_writer(stream.sparkSession, seen_path, out_path, stream.schema, keys)
+    write = dedupe_batch_writer(stream.sparkSession, seen_path, out_path, keys)
     return run_cycle(stream, write, checkpoint, every, available_now)
 
 
@@ -174,19 +175,19 @@ def make_cycle(spark: SparkSession, store_path: str, snapshot_path: str, scorer,
 # --------------------------------------------------------------------------- fixture replays
 
 
-def _land_by_day(spark: SparkSession, df: DataFrame, path: str) -> str:
-    """Land a frame as a file stream source, one folder per day written in day
-    order, so files arrive in event-time order as they would live.  The
-    frame is materialised once (a table in the checkpoint folder) and each
-    day is a filtered copy;
-    the day list is one row per day."""
-    import os
-
-    from ..session import materialize
-    df = materialize(df, "stream-land")
-    days = [r[0] for r in df.select("day").distinct().orderBy("day").collect()]
-    for d in days:
-        df.where(F.col("day") == F.lit(d)).write.parquet(os.path.join(path, f"day-{d.isoformat()}"))
+def land_by_day(spark: SparkSession, df: DataFrame, path: str, order=None) -> str:
+    """Land a frame as a file stream source in one write partitioned by day; then
+    give the files modification times in day order (or in the order of the days
+    that ``order`` returns), so that they arrive as they would live.  The driver
+    handles file names only."""
+    (df.withColumn("_landed", F.col("day")).hint("rebalance", "_landed").write.partitionBy("_landed").parquet(path))
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = sorted(str(s.getPath()) for s in fs.listStatus(root) if s.isDirectory())
+    for n, folder in enumerate(order(folders) if order else folders):
+        for status in fs.listStatus(hadoop.Path(folder)):
+            fs.setTimes(status.getPath(), 1_600_000_000_000 + n * 60_000, -1)
     return path
 
 
@@ -214,7 +215,7 @@ def _headline_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int |
                                                         "day", "age_text")
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
-        _LANDED[key] = _land_by_day(spark, h, run_dir(spark, "stream-src"))
+        _LANDED[key] = land_by_day(spark, h, run_dir(spark, "stream-src"))
     reader = spark.readStream.schema(h.schema).option("recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -256,6 +257,34 @@ def replay_dedupe_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def _out_of_order(folders: list[str]) -> list[str]:
+    """Day folders with the first and last third exchanged: days that come after a later one was closed."""
+    n = len(folders) // 3
+    return folders[len(folders) - n:] + folders[n:len(folders) - n] + folders[:n]
+
+
+def replay_dedupe_state(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """H landed with its days out of order, through the stateful operator that keeps late rows:
+    (first copies, late rows)."""
+    from ..session import ROCKSDB_STATE, run_dir
+    from ..sources.fixtures import headlines_view
+    from ..sources.store import _read_or_empty
+    from .seen import dedupe_with_state, split_writer
+    rs = _replay_session(spark)
+    for k, v in ROCKSDB_STATE.items():
+        rs.conf.set(k, v)
+    h = headlines_view(rs, sf_dir).select("doc_id", "symbol", "headline", "seen_at", "day")
+    src = land_by_day(rs, h, run_dir(spark, "state-src"), _out_of_order)
+    reader = rs.readStream.schema(h.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 8)
+    out = dedupe_with_state(with_event_time(reader.parquet(src)).drop("seen_at"))
+    first, late = run_dir(spark, "state-first"), run_dir(spark, "state-late")
+    q = (out.writeStream.foreachBatch(split_writer(first, late)).option("checkpointLocation", run_dir(spark, "state-ck"))
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    schema = out.drop("late").schema.add("batch_id", "long")
+    return _read_or_empty(spark, first, schema), _read_or_empty(spark, late, schema)
+
+
 def replay_drop_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import run_dir
     rs = _replay_session(spark)

@@ -135,7 +135,7 @@ def test_dedupe_by_store_is_exactly_once(spark):
                                            F.col("seen_at").cast("timestamp").alias("event_time"))
     first, second = h.where("doc_id < 500"), h.where("doc_id >= 300")
     seen, out = run_dir(spark, "t-seen"), run_dir(spark, "t-out")
-    write = streams.dedupe_batch_writer(spark, seen, out, h.schema)
+    write = streams.dedupe_batch_writer(spark, seen, out)
     write(first, 0)
     write(first, 0)  # a replay of batch 0 replaces its own output
     write(second, 1)
