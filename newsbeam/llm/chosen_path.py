@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stage, table
+from .common import scratch, shuffle_partitions, stage, table
 from .components import components
 from .shingles import SHINGLE, mix, shingle_sets
 
@@ -269,6 +269,14 @@ def near_classes(docs: DataFrame, t: float = THRESHOLD, recall: float = RECALL,
     """``docs(doc_id, text)`` -> one row per class of equal texts with words:
     ``(cls, copies, first_id, links, component, class_id)``; ``cls`` is the text's md5, ``links`` the
     number of documents with another text at similarity ``t`` or more."""
+    with scratch(docs.sparkSession):
+        named = _named(docs, t, recall, small, shingle)
+    ids = named.groupBy("component").agg(F.min("first_id").alias("class_id"))
+    return named.join(ids, "component").select("cls", "copies", "first_id", "links", "component", "class_id")
+
+
+def _named(docs: DataFrame, t: float, recall: float, small: int, shingle: int) -> DataFrame:
+    """``near_classes`` without ``class_id``, written."""
     texts = docs.select("doc_id", F.md5("text").alias("cls"), "text").where("text IS NOT NULL")
     classes = texts.groupBy("cls").agg(F.first("text").alias("text"), F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))
     known = stage(texts.groupBy("cls").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")), "classes")
@@ -289,9 +297,7 @@ def near_classes(docs: DataFrame, t: float = THRESHOLD, recall: float = RECALL,
     parts = components(found.where("peer IS NOT NULL").select(F.col("cls").alias("a"), F.col("peer").alias("b")))
     per = (known.join(links, "cls", "left").join(parts.withColumnRenamed("node", "cls"), "cls", "left")
            .select("cls", "copies", "first_id", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "cls").alias("component")))
-    named = stage(per.join(sig.select("cls").withColumn("worded", F.lit(True)), "cls"), "near")
-    ids = named.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    return named.join(ids, "component").select("cls", "copies", "first_id", "links", "component", "class_id")
+    return stage(per.join(sig.select("cls").withColumn("worded", F.lit(True)), "cls"), "near", outer=True)
 
 
 def keep_one(docs: DataFrame, t: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
