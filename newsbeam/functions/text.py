@@ -14,8 +14,8 @@ WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
             + "".join(chr(c) for c in range(0x2000, 0x200B))
             + "\u2028\u2029\u202f\u205f\u3000")
 
-# HTML entities decoded in element text; "&amp;" must be last
-# so that "&amp;quot;" becomes "&quot;" and not a quote.
+# The HTML entities that the driver's pages hold, for the oracle's SQL;
+# "&amp;" must be last so that "&amp;quot;" becomes "&quot;" and not a quote.
 ENTITIES = [
     ("&quot;", '"'),
     ("&#39;", "'"),
@@ -51,10 +51,9 @@ def remove_tags(c) -> Column:
 
 
 def decode_entities(c) -> Column:
-    out = _col(c)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """All character references of HTML (``functions.references``)."""
+    from .references import decode_references
+    return decode_references(c)
 
 
 def element_text(c) -> Column:

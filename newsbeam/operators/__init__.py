@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators, composable with ``DataFrame.transform``."""
 
+from .budget import BudgetedScorer, batch_costs  # noqa: F401
 from .deltas import (apply_batch, delta_cycle, label_changes, net_from_deltas, read_deltas,  # noqa: F401
                      read_label_log, score_deltas)
 from .extract import (attr_values, element_html, element_texts, extract_css,  # noqa: F401
@@ -16,3 +17,4 @@ from .scoring import (day_symbols, net_score, rank_scores, snapshot_map,  # noqa
 from .sentiment import (LexiconScorer, PandasScorer, RecordedScorer,  # noqa: F401
                         apply_labels, conversation_messages, conversation_turns, generate_answers, label_headlines,
                         lexicon_model, raw_answers, score_headlines, to_messages_frame)
+from .variant import variant_documents, variant_records, variant_shapes  # noqa: F401

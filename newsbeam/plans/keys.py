@@ -492,6 +492,38 @@ def score_memo_q(spark, sf_dir):
                                                for run, name in (("first", "asked_first"), ("second", "asked_again"))])
 
 
+def score_budgeted_q(spark, sf_dir):
+    """UDF-2 in batches of bounded cost: rows x longest prompt within the budget."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op.score_headlines(docs, op.BudgetedScorer(op.lexicon_model()), "text").select("doc_id", "answer")
+
+
+# --------------------------------------------------------------------------- store below the day, documents of two shapes
+
+
+def write_buckets_roundtrip_q(spark, sf_dir):
+    """SNK-1..3 on (day, bucket) leaves: feed A first, feed B merged into it, labels written back."""
+    from ..sources import buckets
+    a, b = _feeds(spark, sf_dir)
+    path = run_dir(spark, "bucket-store")
+    buckets.write_buckets(a, path)
+    buckets.upsert_buckets(spark, path, b, FIXTURE_AS_OF)
+    answers = recorded_answers(spark, sf_dir).withColumnRenamed("doc_id", "pos")
+    stored = buckets.read_buckets(spark, path).drop("bucket")
+    with staged(op.label_headlines(stored, op.RecordedScorer(answers, on="pos")), "bucket-labels") as labels:
+        buckets.write_labels_buckets(spark, path, labels)
+    return buckets.read_buckets(spark, path).select(_day(), "symbol", "feed", "pos", "headline", "processed", _text("labelled"))
+
+
+def day_variant_q(spark, sf_dir):
+    """Older records of feed A (no ``labelled``) and labelled ones of feed B in one document column, read back."""
+    a, b = _feeds(spark, sf_dir)
+    scorer = op.RecordedScorer(recorded_answers(spark, sf_dir), on="doc_id")
+    current = op.label_headlines(b, scorer).withColumns({"labelled": F.col("label"), "processed": F.lit(True)})
+    docs = op.variant_documents(a.drop("labelled"), NEST_PART_SIZE).unionByName(op.variant_documents(current, NEST_PART_SIZE))
+    return op.variant_records(docs).select(_day(), "symbol", "feed", "pos", "headline", "processed", _text("labelled"))
+
+
 # --------------------------------------------------------------------------- null and empty symbols, seed lists
 
 
@@ -616,6 +648,9 @@ QUERIES = {
     "stream_dedupe_state": stream_dedupe_state_q,
     "score_deltas": score_deltas_q,
     "score_memo": score_memo_q,
+    "score_budgeted": score_budgeted_q,
+    "write_buckets_roundtrip": write_buckets_roundtrip_q,
+    "day_variant": day_variant_q,
     "net_score_null_symbols": net_score_null_symbols_q,
     "merge_symbol_maps_null_symbols": merge_symbol_maps_null_symbols_q,
     "nonempty_null_symbols": nonempty_null_symbols_q,

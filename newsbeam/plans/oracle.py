@@ -378,6 +378,14 @@ SELECT doc_id, CASE WHEN headline IS NULL THEN NULL WHEN regexp_matches(headline
                     ELSE 'neutral' END AS answer,
        (SELECT CAST(count(DISTINCT headline) AS BIGINT) FROM H) AS asked_first, CAST(0 AS BIGINT) AS asked_again
 FROM H"""),
+    "score_budgeted": LEXICON,
+    "write_buckets_roundtrip": with_h("""
+SELECT CAST(day AS VARCHAR) AS day, symbol, feed, doc_id AS pos, headline, true AS processed, CAST(label AS VARCHAR) AS labelled
+FROM LAB WHERE feed = 'A' OR doc_id IN (SELECT doc_id FROM NOVEL)"""),
+    "day_variant": with_h("""
+SELECT CAST(day AS VARCHAR) AS day, symbol, feed, doc_id AS pos, headline, feed = 'B' AS processed,
+       CASE WHEN feed = 'B' THEN CAST(label AS VARCHAR) END AS labelled
+FROM LAB"""),
     "net_score_null_symbols": with_h(f"""
 , ODD AS (SELECT day, CASE WHEN symbol = '{NULL_SOURCE}' THEN NULL WHEN symbol = '{EMPTY_SOURCE}' THEN '' ELSE symbol END AS symbol, label
           FROM LAB),
