@@ -31,7 +31,9 @@ gives an empty result; extra columns are not carried.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -50,13 +52,13 @@ SCHEMA = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links lon
           "pairs array<struct<a: int, b: int, n: int>>")
 
 # a cut lies between a character that is not white space and a blank or a line feed
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+_WORD = re.compile(r"[ \n]+(?:\S+|[^\S \n]+[ \n]*)*")
 
 
 def words_of(text: str) -> list[str]:
     """The words of space + text; joined they are the text again, and each begins with a
     blank or a line feed."""
-    return _CUT.split(" " + text)
+    return _WORD.findall(" " + text)
 
 
 def _unicode_of_bytes() -> dict[str, int]:
@@ -73,6 +75,7 @@ class Pair:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
         from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core already
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
@@ -105,37 +108,36 @@ class Pair:
 
     def encode(self, words: list[str]) -> np.ndarray:
         """Each word's number; new words are encoded."""
-        new = [w for w in dict.fromkeys(words) if w not in self.number]
+        new = list(set(words).difference(self.number))
         if len(self.number) + len(new) > CACHE_WORDS:
             self._forget()
-            new = list(dict.fromkeys(words))
+            new = list(set(words))
         if new:
-            got_a = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
+            got_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
             # B adds a blank itself: in place of a word's first, or to be dropped before a line feed; to an empty text it adds none
             got_b = self.b.encode([w[1:] if w[0] == " " else w for w in new], num_threads=1)
             got_b = [(ids if w[0] == " " else ids[1:]) or [self.blank] for w, ids in zip(new, got_b)]
-            flat = [np.array([i for x in got for i in x], np.int32) for got in (got_a, got_b)]
-            sizes = [np.array([len(x) for x in got]) for got in (got_a, got_b)]
-            self.good = np.append(self.good, self._spelt(new, got_a, got_b))
+            flat = [np.fromiter(chain.from_iterable(got), np.int32) for got in (got_a, got_b)]
+            sizes = [np.fromiter(map(len, got), np.int64, len(new)) for got in (got_a, got_b)]
+            self.good = np.append(self.good, self._spelt(new, flat, sizes))
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
             for side in (0, 1):
                 self.at[side] = np.append(self.at[side], self.at[side][-1] + np.cumsum(sizes[side]))
                 self.ids[side] = np.append(self.ids[side], flat[side])
-        get = self.number.__getitem__
-        return np.array([get(w) for w in words], np.int64)
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
-    def _spelt(self, words, got_a, got_b) -> list[bool]:
+    def _spelt(self, words: list[str], flat, sizes) -> np.ndarray:
         """Whether both sides' tokens spell each word."""
-        def spell(table, ids):
-            return b"".join([table[i] for i in ids])
         raw = [w.encode() for w in words]
-        whole = b"".join(raw)
-        # as a rule all do, which one comparison shows if the words' ends agree too
-        if all(spell(table, [i for x in got for i in x]) == whole
-               and [int(n) for n in np.add.reduceat(size[[i for x in got for i in x]], np.cumsum([0, *map(len, got)])[:-1])] == list(map(len, raw))
-               for table, size, got in ((self.bytes_a, self.len_a, got_a), (self.bytes_b, self.len_b, got_b))):
-            return [True] * len(words)
-        return [spell(self.bytes_a, x) == w and spell(self.bytes_b, y) == w for x, y, w in zip(got_a, got_b, raw)]
+        length, whole = np.fromiter(map(len, raw), np.int64, len(raw)), b"".join(raw)
+        good = np.ones(len(words), bool)
+        for table, size, ids, many in zip((self.bytes_a, self.bytes_b), (self.len_a, self.len_b), flat, sizes):
+            first = np.cumsum(many) - many
+            # as a rule all words are spelt, which one comparison shows if the words' ends agree too
+            if not (np.array_equal(np.add.reduceat(size[ids], first), length)
+                    and b"".join(map(table.__getitem__, ids.tolist())) == whole):
+                good &= [b"".join([table[i] for i in ids[a:a + n].tolist()]) == w for a, n, w in zip(first.tolist(), many.tolist(), raw)]
+        return good
 
     def tokens(self, side: int, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words of that number, and how many each has."""
