@@ -42,6 +42,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ from .difference_cover import ranked, suffix_ranks
 LENGTH = 100
 WINDOW = 72  # places of a window that its anchor is chosen from
 SEEN = LENGTH - WINDOW + 1  # bytes from an anchor on that are inside all its windows
-PIECE = 1 << 21  # bytes hashed at once
+PIECE = 1 << 20  # bytes hashed at once
 FLUSH = 400_000  # anchors looked at together before the shuffle
 MARK, ODDS, MORE, REACH = 6, 16, 4, 44
 BLOCK = 92  # bytes that a letter covers at least
@@ -339,13 +340,20 @@ class _Parsed:
         return np.minimum(np.minimum(after(self.rare, places), after(self.frequent, places + REACH)), after(self.neither, places + REACH))
 
 
+def _few(batches, limit: int = PIECE // 4):
+    """Batches of segments in slices of about ``limit`` bytes."""
+    for batch in batches:
+        at = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column("data")).to_numpy())]) // limit
+        cut = np.flatnonzero(np.concatenate([[True], at[1:-1] != at[:-2], [True]])) if batch.num_rows else []
+        for a, b in zip(cut[:-1], cut[1:]):
+            yield batch.slice(int(a), int(b - a))
+
+
 def letters(segs: DataFrame) -> DataFrame:
     """``(sid, j, letter, step, span)`` of every segment: a letter's bytes reach to the first
     letter ``BLOCK`` bytes on, ``step`` is how far the next one is."""
     def cut(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _few(batches):
             p = _Parsed(batch.column("data").to_pylist())
             end = p.end[p.of]
             hi = np.append(p.begin, len(p.raw) + MARK)[np.searchsorted(p.begin, p.begin + BLOCK)] + MARK
@@ -364,9 +372,7 @@ def _suffixes(segs: DataFrame, ranks: DataFrame) -> DataFrame:
     """Every open suffix: the bytes up to its next letter (hashed), that letter's rank, a digest
     of its first 100 bytes, and its place."""
     def cut(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _few(batches):
             p = _Parsed(batch.column("data").to_pylist())
             places = np.flatnonzero(np.frombuffer(b"".join(batch.column("open").to_pylist()), np.uint8))
             rank = batch.column("ranks").flatten().to_numpy()
