@@ -52,8 +52,8 @@ from .difference_cover import ranked, suffix_ranks
 LENGTH = 100
 WINDOW = 72  # places of a window that its anchor is chosen from
 SEEN = LENGTH - WINDOW + 1  # bytes from an anchor on that are inside all its windows
-PIECE = 1 << 20  # bytes hashed at once
-FLUSH = 400_000  # anchors looked at together before the shuffle
+PIECE = 1 << 18  # bytes hashed at once
+FLUSH = 250_000  # anchors looked at together before the shuffle
 MARK, ODDS, MORE, REACH = 6, 16, 4, 44
 BLOCK = 92  # bytes that a letter covers at least
 SPAN = 1 << 16  # bytes of a segment
@@ -340,7 +340,7 @@ class _Parsed:
         return np.minimum(np.minimum(after(self.rare, places), after(self.frequent, places + REACH)), after(self.neither, places + REACH))
 
 
-def _few(batches, limit: int = PIECE // 4):
+def _few(batches, limit: int = PIECE):
     """Batches of segments in slices of about ``limit`` bytes."""
     for batch in batches:
         at = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column("data")).to_numpy())]) // limit
