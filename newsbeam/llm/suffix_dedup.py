@@ -221,14 +221,14 @@ def _with_ranges(docs: DataFrame, ranges: DataFrame, how: str = "inner") -> Data
     return docs.join(F.broadcast(ranges) if size <= BROADCAST else ranges, "num", how)
 
 
-def _packed(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Ranges of each document as one value: its rows' numbers in order, 64 bits each."""
+def _packed(rows: DataFrame, columns: list[str], then=lambda r: r) -> DataFrame:
+    """Ranges of each document as one value: its rows' numbers in order, 64 bits each, as ``then`` leaves them."""
     def pack(batches):
         for batch in batches:
             lists = batch.column("rows")
             flat = np.stack([c.to_numpy() for c in lists.flatten().flatten()], 1).astype(np.int64)
             at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
-            data = [flat[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+            data = [then(flat[a:b]).tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
             yield pa.RecordBatch.from_arrays([batch.column("num"), pa.array(data, pa.binary())], names=["num", "data"])
     grouped = rows.groupBy("num").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
     return grouped.mapInArrow(pack, "num long, data binary")
@@ -439,16 +439,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spans = (runs.unionByName(parts).where("repeat").select("num", F.col("first").alias("lo"), last)
              .unionByName(single.select("num", F.col("place").alias("lo"), (F.col("place") + LENGTH).alias("hi"))))
 
-    def merge(batches):
-        for batch in batches:
-            out = []
-            for data in batch.column("data").to_pylist():
-                lo, hi = np.frombuffer(data, np.int64).reshape(-1, 2).T  # sorted by lo
-                far = np.maximum.accumulate(hi)
-                first = np.flatnonzero(np.concatenate([[True], lo[1:] > far[:-1]]))
-                out.append(np.stack([lo[first], far[np.append(first[1:], len(lo)) - 1]], 1).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("num"), pa.array(out, pa.binary())], names=["num", "data"])
-    return _packed(spans, ["lo", "hi"]).mapInArrow(merge, "num long, data binary")
+    def merge(ranges):  # sorted by lo
+        lo, far = ranges[:, 0], np.maximum.accumulate(ranges[:, 1])
+        first = np.flatnonzero(np.concatenate([[True], lo[1:] > far[:-1]]))
+        return np.stack([lo[first], far[np.append(first[1:], len(lo)) - 1]], 1)
+    return _packed(spans, ["lo", "hi"], merge)  # one Python step: each more of a task is a worker of its own
 
 
 def numbered(docs: DataFrame) -> DataFrame:
