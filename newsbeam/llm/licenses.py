@@ -7,7 +7,8 @@ template hit the index, and a template shorter than that does so when it stands
 there whole.  Hits of one template on neighbouring diagonals are one candidate,
 and the words around it are aligned to the template (local alignment within a
 band of ``BAND`` words either side of the diagonal: equal words +1, other words
-and gaps -1).  Aligned regions that follow one another in the template and, at most
+and gaps -1); what lies before and behind the best alignment is aligned again while
+it holds a hit, so copies closer than the band are found one by one.  Aligned regions that follow one another in the template and, at most
 a template's length apart, in the text are chained, so a notice with words inserted
 or left out is one finding, whatever their number; where two regions overlap, the
 shared words count once.  Reported: the share of the template's words matched (coverage),
@@ -165,18 +166,54 @@ def chain(parts: list[tuple[int, int, int, int, int]], length: int, band: int =
     return sorted(out, key=lambda c: (c[1], c[2]))
 
 
-def _regions(hits: list[tuple[int, int]], length: int, band: int) -> list[int]:
-    """Diagonals of the candidates among hits (text place, template place) of one template."""
-    out: list[tuple[int, int, int]] = []  # last text place, last template place, diagonal
+def _regions(hits: list[tuple[int, int]], length: int, band: int) -> list[tuple[int, list[int]]]:
+    """Candidates among hits (text place, template place) of one template: diagonal
+    and text places of the hits.  A candidate that no later hit can reach is closed, so
+    the open ones are bounded by the template, not by the text."""
+    out: list[tuple[int, list[int]]] = []
+    opened: list[list] = []  # last template place, diagonal, text places
     for i, j in sorted(hits):
         d = i - j
-        for n, (li, lj, c) in enumerate(out):
-            if abs(d - c) <= band and i - li <= length and j >= lj:
-                out[n] = (i, j, c)
+        opened = [r for r in opened if i - r[2][-1] <= length]
+        for r in opened:
+            if abs(d - r[1]) <= band and j >= r[0]:
+                r[0] = j
+                r[2].append(i)
                 break
         else:
-            out.append((i, j, d))
-    return [c for _, _, c in out]
+            opened.append([j, d, [i]])
+            out.append((d, opened[-1][2]))
+    return out
+
+
+def alignments(template: np.ndarray, text: np.ndarray, diagonal: int, hits: list[int], band: int = BAND) -> list[tuple[int, int, int, int, int]]:
+    """All alignments near ``diagonal`` that the 3-grams at ``hits`` (ascending) ask for:
+    the best one, then the best ones of the words before and behind it that still hold a hit."""
+    out = []
+    todo = [(max(0, diagonal - band), max(0, min(len(text), diagonal + len(template) + band + 1)))]
+    while todo:
+        lo, hi = todo.pop()
+        k = bisect.bisect_left(hits, lo)
+        if k == len(hits) or hits[k] + GRAM > hi:
+            continue
+        m, a, b, ta, tb = align(template, text[lo:hi], diagonal - lo, band)
+        if m:
+            out.append((m, a + lo, b + lo, ta, tb))
+            todo += [(lo, a + lo), (b + lo, hi)]
+    return out
+
+
+def outer(parts: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Distinct alignments without those that lie inside another one, in the text and in the template
+    (a copy that a neighbouring candidate saw in part)."""
+    out: list[tuple[int, int, int, int, int]] = []
+    held: list[tuple[int, int, int, int, int]] = []  # those that may still reach over what follows
+    for p in sorted(set(parts), key=lambda p: (p[1], -p[2], p[3], -p[4])):
+        held = [q for q in held if q[2] > p[1]]
+        if not any(q[2] >= p[2] and q[3] <= p[3] and q[4] >= p[4] for q in held):
+            out.append(p)
+            held.append(p)
+    return out
 
 
 def scan_texts(index: Index, texts: list[str | None], coverage: float = COVERAGE, band: int = BAND) -> list[tuple]:
@@ -198,31 +235,33 @@ def scan_texts(index: Index, texts: list[str | None], coverage: float = COVERAGE
             for i, j in index.places[int(g[k])]:
                 by.setdefault(doc, {}).setdefault(i, []).append((int(at[k]) - int(begin[doc]), j))
         for doc, parts in by.items():
+            got: list[tuple] = []
             own = h[begin[doc]:begin[doc + 1]]
             for i, hits in sorted(parts.items()):
                 t = index.words[i]
                 near_d: list[tuple[int, int, int, int, int]] = []
-                for d in _regions(hits, len(t) + band, band):
-                    lo = max(0, d - band)
-                    m, a, b, ta, tb = align(t, own[lo:max(0, d + len(t) + band + 1)], d - lo, band)
-                    if m:
-                        near_d.append((m, a + lo, b + lo, ta, tb))
-                for m, a, b in chain(near_d, len(t), band):
+                for d, at_d in _regions(hits, len(t) + band, band):
+                    near_d += alignments(t, own, d, at_d, band)
+                for m, a, b in chain(outer(near_d), len(t), band):
                     if m < coverage * len(t):
                         continue
                     w = int(begin[doc])
-                    s, e = _chars(run[doc], raw[doc], int(first[w + a]), int(end[w + b - 1]))
-                    found.append((start + doc, index.names[i], m / len(t), m, s, e))
+                    got.append((i, m, int(first[w + a]), int(end[w + b - 1])))
+            at_char = _chars(run[doc], raw[doc], sorted({p for f in got for p in f[2:]})) if got else {}
+            for i, m, s, e in got:
+                found.append((start + doc, index.names[i], m / len(index.words[i]), m, at_char[s][0], at_char[e][1]))
     return found
 
 
-def _chars(text: str, raw: bytes, *places: int) -> list[int]:
-    """Code points of the text at byte places of its lower-cased form."""
-    low = [len(raw[:p].decode("utf-8", "surrogatepass")) for p in places]
+def _chars(text: str, raw: bytes, places: list[int]) -> dict[int, tuple[int, int]]:
+    """Ascending byte places in the lower-cased text -> code points of the text, as the
+    begin and as the end of a span; one pass over the text."""
+    leads = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80  # first bytes of characters
+    low = list(accumulate(int(np.count_nonzero(leads[a:b])) for a, b in zip([0, *places], places, strict=False)))
     if len(text.lower()) == len(text):
-        return low
+        return {p: (c, c) for p, c in zip(places, low, strict=True)}
     ends = list(accumulate(len(c.lower()) for c in text))  # lower-casing lengthens a few letters
-    return [bisect.bisect_right(ends, low[0]), *[bisect.bisect_left(ends, p) + 1 for p in low[1:]]]
+    return {p: (bisect.bisect_right(ends, c), bisect.bisect_left(ends, c) + 1) for p, c in zip(places, low, strict=True)}
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:

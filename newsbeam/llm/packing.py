@@ -6,9 +6,9 @@ can be found.
 
 Packing goes by bin completion: the sequence of the largest open piece is
 filled next; its fillings are sets of further pieces.  A filling that another
-one dominates (each of its pieces can be swapped for an equal or larger one
-without overflow) is not looked at: here those are the fillings to which a
-further open piece could still be added or one piece enlarged.  The depth-first
+one dominates (its pieces, alone or some together, fit in the places of an open piece
+each) is not tried: a further open piece could still be added, one piece
+enlarged, or several replaced by one open piece at least as long.  The depth-first
 search takes the tightest filling first; a branch is left when the space it has
 wasted reaches that of the best solution known (waste bound), and the first
 incumbent is best-fit decreasing.  The search ends when the incumbent meets the
@@ -147,11 +147,13 @@ class _Pool:
         for s in sizes:
             self.count[s] = self.count.get(s, 0) + 1
         self.keys = sorted(self.count)
+        self.open = sum(1 << s for s in self.keys)  # bit s: a piece of length s is open
 
     def take(self, s):
         self.count[s] -= 1
         if not self.count[s]:
             del self.count[s]
+            self.open ^= 1 << s
             self.keys.pop(bisect.bisect_left(self.keys, s))
 
     def put(self, s):
@@ -159,6 +161,7 @@ class _Pool:
             self.count[s] += 1
         else:
             self.count[s] = 1
+            self.open |= 1 << s
             bisect.insort(self.keys, s)
 
     def below(self, gap):
@@ -178,16 +181,38 @@ class _Pool:
         return got
 
 
+def _up_to(sums: int, more: int) -> int:
+    """``sums`` (a set of numbers as bits) with every number raised by 0 to ``more``."""
+    done = 0
+    while done < more:
+        step = min(done + 1, more - done)
+        sums |= sums << step
+        done += step
+    return sums
+
+
+def dominated(pool: _Pool, got: list[int], left: int) -> bool:
+    """Can an open piece be added to ``got``, take the place of a smaller piece, or that of
+    several pieces no larger in sum, within the ``left`` over?"""
+    one, many = 0, 0  # lengths; sums of two pieces or more
+    for s in got:
+        many |= (many | one) << s
+        one |= 1 << s
+    better = _up_to(many | 1, left)
+    if left:
+        better |= _up_to(one << 1, left - 1)
+    return bool(better & pool.open)
+
+
 def fillings(pool: _Pool, gap: int, most: int) -> list[list[int]]:
-    """Undominated fillings of ``gap``, tightest first, up to ``most``: nothing
-    open can be added, and the last piece is the largest that fits."""
+    """Undominated fillings of ``gap``, tightest first, up to ``most``."""
     found: dict[tuple, int] = {}
     budget = [40 * most]
 
     def grow(got, gap, top):
         s = min(pool.below(gap), top)
         if not s:
-            if pool.below(gap) == 0:
+            if not dominated(pool, got, gap):
                 found.setdefault(tuple(got), gap)
             return
         k = bisect.bisect_right(pool.keys, s)

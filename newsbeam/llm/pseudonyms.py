@@ -21,7 +21,7 @@ every document and in every notation (``4111 1111 ...`` and ``41111111...``).
 The result is valid again: the card's check digit is computed anew, dates are
 permuted as day numbers 0..73048 (17 x 4297), social security numbers in
 898 x 99 x 9999.  Kept: the card's first digit, a phone's country code, first
-digits and a fictional 555 exchange, an e-mail's domain, letters beyond ASCII,
+digits and a fictional 555 exchange (no other exchange becomes 555), an e-mail's domain, letters beyond ASCII,
 all punctuation; a hexadecimal credential stays one.
 
 A text is cut by one regular expression into pieces that cover it (matches,
@@ -114,14 +114,20 @@ def _refill(piece: str, digits: str) -> str:
 
 def pseudonym_sql(p: str, key: str = KEY) -> str:
     """SQL expression: the pseudonym of the piece ``p`` if it is a valid value, else ``p``."""
-    key = key.replace("\\", "").replace("'", "")
+    if not key or "\\" in key or "'" in key:
+        raise ValueError("the key must not be empty nor hold quotes or backslashes")
     # card: first digit kept, the rest but the check digit permuted, check digit anew
     body = f"concat(left(d, 1), {_chars('substring(d, 2, length(d) - 2)', 'card', key)})"
     card = _let(body, "pay", _refill("p", f"concat(pay, (10 - {_luhn('pay', 2)} % 10) % 10)"))
     card = f"CASE WHEN {_luhn('d', 1)} % 10 = 0 THEN {card} ELSE p END"
-    # phone: t = the last ten digits
+    # phone: t = the last ten digits, m = area (2 digits), exchange (2, none if 555), line (4); among the
+    # exchanges 5xx 55 is left out (99 values), so none of them becomes the fictional one
     keep = "substring(t, 4, 3) = '555'"
+    mid = "cast(substring(t, 5, 2) as int)"
+    five = _pair(f"cast(substring(t, 2, 2) as int) * 99 + {mid} - CASE WHEN {mid} > 55 THEN 1 ELSE 0 END", "cast(right(t, 4) as int)", 9900, 10000, "phone5", key,
+                 "format_string('%02d%02d%04d', p.l div 99, p.l % 99 + CASE WHEN p.l % 99 >= 55 THEN 1 ELSE 0 END, p.r)")
     moved = _chars(f"concat(substring(t, 2, 2), CASE WHEN {keep} THEN '' ELSE substring(t, 5, 2) END, substring(t, 7, 4))", "phone", key)
+    moved = f"CASE WHEN substring(t, 4, 1) = '5' AND NOT {keep} THEN {five} ELSE {moved} END"
     phone = _let("right(d, 10)", "t", _let(moved, "m", _refill("p", (
         "concat(left(d, length(d) - 10), left(t, 1), left(m, 2), "
         f"CASE WHEN {keep} THEN '555' ELSE concat(substring(t, 4, 1), substring(m, 3, 2)) END, right(m, 4))"))))

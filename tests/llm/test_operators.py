@@ -1,7 +1,9 @@
 """Operators against brute force and in their edge cases."""
 
 import datetime as dt
+import hashlib
 import re
+import time
 import zlib
 from itertools import combinations
 
@@ -265,6 +267,36 @@ def test_pseudonyms_are_one_to_one(spark):
     assert len({a for a, _ in got}) == len({b for _, b in got}) == 400
 
 
+def _phone_by_hand(t, key=pseudonyms.KEY):
+    """The ten digits of a phone number with an exchange 5xx other than 555, permuted step by step."""
+    def digest(i, half):
+        return int(hashlib.sha256(f"{key}|phone5|{i}|{half}".encode()).hexdigest()[:12], 16)
+    mid = int(t[4:6])
+    left, right = int(t[1:3]) * 99 + mid - (mid > 55), int(t[6:])
+    for i in range(pseudonyms.ROUNDS):
+        if i % 2 == 0:
+            left = (left + digest(i, right)) % 9900
+        else:
+            right = (right + digest(i, left)) % 10000
+    mid = left % 99
+    return f"{t[0]}{left // 99:02}5{mid + (mid >= 55):02}{right:04}"
+
+
+def test_pseudonyms_of_phones_are_one_to_one(spark):
+    phones = [f"7{a:02}{e}{n:04}" for a in (2, 12, 40) for e in (513, 554, 555, 556, 599, 213, 955) for n in range(0, 10000, 7)]
+    df = spark.createDataFrame([(f"{p[:3]}-{p[3:6]}-{p[6:]}",) for p in phones], "text string")
+    got = [r.text.replace("-", "") for r in pseudonyms.pseudonymise(df).collect()]
+    assert len(set(got)) == len(phones)
+    assert all((a[3:6] == "555") == (b[3:6] == "555") and a[3] == b[3] for a, b in zip(phones, got, strict=True))
+    assert all(_phone_by_hand(a) == b for a, b in zip(phones, got, strict=True) if a[3] == "5" and a[3:6] != "555")
+
+
+def test_pseudonyms_refuse_keys_that_break_the_expression():
+    for key in ("", "a'b", "a\\b"):
+        with pytest.raises(ValueError):
+            pseudonyms.pseudonym_sql("p", key)
+
+
 # ---------------------------------------------------------------- 7 licenses
 
 def test_license_spans(spark):
@@ -294,6 +326,46 @@ def test_license_with_words_inserted_or_left_out(spark):
     assert all(r.coverage == 1.0 for r in got[3])
 
 
+def test_every_copy_of_a_license_is_found():
+    index = licenses.Index(licenses.TEMPLATES)
+    short = "All rights reserved."
+    for n in (1, 2, 3, 7, 1000):
+        text = " ".join([short] * n)
+        found = [f for f in licenses.scan_texts(index, [text]) if f[1] == "all-rights-reserved"]
+        step = len(short) + 1
+        assert [f[4:] for f in found] == [(k * step, k * step + len(short) - 1) for k in range(n)] and all(f[2] == 1.0 for f in found)
+    for name, notice in licenses.TEMPLATES.items():
+        found = [f for f in licenses.scan_texts(index, [" x ".join([notice] * 4)]) if f[1] == name]
+        assert [round(f[2], 9) for f in found] == [1.0] * 4, name
+
+
+def test_licenses_in_a_text_take_time_in_proportion():
+    index = licenses.Index(licenses.TEMPLATES)
+
+    def seconds(n):
+        start = time.process_time()
+        assert len(licenses.scan_texts(index, ["All rights reserved. " * n])) == n
+        return time.process_time() - start
+    seconds(100)
+    assert seconds(16_000) < 10 * seconds(4_000)  # 4 x the copies; 16 x if quadratic
+
+
+def test_open_candidates_follow_a_plain_list():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        hits = list({(int(i), int(j)) for i, j in zip(rng.integers(0, 400, 120), rng.integers(0, 30, 120), strict=True)})
+        plain = []  # the same grouping without closing any candidate
+        for i, j in sorted(hits):
+            for r in plain:
+                if abs(i - j - r[1]) <= 8 and i - r[2][-1] <= 38 and j >= r[0]:
+                    r[0] = j
+                    r[2].append(i)
+                    break
+            else:
+                plain.append([j, i - j, [i]])
+        assert licenses._regions(hits, 38, 8) == [(d, at) for _, d, at in plain]
+
+
 def test_winnowing_covers_shared_runs():
     h = np.random.default_rng(1).integers(0, 1 << 60, 200).astype(np.uint64)
     kept = set(licenses.winnow(h).tolist())
@@ -336,6 +408,48 @@ def test_packing_small_optimal(seed):
     assert packing.lower_bound(sizes, 100) <= len(got) <= len(packing.best_fit_decreasing(sizes, 100))
 
 
+def _fits_inside(small, big):
+    """Can ``small`` be split into groups, each no longer in sum than a piece of ``big`` of its own?"""
+    if not small:
+        return True
+    return any(_fits_inside(small[1:], big[:k] + [room - small[0]] + big[k + 1:]) for k, room in enumerate(big) if room >= small[0])
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_fillings_are_undominated(seed):
+    rng = np.random.default_rng(seed)
+    sizes = [int(x) for x in rng.integers(3, 30, 9)] if seed else [50, 45, 30, 25, 20, 10]
+    gap = 60
+    sets = {tuple(sorted(c, reverse=True)) for n in range(1, len(sizes) + 1) for c in combinations(sizes, n) if sum(c) <= gap}
+    got = {tuple(sorted(f, reverse=True)) for f in packing.fillings(packing._Pool(sizes), gap, 10_000)}
+    assert got <= sets
+    best = {a for a in sets if not any(a != b and _fits_inside(list(a), list(b)) for b in sets)}
+    assert best <= got  # none that nothing dominates is missing
+    for f in got:  # and no open piece improves one that is kept
+        rest = list(sizes)
+        for s in f:
+            rest.remove(s)
+        room = gap - sum(f)
+        for x in rest:
+            assert x > room
+            for n in range(1, len(f) + 1):
+                for c in combinations(f, n):
+                    assert not (sum(c) <= x <= sum(c) + room and (n > 1 or x > c[0])), (f, c, x)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_packing_meets_the_brute_force_optimum(seed):
+    rng = np.random.default_rng(100 + seed)
+    sizes = sorted((int(x) for x in rng.integers(10, 70, 9)), reverse=True)
+
+    def least(k, rooms):
+        if k == len(sizes):
+            return len(rooms)
+        options = [least(k + 1, rooms[:i] + [r - sizes[k]] + rooms[i + 1:]) for i, r in enumerate(rooms) if r >= sizes[k]]
+        return min([*options, least(k + 1, [*rooms, 100 - sizes[k]])])
+    assert len(packing.pack(sizes, 100)) == least(0, [])
+
+
 def test_bin_completion_beats_best_fit():
     sizes = [44, 24, 24, 22, 21, 17, 8, 8, 6, 6] * 2 + [60, 40, 50, 50]
     assert len(packing.pack(sizes, 60)) <= len(packing.best_fit_decreasing(sizes, 60))
@@ -404,3 +518,19 @@ def test_kmeans_tree_walks_on_past_small_leaves(spark):
     x[:5] = -100 - rng.random((5, 16))  # a few rows far from all clusters
     out = kmeans_tree.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), recall=0.05).toPandas()
     assert out.groupby("query_id").size().reindex(range(800), fill_value=0).eq(20).all()
+
+
+def test_kmeans_tree_keeps_overflowing_products_and_repeated_ids(spark):
+    rng = np.random.default_rng(9)
+    huge = [(i, (np.abs(rng.normal(size=4)) * 1e200).tolist()) for i in range(30)]
+    out = kmeans_tree.search(spark.createDataFrame(huge, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).toPandas()
+    for q in (0, 20):
+        got = out[out.query_id == q].sort_values("rank")
+        assert got.vec_id.tolist() == [i for i in range(30) if i != q][:20] and np.isposinf(got.score).all()
+    signs = [(1, [1e200, 1e200]), (2, [1e200, -1e200]), (3, [1.0, 1.0])]  # 1 and 2: infinity less infinity, last
+    got = kmeans_tree.search(spark.createDataFrame(signs, "vec_id long, embedding array<double>"), F.col("vec_id") == 1).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [3, 2] and np.isnan(got[1].score)
+    twice = [(20, [1.0, 0.0]), (20, [0.0, 2.0]), (20, [0.0, 2.0]), (21, [1.0, 1.0])]
+    got = kmeans_tree.search(spark.createDataFrame(twice, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    rows = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got)
+    assert rows == sorted([(20, 1, 21, 1.0), (20, 2, 20, 0.0), (20, 3, 20, 0.0), *[(20, 1, 20, 4.0), (20, 2, 21, 2.0), (20, 3, 20, 0.0)] * 2])
