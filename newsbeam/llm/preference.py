@@ -7,20 +7,20 @@ carries its loss mask as character spans ``begin-end`` joined by ``;``: the
 text and end mark of every assistant turn are trained on, headers and the turns
 of other roles are masked.
 
-``format_pairs`` takes any pairs, as arrays of turns.  The query builds one pair
+``format_rows`` takes any pairs as long rows, ``format_pairs`` as arrays of turns.  The query builds one pair
 per conversation: chosen is the conversation up to its last assistant turn as
 recorded, rejected the same turns with that last reply replaced by the last reply
 of the next conversation (in order of conv_id, the last one's next is the first),
 the usual random negative.  Turns behind the last assistant turn belong to no pair.
 
-Scale: the two sides of such a pair differ in the last turn at most, so the
-query works on long rows: the last reply is an aggregate, the turns up to it are
-range-partitioned by conversation and place, and each task renders its range
-into parts of about ``PART`` characters of one conversation (``prompt_parts``),
-so a conversation with many turns, or many rows without conv_id, are many tasks
-and rows.  Only the query's last step joins the parts of a conversation, as its
-SQL has one row and one prompt per conversation: there a prompt must fit a string
-(2 GB); beyond that the parts are the result to use.
+Scale: all work on turns is on long rows.  They are range-partitioned by
+conversation and place and stored; a turn's place is its rank in its range plus the turns
+in the ranges before.  The two sides meet as digests per pair and place, and the common prefix ends at
+the smallest place that differs, so a conversation with many turns, or many rows
+without conv_id, are many tasks.  The prompt is rendered by range into parts of about
+``PART`` characters of one conversation (``pair_parts``).  Only the last step joins the parts of a
+conversation, as the query's SQL has one row and one prompt per conversation: there a prompt must
+fit a string (2 GB); beyond that the parts are the result to use.
 
 Edge cases: null text or role renders as empty; null and repeated turn numbers
 are ordered by turn (null first), role and text; rows without conv_id form one
@@ -32,8 +32,7 @@ reply the rejected completion is empty; equal replies give empty completions.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, stage, successors, table
@@ -111,70 +110,135 @@ def next_reply_pairs(turns: DataFrame) -> DataFrame:
             .select("conv_id", chosen.alias("chosen_turns"), rejected.alias("rejected_turns")))
 
 
-def _plain(turns: DataFrame) -> DataFrame:
-    return turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-
-
-def last_replies(turns: DataFrame) -> DataFrame:
-    """``(conv_id, last)``: the last assistant turn of every conversation (null: none)."""
-    turn = F.struct("turn", "role", "text")
-    return _plain(turns).groupBy("conv_id").agg(F.max(F.when(F.col("role") == "assistant", turn)).alias("last"))
-
-
-def prompt_parts(turns: DataFrame, last: DataFrame, part: int = PART) -> DataFrame:
-    """The turns up to ``last`` (all of them without one) rendered in parts:
-    ``(conv_id, place, turns, body)``, the parts of a conversation in order of place."""
-    ends = last.select(F.col("conv_id").alias("to_id"), "last")
-    rows = (_plain(turns).join(ends, F.expr("conv_id <=> to_id")).where(F.col("last").isNull() | (F.struct("turn", "role", "text") <= F.col("last")))
-            .select("conv_id", "turn", "role", "text", F.monotonically_increasing_id().alias("tie")))  # equal rows spread too
+def placed(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``turns(conv_id, turn, role, text)`` as two stored tables: the turns with a digest (``mark``) and
+    an ``id`` that ascends in a conversation, and per conversation and range (``part``) the first id and
+    the number of turns ahead.  ``key`` stands for conv_id and is never null."""
+    rows = turns.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("none")).alias("key"), F.col("turn").cast("long").alias("turn"),
+                        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
+                        F.monotonically_increasing_id().alias("tie"))  # equal rows spread too
     order = [F.col("conv_id").asc_nulls_last(), F.col("turn").asc_nulls_first(), "role", "text", "tie"]
-    body = F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit(END)).cast("binary")
-    rows = rows.repartitionByRange(shuffle_partitions(turns.sparkSession), *order).sortWithinPartitions(*order).select("conv_id", body.alias("body"))
-    shape = pa.schema([("conv_id", pa.int64()), ("place", pa.int64()), ("turns", pa.int64()), ("body", pa.binary())])
+    rows = rows.repartitionByRange(shuffle_partitions(turns.sparkSession), *order).sortWithinPartitions(*order)
+    rows = stage(rows.select("conv_id", "key", "role", "text", _mark(F.col("role"), F.col("text")).alias("mark"), F.monotonically_increasing_id().alias("id")), "turns")
+    rows = rows.withColumn("part", F.shiftright("id", 33))
+    bounds = rows.groupBy("key", "part").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    ahead = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    bounds = bounds.select("key", "part", "first", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    return rows, stage(bounds, "turn-bounds")
+
+
+def _mark(role: Column, text: Column) -> Column:
+    return F.unhex(F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), role, text), 256))
+
+
+def marks(rows: DataFrame, bounds: DataFrame) -> DataFrame:
+    """``(key, place, mark, id)``: the digest of every turn at its place (from 0) in its conversation."""
+    return (rows.select("key", "part", "id", "mark").join(bounds, ["key", "part"])
+            .select("key", (F.col("ahead") + F.col("id") - F.col("first")).alias("place"), "mark", "id"))
+
+
+def common_prefix(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``(key, place, mark)`` of both sides -> ``(key, common)``: the number of leading turns that
+    the sides of a pair share.  The sides meet per pair and place, so a pair of long
+    conversations is many tasks; the smallest place that differs is an aggregate."""
+    both = (chosen.select("key", "place", F.col("mark").alias("one"))
+            .join(rejected.select("key", "place", F.col("mark").alias("two")), ["key", "place"], "full"))
+    differs = F.min(F.when(~F.col("one").eqNullSafe(F.col("two")), F.col("place")))
+    return both.groupBy("key").agg(F.coalesce(differs, F.count("*")).alias("common"))
+
+
+def pair_parts(rows: DataFrame, bounds: DataFrame, cuts: DataFrame, part: int = PART) -> DataFrame:
+    """The turns of one side in parts, ``(key, place, prompt, turns, role, body)``, those of a conversation in
+    order of place: the first ``common`` turns rendered, in parts of about ``part`` bytes, and each turn
+    behind them up to ``last_id`` (null: all) as it is.  ``cuts(key, common, last_id)`` has a row per conversation."""
+    ends = bounds.join(cuts.select("key", "common", "last_id"), "key").withColumn("cut", F.col("first") + F.col("common") - F.col("ahead"))
+    near = (rows.select("key", "part", "id", "role", "text").join(ends, ["key", "part"])
+            .where(F.col("last_id").isNull() | (F.col("id") <= F.col("last_id"))))
+    prompt = F.col("id") < F.col("cut")
+    body = F.when(prompt, F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit(END))).otherwise(F.col("text")).cast("binary")
+    near = near.sortWithinPartitions("key", "id").select("key", "id", prompt.alias("prompt"), "role", body.alias("body"))
+    names = ["key", "place", "prompt", "turns", "role", "body"]
+    shape = pa.schema(list(zip(names, [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.binary()], strict=True)))
 
     def run(batches):
-        place = TaskContext.get().partitionId() << 33
-        conv, held, size = None, [], 0
+        head, held, size = None, [], 0  # head: key, first id, prompt, role
 
         def close():
-            nonlocal place, held, size
-            out = pa.RecordBatch.from_pydict({"conv_id": [conv], "place": [place], "turns": [len(held)], "body": [b"".join(held)]}, schema=shape)
-            place, held, size = place + 1, [], 0
-            return out
+            nonlocal held, size
+            key, place, prompt, role = head
+            values = [[key], [place], [prompt], [len(held)], [role], [b"".join(held)]]
+            held, size = [], 0
+            return pa.RecordBatch.from_pydict(dict(zip(names, values, strict=True)), schema=shape)
         for batch in batches:
-            for c, b in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if held and (c != conv or size >= part):
+            for n, (key, at, prompt, role) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)):
+                if held and (not prompt or not head[2] or key != head[0] or size >= part):
                     yield close()
-                conv, raw = c, b.as_py()
-                held.append(raw)
-                size += len(raw)
+                if not held:
+                    head = (key, at, prompt, None if prompt else role)
+                held.append(batch.column(4)[n].as_py())
+                size += len(held[-1])
         if held:
             yield close()
-    parts = rows.select(F.col("conv_id").cast("long").alias("conv_id"), "body").mapInArrow(run, "conv_id long, place long, turns long, body binary")
+    parts = near.mapInArrow(run, "key string, place long, prompt boolean, turns long, role string, body binary")
     return parts.withColumn("body", F.col("body").cast("string"))
 
 
+def _gather(parts: DataFrame) -> DataFrame:
+    """``(key, prompt, tail)``: the rendered prompt and the turns behind it, a row per conversation."""
+    p = parts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "prompt", "role", "body"))).alias("parts"))
+    tail = F.transform(F.filter("parts", lambda x: ~x["prompt"]), lambda x: F.struct(x["place"].alias("turn"), x["role"].alias("role"), x["body"].alias("text")))
+    return p.select("key", F.array_join(F.transform(F.filter("parts", lambda x: x["prompt"]), lambda x: x["body"]), "").alias("prompt"), tail.cast(TURNS).alias("tail"))
+
+
+def _completions(pairs: DataFrame) -> DataFrame:
+    c, r = F.col("c"), F.col("r")
+    return pairs.select("conv_id", F.col("common").cast("int").alias("common_turns"), "prompt", render(c).alias("chosen"), spans(c).alias("chosen_mask"),
+                        render(r).alias("rejected"), spans(r).alias("rejected_mask"))
+
+
+def format_rows(chosen: DataFrame, rejected: DataFrame, part: int = PART) -> DataFrame:
+    """``format_pairs`` for long rows: any two tables ``(conv_id, turn, role, text)`` whose
+    conversations of one conv_id are the sides of a pair (a missing side is empty)."""
+    one, two = placed(chosen), placed(rejected)
+    ids = one[0].select("key", "conv_id").union(two[0].select("key", "conv_id")).distinct()
+    cuts = stage(common_prefix(marks(*one), marks(*two)).join(ids, "key").withColumn("last_id", F.lit(None).cast("long")), "pair-cuts")
+    left = _gather(pair_parts(*one, cuts, part)).withColumnRenamed("tail", "c")
+    right = _gather(pair_parts(*two, cuts, part).where("NOT prompt")).select("key", F.col("tail").alias("r"))
+    none = F.array().cast(TURNS)
+    sides = cuts.join(left, "key", "left").join(right, "key", "left")
+    return _completions(sides.select("conv_id", "common", F.coalesce("prompt", F.lit("")).alias("prompt"), F.coalesce("c", none).alias("c"), F.coalesce("r", none).alias("r")))
+
+
+def next_reply_parts(turns: DataFrame, part: int = PART) -> tuple[DataFrame, DataFrame]:
+    """The pairs of ``next_reply_pairs`` on long rows: ``(key, conv_id, common, last_id, reply)``, a row
+    per conversation, and the chosen side's parts (``pair_parts``)."""
+    rows, bounds = placed(turns)
+    reply = F.when(F.col("role") == "assistant", F.struct("id", "text"))
+    last = stage(rows.groupBy("key", "conv_id").agg(F.max(reply).alias("last")), "last-replies")
+    ring = stage(successors(last.select("conv_id", "key"), [F.col("conv_id").asc_nulls_last()], ["key"], ["key"]), "conv-ring")
+    given = ring.join(last.select(F.col("key").alias("next_key"), F.col("last.text").alias("reply")), "next_key").select("key", "reply")
+    pairs = stage(last.join(given, "key").select("key", "conv_id", F.col("last.id").alias("last_id"), "reply"), "pairs")
+    # chosen: the turns up to the last reply; rejected: the same with the reply of the next conversation in its place
+    at = stage(marks(rows, bounds), "turn-marks")
+    ends = pairs.select("key", "last_id")
+    chosen = at.join(ends, "key").where("last_id IS NULL OR id <= last_id")
+    swapped = at.join(pairs.select("key", "reply", F.col("last_id").alias("id")), ["key", "id"]).where("reply IS NOT NULL")
+    swapped = swapped.select("key", "place", _mark(F.lit("assistant"), F.col("reply")).alias("mark"))
+    rejected = chosen.where("last_id IS NULL OR id < last_id").select("key", "place", "mark").unionByName(swapped)
+    pairs = stage(pairs.join(common_prefix(chosen, rejected), "key"), "pair-cuts")
+    return pairs, pair_parts(rows, bounds, pairs, part)
+
+
 def next_reply_rows(turns: DataFrame, part: int = PART) -> DataFrame:
     """``format_pairs(next_reply_pairs(turns))`` without an array of all turns of a conversation."""
-    last = stage(last_replies(turns), "last-replies")
-    ring = stage(successors(last.select("conv_id"), [F.col("conv_id").asc_nulls_last()], ["conv_id"], ["conv_id"]), "conv-ring")
-    nxt = last.select(F.col("conv_id").alias("n_id"), F.col("last.text").alias("reply"))
-    given = ring.join(nxt, F.expr("next_conv_id <=> n_id")).select(F.col("conv_id").alias("to_id"), "reply")
-    whole = (prompt_parts(turns, last, part).groupBy("conv_id")
-             .agg(F.sort_array(F.collect_list(F.struct("place", "body"))).alias("parts"), F.sum("turns").alias("n"))
-             .select(F.col("conv_id").alias("w_id"), "n", F.array_join("parts.body", "").alias("whole")))
-    pairs = last.join(given, F.expr("conv_id <=> to_id")).join(whole, F.expr("conv_id <=> w_id"))
-    differ = F.col("last").isNotNull() & ~F.col("last.text").eqNullSafe(F.col("reply"))  # else all turns are common
-    head = F.lit("<|assistant|>\n")
-    one, two = (F.concat(head, text, F.lit(END)) for text in (F.col("last.text"), F.col("reply")))
-
-    def side(c, mask):
-        span = F.concat(F.length(head).cast("string"), F.lit("-"), F.length(c).cast("string"))
-        return F.when(differ & c.isNotNull(), span if mask else c).otherwise(F.lit(""))
-    prompt = F.when(differ, F.expr("left(whole, length(whole) - length(__one))")).otherwise(F.col("whole"))
-    return (pairs.withColumn("__one", one)
-            .select("conv_id", (F.col("n") - F.when(differ, 1).otherwise(0)).cast("int").alias("common_turns"), prompt.alias("prompt"),
-                    side(one, False).alias("chosen"), side(one, True).alias("chosen_mask"), side(two, False).alias("rejected"), side(two, True).alias("rejected_mask")))
+    pairs, parts = next_reply_parts(turns, part)
+    sides = pairs.join(_gather(parts), "key")
+    # rejected: what is left of the chosen side but its last reply, then the other reply unless it is common
+    before = F.filter("tail", lambda t: F.col("last_id").isNull() | (t["turn"] < F.col("last_id")))
+    differs = F.col("reply").isNotNull() & F.exists("tail", lambda t: t["turn"] == F.col("last_id"))
+    other = F.array(F.struct(F.lit(None).cast("long").alias("turn"), F.lit("assistant").alias("role"), F.col("reply").alias("text"))).cast(TURNS)
+    rejected = F.concat(before, F.when(differs, other).otherwise(F.array().cast(TURNS)))
+    return _completions(sides.select("conv_id", "common", "prompt", F.col("tail").alias("c"), rejected.alias("r")))
 
 
 def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,13 +83,45 @@ def test_preference_long_conversations_are_parts(spark):
     want = {r.conv_id: r for r in preference.format_pairs(preference.next_reply_pairs(turns)).collect()}
     got = preference.next_reply_rows(turns, part=2000).collect()
     assert len(got) == len(want) and all(r == want[r.conv_id] for r in got)
-    parts = preference.prompt_parts(turns, preference.last_replies(turns), part=2000).collect()
+    parts = preference.next_reply_parts(turns, part=2000)[1].collect()
     assert max(len(r.body.encode()) for r in parts) <= 2000 + 100
-    for conv in (7, None):  # neither the hot conversation nor the rows without one are one row of one task
-        assert len({r.place >> 33 for r in parts if r.conv_id == conv}) > 1
+    for key in ("7", "none"):  # neither the hot conversation nor the rows without one are one row of one task
+        assert len({r.place >> 33 for r in parts if r.key == key}) > 1
     assert preference.next_reply_rows(turns.limit(0)).count() == 0
 
 
+def test_preference_of_any_long_pairs(spark):
+    rng = np.random.default_rng(5)
+    one, two = [], []
+    for c in [*range(40), None]:
+        base = [("assistant" if k % 2 else "user", f"t{rng.integers(3)}") for k in range(rng.integers(0, 60 if c == 7 else 9))]
+        other = list(base)
+        for _ in range(rng.integers(0, 3)):  # turns changed, added and left out at any place
+            k = int(rng.integers(0, len(other) + 1))
+            other[k:k + int(rng.integers(0, 2))] = [("system", "x")] * int(rng.integers(0, 3))
+        one += [(c, k, *t) for k, t in enumerate(base)]
+        two += [(c, k, *t) for k, t in enumerate(other)]
+    shape = "conv_id long, turn long, role string, text string"
+    got = preference.format_rows(spark.createDataFrame(one, shape).repartition(8), spark.createDataFrame(two, shape).repartition(8), part=20).collect()
+    sides = [{}, {}]
+    for side, rows in zip(sides, (one, two), strict=True):
+        for c, _, role, text in rows:
+            side.setdefault(c, []).append((role, text))
+    assert {r.conv_id for r in got} == set(sides[0]) | set(sides[1]) and len(got) == len(set(sides[0]) | set(sides[1]))
+    for r in got:
+        a, b = (side.get(r.conv_id, []) for side in sides)
+        n = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+        def text(turns):
+            return "".join(f"<|{x}|>\n{y}<|end|>\n" for x, y in turns)
+        assert (r.common_turns, r.prompt, r.chosen, r.rejected) == (n, text(a[:n]), text(a[n:]), text(b[n:]))
+        for mask, turns in ((r.chosen_mask, a[n:]), (r.rejected_mask, b[n:])):
+            want = "".join(y + "<|end|>\n" for x, y in turns if x == "assistant")
+            whole = text(turns)
+            assert "".join(whole[int(m.split("-")[0]):int(m.split("-")[1])] for m in mask.split(";") if m) == want
+    assert preference.format_rows(spark.createDataFrame([], shape), spark.createDataFrame([], shape)).count() == 0
+
+
 # ---------------------------------------------------------------- 3 url filter
 
 def test_url_filter_brute_force(spark):
