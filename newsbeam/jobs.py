@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from . import operators as op
 from .session import staged
-from .sources import store
+from .schemas import LANDED_PAGES
+from .sources import read_raw_pages, store
 
 # The seed list in key order, and each ticker's slug on the
 # feed A site.
@@ -92,6 +93,13 @@ def feed_items(pages: DataFrame, feed: Feed, day: dt.date) -> tuple[DataFrame, D
     return kept, missing.select(*cols).unionByName(bad.select(*cols)), items
 
 
+def landed(spark: SparkSession, path: str, pages_format: str = "parquet", stream: bool = False) -> DataFrame:
+    """Landed pages: a table, or ``html`` files under ``feed=.../symbol=.../`` (``read_raw_pages``)."""
+    if pages_format == "html":
+        return read_raw_pages(spark, path, stream=stream).drop("charset")
+    return spark.readStream.schema(LANDED_PAGES).parquet(path) if stream else spark.read.parquet(path)
+
+
 def ingest(spark: SparkSession, pages: DataFrame, store_path: str, as_of: dt.datetime,
            feeds=(FEED_A, FEED_B), quarantine_path: str | None = None,
            first_write: str = "dedupe", symbols=SYMBOLS) -> None:
@@ -153,13 +161,12 @@ def score(spark: SparkSession, store_path: str, snapshot_path: str, as_of: dt.da
 def run(spark: SparkSession, landing: str, store_path: str, snapshot_path: str, checkpoint: str,
         every: str = "60 seconds", available_now: bool = False, scorer=None, feeds=None,
         quarantine_path: str | None = None, first_write: str = "dedupe", symbols=SYMBOLS,
-        only_unprocessed: bool = False, label_mode: str = "exact", write_back: str = "all"):
+        only_unprocessed: bool = False, label_mode: str = "exact", write_back: str = "all", pages_format: str = "parquet"):
     """The endless cycle: each new landing of pages is ingested then scored, with the options of both."""
     feeds = feeds or (FEED_A, FEED_B)
     quarantine_path = quarantine_path or store_path.rstrip("/") + "_quarantine"
-    from .schemas import LANDED_PAGES
     from .streaming.cycle import run_cycle
-    stream = spark.readStream.schema(LANDED_PAGES).parquet(landing)
+    stream = landed(spark, landing, pages_format, stream=True)
 
     def cycle(batch: DataFrame, batch_id: int) -> None:
         # a backlog may hold several days: each page counts for the day it landed on
@@ -191,6 +198,7 @@ def feeds_of(names: str, rule_a: str | None = None, minutes: int = 60) -> tuple[
 
 def _ingest_options(p) -> None:
     p.add_argument("--quarantine")
+    p.add_argument("--pages-format", choices=("parquet", "html"), default="parquet", help="html: a file per page under feed=.../symbol=.../")
     p.add_argument("--first-write", choices=("dedupe", "keep_all"), default="dedupe")
     p.add_argument("--feeds", default="a,b", help="a, a_old, b (the older jobs: a_old or b alone)")
     p.add_argument("--rule", choices=("strict30", "lenient", "within"), help="recency rule of feed A")
@@ -240,7 +248,7 @@ def main(argv=None) -> None:
         urls.write.mode("overwrite").parquet(args.out)
         unknown.write.mode("overwrite").parquet(args.out.rstrip("/") + "_unknown_symbols")
     elif args.cmd == "ingest":
-        ingest(spark, spark.read.parquet(args.pages), args.store, _as_of(args.as_of),
+        ingest(spark, landed(spark, args.pages, args.pages_format), args.store, _as_of(args.as_of),
                feeds_of(args.feeds, args.rule, args.minutes), args.quarantine, args.first_write)
     elif args.cmd == "score":
         as_of = _as_of(args.as_of)
@@ -249,7 +257,7 @@ def main(argv=None) -> None:
     else:
         run(spark, args.landing, args.store, args.snapshots, args.checkpoint, args.every, args.available_now,
             _scorer(args, dt.datetime.now().strftime("%Y%m%dT%H%M%S")), feeds_of(args.feeds, args.rule, args.minutes), args.quarantine,
-            args.first_write, SYMBOLS, args.only_unprocessed, args.label_mode, args.write_back).awaitTermination()
+            args.first_write, SYMBOLS, args.only_unprocessed, args.label_mode, args.write_back, args.pages_format).awaitTermination()
 
 
 if __name__ == "__main__":

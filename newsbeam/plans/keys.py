@@ -25,6 +25,7 @@ from ..session import materialize, run_dir, staged
 from ..sources import store
 from ..sources.fixtures import (FIXTURE_AS_OF, FIXTURE_DAY, document_answers, headline_records,
                                 headlines_view, recorded_answers)
+from ..sources.raw import read_raw_pages
 from ..sources.tables import read_day, read_pages, read_prompts, read_table, symbol_dim_df, symbols_df
 
 DIM_REGIONS = ("AFRICA", "AMERICA", "ASIA")
@@ -104,6 +105,20 @@ def unknown_symbols_q(spark, sf_dir):
 # --------------------------------------------------------------------------- extraction
 
 
+def read_raw_pages_q(spark, sf_dir):
+    """Every page lands as a file of its own, half of them in windows-1252, and is read back."""
+    pages = read_pages(spark, sf_dir)
+    western = F.col("page_id") % 2 == 0
+    html = F.when(western, F.replace("html", F.lit('charset="utf-8"'), F.lit('charset="windows-1252"'))).otherwise(F.col("html"))
+    raw = F.when(western, F.encode(html, "ISO-8859-1")).otherwise(F.encode(html, "UTF-8"))  # no page has a character beyond ISO 8859-1
+    path = run_dir(spark, "raw-pages")
+    (pages.select(F.when(western, "A").otherwise("B").alias("feed"), host_of(F.col("url")).alias("symbol"), "page_id", raw.cast("string").alias("value"))
+     .write.partitionBy("feed", "symbol", "page_id").text(path))
+    back = read_raw_pages(spark, path, "*.txt", extra="page_id bigint")
+    text = F.regexp_replace("html", r"\n\z", "")  # the text sink ends a file with a line feed
+    return back.select("page_id", "feed", "symbol", "charset", F.length(text).cast("long").alias("n_chars"), F.md5(text.cast("binary")).alias("html_md5"))
+
+
 def extract_titles_q(spark, sf_dir):
     pages = read_pages(spark, sf_dir)
     return (pages.select("page_id", host_of("url").alias("symbol"),
@@ -594,6 +609,7 @@ QUERIES = {
     "seed_urls_slug_news": _seed("slug_news"),
     "seed_urls_search": _seed("search"),
     "unknown_symbols": unknown_symbols_q,
+    "read_raw_pages": read_raw_pages_q,
     "extract_titles": extract_titles_q,
     "extract_zip": extract_zip_q,
     "extract_css": extract_css_q,

@@ -171,6 +171,11 @@ SELECT n_nationkey AS ord, n_name AS symbol, 'unknown_symbol' AS reason FROM nat
 WHERE n_name NOT IN (SELECT symbol FROM ({NATION_DIM}) d
                      WHERE slug IN ({", ".join(q(r) for r in DIM_REGIONS)}))""",
 
+    "read_raw_pages": """
+WITH p AS (SELECT page_id, url, CASE WHEN page_id % 2 = 0 THEN replace(html, 'charset="utf-8"', 'charset="windows-1252"') ELSE html END AS html FROM pages)
+SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'A' ELSE 'B' END AS feed, string_split(url, '/')[3] AS symbol,
+       CASE WHEN page_id % 2 = 0 THEN 'windows-1252' ELSE 'utf-8' END AS charset, CAST(length(html) AS BIGINT) AS n_chars, md5(html) AS html_md5
+FROM p""",
     "extract_titles": f"""
 SELECT page_id, symbol, CAST(i - 1 AS BIGINT) AS pos, {element_text("el")} AS title
 FROM ({_exploded(_extract_all(H1), f", {HOST} AS symbol", ", symbol")}) t""",
