@@ -53,7 +53,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("personal_data", hide_personal_data),
           ("mixing", mix_sources), ("packing", pack)]
 
-#: the first stage is a fitted model and the last a search: not SQL; tests/llm checks the stages one by one (README, Oracles), not run()
+#: the first stage is a fitted model and the last a search: not SQL; tests/llm holds run() against a plain version
 ORACLE_SQL = None
 
 
