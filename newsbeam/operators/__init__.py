@@ -16,5 +16,5 @@ from .scoring import (day_symbols, net_score, rank_scores, snapshot_map,  # noqa
                       snapshot_rows, unprocessed)
 from .sentiment import (LexiconScorer, PandasScorer, RecordedScorer,  # noqa: F401
                         apply_labels, conversation_messages, conversation_turns, generate_answers, label_headlines,
-                        lexicon_model, raw_answers, score_headlines, to_messages_frame)
+                        label_keys, lexicon_model, raw_answers, score_headlines, to_messages_frame)
 from .variant import variant_documents, variant_records, variant_shapes  # noqa: F401

@@ -45,7 +45,8 @@ class RecordedScorer:
         self.on = [on] if isinstance(on, str) else list(on)
 
     def score(self, df: DataFrame, text_col: str = "headline") -> DataFrame:
-        return df.join(self.answers.select(*self.on, "answer"), self.on, "left")
+        # the answers are hashed, so the rows with the text are shuffled but not sorted
+        return df.join(self.answers.select(*self.on, "answer").hint("shuffle_hash"), self.on, "left")
 
     def prepared(self, partitions: int) -> "RecordedScorer":
         """For a stream joined to a large answer table: hash-partition the
@@ -145,6 +146,21 @@ def label_headlines(df: DataFrame, scorer, mode: str = "exact", text_col: str =
 
 IDENTITY = ("day", "symbol", "feed", "created", "pos", "headline")
 MATCH = ("day", "symbol", "headline")
+IDENTITY_KEY, MATCH_KEY = "identity_key", "match_key"
+
+
+def label_keys(df: DataFrame, scorer, mode: str = "exact", text_col: str = "headline") -> DataFrame:
+    """UDF-8 for a write-back: ``label_headlines`` with the digests that ``apply_labels``
+    meets its records by (``identity_key``, ``match_key``) in place of the text.  A scorer
+    that looks answers up by other columns gets no text, so none is shuffled to it."""
+    keyed = df.withColumns({IDENTITY_KEY: digest(*[c for c in IDENTITY if c in df.columns]), MATCH_KEY: digest(*MATCH)})
+    if text_col not in getattr(scorer, "on", (text_col,)):
+        return label_headlines(keyed.drop(text_col), scorer, mode, text_col)
+    return label_headlines(keyed, scorer, mode, text_col).drop(text_col)
+
+
+def _label_key(labels: DataFrame, name: str, cols):
+    return F.col(name) if name in labels.columns else digest(*cols)
 
 
 def apply_labels(records: DataFrame, labels: DataFrame, mode: str = "all",
@@ -152,30 +168,32 @@ def apply_labels(records: DataFrame, labels: DataFrame, mode: str = "all",
     """JN-4 / WIN-2: write labels back into records.
 
     ``labels`` holds the ``identity`` columns and ``label`` of the scored
-    records.  Every scored record becomes ``processed`` with its label.
+    records, or the digests of ``label_keys`` in place of the headline.  Every
+    scored record becomes ``processed`` with its label.
 
     ``all`` (default): each scored record gets its own label.
     ``first_match`` (parity): updates go by (day, symbol, headline) to the
     first stored copy only (earliest ``created``, then lowest ``pos``); with
     several scored copies the one scored last wins; other copies stay
     unprocessed.  Both are grouped aggregates plus equi joins on digests (no
-    window over a key, null equals null), so a record's text is shuffled once
-    and a label carries none.
+    window over a key, null equals null), so a record's text is shuffled once,
+    not sorted (the labels are hashed), and a label carries none.
     """
     keep = [c for c in records.columns if c not in ("processed", "labelled")]
     order = [c for c in ("created", "pos") if c in records.columns]
     if mode == "all":
         ident = [c for c in identity if c in records.columns]
         # copies share an identity (keep_all): one label each, so the join adds no rows
-        lab = labels.select(digest(*ident).alias("_k"), "label").groupBy("_k").agg(F.max("label").alias("_label"))
-        j = records.withColumn("_k", digest(*ident)).join(lab, "_k", "left")
+        own = _label_key(labels, IDENTITY_KEY, ident) if identity == IDENTITY else digest(*ident)
+        lab = labels.select(own.alias("_k"), "label").groupBy("_k").agg(F.max("label").alias("_label"))
+        j = records.withColumn("_k", digest(*ident)).join(lab.hint("shuffle_hash"), "_k", "left")
     elif mode == "first_match":
-        last = (labels.select(digest(*MATCH).alias("_m"), "label", *order)
+        last = (labels.select(_label_key(labels, MATCH_KEY, MATCH).alias("_m"), "label", *order)
                 .groupBy("_m").agg(F.max_by("label", F.struct(*order)).alias("_label")))
         first = (records.select(digest(*MATCH).alias("_m"), *order, digest(*MATCH, *order).alias("_k"))
                  .groupBy("_m").agg(F.min(F.struct(*order, "_k")).alias("_o")))
         target = first.join(last, "_m").select(F.col("_o._k").alias("_k"), "_label")
-        j = records.withColumn("_k", digest(*MATCH, *order)).join(target, "_k", "left")
+        j = records.withColumn("_k", digest(*MATCH, *order)).join(target.hint("shuffle_hash"), "_k", "left")
     else:
         raise ValueError(f"unknown write-back mode {mode!r}")
     hit = F.col("_label").isNotNull()
