@@ -10,8 +10,9 @@ the layout and not by the volume; joined by broadcast it prunes the store's fold
 ``buckets`` so that a leaf of a busy day is one or a few files; the number belongs to the store
 and must not change between runs.
 
-Writes go by dynamic overwrite of whole leaves from a table staged before (``session.staged``),
-so a retried task never reads what it replaces and a replayed run writes the same leaves.
+Writes go by dynamic overwrite of whole leaves, exchanged when the job commits, so a retried task
+reads the old files still and a replayed run writes the same leaves.  Which leaves change is found
+without the text.
 """
 
 from __future__ import annotations
@@ -29,9 +30,9 @@ BUCKETS = 16
 BUCKETED = T.StructType([*HEADLINES.fields, T.StructField("bucket", T.IntegerType())])
 
 
-def bucket_of(buckets: int = BUCKETS) -> Column:
-    """The leaf of a headline row."""
-    return F.pmod(F.xxhash64(digest("day", "symbol", "headline")), F.lit(buckets)).cast("int")
+def bucket_of(buckets: int = BUCKETS, key: str | None = None) -> Column:
+    """The leaf of a headline row; ``key`` names a column with its (day, symbol, headline) digest."""
+    return F.pmod(F.xxhash64(F.col(key) if key else digest("day", "symbol", "headline")), F.lit(buckets)).cast("int")
 
 
 def read_buckets(spark: SparkSession, path: str) -> DataFrame:
@@ -47,7 +48,8 @@ def leaves(df: DataFrame) -> DataFrame:
 def write_leaves(df: DataFrame, path: str) -> None:
     """Replace the leaves that ``df`` (with ``bucket``) has rows of; others stay as they are."""
     (df.select(*HEADLINE_COLS, "bucket").hint("rebalance", "day", "bucket")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "bucket").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+     .partitionBy("day", "bucket").parquet(path))
 
 
 def write_buckets(df: DataFrame, path: str, buckets: int = BUCKETS) -> None:
@@ -63,18 +65,20 @@ def upsert_buckets(spark: SparkSession, path: str, batch: DataFrame, as_of, buck
     added = to_record(novel_firsts(batch, here), as_of).select(*HEADLINE_COLS, "bucket")
     with staged(added, "novel") as new:
         kept = read_buckets(spark, path).join(leaves(new), ["day", "bucket"], "left_semi")
-        with staged(kept.unionByName(new), "leaves") as whole:
-            write_leaves(whole, path)
+        write_leaves(kept.unionByName(new), path)
 
 
 def write_labels_buckets(spark: SparkSession, path: str, labels: DataFrame, mode: str = "all", buckets: int = BUCKETS) -> None:
     """Write labels back and rewrite the leaves in which something changed.
 
-    ``labels`` holds the identity columns and ``label`` of scored records, as ``apply_labels`` takes them."""
-    from ..operators.sentiment import apply_labels
-    labels = labels.withColumn("bucket", bucket_of(buckets))
+    ``labels`` holds the identity columns (or the digests of ``label_keys``) and ``label`` of scored
+    records, as ``apply_labels`` takes them."""
+    from ..operators.sentiment import MATCH_KEY, apply_labels
+    labels = labels.withColumn("bucket", bucket_of(buckets, MATCH_KEY if MATCH_KEY in labels.columns else None))
     here = read_buckets(spark, path).join(leaves(labels), ["day", "bucket"], "left_semi")
     was = here.withColumns({"_processed": F.col("processed"), "_labelled": F.col("labelled")})
-    with staged(apply_labels(was, labels, mode), "relabelled") as now:
-        changed = now.where(~(F.col("processed").eqNullSafe(F.col("_processed")) & F.col("labelled").eqNullSafe(F.col("_labelled"))))
-        write_leaves(now.join(leaves(changed), ["day", "bucket"], "left_semi"), path)
+    now = apply_labels(was, labels, mode)
+    changed = now.where(~(F.col("processed").eqNullSafe(F.col("_processed")) & F.col("labelled").eqNullSafe(F.col("_labelled"))))
+    with staged(changed.select("day", "bucket").distinct(), "changed-leaves") as touched:  # no text in this plan
+        # the leaves are chosen before the join, so rows of the others are not shuffled
+        write_leaves(apply_labels(here.join(leaves(touched), ["day", "bucket"], "left_semi"), labels, mode), path)
