@@ -150,7 +150,7 @@ def score(spark: SparkSession, store_path: str, snapshot_path: str, as_of: dt.da
     stored = store.read_day(store.read_store(spark, store_path), day)
     todo = op.unprocessed(stored) if only_unprocessed else stored
     universe = store.read_day(store.read_day_symbols(spark, symbols_path(store_path)), day)
-    with staged(op.label_headlines(todo, scorer or op.LexiconScorer(), label_mode), "score-labels") as labelled:
+    with staged(op.label_keys(todo, scorer or op.LexiconScorer(), label_mode), "score-labels") as labelled:
         store.write_labels(spark, store_path, labelled, write_back)
         ranked = op.rank_scores(op.net_score(labelled, universe), order_col="ord")
         store.append_snapshot(ranked, snapshot_path, as_of)

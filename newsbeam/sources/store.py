@@ -4,10 +4,10 @@
   written frame are replaced, an empty frame changes nothing, and a retried
   job rewrites the same folders (idempotent).  One writer per day: both
   feeds are combined before the write instead of racing on the same day.
-* A merge reads the day it then replaces.  The merged rows are first
-  written as a table under the shared checkpoint folder (``staged``),
-  cutting the lineage, so a task retried after a partial commit never
-  re-reads changed files; the staged copy is removed after the write.
+* A merge reads the day it then replaces.  Spark writes the new files to a
+  folder of their own and exchanges the days when the job commits, after the
+  last task, so a retried task reads the old files still and the rows need
+  no copy beside the store.
 * Snapshots are partitioned by their run key, so replaying a run replaces
   its own snapshot instead of appending a second copy.
 """
@@ -54,6 +54,7 @@ def write_day(df: DataFrame, path: str) -> None:
      .hint("rebalance", "day")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
+     .option("compression", "zstd")
      .partitionBy("day")
      .parquet(path))
 
@@ -64,9 +65,7 @@ def upsert_days(spark: SparkSession, path: str, batch: DataFrame, as_of,
     from ..operators.merge import day_set, merge_day
     stored = read_store(spark, path)
     touched = stored.join(day_set(batch), "day", "left_semi")  # partition-pruned, no shuffle
-    merged = merge_day(touched, batch, as_of, first_write).select(*HEADLINE_COLS)
-    with staged(merged, "merge") as m:
-        write_day(m, path)
+    write_day(merge_day(touched, batch, as_of, first_write), path)
 
 
 def upsert_day(spark: SparkSession, path: str, batch: DataFrame, day, as_of,
@@ -81,9 +80,7 @@ def write_labels(spark: SparkSession, path: str, labels: DataFrame, mode: str =
     from ..operators.sentiment import apply_labels
     stored = read_store(spark, path)
     touched = stored.join(day_set(labels), "day", "left_semi")
-    updated = apply_labels(touched, labels, mode).select(*HEADLINE_COLS)
-    with staged(updated, "labels") as u:
-        write_day(u, path)
+    write_day(apply_labels(touched, labels, mode), path)
 
 
 def read_day_symbols(spark: SparkSession, path: str) -> DataFrame:
