@@ -27,6 +27,7 @@ from ..schemas import LABEL_LOG, SCORE_DELTAS
 from ..session import staged
 from ..sources.store import _read_or_empty
 from .merge import day_set
+from .sentiment import MATCH_KEY
 
 
 def read_label_log(spark: SparkSession, path: str) -> DataFrame:
@@ -44,9 +45,10 @@ def latest_labels(log: DataFrame) -> DataFrame:
 
 
 def batch_labels(labelled: DataFrame) -> DataFrame:
-    """Scored headlines ``(day, symbol, headline, label)`` as ``(day, symbol, key, label)``, copies
+    """Scored headlines ``(day, symbol, headline, label)``, or those of ``label_keys``, as ``(day, symbol, key, label)``, copies
     of one headline once (the highest label of them).  The text ends here."""
-    keyed = labelled.select("day", "symbol", digest("day", "symbol", "headline").alias("key"), "label")
+    key = F.col(MATCH_KEY) if MATCH_KEY in labelled.columns else digest("day", "symbol", "headline")
+    keyed = labelled.select("day", "symbol", key.alias("key"), "label")
     return keyed.groupBy("day", "symbol", "key").agg(F.max("label").cast("int").alias("label"))
 
 
