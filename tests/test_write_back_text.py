@@ -81,14 +81,14 @@ def test_rewrites_stage_no_text(spark, monkeypatch):
 def test_bucket_labels_stage_no_text(spark, monkeypatch):
     path, records = run_dir(spark, "wb-buckets"), _records(spark)
     buckets.write_buckets(records, path, 4)
-    was = {f for d, _, fs in os.walk(path.replace("file:", "")) for f in fs if f.endswith(".parquet")}
+    was = {os.path.join(d, f) for d, _, fs in os.walk(path.replace("file:", "")) for f in fs if f.endswith(".parquet")}
     labels = op.label_keys(records.where("pos = 1"), op.RecordedScorer(_answers(spark), on="pos"))
     seen = _copies_beside(spark, monkeypatch, [buckets], lambda: buckets.write_labels_buckets(spark, path, labels, buckets=4))
     assert not [c for c in seen if "headline" in c]
     back = buckets.read_buckets(spark, path)
     assert {r.pos: r.labelled for r in back.collect()} == {1: -1, 2: None, 3: None, 4: None, 5: None}
     assert back.count() == 6
-    now = {f for d, _, fs in os.walk(path.replace("file:", "")) for f in fs if f.endswith(".parquet")}
+    now = {os.path.join(d, f) for d, _, fs in os.walk(path.replace("file:", "")) for f in fs if f.endswith(".parquet")}
     assert was & now and was - now  # one leaf rewritten, others keep their files
 
 
