@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.keys import digest
+from ..operators.merge import KEY
 from .cycle import EVENT_TIME
 
 BUCKETS = 64
@@ -103,10 +104,11 @@ def first_in_batch(stream: DataFrame) -> DataFrame:
     return stream.mapInArrow(run, stream.schema)
 
 
-def dedupe_with_state(stream: DataFrame, delay: str = "1 day", delay_ms: int = _DAY_MS, buckets: int = BUCKETS) -> DataFrame:
+def dedupe_with_state(stream: DataFrame, delay: str = "1 day", delay_ms: int = _DAY_MS, buckets: int = BUCKETS, keys=KEY) -> DataFrame:
     """First copies of ``stream(day, symbol, headline, event_time, ...)`` and late rows, with the
-    boolean column ``late``; ``delay`` and ``delay_ms`` say the same."""
-    key = F.substring(digest("day", "symbol", "headline"), 1, DIGEST)
+    boolean column ``late``; ``delay`` and ``delay_ms`` say the same.  ``keys``: what equal headlines have equal,
+    the day among it."""
+    key = F.substring(digest(*keys), 1, DIGEST)
     columns = list(stream.columns)
     keyed = stream.withColumn(KEY_COL, key).withColumn("wm__", F.col(EVENT_TIME)).withWatermark("wm__", delay).drop("wm__")
     reduced = first_in_batch(keyed).withColumn(BUCKET_COL, F.pmod(F.xxhash64(KEY_COL), F.lit(buckets)))
