@@ -22,10 +22,14 @@ from pyspark.sql import functions as F
 from ..functions.answers import parse_answer, render_prompt
 from ..functions.keys import digest
 from ..schemas import ANSWER_MEMO
-from ..session import materialize
+from ..session import arrow_batches, materialize
 from ..sources.store import _read_or_empty
 from .sentiment import _generated
 
+#: Records and bytes of an Arrow batch of prompts.  Python holds a batch several times over (Arrow, strings, the
+#: generated text); a worker's memory follows the batch, not the task's share of the prompts.
+PROMPT_BATCH = (1024, "4m")
+
 
 def read_memo(spark: SparkSession, path: str) -> DataFrame:
     """The known answers ``(prompt_key, answer, run)``; empty while none was written."""
@@ -49,8 +53,9 @@ def fill_memo(df: DataFrame, memo_path: str, factory, run: str, text_col: str =
     if partitions:  # model time dominates: spread the prompts, not the rows they came from
         todo = todo.repartition(partitions)
     answered = todo.select("prompt_key", parse_answer(_generated(F.col("prompt"), factory, max_length)).alias("answer"))
-    (answered.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run").parquet(memo_path))
+    with arrow_batches(spark, *PROMPT_BATCH):
+        (answered.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run").parquet(memo_path))
 
 
 def recall(df: DataFrame, memo: DataFrame, text_col: str = "headline") -> DataFrame:
