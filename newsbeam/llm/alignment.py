@@ -12,7 +12,7 @@ of both sides end cut the sequences into groups.
 Encoding: neither tokenizer has a token that crosses from a character other than
 white space to a blank or a line feed, so a text is cut there into words whose ids are looked up
 in a cache of bounded size per Python worker; new words are encoded in one call
-per batch.  ``tests/llm`` holds this against encoding whole texts.  A batch takes
+per batch, ``JOINED`` as one text, whose ids are cut at the words' ends.  ``tests/llm`` holds this against encoding whole texts.  A batch takes
 texts up to ``BATCH_BYTES``; a longer text is its own batch.
 
 Scale: the texts are read by one ``mapInArrow`` pass that returns per document its
@@ -46,6 +46,7 @@ from .common import stage, table
 
 BATCH_BYTES = 1 << 18
 CACHE_WORDS = 250_000
+JOINED = 32  # new words encoded as one text
 BROADCAST_PAIRS = 4_000_000
 
 SCHEMA = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -113,27 +114,59 @@ class Pair:
             self._forget()
             new = list(set(words))
         if new:
-            got_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
-            # B adds a blank itself: in place of a word's first, or to be dropped before a line feed; to an empty text it adds none
-            got_b = self.b.encode([w[1:] if w[0] == " " else w for w in new], num_threads=1)
-            got_b = [(ids if w[0] == " " else ids[1:]) or [self.blank] for w, ids in zip(new, got_b)]
-            flat = [np.fromiter(chain.from_iterable(got), np.int32) for got in (got_a, got_b)]
-            sizes = [np.fromiter(map(len, got), np.int64, len(new)) for got in (got_a, got_b)]
-            self.good = np.append(self.good, self._spelt(new, flat, sizes))
+            new, flat, sizes, good = self._words(new)
+            self.good = np.append(self.good, good)
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
             for side in (0, 1):
                 self.at[side] = np.append(self.at[side], self.at[side][-1] + np.cumsum(sizes[side]))
                 self.ids[side] = np.append(self.ids[side], flat[side])
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
-    def _spelt(self, words: list[str], flat, sizes) -> np.ndarray:
-        """Whether both sides' tokens spell each word."""
-        raw = [w.encode() for w in words]
+    def _words(self, new: list[str]):
+        """The words in the order encoded, both sides' ids and how many each word has, and whether both spell it.
+        Words are encoded ``JOINED`` at a time, as one text; those that end in white space (which the next word's
+        would join) and those of a text that is not spelt are encoded singly."""
+        whole = [w for w in new if not w[-1].isspace()]
+        single = [w for w in new if w[-1].isspace()]
+        texts = ["".join(whole[i:i + JOINED]) for i in range(0, len(whole), JOINED)]
+        flat, many = self._ids(texts)
+        fine = self._spelt(texts, flat, many)
+        length = np.fromiter((len(w.encode()) for w in whole), np.int64, len(whole))
+        of = np.arange(len(whole)) // JOINED
+        while True:
+            end, kept = np.cumsum(length[fine[of]]), of[fine[of]]
+            ids = [x[np.repeat(fine, n)] for x, n in zip(flat, many)]
+            ends = [np.cumsum(size[x]) for size, x in zip((self.len_a, self.len_b), ids)]
+            last = [np.searchsorted(x, end) for x in ends]  # each word's last token
+            across = (ends[0][last[0]] != end) | (ends[1][last[1]] != end)  # of a token that the next word shares
+            if not across.any():
+                break
+            fine[kept[across]] = False
+        single += [w for w, f in zip(whole, fine[of].tolist()) if not f]
+        more, sizes = self._ids(single)
+        good = np.append(np.ones(len(end), bool), self._spelt(single, more, sizes))
+        return ([w for w, f in zip(whole, fine[of].tolist()) if f] + single, [np.append(x, y) for x, y in zip(ids, more)],
+                [np.append(np.diff(x, prepend=-1), y) for x, y in zip(last, sizes)], good)
+
+    def _ids(self, texts: list[str]):
+        """Both sides' ids of the texts, and how many each has."""
+        got_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        # B adds a blank itself: in place of a text's first, or to be dropped before a line feed; to an empty text it adds none
+        got_b = self.b.encode([w[1:] if w[0] == " " else w for w in texts], num_threads=1) if texts else []
+        got_b = [(ids if w[0] == " " else ids[1:]) or [self.blank] for w, ids in zip(texts, got_b)]
+        return ([np.fromiter(chain.from_iterable(got), np.int32) for got in (got_a, got_b)],
+                [np.fromiter(map(len, got), np.int64, len(got)) for got in (got_a, got_b)])
+
+    def _spelt(self, texts: list[str], flat, sizes) -> np.ndarray:
+        """Whether both sides' tokens spell each text."""
+        good = np.ones(len(texts), bool)
+        if not texts:
+            return good
+        raw = [w.encode() for w in texts]
         length, whole = np.fromiter(map(len, raw), np.int64, len(raw)), b"".join(raw)
-        good = np.ones(len(words), bool)
         for table, size, ids, many in zip((self.bytes_a, self.bytes_b), (self.len_a, self.len_b), flat, sizes):
             first = np.cumsum(many) - many
-            # as a rule all words are spelt, which one comparison shows if the words' ends agree too
+            # as a rule all texts are spelt, which one comparison shows if the texts' ends agree too
             if not (np.array_equal(np.add.reduceat(size[ids], first), length)
                     and b"".join(map(table.__getitem__, ids.tolist())) == whole):
                 good &= [b"".join([table[i] for i in ids[a:a + n].tolist()]) == w for a, n, w in zip(first.tolist(), many.tolist(), raw)]

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -244,6 +245,33 @@ def test_words_are_encoded_as_whole_texts(spark, pair):
             assert (pair.tokens(0, number)[0].tolist(), pair.tokens(1, number)[0].tolist()) == want
 
 
+def test_new_words_are_encoded_together(pair, monkeypatch):
+    class Counting:
+        def __init__(self, tok):
+            self.tok, self.texts = tok, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return self.tok.encode_batch_fast(texts, **options)
+    own = alignment.Pair(*alignment._paths(None, None))
+    own.a = Counting(own.a)
+    words = [f" w{i}" for i in range(2000)] + ["\nline", "\n", " ", " tail \t", " x▁y", " ﬁ", " 日本語", "  two"]
+    number = own.encode(words)
+    assert own.a.texts < 200
+    for word, n in zip(words, number.tolist()):
+        ids = pair.a.encode(word, add_special_tokens=False).ids
+        assert own.tokens(0, np.array([n]))[0].tolist() == ids
+        want = whole_ids(pair, word[1:]) if word[0] == " " and word[1:] else None
+        if want:
+            assert own.good[n] and own.tokens(1, np.array([n]))[0].tolist() == want[1]
+    assert not own.good[number[words.index(" x▁y")]] and own.good[number[:2000]].all()
+    # a token across a cut: both words are encoded singly
+    monkeypatch.setattr(own, "len_a", own.len_a + 1)
+    monkeypatch.setattr(own, "_spelt", lambda texts, flat, sizes: np.ones(len(texts), bool))
+    number = own.encode([" new", " words"])
+    assert [own.tokens(0, number[k:k + 1])[0].tolist() for k in (0, 1)] == [pair.a.encode(w, add_special_tokens=False).ids for w in (" new", " words")]
+
+
 @pytest.mark.parametrize("limit", [alignment.BROADCAST_PAIRS, 0])
 def test_alignment_and_counts(spark, pair, monkeypatch, limit):
     monkeypatch.setattr(alignment, "BROADCAST_PAIRS", limit)
