@@ -37,6 +37,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsbeam.session import lean_parser
+
 from .common import table
 
 ROUNDS = 8
@@ -179,7 +181,8 @@ def pseudonymise(df: DataFrame, text: str = "text", key: str = KEY, count: str |
     t = f"`{text}`"
     cut = f"CASE WHEN {t} RLIKE '[0-9@]' THEN regexp_extract_all({t}, {_q(PIECES)}, 0) END"
     out = df.withColumn("__pii_pieces", F.expr(cut))
-    out = out.withColumn("__pii_new", F.expr(f"transform(__pii_pieces, p -> {pseudonym_sql('p', key)})"))
+    with lean_parser(df.sparkSession):
+        out = out.withColumn("__pii_new", F.expr(f"transform(__pii_pieces, p -> {pseudonym_sql('p', key)})"))
     changed = F.coalesce(F.size(F.filter(F.zip_with("__pii_pieces", "__pii_new", lambda a, b: a != b), lambda x: x)), F.lit(0))
     changed = F.when(F.col("__pii_pieces").isNull(), F.lit(0)).otherwise(changed)
     cols = [F.coalesce(F.array_join("__pii_new", ""), F.col(text)).alias(text) if c == text else F.col(c) for c in df.columns]

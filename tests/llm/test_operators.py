@@ -566,3 +566,19 @@ def test_kmeans_tree_keeps_overflowing_products_and_repeated_ids(spark):
     got = kmeans_tree.search(spark.createDataFrame(twice, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
     rows = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got)
     assert rows == sorted([(20, 1, 21, 1.0), (20, 2, 20, 0.0), (20, 3, 20, 0.0), *[(20, 1, 20, 4.0), (20, 2, 21, 2.0), (20, 3, 20, 0.0)] * 2])
+
+
+def parser_states(spark):
+    """States in the cache that Spark's parser keeps for good."""
+    field = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.parser.SqlBaseParser").getDeclaredField("_decisionToDFA")
+    field.setAccessible(True)
+    return sum(dfa.getStates().size() for dfa in field.get(None))
+
+
+def test_pseudonyms_leave_no_parser_states(spark):
+    conf = ("spark.sql.parser.manageParserCaches", "spark.sql.parser.parserDfaCacheFlushThreshold")
+    before = [spark.conf.get(c, None) for c in conf]
+    docs = spark.createDataFrame([(1, "call 123-45-6789")], "doc_id long, text string")
+    pseudonyms.pseudonymise(docs)
+    assert parser_states(spark) < 3000
+    assert [spark.conf.get(c, None) for c in conf] == before
