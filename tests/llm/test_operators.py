@@ -579,6 +579,7 @@ def test_pseudonyms_leave_no_parser_states(spark):
     conf = ("spark.sql.parser.manageParserCaches", "spark.sql.parser.parserDfaCacheFlushThreshold")
     before = [spark.conf.get(c, None) for c in conf]
     docs = spark.createDataFrame([(1, "call 123-45-6789")], "doc_id long, text string")
+    kept = parser_states(spark)
     pseudonyms.pseudonymise(docs)
-    assert parser_states(spark) < 3000
+    assert parser_states(spark) - kept < 1000  # 7000 in a session that has not parsed the expression before
     assert [spark.conf.get(c, None) for c in conf] == before
