@@ -14,7 +14,7 @@ from .recency import (classify_age, is_recent, is_same_day,  # noqa: F401
                       nonempty_symbols, split_recent)
 from .scoring import (day_symbols, net_score, rank_scores, snapshot_map,  # noqa: F401
                       snapshot_rows, unprocessed)
-from .sentiment import (LexiconScorer, PandasScorer, RecordedScorer,  # noqa: F401
+from .sentiment import (IDENTITY_KEY, MATCH_KEY, LexiconScorer, PandasScorer, RecordedScorer,  # noqa: F401
                         apply_labels, conversation_messages, conversation_turns, generate_answers, label_headlines,
                         label_keys, lexicon_model, raw_answers, score_headlines, to_messages_frame)
 from .variant import variant_documents, variant_records, variant_shapes  # noqa: F401

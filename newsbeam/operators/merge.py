@@ -16,6 +16,8 @@ Scale notes
   stored many times is one row on the build side and no stored text is
   shuffled.  ``novel_firsts`` does both on one partitioning: the batch's text is
   shuffled once.
+* Rows may be keyed (``headline_key`` in place of ``headline``, on both sides of a
+  merge): then no text is shuffled at all.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_lit
-from ..functions.keys import digest
+from ..functions.keys import digest, headline_col
 
 KEY = ["day", "symbol", "headline"]
 RECORD_COLS = ["day", "symbol", "feed", "pos", "headline", "created", "processed", "labelled"]
@@ -58,6 +60,11 @@ def distinct_headlines(df: DataFrame, keys=KEY) -> DataFrame:
     return _firsts(df.select(*keys), keys, ()).drop("_k")
 
 
+def _key_of(df: DataFrame) -> list[str]:
+    """KEY, with the digest of the headline where the rows hold it in place of the text."""
+    return ["day", "symbol", headline_col(df)]
+
+
 def _unknown(keyed: DataFrame, stored: DataFrame, keys) -> DataFrame:
     known = stored.select(digest(*keys).alias("_k")).distinct()
     return keyed.join(known, "_k", "left_anti").drop("_k")
@@ -69,16 +76,18 @@ def novel(batch: DataFrame, stored: DataFrame, keys=KEY) -> DataFrame:
     return _unknown(batch.withColumn("_k", digest(*keys)), stored, keys)
 
 
-def novel_firsts(batch: DataFrame, stored: DataFrame, keys=KEY, order=("pos",)) -> DataFrame:
+def novel_firsts(batch: DataFrame, stored: DataFrame, keys=None, order=("pos",)) -> DataFrame:
     """WIN-1 then JN-2: the first copies of a batch that are not in ``stored``."""
+    keys = keys or _key_of(batch)
     return _unknown(_firsts(batch, keys, order), stored, keys)
 
 
 def to_record(df: DataFrame, as_of) -> DataFrame:
     """NST-1: new stored records: ``created`` = run time, not processed, no label."""
-    extra = [c for c in df.columns if c not in RECORD_COLS and c != "date_text"]
+    headline = headline_col(df)
+    extra = [c for c in df.columns if c not in (*RECORD_COLS, headline, "date_text")]
     return df.select(
-        "day", "symbol", "feed", F.col("pos").cast("long").alias("pos"), "headline",
+        "day", "symbol", "feed", F.col("pos").cast("long").alias("pos"), headline,
         as_of_lit(as_of).alias("created"),
         F.lit(False).alias("processed"),
         F.lit(None).cast("int").alias("labelled"),

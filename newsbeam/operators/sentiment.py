@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.answers import NEGATIVE, NEUTRAL, parse_answer, render_prompt, to_label
-from ..functions.keys import digest
+from ..functions.keys import HEADLINE_KEY, digest, headline_col
 from ..functions.text import strip_ws
 
 # The stand-in lexicon of negative words (lower case, whole words).
@@ -38,15 +38,20 @@ def lexicon_pattern(words=NEGATIVE_WORDS) -> str:
 
 
 class RecordedScorer:
-    """Answers from a table ``(key..., answer)``; rows without one get null."""
+    """Answers from a table ``(key..., answer)``; rows without one get null.
 
-    def __init__(self, answers: DataFrame, on="doc_id"):
+    ``hashed``: a task holds its share of the answers in memory, so the rows with the text are shuffled
+    but not sorted.  Without it both sides are sorted and may spill: for rows without text, where the
+    answers are as many as the rows."""
+
+    def __init__(self, answers: DataFrame, on="doc_id", hashed: bool = True):
         self.answers = answers
         self.on = [on] if isinstance(on, str) else list(on)
+        self.hashed = hashed
 
     def score(self, df: DataFrame, text_col: str = "headline") -> DataFrame:
-        # the answers are hashed, so the rows with the text are shuffled but not sorted
-        return df.join(self.answers.select(*self.on, "answer").hint("shuffle_hash"), self.on, "left")
+        answers = self.answers.select(*self.on, "answer")
+        return df.join(answers.hint("shuffle_hash") if self.hashed else answers, self.on, "left")
 
     def prepared(self, partitions: int) -> "RecordedScorer":
         """For a stream joined to a large answer table: hash-partition the
@@ -55,7 +60,7 @@ class RecordedScorer:
         from pyspark import StorageLevel
         ready = (self.answers.select(*self.on, "answer").repartition(partitions, *self.on)
                  .persist(StorageLevel.MEMORY_AND_DISK))
-        return RecordedScorer(ready, self.on)
+        return RecordedScorer(ready, self.on, self.hashed)
 
 
 class LexiconScorer:
@@ -149,12 +154,19 @@ MATCH = ("day", "symbol", "headline")
 IDENTITY_KEY, MATCH_KEY = "identity_key", "match_key"
 
 
+def _of(df: DataFrame, cols) -> list[str]:
+    """``cols`` as ``df`` has them: keyed rows hold ``headline_key`` for the headline."""
+    return [headline_col(df) if c == "headline" else c for c in cols]
+
+
 def label_keys(df: DataFrame, scorer, mode: str = "exact", text_col: str = "headline") -> DataFrame:
     """UDF-8 for a write-back: ``label_headlines`` with the digests that ``apply_labels``
     meets its records by (``identity_key``, ``match_key``) in place of the text.  A scorer
-    that looks answers up by other columns gets no text, so none is shuffled to it."""
-    keyed = df.withColumns({IDENTITY_KEY: digest(*[c for c in IDENTITY if c in df.columns]), MATCH_KEY: digest(*MATCH)})
+    that looks answers up by other columns gets no text, so none is shuffled to it.  Keyed rows
+    hold no text, so only such a scorer can label them."""
+    keyed = df.withColumns({IDENTITY_KEY: digest(*[c for c in _of(df, IDENTITY) if c in df.columns]), MATCH_KEY: digest(*_of(df, MATCH))})
     if text_col not in getattr(scorer, "on", (text_col,)):
+        text_col = text_col if text_col in df.columns else headline_col(df)
         return label_headlines(keyed.drop(text_col), scorer, mode, text_col)
     return label_headlines(keyed, scorer, mode, text_col).drop(text_col)
 
@@ -177,23 +189,26 @@ def apply_labels(records: DataFrame, labels: DataFrame, mode: str = "all",
     several scored copies the one scored last wins; other copies stay
     unprocessed.  Both are grouped aggregates plus equi joins on digests (no
     window over a key, null equals null), so a record's text is shuffled once,
-    not sorted (the labels are hashed), and a label carries none.
+    not sorted (the labels are hashed), and a label carries none.  Keyed records
+    (``headline_key`` in place of ``headline``) move no text; they are sorted.
     """
     keep = [c for c in records.columns if c not in ("processed", "labelled")]
+    match = _of(records, MATCH)
+    hashed = lambda small: small if headline_col(records) == HEADLINE_KEY else small.hint("shuffle_hash")
     order = [c for c in ("created", "pos") if c in records.columns]
     if mode == "all":
-        ident = [c for c in identity if c in records.columns]
+        ident = [c for c in _of(records, identity) if c in records.columns]
         # copies share an identity (keep_all): one label each, so the join adds no rows
         own = _label_key(labels, IDENTITY_KEY, ident) if identity == IDENTITY else digest(*ident)
         lab = labels.select(own.alias("_k"), "label").groupBy("_k").agg(F.max("label").alias("_label"))
-        j = records.withColumn("_k", digest(*ident)).join(lab.hint("shuffle_hash"), "_k", "left")
+        j = records.withColumn("_k", digest(*ident)).join(hashed(lab), "_k", "left")
     elif mode == "first_match":
-        last = (labels.select(_label_key(labels, MATCH_KEY, MATCH).alias("_m"), "label", *order)
+        last = (labels.select(_label_key(labels, MATCH_KEY, match).alias("_m"), "label", *order)
                 .groupBy("_m").agg(F.max_by("label", F.struct(*order)).alias("_label")))
-        first = (records.select(digest(*MATCH).alias("_m"), *order, digest(*MATCH, *order).alias("_k"))
+        first = (records.select(digest(*match).alias("_m"), *order, digest(*match, *order).alias("_k"))
                  .groupBy("_m").agg(F.min(F.struct(*order, "_k")).alias("_o")))
         target = first.join(last, "_m").select(F.col("_o._k").alias("_k"), "_label")
-        j = records.withColumn("_k", digest(*MATCH, *order)).join(target.hint("shuffle_hash"), "_k", "left")
+        j = records.withColumn("_k", digest(*match, *order)).join(hashed(target), "_k", "left")
     else:
         raise ValueError(f"unknown write-back mode {mode!r}")
     hit = F.col("_label").isNotNull()

@@ -19,6 +19,13 @@ HEADLINES = T.StructType([
     T.StructField("day", T.DateType()),
 ])
 
+# keyed rows of the store: the digest of the headline stands for it, its text is in the store's table of headlines
+KEYED_HEADLINES = T.StructType([T.StructField("headline_key", T.BinaryType()) if f.name == "headline" else f for f in HEADLINES.fields])
+HEADLINE_TEXTS = T.StructType([
+    T.StructField("headline_key", T.BinaryType()),
+    T.StructField("headline", T.StringType()),
+])
+
 # items as they come out of a page: position, date text and headline text
 ITEMS = T.StructType([
     T.StructField("symbol", T.StringType()),

@@ -10,6 +10,10 @@
   no copy beside the store.
 * Snapshots are partitioned by their run key, so replaying a run replaces
   its own snapshot instead of appending a second copy.
+* A keyed store is for headlines that many rows show: its rows hold
+  ``headline_key`` (the digest), ``<store>_headlines`` holds every text once.
+  Merges and write-backs read and rewrite rows without text; ``with_texts``
+  joins the texts to what is read.
 """
 
 from __future__ import annotations
@@ -21,13 +25,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_lit
+from ..functions.keys import HEADLINE_KEY, headline_col
 from ..session import staged
-from ..schemas import DAY_SYMBOLS, HEADLINES, SCORES_SNAPSHOT
+from ..schemas import DAY_SYMBOLS, HEADLINE_TEXTS, HEADLINES, KEYED_HEADLINES, SCORES_SNAPSHOT
 from .tables import read_day
 
 HEADLINE_COLS = [f.name for f in HEADLINES.fields]
 
 
+def stored_cols(df: DataFrame) -> list[str]:
+    """The store's columns, as the rows to write have them (keyed or not)."""
+    return [headline_col(df) if c == "headline" else c for c in HEADLINE_COLS]
+
+
+def is_keyed(df: DataFrame) -> bool:
+    return headline_col(df) == HEADLINE_KEY
+
+
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """A parquet table with a fixed schema; an empty frame while it does not exist yet."""
     try:
@@ -38,9 +52,33 @@ def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
         raise
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """The headline store with its fixed schema (empty when absent)."""
-    return _read_or_empty(spark, path, HEADLINES)
+def read_store(spark: SparkSession, path: str, keyed: bool = False) -> DataFrame:
+    """The headline store with its fixed schema (empty when absent); ``keyed``: the rows of a keyed store."""
+    return _read_or_empty(spark, path, KEYED_HEADLINES if keyed else HEADLINES)
+
+
+def headlines_path(path: str) -> str:
+    return path.rstrip("/") + "_headlines"
+
+
+def read_headlines(spark: SparkSession, path: str) -> DataFrame:
+    """The texts of a keyed store, ``(headline_key, headline)``."""
+    return _read_or_empty(spark, headlines_path(path), HEADLINE_TEXTS)
+
+
+def add_headlines(spark: SparkSession, path: str, texts: DataFrame, batch: DataFrame) -> None:
+    """Add those of ``texts`` (``headline_key, headline``) that keyed rows of ``batch`` show and the store does not
+    hold yet, each once.  A replayed batch finds its texts there and adds nothing."""
+    missing = (batch.select(HEADLINE_KEY).distinct()
+               .join(read_headlines(spark, path).select(HEADLINE_KEY), HEADLINE_KEY, "left_anti"))
+    (texts.select(HEADLINE_KEY, "headline").join(missing, HEADLINE_KEY, "left_semi")
+     .groupBy(HEADLINE_KEY).agg(F.first("headline").alias("headline"))
+     .write.mode("append").option("compression", "zstd").parquet(headlines_path(path)))
+
+
+def with_texts(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a keyed store with ``headline`` in place of ``headline_key``."""
+    return rows.join(read_headlines(spark, path), HEADLINE_KEY, "left").drop(HEADLINE_KEY)
 
 
 def write_day(df: DataFrame, path: str) -> None:
@@ -50,7 +88,7 @@ def write_day(df: DataFrame, path: str) -> None:
     days are coalesced into few files, and a day holding a large share of
     the rows is split over several tasks (never one task per day).
     """
-    (df.select(*HEADLINE_COLS)
+    (df.select(*stored_cols(df))
      .hint("rebalance", "day")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
@@ -63,7 +101,7 @@ def upsert_days(spark: SparkSession, path: str, batch: DataFrame, as_of,
                 first_write: str = "dedupe") -> None:
     """Merge a batch into the days it touches and rewrite only those days."""
     from ..operators.merge import day_set, merge_day
-    stored = read_store(spark, path)
+    stored = read_store(spark, path, is_keyed(batch))
     touched = stored.join(day_set(batch), "day", "left_semi")  # partition-pruned, no shuffle
     write_day(merge_day(touched, batch, as_of, first_write), path)
 
@@ -74,11 +112,11 @@ def upsert_day(spark: SparkSession, path: str, batch: DataFrame, day, as_of,
     upsert_days(spark, path, read_day(batch, day), as_of, first_write)
 
 
-def write_labels(spark: SparkSession, path: str, labels: DataFrame, mode: str = "all") -> None:
-    """SNK-3: apply labels to the stored days they touch, rewrite those days."""
+def write_labels(spark: SparkSession, path: str, labels: DataFrame, mode: str = "all", keyed: bool = False) -> None:
+    """SNK-3: apply labels to the stored days they touch, rewrite those days (``keyed``: of a keyed store)."""
     from ..operators.merge import day_set
     from ..operators.sentiment import apply_labels
-    stored = read_store(spark, path)
+    stored = read_store(spark, path, keyed)
     touched = stored.join(day_set(labels), "day", "left_semi")
     write_day(apply_labels(touched, labels, mode), path)
 
