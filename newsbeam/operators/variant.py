@@ -15,24 +15,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import HEADLINE_KEY, headline_col
+
 _FIELDS = (("pos", "long"), ("headline", "string"), ("created", "timestamp"), ("processed", "boolean"), ("labelled", "int"))
 
 
+def _fields(headline: str):
+    """The fields of a record; a keyed one holds the digest of its headline."""
+    return [(HEADLINE_KEY, "binary") if (name, headline) == ("headline", HEADLINE_KEY) else (name, kind) for name, kind in _FIELDS]
+
+
 def variant_documents(records: DataFrame, part_size: int = 100) -> DataFrame:
     """Records of one shape -> ``(day, symbol, feed, part, document)``, ``document`` a VARIANT
     ``{"records": [...]}`` in the order of ``pos``; a record has the fields its frame has."""
-    own = [F.col(name) for name, _ in _FIELDS if name in records.columns]
+    own = [F.col(name) for name, _ in _fields(headline_col(records)) if name in records.columns]
     part = F.floor(F.col("pos") / F.lit(part_size)).cast("long")
     rows = F.array_sort(F.collect_list(F.struct(*own)))
     return (records.withColumn("part", part).groupBy("day", "symbol", "feed", "part")
             .agg(F.to_variant_object(F.struct(rows.alias("records"))).alias("document")))
 
 
-def variant_records(documents: DataFrame) -> DataFrame:
+def variant_records(documents: DataFrame, headline: str = "headline") -> DataFrame:
     """Documents of any shape -> ``(day, symbol, feed, pos, headline, created, processed, labelled)``;
-    what a record does not have is null."""
+    what a record does not have is null.  ``headline``: the field that stands for it (``headline_key`` in keyed records)."""
     one = documents.select("day", "symbol", "feed", F.explode(F.variant_get("document", "$.records", "array<variant>")).alias("record"))
-    return one.select("day", "symbol", "feed", *[F.try_variant_get("record", f"$.{name}", kind).alias(name) for name, kind in _FIELDS])
+    return one.select("day", "symbol", "feed", *[F.try_variant_get("record", f"$.{name}", kind).alias(name) for name, kind in _fields(headline)])
 
 
 def variant_shapes(documents: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ and must not change between runs.
 Writes go by dynamic overwrite of whole leaves, exchanged when the job commits, so a retried task
 reads the old files still and a replayed run writes the same leaves.  Which leaves change is found
 without the text.
+
+The store may be a keyed one (``store.add_headlines``, ``store.with_texts``): its rows hold the digests
+of their headlines, and a store's rows are either all keyed or none.
 """
 
 from __future__ import annotations
@@ -21,23 +24,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.keys import digest
-from ..schemas import HEADLINES
+from ..functions.keys import digest, headline_col
+from ..schemas import HEADLINES, KEYED_HEADLINES
 from ..session import staged
-from .store import HEADLINE_COLS, _read_or_empty
+from .store import _read_or_empty, is_keyed, stored_cols
 
 BUCKETS = 16
 BUCKETED = T.StructType([*HEADLINES.fields, T.StructField("bucket", T.IntegerType())])
+KEYED_BUCKETED = T.StructType([*KEYED_HEADLINES.fields, T.StructField("bucket", T.IntegerType())])
 
 
-def bucket_of(buckets: int = BUCKETS, key: str | None = None) -> Column:
+def bucket_of(buckets: int = BUCKETS, key: str | None = None, headline: str = "headline") -> Column:
     """The leaf of a headline row; ``key`` names a column with its (day, symbol, headline) digest."""
-    return F.pmod(F.xxhash64(F.col(key) if key else digest("day", "symbol", "headline")), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(F.col(key) if key else digest("day", "symbol", headline)), F.lit(buckets)).cast("int")
 
 
-def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+def read_buckets(spark: SparkSession, path: str, keyed: bool = False) -> DataFrame:
     """The store's rows with their ``bucket`` (empty when absent)."""
-    return _read_or_empty(spark, path, BUCKETED)
+    return _read_or_empty(spark, path, KEYED_BUCKETED if keyed else BUCKETED)
 
 
 def leaves(df: DataFrame) -> DataFrame:
@@ -47,35 +51,37 @@ def leaves(df: DataFrame) -> DataFrame:
 
 def write_leaves(df: DataFrame, path: str) -> None:
     """Replace the leaves that ``df`` (with ``bucket``) has rows of; others stay as they are."""
-    (df.select(*HEADLINE_COLS, "bucket").hint("rebalance", "day", "bucket")
+    (df.select(*stored_cols(df), "bucket").hint("rebalance", "day", "bucket")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy("day", "bucket").parquet(path))
 
 
 def write_buckets(df: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     """First write of a store."""
-    write_leaves(df.withColumn("bucket", bucket_of(buckets)), path)
+    write_leaves(df.withColumn("bucket", bucket_of(buckets, headline=headline_col(df))), path)
 
 
 def upsert_buckets(spark: SparkSession, path: str, batch: DataFrame, as_of, buckets: int = BUCKETS) -> None:
     """Merge a batch (first copies, new to their day) and rewrite the leaves that get a row."""
     from ..operators.merge import novel_firsts, to_record
-    batch = batch.withColumn("bucket", bucket_of(buckets))
-    here = read_buckets(spark, path).join(leaves(batch), ["day", "bucket"], "left_semi")
-    added = to_record(novel_firsts(batch, here), as_of).select(*HEADLINE_COLS, "bucket")
+    keyed = is_keyed(batch)
+    batch = batch.withColumn("bucket", bucket_of(buckets, headline=headline_col(batch)))
+    here = read_buckets(spark, path, keyed).join(leaves(batch), ["day", "bucket"], "left_semi")
+    added = to_record(novel_firsts(batch, here), as_of).select(*stored_cols(batch), "bucket")
     with staged(added, "novel") as new:
-        kept = read_buckets(spark, path).join(leaves(new), ["day", "bucket"], "left_semi")
+        kept = read_buckets(spark, path, keyed).join(leaves(new), ["day", "bucket"], "left_semi")
         write_leaves(kept.unionByName(new), path)
 
 
-def write_labels_buckets(spark: SparkSession, path: str, labels: DataFrame, mode: str = "all", buckets: int = BUCKETS) -> None:
+def write_labels_buckets(spark: SparkSession, path: str, labels: DataFrame, mode: str = "all", buckets: int = BUCKETS,
+                         keyed: bool = False) -> None:
     """Write labels back and rewrite the leaves in which something changed.
 
     ``labels`` holds the identity columns (or the digests of ``label_keys``) and ``label`` of scored
-    records, as ``apply_labels`` takes them."""
+    records, as ``apply_labels`` takes them; ``keyed``: the store is a keyed one."""
     from ..operators.sentiment import MATCH_KEY, apply_labels
-    labels = labels.withColumn("bucket", bucket_of(buckets, MATCH_KEY if MATCH_KEY in labels.columns else None))
-    here = read_buckets(spark, path).join(leaves(labels), ["day", "bucket"], "left_semi")
+    labels = labels.withColumn("bucket", bucket_of(buckets, MATCH_KEY if MATCH_KEY in labels.columns else None, headline_col(labels)))
+    here = read_buckets(spark, path, keyed).join(leaves(labels), ["day", "bucket"], "left_semi")
     was = here.withColumns({"_processed": F.col("processed"), "_labelled": F.col("labelled")})
     now = apply_labels(was, labels, mode)
     changed = now.where(~(F.col("processed").eqNullSafe(F.col("_processed")) & F.col("labelled").eqNullSafe(F.col("_labelled"))))
